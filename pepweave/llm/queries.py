@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, packing, token_files
 from .common import table
 
 
@@ -14,6 +14,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.encode_and_read(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     out = mixing.mix_to_targets(docs)
@@ -22,6 +30,8 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_token_files": op6_token_files,
     "op7_mixing": op7_mixing,
 }
 
