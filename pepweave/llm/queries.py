@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, packing, token_files
+from . import exact_dedup, language_id, mixing, packing, token_files, toxicity
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -33,6 +37,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_id": op4_language_id,
