@@ -7,7 +7,7 @@ hidden class estimates by EM how each voter behaves in either class; voters that
 all texts.
 
 The sample (max_rows labelled rows at most of either label in expectation, chosen by a hash of the id) is the only thing
-that reaches the driver, as distinct features per row. Scoring reads every whole text once and shuffles nothing.
+that reaches the driver, as the words of each row. Scoring reads every whole text once and shuffles nothing.
 
 Defined cases: a null or empty text has no feature and gets the prior's score; without labelled rows of both kinds
 all voters but the public lists abstain; labels that repeat for a row count once (the highest); a null id joins no label
@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from .common import in_fold
 
 MAX_ROWS = 3000
-PREFIXES = (3, 4, 5, 6)
+PREFIXES = (3, 4, 5, 6, 7, 8)
+HEAD = min(PREFIXES)
+DENSE = 200  # an entry is dense if it is one word of so many
 THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
 #: Common insults, a voter a language.
@@ -43,15 +45,39 @@ ADDRESS = re.compile(r"\b(?:you|du|tu|vous|eres)\b\W+(?:\w+\W+){0,3}?(?:" + "|".
 SHOUT = re.compile(r"[!?]{2,}")
 
 
-def features(text: str | None) -> set[str]:
-    """Distinct lower-case words (=w) and prefixes (k:w) of the whole text."""
-    words = set(WORD.findall((text or "").lower()))
-    out = {"=" + w for w in words}
-    for k in PREFIXES:
-        out.update(f"{k}:{w[:k]}" for w in words if len(w) > k)
+def levels(name: str, count: int, words: int) -> list[str]:
+    """The features of one entry that occurs count times among so many words."""
+    out = [name]
+    if count >= 2:
+        out.append(name + "#2")
+        if count >= 3:
+            out.append(name + "#3")
+        if count * DENSE >= words:
+            out.append(name + "%")
     return out
 
 
+def counted(words: Counter[str], known: set[str] | None = None, heads: set[str] | None = None) -> set[str]:
+    """Features of a text's words: words (=w) and prefixes (k:w), how often and how densely they occur. known: only such entries; heads: first letters that they have."""
+    n, entries = sum(words.values()), Counter()
+    for w, c in words.items():
+        if heads is not None and w[:HEAD] not in heads:
+            continue
+        for e in ("=" + w, *(f"{k}:{w[:k]}" for k in PREFIXES if len(w) > k)):
+            if known is None or e in known:
+                entries[e] += c
+    return {x for e, c in entries.items() for x in levels(e, c, n)}
+
+
+def features(text: str | None) -> set[str]:
+    return counted(Counter(WORD.findall((text or "").lower())))
+
+
+def entry(feature: str) -> str:
+    """The word or prefix that a feature is about."""
+    return feature.removesuffix("#2").removesuffix("#3").removesuffix("%")
+
+
 def strength(a: np.ndarray, b: np.ndarray, n: float, m: float) -> np.ndarray:
     """Log-likelihood ratio of a feature in a of n rows and b of m rows."""
 
@@ -167,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
             out = []
             for text in batch.column(2).to_pylist():
                 low = (text or "").lower()
-                out.append((" ".join(sorted(set(WORD.findall(low)))), bool(ADDRESS.search(low)), len(SHOUT.findall(low)) >= 5))
+                out.append((" ".join(WORD.findall(low)), bool(ADDRESS.search(low)), len(SHOUT.findall(low)) >= 5))
             words, address, shout = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(words, pa.string()), pa.array(address, pa.bool_()), pa.array(shout, pa.bool_())], names=["id", "toxic", "words", "address", "shout"])
 
@@ -197,20 +223,11 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", threshold: fl
     own = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
     docs = docs.drop(*(f.name for f in own if f.name != text_col))
     at = docs.columns.index(text_col)
-    by_word = {f[1:]: w for f, w in model.weights.items() if f[0] == "="}
-    by_prefix = {k: {f[2:]: w for f, w in model.weights.items() if f.startswith(f"{k}:")} for k in PREFIXES}
-    heads = {f[:3] for f in by_word} | {p[:3] for k in PREFIXES for p in by_prefix[k]}
+    known = {entry(f) for f in model.weights}
+    heads = {(e[1:] if e[0] == "=" else e[2:])[:HEAD] for e in known}
 
     def score(text: str | None) -> float:
-        total, seen = model.bias, set()
-        for w in set(WORD.findall((text or "").lower())):
-            if w[:3] in heads:
-                total += by_word.get(w, 0.0)
-                for k, known in by_prefix.items():
-                    if len(w) > k and (p := w[:k]) in known:
-                        seen.add(p)
-        total += sum(by_prefix[len(p)][p] for p in seen)
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
+        return model.score(counted(Counter(WORD.findall((text or "").lower())), known, heads))
 
     def run(batches):
         for batch in batches:
