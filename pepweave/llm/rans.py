@@ -74,16 +74,19 @@ def _encode_blocks(sym: np.ndarray, freq: np.ndarray, cum: np.ndarray) -> list[t
 def write_segment(doc_ids: list[int | None], lengths: np.ndarray, tokens: np.ndarray) -> bytes:
     ids = np.array([0 if i is None else i for i in doc_ids], np.int64)
     nulls = np.array([i is None for i in doc_ids], np.uint8)
-    symbols, rank, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+    counts = np.bincount(tokens)
+    symbols = np.nonzero(counts)[0]
+    to_rank = np.zeros(len(counts), np.int32)
+    to_rank[symbols] = np.arange(len(symbols))
+    rank, counts = to_rank[tokens], counts[symbols]
     freq = scaled(counts.astype(np.int64)) if len(counts) else np.zeros(0, np.int64)
     f64, c64 = freq.astype(np.uint64), (np.cumsum(freq) - freq).astype(np.uint64)
     n, whole = len(tokens), len(tokens) // BLOCK
-    rank = rank.astype(np.int64)
     coded = _encode_blocks(rank[: whole * BLOCK].reshape(whole, BLOCK // LANES, LANES), f64, c64) if whole else []
     if n % BLOCK:
         rest = rank[whole * BLOCK :]
         steps = -(-len(rest) // LANES)
-        pad = np.full(steps * LANES, counts.argmax(), np.int64)
+        pad = np.full(steps * LANES, counts.argmax(), np.int32)
         pad[: len(rest)] = rest
         coded += _encode_blocks(pad.reshape(1, steps, LANES), f64, c64)
     bodies = [p.tobytes() + s.tobytes() + w.tobytes() for p, s, w in coded]

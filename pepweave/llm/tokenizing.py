@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
-import regex
 
 WORDS = "byte_bpe_50k.json"
-#: Distinct words that a worker remembers before it starts afresh.
-MEMO_WORDS = 400_000
+#: A worker remembers the last so many distinct words, and those that it met among as many before.
+MEMO_WORDS = 250_000
+#: Letters and numbers among the characters of PLAIN, on whose classes all regex engines agree; other texts go to the library whole.
+LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-ɏ–-…]*")
 #: Byte-level BPE encodes each piece that this splits off on its own, so a piece's ids can be remembered.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Characters on whose classes all regex engines agree; other texts go to the library whole.
-PLAIN = regex.compile(r"[\t\n\r\x20-\x7e¡-ɏ–-…]*+")
+PIECES = re.compile(rf" ?[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[{NUMBERS}]+| ?[^\t\n\r {LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The character by which byte-level BPE writes each byte: printable ones themselves, the others from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
 def default_path() -> str:
@@ -22,6 +31,25 @@ def default_path() -> str:
     return public_tokenizers.path(WORDS)
 
 
+class Memo(dict):
+    """Words to the bytes of their ids, in two generations."""
+
+    def __init__(self, encode) -> None:
+        super().__init__()
+        self.older: dict[str, bytes] = {}
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = self.encode(word)
+        if len(self) >= MEMO_WORDS:
+            self.older = dict(self)
+            self.clear()
+        self[word] = found
+        return found
+
+
 class Encoder:
     """encode(text) gives the ids as an array of unsigned 32-bit integers, without special tokens added."""
 
@@ -32,7 +60,12 @@ class Encoder:
         kind = repr(t.pre_tokenizer)
         self.splits = "ByteLevel(add_prefix_space=False" in kind and "use_regex=True" in kind and t.normalizer is None and t.post_processor is None
         self.added = [x.content for x in t.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
+        self.letters = byte_letters()
+        self.memo = Memo(self._word)
+
+    def _word(self, word: str) -> bytes:
+        found = self.tokenizer.model.tokenize(word.encode().decode("latin1").translate(self.letters))
+        return array("I", [t.id for t in found]).tobytes()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
@@ -40,17 +73,7 @@ class Encoder:
     def encode(self, text: str) -> np.ndarray:
         if not self.splits or any(a in text for a in self.added) or not PLAIN.fullmatch(text):
             return np.frombuffer(self._whole(text), np.uint32)
-        memo, pieces = self.memo, PIECES.findall(text)
-        try:
-            out = b"".join(map(memo.__getitem__, pieces))
-        except KeyError:
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
-            new = [p for p in set(pieces) if p not in memo]
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                memo[p] = np.array(e.ids, np.uint32).tobytes()
-            out = b"".join(map(memo.__getitem__, pieces))
-        return np.frombuffer(out, np.uint32)
+        return np.frombuffer(b"".join(map(self.memo.__getitem__, PIECES.findall(text))), np.uint32)
 
 
 @lru_cache(2)
