@@ -15,6 +15,7 @@ HEAVY_SHARE = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -42,6 +43,13 @@ def drop_stage_tables(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Keep Arrow batches of whole texts small enough for a worker, unless the session already has a size of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, rows)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -23,7 +23,7 @@ from . import rans
 from .common import shuffle_width, stage_table
 from .tokenizing import encoder
 
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 SEGMENT_SCHEMA = "file int, segment int, start_in_file long, n_docs int, n_tokens long, data binary"
 
 
