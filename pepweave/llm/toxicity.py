@@ -7,7 +7,7 @@ hidden class estimates by EM how each voter behaves in either class; voters that
 all texts.
 
 The sample (max_rows labelled rows at most of either label in expectation, chosen by a hash of the id) is the only thing
-that reaches the driver, as the words of each row. Scoring reads every whole text once and shuffles nothing.
+learned from; executors find the words and prefixes that tell its rows apart, and the driver gets each row's few of them. Scoring reads every whole text once and shuffles nothing.
 
 Defined cases: a null or empty text has no feature and gets the prior's score; without labelled rows of both kinds
 all voters but the public lists abstain; labels that repeat for a row count once (the highest); a null id joins no label
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold
+from .common import in_fold, stage_table
 
 MAX_ROWS = 3000
 PREFIXES = (3, 4, 5, 6, 7, 8)
@@ -177,28 +177,31 @@ def linear(rows: list[set[str]], target: np.ndarray, names: list[str], penalty:
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_ROWS) -> Model:
     """learn: which rows of docs may be learned from. labels: id_col and label_col."""
-    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
+    tagged = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
     ids = docs.where(learn & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"))
-    counts = {r[0]: r[1] for r in ids.join(known, "__id").groupBy("toxic").count().collect()}
+    counts = {r[0]: r[1] for r in ids.join(tagged, "__id").groupBy("toxic").count().collect()}
     if not counts:
         return Model({}, -2.0)
     share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, max_rows / n))))
-    chosen = known.where(F.pmod(F.xxhash64(F.lit("toxic"), F.col("__id").cast("string")), F.lit(1 << 20)) / float(1 << 20) < share[F.col("toxic")])
+    chosen = tagged.where(F.pmod(F.xxhash64(F.lit("toxic"), F.col("__id").cast("string")), F.lit(1 << 20)) / float(1 << 20) < share[F.col("toxic")])
     some = docs.where(learn).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
     # chosen is bounded by 2 * max_rows and the ids that learn excludes
     rows = some.join(F.broadcast(chosen) if 4 * max_rows >= chosen.count() else chosen, "__id")
+    rows = stage_table(rows.select(F.col("__id").cast("string").alias("id"), "toxic", "text"), "toxicity-sample")
+    known = _entries(rows, counts)
 
     def extract(batches):
+        heads = heads_of(known)
         for batch in batches:
             out = []
             for text in batch.column(2).to_pylist():
                 low = (text or "").lower()
-                out.append((" ".join(WORD.findall(low)), bool(ADDRESS.search(low)), len(SHOUT.findall(low)) >= 5))
-            words, address, shout = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(words, pa.string()), pa.array(address, pa.bool_()), pa.array(shout, pa.bool_())], names=["id", "toxic", "words", "address", "shout"])
+                out.append((sorted(counted(Counter(WORD.findall(low)), known, heads)), bool(ADDRESS.search(low)), len(SHOUT.findall(low)) >= 5))
+            found, address, shout = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string())), pa.array(address, pa.bool_()), pa.array(shout, pa.bool_())], names=["id", "toxic", "found", "address", "shout"])
 
-    sample = sorted(rows.select(F.col("__id").cast("string"), "toxic", "text").mapInArrow(extract, "id string, toxic int, words string, address boolean, shout boolean").collect())
-    found = [features(r.words) for r in sample]
+    sample = sorted(rows.mapInArrow(extract, "id string, toxic int, found array<string>, address boolean, shout boolean").collect())
+    found = [set(r.found) for r in sample]
     given = np.array([r.toxic for r in sample])
     # half of the sample shows which lexicon entries there are; how far voters can be trusted is estimated on all rows without looking at that
     half = np.arange(len(sample)) % 2 == 0
@@ -216,6 +219,40 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     return model
 
 
+def heads_of(known: set[str]) -> set[str]:
+    return {(e[1:] if e[0] == "=" else e[2:])[:HEAD] for e in known}
+
+
+def _entries(rows: DataFrame, labels: dict[int, int], most: int = 3000) -> set[str]:
+    """The words and prefixes whose presence differs most between the sample's toxic and clean rows, and the public lists."""
+
+    def count(batches):
+        toxic, clean = Counter(), Counter()
+        for batch in batches:
+            for t, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                words = set(WORD.findall((text or "").lower()))
+                into = toxic if t else clean
+                into.update("=" + w for w in words)
+                for k in PREFIXES:
+                    into.update({f"{k}:{w[:k]}" for w in words if len(w) > k})
+        names = list(toxic.keys() | clean.keys())
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([toxic[x] for x in names], pa.int64()), pa.array([clean[x] for x in names], pa.int64())], names=["entry", "a", "b"])
+
+    n, m = (rows.where(F.coalesce("toxic", F.lit(0)) == t).count() for t in (1, 0))
+    listed = {"=" + w for x in LISTS.values() for w in x.split()}
+    if not n or not m:
+        return listed
+    both = rows.mapInArrow(count, "entry string, a long, b long").groupBy("entry").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where("a >= 3 or b >= 3")
+
+    def part(x, total, p):
+        return F.when(x > 0, x * F.log(x / (total * p))).otherwise(0.0)
+
+    a, b, p = F.col("a"), F.col("b"), (F.col("a") + F.col("b")) / float(n + m)
+    llr = part(a, n, p) + part(b, m, p) + part(n - a, n, 1 - p) + part(m - b, m, 1 - p)
+    top = both.select("entry", llr.alias("llr")).orderBy(F.desc("llr"), "entry").limit(most)
+    return listed | {r[0] for r in top.select("entry").collect()}
+
+
 def predict(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """All rows and columns of docs with score and predicted."""
     from pyspark.sql import types as T
@@ -224,7 +261,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", threshold: fl
     docs = docs.drop(*(f.name for f in own if f.name != text_col))
     at = docs.columns.index(text_col)
     known = {entry(f) for f in model.weights}
-    heads = {(e[1:] if e[0] == "=" else e[2:])[:HEAD] for e in known}
+    heads = heads_of(known)
 
     def score(text: str | None) -> float:
         return model.score(counted(Counter(WORD.findall((text or "").lower())), known, heads))
