@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, language_id, mixing, packing, secret_scan, token_files, toxicity
+from . import exact_dedup, jaccard_join, language_id, lattice_dedup, mixing, packing, secret_scan, token_files, toxicity
 from .common import table
 
 
@@ -36,6 +36,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op6_token_files": op6_token_files,
     "op7_mixing": op7_mixing,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_secret_scan": op10_secret_scan,
 }
