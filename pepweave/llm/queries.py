@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, language_id, lattice_dedup, mixing, packing, secret_scan, token_files, toxicity
+from . import exact_dedup, jaccard_join, language_id, lattice_dedup, mixing, packing, secret_scan, suffix_dedup, token_files, toxicity
 from .common import table
 
 
@@ -26,6 +26,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return out.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode_and_read(table(spark, sf_dir, "documents"))
 
@@ -54,6 +60,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_id": op4_language_id,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_token_files": op6_token_files,
     "op7_mixing": op7_mixing,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
