@@ -204,12 +204,12 @@ def _contexts(docs: DataFrame, repeated: DataFrame, length: int, max_bits: int)
         shared = None
     else:
         bits = min(max_bits, max(1 << 15, 1 << (16 * n).bit_length()))
-        slot = F.shiftrightunsigned("key", 64 - bits.bit_length() + 1)
+        slot = F.col("key").bitwiseAND(F.lit(bits - 1))  # the high bits of a least hash are mostly zeros
         maps = repeated.select(slot.alias("s")).groupBy(F.shiftright("s", 15).alias("k")).agg(F.bitmap_construct_agg(F.col("s").bitwiseAND(F.lit(32767))).alias("m"))
         array = np.zeros((bits >> 15, 4096), np.uint8)
         for r in maps.collect():  # at most max_bits
             array[r.k] = np.frombuffer(r.m, np.uint8)
-        shared, move = spark.sparkContext.broadcast(zlib.compress(array.tobytes(), 1)), np.uint64(64 - bits.bit_length() + 1)
+        shared, mask = spark.sparkContext.broadcast(zlib.compress(array.tobytes(), 1)), np.uint64(bits - 1)
         rows = docs.select("id", "h", "text")
 
     def run(batches):
@@ -220,7 +220,7 @@ def _contexts(docs: DataFrame, repeated: DataFrame, length: int, max_bits: int)
             for row, at, d, o in pieces_of(*text_bytes(batch.column(2)), length):
                 key, lo, hi = anchors(d, o, length)
                 if live is not None:
-                    s = (key >> move).astype(np.int64)
+                    s = (key & mask).astype(np.int64)
                     pick = np.nonzero(live[s >> 3] >> (s & 7).astype(np.uint8) & 1)[0]
                     texts = np.searchsorted(o, lo[pick], "right") - 1
                 else:
