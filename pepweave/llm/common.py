@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -33,6 +34,9 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    # shuffles of plans that are done go when the driver collects its garbage; a long query would keep all of them until then
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -97,3 +101,53 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+BUCKET_BITS = 15  # one bitmap value holds 4096 bytes
+
+
+def bit_count(rows: int, most: int, per_row: int = 16) -> int:
+    """A power of two of bits for so many rows, at most `most`."""
+    return min(most, max(1 << BUCKET_BITS, 1 << (per_row * rows).bit_length()))
+
+
+def bit_table(slots: DataFrame, column: str = "slot") -> DataFrame:
+    """The set bits as (bucket, bitmap) rows: one row for 32768 bits."""
+    return slots.groupBy(F.shiftright(column, BUCKET_BITS).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.col(column).bitwiseAND(F.lit((1 << BUCKET_BITS) - 1))).alias("bitmap")
+    )
+
+
+def with_bits(rows: DataFrame, slots: list[Column], bits: DataFrame, flag: str = "__maybe") -> DataFrame:
+    """Adds whether all the slots' bits are set. bits: a bit_table, whose size is bounded by its number of bits, so it is broadcast."""
+    found = F.lit(True)
+    for k, slot in enumerate(slots):
+        side = bits.select(F.col("bucket").alias(f"__bucket{k}"), F.col("bitmap").alias(f"__bitmap{k}"))
+        rows = rows.withColumn(f"__slot{k}", slot)
+        rows = rows.join(F.broadcast(side), F.shiftright(f"__slot{k}", BUCKET_BITS) == F.col(f"__bucket{k}"), "left")
+        bit = F.col(f"__slot{k}").bitwiseAND(F.lit((1 << BUCKET_BITS) - 1))
+        byte = F.conv(F.hex(F.substring(F.col(f"__bitmap{k}"), F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        is_set = F.call_function("shiftright", byte, (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+        found = found & F.coalesce(is_set, F.lit(False))
+    return rows.withColumn(flag, found).drop(*(f"__{c}{k}" for c in ("bucket", "bitmap", "slot") for k in range(len(slots))))
+
+
+def without_ids(docs: DataFrame, id_col: str, dropped: DataFrame, max_bits: int = 1 << 28) -> DataFrame:
+    """docs without the rows whose id is in dropped (column id); only rows that a bit array of bounded size points at shuffle."""
+    dropped = stage_table(dropped.select("id").where("id is not null").distinct(), "dropped")
+    n = dropped.count()
+    if not n:
+        return docs
+    bits = bit_count(n, max_bits)
+    table_of_bits = stage_table(bit_table(dropped.select(F.pmod(F.xxhash64("id"), F.lit(bits)).alias("slot"))), "dropped-bits")
+    slot = F.pmod(F.xxhash64(F.col(id_col).cast(dropped.schema["id"].dataType)), F.lit(bits))
+    rows = with_bits(docs, [slot], table_of_bits)
+    straight = rows.where("not __maybe").drop("__maybe")
+    rest = rows.where("__maybe").drop("__maybe").join(dropped, F.col(id_col) == F.col("id"), "left_anti")
+    return straight.unionByName(rest)
+
+
+def shielded(docs: DataFrame, own: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """docs with columns named like an operator's own renamed, and how to name them back."""
+    back = {f"__kept_{c}": c for c in docs.columns if c in own}
+    return docs.withColumnsRenamed({c: k for k, c in back.items()}), back

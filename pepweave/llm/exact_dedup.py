@@ -17,10 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import HEAVY_SHARE, ascii_lower, stage_table
+from .common import HEAVY_SHARE, ascii_lower, bit_count, bit_table, stage_table, with_bits
 
-BITS_PER_ROW = 16
-BUCKET_BITS = 15  # one bitmap value holds 4096 bytes
+OWN = ("keep_id", "group_size", "kept", "text_sha256")
 
 
 def digest(text: Column) -> Column:
@@ -34,33 +33,20 @@ def _slots(sha: Column, bits: int) -> list[Column]:
 def repeated_bits(prints: DataFrame, bits: int) -> DataFrame:
     """Pass 1: the bits hit at least twice, as (bucket, bitmap) rows, at most bits / 32768 of them."""
     hits = prints.select(F.explode(F.array(*_slots(F.col("__sha"), bits))).alias("slot"))
-    twice = hits.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1")
-    return twice.groupBy(F.shiftright("slot", BUCKET_BITS).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit((1 << BUCKET_BITS) - 1))).alias("bitmap")
-    )
+    return bit_table(hits.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1"))
 
 
 def _maybe_repeated(rows: DataFrame, bitmaps: DataFrame, bits: int) -> DataFrame:
     """Pass 2: adds the flag __maybe."""
-    flag = F.lit(True)
-    for k, slot in enumerate(_slots(F.col("__sha"), bits)):
-        side = bitmaps.select(F.col("bucket").alias(f"__bucket{k}"), F.col("bitmap").alias(f"__bitmap{k}"))
-        rows = rows.withColumn(f"__slot{k}", slot)
-        rows = rows.join(F.broadcast(side), F.shiftright(f"__slot{k}", BUCKET_BITS) == F.col(f"__bucket{k}"), "left")
-        bit = F.col(f"__slot{k}").bitwiseAND(F.lit((1 << BUCKET_BITS) - 1))
-        byte = F.conv(F.hex(F.substring(F.col(f"__bitmap{k}"), F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        bit_set = F.call_function("shiftright", byte, (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
-        flag = flag & F.coalesce(bit_set, F.lit(False))
-    return rows.withColumn("__maybe", flag).drop(*(f"__{c}{k}" for c in ("bucket", "bitmap", "slot") for k in (0, 1)))
+    return with_bits(rows, _slots(F.col("__sha"), bits), bitmaps)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 1 << 28) -> DataFrame:
     """All rows and columns of docs with keep_id, group_size, kept, text_sha256; texts equal up to A-Z case form a group and its largest id stays."""
-    outputs = ("keep_id", "group_size", "kept", "text_sha256")
-    ids = docs.drop(*(c for c in outputs if c not in (id_col, text_col)))
+    ids = docs.drop(*(c for c in OWN if c not in (id_col, text_col)))
     prints = stage_table(ids.select(F.col(id_col).alias("__id"), digest(F.col(text_col)).alias("__sha")), "fingerprints")
     n = prints.count()
-    bits = min(max_bits, max(1 << BUCKET_BITS, 1 << (BITS_PER_ROW * n).bit_length()))
+    bits = bit_count(n, max_bits)
     bitmaps = stage_table(repeated_bits(prints, bits), "repeated-bits")
 
     # copies of one id inside a group are told apart by count: all of them but one go

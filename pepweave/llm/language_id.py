@@ -30,6 +30,7 @@ DIM_BITS = 12
 MAX_ROWS = 2400
 SLICE = 1 << 20
 UNKNOWN = "und"
+OWN = ("lang_pred", "score", "ambiguous")
 LETTER = regex.compile(r"\p{L}")
 
 _FOLD = np.full(256, 32, np.uint8)  # letters of ASCII in lower case, other bytes of UTF-8 as they are, the rest a blank

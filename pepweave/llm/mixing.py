@@ -18,6 +18,7 @@ from .common import stage_table
 
 CEILING = 3  # a target stops at so many times its source's size
 SEED = "mix-17:"
+OWN = ("size", "source_size", "target", "copies")
 
 
 def words(text: Column) -> Column:
@@ -51,8 +52,7 @@ def targets(sizes: DataFrame, ceiling: int = CEILING) -> DataFrame:
 
 def mix_to_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_broadcast: int = 100_000) -> DataFrame:
     """All rows and columns of docs with size, source_size, target and copies (how often the mix emits the row)."""
-    own = ("size", "source_size", "target", "copies")
-    docs = docs.drop(*(c for c in own if c not in (id_col, text_col, source_col)))
+    docs = docs.drop(*(c for c in OWN if c not in (id_col, text_col, source_col)))
     sizes = docs.groupBy(F.col(source_col).alias("__source")).agg(F.sum(words(F.col(text_col))).alias("source_size"))
     rates = stage_table(targets(sizes), "rates")
     side = F.broadcast(rates) if rates.count() <= max_broadcast else rates
@@ -67,4 +67,4 @@ def emit(mixed: DataFrame) -> DataFrame:
     """Each row as often as copies says, without the operator's columns."""
     n = F.col("copies")
     out = mixed.where(n > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), n)))
-    return out.drop("__copy", "size", "source_size", "target", "copies")
+    return out.drop("__copy", *OWN)
