@@ -9,8 +9,8 @@ windows have equal anchors. That splits the corpus into shards without losing a
 3. Contexts that share an anchor but differ form shards. Each shard gets a suffix array by Larsson-Sadakane refinement (only
    groups not yet sorted are sorted again, by the rank of the suffix h further on, h doubling) and common prefixes by Kasai's
    scan, both vectorised in numpy. Runs of neighbours with common prefixes of at least `length` are repeated windows.
-4. An anchor with very many contexts is dealt over several shards; the windows that each finds are merged by binary search
-   in the sorted digests of all shards.
+4. Contexts of an anchor with very many are cut and keyed by all that a cut's windows share; a key that has very many still is
+   dealt over several shards, and the windows that each finds are merged by binary search in the sorted digests of all shards.
 
 Windows found are mapped back to the documents and their bytes removed.
 
@@ -35,7 +35,9 @@ LENGTH = 200
 GRAM = 64  # a power of two, at least 8
 PIECE = 1 << 20
 SHARD = 1 << 22  # bytes of contexts in a suffix array
-MANY = 4096  # contexts of an anchor that one task takes
+FEW = 256  # contexts of an anchor from which they are told apart by more than the anchor
+CUT = 34  # windows that a cut of a context has at most
+MANY = 4096  # contexts of a cut that one task takes
 FILTER_BITS = 1 << 28
 _POSITION = np.uint64((1 << 24) - 1)
 
@@ -51,12 +53,12 @@ def words(data: np.ndarray) -> np.ndarray:
     return out[:n]
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For texts in one array of less than 2^24 bytes: keys of the anchors, first and last window that each anchors."""
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For texts in one array of less than 2^24 bytes: keys of the anchors, first and last window that each anchors, and where it is."""
     lengths = np.maximum(0, np.diff(offsets) - length + 1)
     total = int(lengths.sum())
     if not total:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), *np.zeros((3, 0), np.int64)
     h, at = words(data), 8
     while at < gram:
         ahead = np.concatenate([h[at:], np.zeros(at, np.uint64)])
@@ -76,7 +78,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     new = np.concatenate([[True], x[1:] != x[:-1]])
     first = np.nonzero(new)[0]
     last = np.concatenate([first[1:], [total]]) - 1
-    return h[x[first]], window[first], window[last]
+    return h[x[first]], window[first], window[last], x[first]
 
 
 def pieces_of(data: np.ndarray, offsets: np.ndarray, length: int):
@@ -186,7 +188,7 @@ def _anchor_counts(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _contexts(docs: DataFrame, repeated: DataFrame, length: int, max_bits: int) -> DataFrame:
-    """Occurrences: id, h, key, lo, size, ctx (digest), bytes (at a context's first occurrence in a task)."""
+    """Occurrences: id, h, key, lo, size, at (the anchor's place in it), ctx (digest), bytes (at a context's first occurrence in a task)."""
     n = repeated.count()
     by_join = n * 4 > max_bits
     spark = docs.sparkSession
@@ -195,7 +197,7 @@ def _contexts(docs: DataFrame, repeated: DataFrame, length: int, max_bits: int)
         def mark(batches):
             for batch in batches:
                 for row, at, d, o in pieces_of(*text_bytes(batch.column(2)), length):
-                    key, lo, _ = anchors(d, o, length)
+                    key, lo, _, _ = anchors(d, o, length)
                     rows = pa.array(row + np.searchsorted(o, lo, "right") - 1)
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(key.view(np.int64))], names=["id", "h", "key"])
 
@@ -218,7 +220,7 @@ def _contexts(docs: DataFrame, repeated: DataFrame, length: int, max_bits: int)
         for batch in batches:
             out = []
             for row, at, d, o in pieces_of(*text_bytes(batch.column(2)), length):
-                key, lo, hi = anchors(d, o, length)
+                key, lo, hi, x = anchors(d, o, length)
                 if live is not None:
                     s = (key & mask).astype(np.int64)
                     pick = np.nonzero(live[s >> 3] >> (s & 7).astype(np.uint8) & 1)[0]
@@ -229,30 +231,61 @@ def _contexts(docs: DataFrame, repeated: DataFrame, length: int, max_bits: int)
                     pick = np.array([i for i, t in enumerate(texts.tolist()) if int(key.view(np.int64)[i]) in known[t]], np.int64)
                     texts = texts[pick]
                 raw = d.tobytes()
-                for i, t, a, b in zip(pick.tolist(), texts.tolist(), lo[pick].tolist(), hi[pick].tolist(), strict=True):
+                for i, t, a, b, c_at in zip(pick.tolist(), texts.tolist(), lo[pick].tolist(), hi[pick].tolist(), (x - lo)[pick].tolist(), strict=True):
                     c = raw[a : b + length]
                     digest = hashlib.blake2b(c, digest_size=16).digest()
                     new = digest not in seen
                     if new:
                         seen.add(digest)
-                    out.append((row + t, key[i], a - o[t] + at, len(c), digest, c if new else None))
+                    out.append((row + t, key[i], a - o[t] + at, len(c), c_at, digest, c if new else None))
             if out:
-                at_row, keys, los, sizes, digests, texts = zip(*out, strict=True)
+                at_row, keys, los, sizes, places, digests, texts = zip(*out, strict=True)
                 at_row = pa.array(at_row)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(at_row), batch.column(1).take(at_row), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.array(los, np.int64)), pa.array(np.array(sizes, np.int64)), pa.array(digests, pa.binary()), pa.array(texts, pa.binary())],
-                    names=["id", "h", "key", "lo", "size", "ctx", "bytes"],
+                    [batch.column(0).take(at_row), batch.column(1).take(at_row), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.array(los, np.int64)), pa.array(np.array(sizes, np.int64)), pa.array(np.array(places, np.int64)), pa.array(digests, pa.binary()), pa.array(texts, pa.binary())],
+                    names=["id", "h", "key", "lo", "size", "at", "ctx", "bytes"],
                 )
 
-    return rows.mapInArrow(run, "id long, h long, key long, lo long, size long, ctx binary, bytes binary")
+    return rows.mapInArrow(run, "id long, h long, key long, lo long, size long, at long, ctx binary, bytes binary")
+
+
+def _refined(contexts: DataFrame, length: int) -> DataFrame:
+    """Contexts of anchors that very many have, cut by how far their windows start before the anchor, with keys of all the bytes that a cut's windows share.
+
+    Windows alike are in cuts of one key, and a line that many documents share, shorter than a window, no longer joins them."""
+    rows = contexts.select("key", "ctx", "at", "bytes")
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for key, ctx, at, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                last = len(raw) - length
+                for part in range(max(0, at - last) // CUT, at // CUT + 1):
+                    top = at - part * CUT
+                    a, b = max(0, top - CUT + 1), min(last, top)
+                    if a <= b:
+                        core = raw[top : top - CUT + 1 + length]
+                        h = hashlib.blake2b(core, digest_size=8, key=key.to_bytes(8, "little", signed=True) + bytes([part])).digest()
+                        out.append((int.from_bytes(h, "little", signed=True), ctx, a, raw[a : b + length]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.int64(), pa.binary()), strict=True)], names=["key", "ctx", "base", "bytes"])
+
+    return rows.mapInArrow(run, "key long, ctx binary, base long, bytes binary")
+
+
+def _parted(contexts: DataFrame, many: int) -> DataFrame:
+    """Contexts (key, ctx, base, bytes) of keys with several, dealt over blocks where a key has more than `many`."""
+    keys = contexts.groupBy("key").agg(F.min("ctx").alias("lo"), F.max("ctx").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
+    keys = keys.select("key", F.ceil(F.col("n") / many).cast("int").alias("blocks"))
+    return contexts.join(keys, "key").withColumn("block", F.pmod(F.xxhash64("ctx"), "blocks").cast("int"))
 
 
 def _shards(contexts: DataFrame, length: int) -> DataFrame:
-    """contexts: key, block, blocks, ctx, bytes. Gives ctx, first, last (repeated windows) and, of split anchors, digests of windows with ctx and offset (or none) to be merged."""
-    rows = contexts.repartition("key", "block").sortWithinPartitions("key", "block", "ctx").select("key", "block", "blocks", "ctx", "bytes")
+    """contexts: key, block, blocks, ctx, base (where bytes start in the context), bytes. Gives ctx, first, last (repeated windows) and, of split anchors, digests of windows with ctx and offset (or none) to be merged."""
+    rows = contexts.repartition("key", "block").sortWithinPartitions("key", "block", "ctx").select("key", "block", "blocks", "ctx", "base", "bytes")
 
     def solve(group: list[tuple]):
-        """group: whole runs of (key, block), each context once: (split, ctx, bytes)."""
+        """group: whole runs of (key, block), each context once: (split, ctx, bytes, base)."""
         owner, offset, run = repeated_windows([g[2] for g in group], length)
         if not len(owner):
             return
@@ -265,8 +298,8 @@ def _shards(contexts: DataFrame, length: int) -> DataFrame:
         for c in np.unique(own):
             a, b = _spans(off[np.searchsorted(own, c) : np.searchsorted(own, c, "right")])
             names += [group[c][1]] * len(a)
-            first += a.tolist()
-            last += b.tolist()
+            first += (a + group[c][3]).tolist()
+            last += (b + group[c][3]).tolist()
         digests, members, places = [None] * len(names), [None] * len(names), [None] * len(names)
         split = np.array([g[0] for g in group])
         if split.any():
@@ -275,7 +308,7 @@ def _shards(contexts: DataFrame, length: int) -> DataFrame:
                 c, o = int(owner[k]), int(offset[k])
                 digests.append(hashlib.blake2b(group[c][2][o : o + length], digest_size=16).digest())
                 members.append(group[c][1] if alike[k] == 1 else None)
-                places.append(o)
+                places.append(o + group[c][3])
             more = len(digests) - len(names)
             names, first, last = names + [None] * more, first + [None] * more, last + [None] * more
         kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64())
@@ -284,7 +317,7 @@ def _shards(contexts: DataFrame, length: int) -> DataFrame:
     def run(batches):
         group, held, key, ctx = [], 0, None, None
         for batch in batches:
-            for k, block, blocks, c, raw in zip(*(col.to_pylist() for col in batch.columns), strict=True):
+            for k, block, blocks, c, base, raw in zip(*(col.to_pylist() for col in batch.columns), strict=True):
                 if (k, block) != key:
                     if held >= SHARD:
                         yield from solve(group)
@@ -292,7 +325,7 @@ def _shards(contexts: DataFrame, length: int) -> DataFrame:
                     key, ctx = (k, block), None
                 if c != ctx:
                     ctx = c
-                    group.append((blocks > 1, c, raw))
+                    group.append((blocks > 1, c, raw, base))
                     held += len(raw)
         if group:
             yield from solve(group)
@@ -320,7 +353,7 @@ def _merged(found: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "ctx binary, first long, last long")
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, max_bits: int = FILTER_BITS, many: int = MANY) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, max_bits: int = FILTER_BITS, many: int = MANY, few_from: int = FEW) -> DataFrame:
     """docs: id, h, text. Gives id, h, lo, hi: first and last start of windows of the text that occur elsewhere."""
     counts = _anchor_counts(docs, length).groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
     repeated = stage_table(counts, "anchors")
@@ -328,8 +361,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, max_bits: int = FILTER
 
     classes = stage_table(seen.groupBy("key", "ctx").agg(F.count("*").alias("n"), F.max("size").alias("size"), F.count("bytes").alias("copies")), "context-classes")
     keys = classes.groupBy("key").agg(F.count("*").alias("kinds"), F.sum("copies").alias("rows")).where("kinds > 1")
-    keys = keys.select("key", F.ceil(F.col("rows") / many).cast("int").alias("blocks"))
-    parts = seen.where("bytes is not null").join(keys, "key").select("key", "ctx", "bytes", "blocks", F.pmod(F.xxhash64("ctx"), "blocks").cast("int").alias("block"))
+    mixed = stage_table(seen.where("bytes is not null").join(keys.select("key", "rows"), "key").select("key", "ctx", "at", "bytes", "rows"), "mixed-contexts")
+    few = mixed.where(F.col("rows") <= few_from).select("key", "ctx", F.lit(0).cast("long").alias("base"), "bytes", F.lit(1).alias("blocks"), F.lit(0).alias("block"))
+    parts = few
+    if mixed.where(F.col("rows") > few_from).limit(1).count():
+        cuts = stage_table(_refined(mixed.where(F.col("rows") > few_from), length), "cuts")
+        parts = few.unionByName(_parted(cuts, many))
     found = stage_table(_shards(parts, length), "windows")
 
     whole = classes.where("n > 1").select("ctx", F.lit(0).cast("long").alias("first"), (F.col("size") - length).alias("last"))
@@ -341,10 +378,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, max_bits: int = FILTER
     return hits.select("id", "h", (F.col("lo") + F.col("r.first")).alias("lo"), (F.col("lo") + F.col("r.last")).alias("hi"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, max_bits: int = FILTER_BITS, many: int = MANY) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, max_bits: int = FILTER_BITS, many: int = MANY, few_from: int = FEW) -> DataFrame:
     """Per row: id_col, n_bytes, removed (array of start, end in bytes), kept (the remaining bytes)."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    spans = repeated_spans(docs, length, max_bits, many).groupBy(F.col("id").alias("id2"), F.col("h").alias("h2")).agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
+    spans = repeated_spans(docs, length, max_bits, many, few_from).groupBy(F.col("id").alias("id2"), F.col("h").alias("h2")).agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
     rows = docs.join(spans, F.col("id").eqNullSafe(F.col("id2")) & (F.col("h") == F.col("h2")), "left").select("id", "text", "runs")
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
