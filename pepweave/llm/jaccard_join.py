@@ -7,13 +7,12 @@ Sets of distinct word shingles link where percent * union <= 100 * intersection.
 2. A second scan orders each set by (frequency class, hash) and keeps its prefix: two sets that link share a shingle of
    their prefixes. Shingles of one document only are dropped in sorted runs of the shuffled incidence; frequent ones
    are salted, so no run is large.
-3. Stars first: each shingle's documents are compared to one of them. Verified links join components, so a
-   group of near copies needs about as many comparisons as it has members, not their square.
+3. Stars first, in a few turns: each shingle's documents are compared to one of another component. Verified links join
+   components, so a group of near copies needs some comparisons for each member, not their square.
 4. Then the product proper: pairs from different components that meet in a shingle, their overlap counts added up over
-   all shared prefix shingles, and those below the bound that their sizes give are discarded; the rest are verified on
-   whole sets, block by block. No link is lost: a pair that this step leaves out is in one component already.
+   all shared prefix shingles, and those below the bounds that sizes and the shingles' places give are discarded; the rest are verified on whole sets, block by block. No link is lost: a pair that this step leaves out is in one component already.
 
-Sets travel only for documents that share a prefix shingle: a third scan makes them, filtered by a bit array of bounded size.
+Sets travel only for documents of pairs to be verified: a scan makes them, filtered by a bit array of bounded size.
 Links and components stay distributed; the driver sees the sketch and the bit array only.
 
 Defined cases: null or empty texts and those without words have no shingle and link with nothing; with fewer words than
@@ -29,10 +28,10 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import HEAVY_SHARE, mix64, slices, stage_table, text_bytes
+from .common import HEAVY_SHARE, bit_count, bit_table, mix64, slices, stage_table, text_bytes, with_bits
 from .components import connected_components
 
 WIDTH = 5
@@ -41,6 +40,7 @@ SLICE = 1 << 20
 SKETCH_BITS = 20
 SKETCH_BLOCKS = 64
 FILTER_BITS = 1 << 28
+STARS = 4
 
 _M = 0x9E3779B97F4A7C15 | 1
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -149,7 +149,7 @@ def _sketch(prints: DataFrame) -> np.ndarray:
 
 
 def _incidence(docs: DataFrame, sketch: np.ndarray, hot_from: int, width: int, percent: int) -> DataFrame:
-    """The prefix incidence: item, node, size, salt (0, or for frequent items one of many)."""
+    """The prefix incidence: item, node, size, rest (items of the set that come after), salt (0, or for frequent items one of many)."""
     level = np.frombuffer(np.log2(sketch + 1).astype(np.uint8).tobytes(), np.uint8)
     hot = np.packbits(sketch >= hot_from)
     level = docs.sparkSession.sparkContext.broadcast((zlib.compress(level.tobytes()), hot.tobytes()))
@@ -159,7 +159,7 @@ def _incidence(docs: DataFrame, sketch: np.ndarray, hot_from: int, width: int, p
         classes, bits = np.frombuffer(zlib.decompress(classes), np.uint8), np.unpackbits(np.frombuffer(bits, np.uint8))
         mask, seen = np.uint64(len(classes) - 1), set()
         for batch in batches:
-            items, nodes, sizes, salts = [], [], [], []
+            items, nodes, sizes, rests, salts = [], [], [], [], []
             for node, s in zip(batch.column(0).to_pylist(), shingle_sets(*text_bytes(batch.column(1)), width), strict=True):
                 if node is None or not len(s):
                     continue
@@ -171,14 +171,16 @@ def _incidence(docs: DataFrame, sketch: np.ndarray, hot_from: int, width: int, p
                 key = classes[at].astype(np.uint64) << np.uint64(58) | s >> np.uint64(6)
                 p = prefix_length(len(s), percent)
                 best = np.argpartition(key, p - 1)[:p] if p < len(s) else np.arange(len(s))
+                best = best[np.argsort(key[best])]
                 items.append(s[best].view(np.int64))
                 nodes.append(np.full(p, node, np.int64))
                 sizes.append(np.full(p, len(s), np.int32))
+                rests.append(np.arange(len(s) - 1, len(s) - 1 - p, -1, np.int32))
                 salts.append(np.where(bits[at[best]] > 0, 1 + (node * 2654435761 >> 7) % 1021, 0).astype(np.int32))
             if items:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (items, nodes, sizes, salts)], names=["item", "node", "size", "salt"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (items, nodes, sizes, rests, salts)], names=["item", "node", "size", "rest", "salt"])
 
-    return docs.mapInArrow(run, "item long, node long, size int, salt int")
+    return docs.mapInArrow(run, "item long, node long, size int, rest int, salt int")
 
 
 def _shared(incidence: DataFrame) -> DataFrame:
@@ -190,7 +192,7 @@ def _shared(incidence: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            item, salt = batch.column(0).to_numpy(), batch.column(3).to_numpy()
+            item, salt = batch.column(0).to_numpy(), batch.column(4).to_numpy()
             same = (item[1:] == item[:-1]) & (salt[1:] == salt[:-1])
             keep = salt > 0
             keep[1:] |= same
@@ -201,31 +203,27 @@ def _shared(incidence: DataFrame) -> DataFrame:
                     yield pending
             pending, last = None, (item[-1], salt[-1])
             if not keep[-1]:
-                pending = batch.slice(batch.num_rows - 1).select([0, 1, 2])
-            yield batch.select([0, 1, 2]).filter(pa.array(keep))
+                pending = batch.slice(batch.num_rows - 1).select([0, 1, 2, 3])
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(keep))
 
-    return rows.mapInArrow(run, "item long, node long, size int")
+    return rows.mapInArrow(run, "item long, node long, size int, rest int")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, width: int, max_bits: int = FILTER_BITS) -> DataFrame:
-    """node, items (sorted 8-byte hashes) of those nodes, and of few others; found by a scan with a bit array."""
-    bits = min(max_bits, max(1 << 15, 1 << (16 * nodes.count()).bit_length()))
-    slot = F.pmod(F.xxhash64("node"), F.lit(bits))
-    maps = nodes.select(slot.alias("s")).groupBy(F.shiftright("s", 15).alias("k")).agg(F.bitmap_construct_agg(F.col("s").bitwiseAND(F.lit(32767))).alias("m"))
-    array = np.zeros((bits >> 15, 4096), np.uint8)
-    for r in maps.collect():  # at most max_bits
-        array[r.k] = np.frombuffer(r.m, np.uint8)
-    array = docs.sparkSession.sparkContext.broadcast(zlib.compress(array.tobytes(), 1))
+    """node, items (sorted 8-byte hashes) of those nodes, and of few others: a scan that a bit array of bounded size filters before Python."""
+    bits = bit_count(nodes.count(), max_bits)
+
+    def slot(c):
+        return F.pmod(F.xxhash64(c), F.lit(bits))
+
+    table_of_bits = stage_table(bit_table(nodes.select(slot("node").alias("slot"))), "node-bits")
+    rows = with_bits(docs.where("id is not null"), [slot("id")], table_of_bits).where("__maybe").select("id", "text")
 
     def run(batches):
-        live = np.unpackbits(np.frombuffer(zlib.decompress(array.value), np.uint8), bitorder="little")
         for batch in batches:
-            batch = batch.filter(pa.array(live[batch.column(2).to_numpy()] > 0))
-            if batch.num_rows:
-                sets = [s.tobytes() for s in shingle_sets(*text_bytes(batch.column(1)), width)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "items"])
+            sets = [s.tobytes() for s in shingle_sets(*text_bytes(batch.column(1)), width)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "items"])
 
-    rows = docs.where("id is not null").select("id", "text", F.pmod(F.xxhash64("id"), F.lit(bits)).cast("int").alias("slot"))
     return rows.mapInArrow(run, "node long, items binary")
 
 
@@ -240,8 +238,10 @@ def overlaps(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return np.bincount(pair[1:][hit], minlength=len(left))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link."""
+def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of a stage table that link; another scan of docs makes the sets of their nodes."""
+    nodes = stage_table(pairs.select("a").union(pairs.select("b")).distinct().toDF("node"), "nodes")
+    sets = stage_table(_sets(docs, nodes, width), "sets")
     rows = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("items").alias("sb")), "b").select("a", "b", "sa", "sb")
 
     def run(batches):
@@ -254,12 +254,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep[a:b] = overlaps(left[a:b], right[a:b]) >= np.maximum(1, least_overlap(na, nb, percent))
             yield batch.select([0, 1]).filter(pa.array(keep))
 
-    return rows.mapInArrow(run, "a long, b long")
+    return stage_table(rows.mapInArrow(run, "a long, b long"), "links")
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Only items whose rows are of more than one component."""
+    rows = stage_table(rows, "incidence")
+    items = rows.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("item")
+    return stage_table(rows.join(items, "item"), "mixed")
 
 
-def similar(a: str, b: str, percent: int):
-    """Whether sets of these sizes may link."""
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b))
+def may_link(size: tuple[str, str], rest: tuple[str, str], percent: int) -> Column:
+    """Whether sets of these sizes that share an item with so many others after it may link: at most all before it in either, it, and all after it in either are shared."""
+    before = F.least(*(F.col(n) - F.col(r) - 1 for n, r in zip(size, rest, strict=True)))
+    most = before + 1 + F.least(*rest)
+    return (100 * F.least(*size) >= percent * F.greatest(*size)) & (most * (100 + percent) >= percent * (F.col(size[0]) + F.col(size[1])))
 
 
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -270,34 +279,46 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sketch = _sketch(prints)
     hot_from = int(2 * np.median(sketch)) + max(64, rows.count() // HEAVY_SHARE)
     shared = stage_table(_shared(_incidence(docs, sketch, hot_from, width, percent)), "shared")
-    nodes = stage_table(shared.select("node").distinct(), "nodes")
-    sets = stage_table(_sets(docs, nodes, width), "sets")
-
-    # stars: the least (size, node) of an item against its other nodes
-    centre = shared.groupBy("item").agg(F.min(F.struct("size", "node")).alias("c"), F.max("node").alias("top"), F.min("node").alias("low")).where("top <> low")
-    star = shared.join(centre.select("item", F.col("c.size").alias("cs"), F.col("c.node").alias("c")), "item").where(F.col("node") != F.col("c"))
-    star = star.where(similar("size", "cs", percent)).groupBy(F.col("c").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("k"), F.max("size").alias("size"))
-    # a star counts only some of a pair's shared items, so this bound is no more than a guess at which are worth a look
-    star = star.where(F.col("k") * 40 >= F.col("size"))
-    found = stage_table(_verified(star.select("a", "b"), sets, percent), "star-links")
-    first = connected_components(found)
+    # stars: first around each item's node with most shared items for its size, as what others were copied from has, then around random ones
+    weight = shared.groupBy("node").agg((F.count("*") / F.max("size")).alias("w"))
+    rest = stage_table(shared.join(weight, "node").withColumn("component", F.col("node")), "incidence")
+    links, linked = None, None
+    for turn in range(STARS):
+        order = F.struct(F.when(F.lit(turn) == 0, -F.col("w")).otherwise(0.0), F.xxhash64("node", F.lit(turn)), "node", "size", "rest", "component").alias("o")
+        centre = rest.groupBy("item").agg(F.min(order).alias("o")).select("item", F.col("o.node").alias("c"), F.col("o.size").alias("cs"), F.col("o.rest").alias("cr"), F.col("o.component").alias("cc"))
+        star = rest.join(centre, "item").where((F.col("component") != F.col("cc")) & may_link(("size", "cs"), ("rest", "cr"), percent))
+        star = star.groupBy(F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b")).agg(F.count("*").alias("k"), F.max("size").alias("size"))
+        # a star counts only some of a pair's shared items, so this bound is no more than a guess at which are worth a look
+        tried = stage_table(star.where(F.col("k") * 40 >= F.col("size")).select("a", "b"), "pairs")
+        found = _verified(tried, docs, width, percent)
+        n = found.count()
+        if n:
+            links = found if links is None else links.unionByName(found)
+            linked = connected_components(links)
+            rest = _mixed(rest.drop("component").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        if n * 5 < tried.count():
+            break
 
     # the product: items that meet in different components
-    known = shared.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    known = stage_table(known, "known")
-    mixed = known.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("item")
-    rest = stage_table(known.join(mixed, "item").distinct(), "mixed")
-    other = rest.select("item", *(F.col(c).alias(c + "2") for c in ("node", "size", "component")))
-    met = rest.join(other, "item").where((F.col("component") != F.col("component2")) & (F.struct("size", "node") < F.struct("size2", "node2")) & similar("size", "size2", percent))
+    rest = rest.select("item", "node", "size", "rest", "component").distinct()
+    rest = stage_table(rest.join(rest.groupBy("node").agg(F.count("*").alias("meets")), "node"), "incidence")
+    other = rest.select("item", *(F.col(c).alias(c + "2") for c in ("node", "size", "rest", "component", "meets")))
+
+    def enough(k: Column, na: str, nb: str) -> Column:
+        """Whether an overlap of k in both prefixes can do: all items that both prefixes of a pair that links share are in k, and the others are in the longer rest."""
+        suffix = F.greatest(*(F.ceil(F.col(n) * percent / 100) - 1 for n in (na, nb)))
+        return (k + suffix) * (100 + percent) >= percent * (F.col(na) + F.col(nb))
+
+    order = (F.col("size") < F.col("size2")) | (F.col("size") == F.col("size2")) & (F.col("node") < F.col("node2"))
+    met = rest.join(other, (rest["item"] == other["item"]) & (F.col("component") != F.col("component2")) & order & may_link(("size", "size2"), ("rest", "rest2"), percent) & enough(F.least("meets", "meets2"), "size", "size2"))
     counts = met.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("k"), F.max("size").alias("na"), F.max("size2").alias("nb"))
-    # all shared items of both prefixes are counted, so the whole overlap is at most this plus the longer rest
-    bound = F.col("k") + F.greatest(*(F.col(n) - (F.col(n) - F.ceil(F.col(n) * percent / 100) + 1) for n in ("na", "nb")))
-    pairs = counts.where(bound >= F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent)))
-    more = stage_table(_verified(pairs.select("a", "b"), sets, percent), "product-links")
-    if not more.limit(1).count():
-        return rows, first
-    joined = first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more.select("a", "b"))
-    return rows, connected_components(joined)
+    pairs = counts.where(enough(F.col("k"), "na", "nb"))
+    pairs = stage_table(pairs.select("a", "b"), "product-pairs")
+    if pairs.limit(1).count():
+        found = _verified(pairs, docs, width, percent)
+        links = found if links is None else links.unionByName(found)
+        linked = connected_components(links)
+    return rows, linked if linked is not None else connected_components(pairs)
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
