@@ -95,7 +95,7 @@ class Forest:
 
     feature: np.ndarray
     threshold: np.ndarray
-    child: np.ndarray  # nodes x 2
+    child: np.ndarray  # lower and upper child of each node in turn; of leaves themselves
     path: np.ndarray
     roots: list[np.ndarray]  # of each detector's trees
     psi: list[int]
@@ -106,18 +106,13 @@ class Forest:
     def raw(self, x: np.ndarray) -> np.ndarray:
         """rows x detectors scores in (0, 1]."""
         out = np.empty((len(x), len(self.psi)))
-        rows = np.arange(len(x))
+        flat, base = np.ascontiguousarray(x).reshape(-1), np.arange(len(x)) * x.shape[1]
         for d, (roots, psi) in enumerate(zip(self.roots, self.psi, strict=True)):
             total = np.zeros(len(x))
             for root in roots:
                 at = np.full(len(x), root)
-                live = rows
-                while len(live):
-                    f = self.feature[at[live]]
-                    live = live[f >= 0]
-                    f = f[f >= 0]
-                    here = at[live]
-                    at[live] = self.child[here, (x[live, f] > self.threshold[here]).astype(int)]
+                for _ in range(math.ceil(math.log2(psi))):  # leaves lead to themselves
+                    at = self.child[2 * at + (flat[base + self.feature[at]] > self.threshold[at])]
                 total += self.path[at]
             out[:, d] = 2.0 ** (-total / len(roots) / float(average_path(psi)))
         return out
@@ -167,11 +162,13 @@ def load(nodes: DataFrame) -> Forest:
     pdf = nodes.orderBy("detector", "tree", "node").toPandas()
     first = np.nonzero(pdf["node"].to_numpy() == 0)[0]
     base = np.repeat(first, np.diff(np.append(first, len(pdf))))
-    child = pdf[["lower", "upper"]].to_numpy() + base[:, None]
+    leaf = pdf["feature"].to_numpy() < 0
+    child = np.where(leaf[:, None], np.arange(len(pdf))[:, None], pdf[["lower", "upper"]].to_numpy() + base[:, None])
     detector = pdf["detector"].to_numpy()[first]
     psi = pdf["psi"].to_numpy()[first]
     kinds = sorted(set(detector.tolist()))
-    return Forest(pdf["feature"].to_numpy(), pdf["threshold"].to_numpy(), child, pdf["path"].to_numpy(), [first[detector == d] for d in kinds], [int(psi[detector == d][0]) for d in kinds], np.zeros(len(kinds)), np.ones(len(kinds)), math.inf)
+    feature, threshold = np.where(leaf, 0, pdf["feature"]), np.where(leaf, np.inf, pdf["threshold"])
+    return Forest(feature, threshold, child.reshape(-1), pdf["path"].to_numpy(), [first[detector == d] for d in kinds], [int(psi[detector == d][0]) for d in kinds], np.zeros(len(kinds)), np.ones(len(kinds)), math.inf)
 
 
 def save(nodes: DataFrame, forest: Forest, path: str) -> None:
