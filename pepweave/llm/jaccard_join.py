@@ -9,8 +9,9 @@ Sets of distinct word shingles link where percent * union <= 100 * intersection.
    are salted, so no run is large.
 3. Stars first, in a few turns: each shingle's documents are compared to one of another component. Verified links join
    components, so a group of near copies needs some comparisons for each member, not their square.
-4. Then the product proper: pairs from different components that meet in a shingle, their overlap counts added up over
-   all shared prefix shingles, and those below the bounds that sizes and the shingles' places give are discarded; the rest are verified on whole sets, block by block. No link is lost: a pair that this step leaves out is in one component already.
+4. Then the product proper: pairs from different components that meet in a shingle with enough shingles after it on both
+   sides; their overlap counts over all shared prefix shingles are added up, and those below the bound that their sizes give
+   are discarded; the rest are verified on whole sets, block by block. No link is lost: a pair that this step leaves out is in one component already.
 
 Sets travel only for documents of pairs to be verified: a scan makes them, filtered by a bit array of bounded size.
 Links and components stay distributed; the driver sees the sketch and the bit array only.
@@ -28,7 +29,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import HEAVY_SHARE, bit_count, bit_table, mix64, slices, stage_table, text_bytes, with_bits
@@ -55,7 +56,7 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of _M and of its inverse modulo 2^64, up to n."""
     global _powers
     if _powers is None or len(_powers[0]) < n:
-        size = 1 << max(16, int(n).bit_length())
+        size = -(-n // 65536) * 65536  # whole steps, so that it seldom grows
         inverse = pow(_M, -1, 1 << 64)
         with np.errstate(over="ignore"):
             _powers = tuple(np.concatenate([[np.uint64(1)], np.full(size, m, np.uint64)]).cumprod() for m in (_M, inverse))
@@ -258,10 +259,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """Only items whose rows are of more than one component."""
+    """Only items whose rows are of more than one component, with their number of rows."""
     rows = stage_table(rows, "incidence")
-    items = rows.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("item")
-    return stage_table(rows.join(items, "item"), "mixed")
+    items = rows.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("nodes")).where("lo <> hi").select("item", "nodes")
+    return stage_table(rows.drop("nodes").join(items, "item"), "mixed")
 
 
 def may_link(size: tuple[str, str], rest: tuple[str, str], percent: int) -> Column:
@@ -300,9 +301,14 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             break
 
     # the product: items that meet in different components
-    rest = rest.select("item", "node", "size", "rest", "component").distinct()
-    rest = stage_table(rest.join(rest.groupBy("node").agg(F.count("*").alias("meets")), "node"), "incidence")
-    other = rest.select("item", *(F.col(c).alias(c + "2") for c in ("node", "size", "rest", "component", "meets")))
+    # a pair's first shared item, in an order that is the same for all nodes, has all the others after it on both sides
+    if "nodes" not in rest.columns:
+        rest = _mixed(rest)
+    own = Window.partitionBy("node")
+    rest = rest.select("item", "node", "size", "rest", "component", "nodes").distinct()
+    rest = rest.withColumn("left", F.count("*").over(own) - F.row_number().over(own.orderBy("nodes", "item")) + 1).drop("nodes")
+    rest = stage_table(rest, "incidence")
+    other = rest.select("item", *(F.col(c).alias(c + "2") for c in ("node", "size", "rest", "component", "left")))
 
     def enough(k: Column, na: str, nb: str) -> Column:
         """Whether an overlap of k in both prefixes can do: all items that both prefixes of a pair that links share are in k, and the others are in the longer rest."""
@@ -310,9 +316,11 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return (k + suffix) * (100 + percent) >= percent * (F.col(na) + F.col(nb))
 
     order = (F.col("size") < F.col("size2")) | (F.col("size") == F.col("size2")) & (F.col("node") < F.col("node2"))
-    met = rest.join(other, (rest["item"] == other["item"]) & (F.col("component") != F.col("component2")) & order & may_link(("size", "size2"), ("rest", "rest2"), percent) & enough(F.least("meets", "meets2"), "size", "size2"))
-    counts = met.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("k"), F.max("size").alias("na"), F.max("size2").alias("nb"))
-    pairs = counts.where(enough(F.col("k"), "na", "nb"))
+    met = rest.join(other, (rest["item"] == other["item"]) & (F.col("component") != F.col("component2")) & order & may_link(("size", "size2"), ("rest", "rest2"), percent) & enough(F.least("left", "left2"), "size", "size2"))
+    met = met.select(F.col("node").alias("a"), F.col("node2").alias("b"), F.col("size").alias("na"), F.col("size2").alias("nb")).distinct()
+    rows_of = stage_table(rest.groupBy("node").agg(F.collect_set("item").alias("items")), "prefixes")  # of bounded length
+    counts = met.join(rows_of.select(F.col("node").alias("a"), F.col("items").alias("ia")), "a").join(rows_of.select(F.col("node").alias("b"), F.col("items").alias("ib")), "b")
+    pairs = counts.withColumn("k", F.size(F.array_intersect("ia", "ib"))).where(enough(F.col("k"), "na", "nb"))
     pairs = stage_table(pairs.select("a", "b"), "product-pairs")
     if pairs.limit(1).count():
         found = _verified(pairs, docs, width, percent)
