@@ -52,12 +52,7 @@ class Pipeline:
             require_same_columns(*(parts[s][1] for s in SIDES))
         for s, (search, features, scores) in parts.items():
             sinks.write_by_raw_file(merge.merge_branch(search, features, scores), f"{self.out}/merged/{s}")
-        return {s: self._with_raw_file(f"{self.out}/merged/{s}") for s in self.sides}
-
-    def _with_raw_file(self, path: str) -> DataFrame:
-        """Raw files are folder names: text, whatever they look like."""
-        df = self.spark.read.parquet(path)
-        return df.withColumn("RAW_FILE", F.col("RAW_FILE").cast("string")) if "RAW_FILE" in df.columns else df
+        return {s: readers.read_by_raw_file(self.spark, f"{self.out}/merged/{s}") for s in self.sides}
 
     def psa(self, merged: dict[str, DataFrame]) -> DataFrame:
         path = f"{self.out}/scans"
@@ -69,7 +64,7 @@ class Pipeline:
         else:
             scans = similarity.with_similarity(merge.scan_table(merged["database"], merged["denovo"]))
         sinks.write_by_raw_file(scans, path, overwrite=self.config.overwrite_outputs)
-        return self._with_raw_file(path)
+        return readers.read_by_raw_file(self.spark, path)
 
     def iforest(self, scans: DataFrame) -> DataFrame:
         c = self.config
@@ -127,7 +122,7 @@ class Pipeline:
         base = self.config.grove_forest_dir.rstrip("/")
         for n in names:
             if readers.exists(self.spark, f"{base}/{n}"):
-                return self._with_raw_file(f"{base}/{n}")
+                return readers.read_by_raw_file(self.spark, f"{base}/{n}")
         raise FileNotFoundError(f"none of {', '.join(names)} in {base}")
 
     def run(self) -> Outputs:

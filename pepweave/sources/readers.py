@@ -89,6 +89,17 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
+def read_by_raw_file(spark: SparkSession, path: str) -> DataFrame:
+    """A dataset with a folder for each raw file; names stay text, as '001' is not 1."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return spark.read.parquet(path)  # the schema is settled here
+    finally:
+        spark.conf.set(key, before)
+
+
 def raw_files(*branches: DataFrame, first: int | None = None) -> DataFrame:
     """Names of the raw files of all branches, in order, or the first few of them."""
     names = None

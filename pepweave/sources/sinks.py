@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.calls import ranked
-from .readers import average_weights, exists, parse_weights
+from .readers import average_weights, exists, parse_weights, read_by_raw_file
 
 
 def write_by_raw_file(df: DataFrame, path: str, overwrite: bool = True, files_per_raw: int = 1) -> None:
@@ -18,8 +18,8 @@ def write_by_raw_file(df: DataFrame, path: str, overwrite: bool = True, files_pe
     Rows of one raw file may go to several tasks (files_per_raw), so that a very large one does not wait on one."""
     spark = df.sparkSession
     if not overwrite and exists(spark, path):
-        done = spark.read.parquet(path).select(F.col("RAW_FILE").cast("string")).distinct()
-        df = df.join(done, "RAW_FILE", "left_anti")
+        done = read_by_raw_file(spark, path).select(F.col("RAW_FILE").alias("__done")).distinct()
+        df = df.join(done, F.col("RAW_FILE").eqNullSafe(F.col("__done")), "left_anti")
     salt = [F.pmod(F.xxhash64("SCAN_NUMBER"), F.lit(files_per_raw))] if files_per_raw > 1 and "SCAN_NUMBER" in df.columns else []
     out = df.repartition("RAW_FILE", *salt).write.partitionBy("RAW_FILE")
     (out.mode("overwrite") if overwrite else out.mode("append")).parquet(path)

@@ -169,6 +169,14 @@ def test_configuration(tmp_path):
     assert parse(["run", "--config", "c.yaml", "--set", "a=1", "--set", "b=2"]).overrides == ["a=1", "b=2"]
 
 
+def test_raw_file_names_stay_text(spark, tmp_path):
+    rows = spark.createDataFrame([("001", 1), ("1", 2), (None, 3)], "RAW_FILE string, SCAN_NUMBER long")
+    sinks.write_by_raw_file(rows, str(tmp_path / "t"), files_per_raw=2)
+    sinks.write_by_raw_file(rows.withColumn("SCAN_NUMBER", F.lit(9).cast("long")).union(spark.createDataFrame([("2", 4)], rows.schema)), str(tmp_path / "t"), overwrite=False)
+    out = readers.read_by_raw_file(spark, str(tmp_path / "t"))
+    assert {(r.RAW_FILE, r.SCAN_NUMBER) for r in out.collect()} == {("001", 1), ("1", 2), (None, 3), ("2", 4)}
+
+
 def test_missing_inputs(spark, tmp_path):
     assert readers.read_search(spark, str(tmp_path / "none"), "denovo").count() == 0
     assert readers.read_scores(spark, str(tmp_path / "t.txt"), None).count() == 0
