@@ -35,6 +35,19 @@ def running_counts(values: DataFrame, counts: list[str], group: str = "side", va
     return out.withColumns({f"{c}_le": F.col(f"{c}_le") + F.col(f"__{c}_before") for c in counts}).drop("__range", *(f"__{c}_before" for c in counts))
 
 
+def quantile(df: DataFrame, column: str, q: float) -> float | None:
+    """The exact quantile with linear interpolation, from running counts of distinct values: no task holds them all. Nulls are left out."""
+    values = df.where(F.col(column).isNotNull()).groupBy(F.lit("x").alias("side"), F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    n = values.agg(F.sum("n")).first()[0]
+    if not n:
+        return None
+    at = (n - 1) * q
+    low = math.floor(at)
+    steps = running_counts(values, ["n"])
+    a, b = steps.agg(*(F.min(F.when(F.col("n_le") > k, F.col("v"))) for k in (low, min(low + 1, n - 1)))).first()
+    return a + (b - a) * (at - low)
+
+
 def goodness(reference: DataFrame, scores: DataFrame, group: str = "side", value: str = "v") -> DataFrame:
     """For each distinct group and score, the share of the reference at or below it. Both: group, value; nulls are left out."""
     both = reference.select(group, value, F.lit(1).alias("r")).unionByName(scores.select(group, value, F.lit(0).alias("r"))).where(F.col(value).isNotNull())

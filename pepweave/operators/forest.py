@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import PERCENTILE, feature_vector, features_of, on_side, trusted_denovo, trusted_shared, unsuffixed
 from ..schemas import SIDES
+from .ecdf import quantile as exact_quantile
 
 #: Fixed values of the ensemble's shape.
 SMALLEST, DETECTORS, TREES = 256, 8, 100
@@ -44,7 +45,7 @@ def training_set(candidates: DataFrame, source: str = SOURCES[0], quantile: floa
     side = "denovo" if source == SOURCES[1] else "database"
     if source == SOURCES[0]:
         score = "percolator_score_database"
-        cut = candidates.agg(F.percentile(score, F.lit(quantile)).alias("c")).first().c
+        cut = exact_quantile(candidates, score, quantile)
         candidates = candidates.where(F.col(score) > cut) if cut is not None else candidates.limit(0)
     return unsuffixed(candidates, side)
 

@@ -56,6 +56,13 @@ def test_goodness(spark):
     assert {r.k: r.g for r in ecdf.with_goodness(df, spark.createDataFrame([(2.0,), (3.0,)], "v double"), "s", "g").collect()} == {1: 0.5, 2: None}
 
 
+@pytest.mark.parametrize("q", [0.0, 0.3, 0.7, 1.0])
+def test_quantile(spark, q):
+    for x in (np.random.default_rng(1).normal(size=1001), np.array([3.0]), np.array([1.0, 1.0, 2.0, 2.0])):
+        assert ecdf.quantile(frame(spark, x), "v", q) == pytest.approx(np.percentile(x, 100 * q), abs=1e-12)
+    assert ecdf.quantile(frame(spark, []), "v", q) is None
+
+
 def test_empty_populations(spark):
     with pytest.raises(ecdf.EmptyPopulation):
         ecdf.ks_cutoffs(frame(spark, [], "database"), frame(spark, [1.0], "database"), {"database": ""})
