@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import spec_id, suffixed, with_match_flags, with_missing
@@ -14,9 +14,9 @@ from ..sources.readers import number
 
 def last_scores(scores: DataFrame) -> DataFrame:
     """One score per PSMId: a target's before a decoy's, then the highest of all columns, so that the choice is the same each time."""
-    order = [F.col("is_target").desc(), *(F.col(f"`{c}`").desc_nulls_last() for c in scores.columns if c not in ("PSMId", "is_target"))]
-    w = Window.partitionBy("PSMId").orderBy(*order)
-    return scores.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    others = [c for c in scores.columns if c not in ("PSMId", "is_target")]
+    best = F.max(F.struct("is_target", *(F.col(f"`{c}`") for c in others))).alias("best")  # nulls come last; pre-aggregated before the shuffle
+    return scores.groupBy("PSMId").agg(best).select("PSMId", *(F.col(f"best.`{c}`").alias(c) for c in ("is_target", *others))).select(*scores.columns)
 
 
 def merge_branch(search: DataFrame, features: DataFrame, scores: DataFrame | None = None) -> DataFrame:
