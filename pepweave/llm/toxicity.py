@@ -78,6 +78,22 @@ def entry(feature: str) -> str:
     return feature.removesuffix("#2").removesuffix("#3").removesuffix("%")
 
 
+class FeatureSets:
+    """Sets of features kept as text and made one at a time, as thousands of sets would fill the driver."""
+
+    def __init__(self, rows: list[str]) -> None:
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __iter__(self):
+        return (set(r.split(" ")) - {""} for r in self.rows)
+
+    def where(self, keep) -> FeatureSets:
+        return FeatureSets([r for r, k in zip(self.rows, keep, strict=True) if k])
+
+
 def strength(a: np.ndarray, b: np.ndarray, n: float, m: float) -> np.ndarray:
     """Log-likelihood ratio of a feature in a of n rows and b of m rows."""
 
@@ -88,7 +104,7 @@ def strength(a: np.ndarray, b: np.ndarray, n: float, m: float) -> np.ndarray:
     return 2 * (part(a, n, p) + part(b, m, p) + part(n - a, n, 1 - p) + part(m - b, m, 1 - p))
 
 
-def lexicon(rows: list[set[str]], toxic: np.ndarray, least: float, most: int) -> dict[str, float]:
+def lexicon(rows: FeatureSets, toxic: np.ndarray, least: float, most: int) -> dict[str, float]:
     """Features that are significantly more frequent in toxic rows, or in clean ones, with signed strength."""
     ct, cc = Counter(), Counter()
     for f, t in zip(rows, toxic, strict=True):
@@ -156,7 +172,7 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + sum(w[x] for x in w.keys() & f)))))
 
 
-def linear(rows: list[set[str]], target: np.ndarray, names: list[str], penalty: float = 1.0) -> Model:
+def linear(rows: FeatureSets, target: np.ndarray, names: list[str], penalty: float = 1.0) -> Model:
     """Logistic regression on presence of the named features, to soft targets, by damped Newton steps in the features' space."""
     index = {f: k for k, f in enumerate(names)}
     x = np.zeros((len(rows), len(names) + 1), np.float32)
@@ -166,9 +182,9 @@ def linear(rows: list[set[str]], target: np.ndarray, names: list[str], penalty:
     w, ridge = np.zeros(len(names) + 1), np.full(len(names) + 1, penalty)
     ridge[-1] = 1e-3
     for _ in range(12):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p) + 1e-4)[:, None]).T @ x + np.diag(ridge)
-        step = np.linalg.solve(h, x.T @ (p - target) + ridge * w)
+        p = 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -30, 30).astype(float)))
+        h = (x * (p * (1 - p) + 1e-4).astype(np.float32)[:, None]).T @ x + np.diag(ridge)
+        step = np.linalg.solve(h, x.T @ (p - target).astype(np.float32) + ridge * w)
         w = w - step
         if np.abs(step).max() < 1e-4:
             break
@@ -196,21 +212,21 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
             out = []
             for text in batch.column(2).to_pylist():
                 low = (text or "").lower()
-                out.append((sorted(counted(Counter(WORD.findall(low)), known, heads)), bool(ADDRESS.search(low)), len(SHOUT.findall(low)) >= 5))
+                out.append((" ".join(sorted(counted(Counter(WORD.findall(low)), known, heads))), bool(ADDRESS.search(low)), len(SHOUT.findall(low)) >= 5))
             found, address, shout = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string())), pa.array(address, pa.bool_()), pa.array(shout, pa.bool_())], names=["id", "toxic", "found", "address", "shout"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(address, pa.bool_()), pa.array(shout, pa.bool_())], names=["id", "toxic", "found", "address", "shout"])
 
-    sample = sorted(rows.mapInArrow(extract, "id string, toxic int, found array<string>, address boolean, shout boolean").collect())
-    found = [set(r.found) for r in sample]
+    sample = sorted(rows.mapInArrow(extract, "id string, toxic int, found string, address boolean, shout boolean").collect())
+    found = FeatureSets([r.found for r in sample])
     given = np.array([r.toxic for r in sample])
     # half of the sample shows which lexicon entries there are; how far voters can be trusted is estimated on all rows without looking at that
     half = np.arange(len(sample)) % 2 == 0
     small = len(sample) < 400
-    voters = Voters(lexicon([f for f, h in zip(found, half | small, strict=True) if h], given[half | small], 14.0, 600))
+    voters = Voters(lexicon(found.where(half | small), given[half | small], 14.0, 600))
     votes = np.array([[*voters.vote(f, r.address, r.shout), 1 if g else -1] for f, r, g in zip(found, sample, given, strict=True)])
     q, _, _ = label_model(votes, 0.05 + 0.9 * given)
     names = list(lexicon(found, q > 0.5, 12.0, 800))
-    names += sorted({n for n in voters.any if n not in set(names) and any(n in f for f in found)})
+    names += sorted((voters.any & set().union(*found)) - set(names))
     model = linear(found, q, names)
     # toxic rows are few: half of the way to equal weights of both kinds
     model.bias += 0.5 * math.log((len(given) - given.sum() + 0.5) / (given.sum() + 0.5))
