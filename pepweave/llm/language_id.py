@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .common import in_fold, slices, text_bytes
 
 DIM_BITS = 12
-MAX_ROWS = 2400
+MAX_ROWS = 1600
 SLICE = 1 << 20
 UNKNOWN = "und"
 OWN = ("lang_pred", "score", "ambiguous")
@@ -107,23 +107,31 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     code = codewords(len(classes))
     if not code.size:
         return Model(classes, code, np.zeros((0, 1 << DIM_BITS), np.float32), np.zeros(0), np.zeros(0))
-    x = np.stack([np.frombuffer(r.counts, np.float32) for r in sample])
-    x = x / x.sum(1, keepdims=True)
-    scale = 1 / np.sqrt(x.mean(0) + 1e-5)
-    x = x * scale
     y = code[[classes.index(r.lang) for r in sample]]
+    x = np.empty((len(sample), 1 << DIM_BITS), np.float32)
+    for k in range(len(sample)):
+        x[k] = np.frombuffer(sample[k].counts, np.float32)
+        sample[k] = None
+    # one copy of the matrix: the driver has little room
+    x /= x.sum(1, keepdims=True)
+    scale = 1 / np.sqrt(x.mean(0) + 1e-5)
+    x *= scale
     mean = x.mean(0)
-    gram = (x - mean) @ (x - mean).T
-    inverse = np.linalg.inv(gram.astype(np.float64) + np.eye(len(x)) * (0.02 * np.trace(gram) / len(x) + 1e-9))
+    x -= mean
+    gram = (x @ x.T).astype(np.float64)
+    gram[np.diag_indices(len(x))] += 0.02 * np.trace(gram) / len(x) + 1e-9
+    inverse = np.linalg.inv(gram)
+    del gram
     centre = y.mean(0)
     alpha = inverse @ (y - centre)
     left_out = y - alpha / np.diag(inverse)[:, None]  # margins of each row by a fit without it
+    del inverse
     slope, shift, trust = np.ones(y.shape[1]), np.zeros(y.shape[1]), np.ones(y.shape[1])
     for b in range(y.shape[1]):
         slope[b], shift[b] = _calibrated(left_out[:, b], y[:, b])
         hit = (left_out[:, b] * slope[b] + shift[b]) * y[:, b] > 0
         trust[b] = max(0.05, hit[y[:, b] > 0].mean() + hit[y[:, b] < 0].mean() - 1)
-    w = (x - mean).T @ alpha
+    w = x.T @ alpha.astype(np.float32)
     return Model(classes, code, np.ascontiguousarray((w * scale[:, None] * slope).T.astype(np.float32)), (centre - mean @ w) * slope + shift, trust / trust.mean())
 
 
