@@ -47,11 +47,12 @@ def drop_stage_tables(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Keep Arrow batches of whole texts small enough for a worker, unless the session already has a size of its own."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, rows)
+def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 1 << 24) -> None:
+    """Keep Arrow batches of whole texts small enough for a worker, unless the session already has sizes of its own."""
+    for key, default, ours in (("maxRecordsPerBatch", "10000", rows), ("maxBytesPerBatch", "67108864b", size)):
+        key = f"spark.sql.execution.arrow.{key}"
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, ours)
 
 
 def shuffle_width(spark: SparkSession) -> int:
