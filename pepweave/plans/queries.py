@@ -326,7 +326,7 @@ def similarity_labels(spark, sf_dir):
 def forest_scores(spark, sf_dir):
     df = scans(spark, sf_dir).drop(*(f"ISO_scores_{s}" for s in SIDES))
     rows = forest.training_set(forest.training_candidates(df).select(*C.features_of(df, "database")))
-    nodes, model = forest.fit(rows, views.FEATURES, trees=25)
+    nodes, model = forest.fit(rows, views.FEATURES)
     nodes.unpersist()
     out = forest.rescaled(forest.score_sides(df, model, views.FEATURES).persist())
     return out.select("RAW_FILE", "SCAN_NUMBER", "SpecId", *(f"ISO_{n}_{s}" for n in ("labels", "scores") for s in SIDES))

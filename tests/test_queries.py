@@ -39,3 +39,18 @@ def test_forest_is_seeded_and_in_range(spark):
     assert one == two
     scores = [v for r in one for v in r[5:] if v is not None]
     assert min(scores) == 0 and max(scores) == 1
+
+
+def test_forest_query_grows_whole_ensembles(spark, monkeypatch):
+    from pepweave.operators import forest
+
+    fit, grown = forest.fit, []
+
+    def noted(*args, **options):
+        nodes, model = fit(*args, **options)
+        grown.extend(map(len, model.roots))
+        return nodes, model
+
+    monkeypatch.setattr(forest, "fit", noted)
+    QUERIES["forest_scores"](spark, SF)
+    assert grown and set(grown) == {forest.TREES}
