@@ -1,6 +1,7 @@
 """Seeded isolation-forest ensembles (M1-M7): training sets, growth, scoring, global rescaling.
 
 Growth is a task for each group of trees over a bounded, hash-chosen sample of the training rows; a model is a table of nodes.
+Standardisation and the cut are taken over the whole training set, which executors score.
 Scoring is an Arrow function over a broadcast model, whose size is fixed by the ensemble's shape.
 """
 
@@ -22,7 +23,7 @@ from .ecdf import quantile as exact_quantile
 SMALLEST, DETECTORS, TREES = 256, 8, 100
 CONTAMINATION = 1e-9
 SOURCES = ("percolator_percentile", "denovo_score")
-#: Rows that trees draw from; a training set with more gives a hash-chosen sample of about so many.
+#: Rows that trees draw from; a training set with more gives a hash-chosen sample of about so many, in which equal rows keep their share.
 MAX_ROWS = 1 << 18
 EULER = 0.5772156649015329
 NODES = "detector int, tree int, psi int, node int, feature int, threshold double, lower int, upper int, path double"
@@ -119,19 +120,21 @@ class Forest:
         return out
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return ((self.raw(x) - self.mean) / self.std).mean(1) if len(x) else np.zeros(0)
+        return self.combined(self.raw(x))
+
+    def combined(self, raw: np.ndarray) -> np.ndarray:
+        return ((raw - self.mean) / self.std).mean(1) if len(raw) else np.zeros(0)
 
 
 def fit(train: DataFrame, features: list[str], seed: int = 0, trees: int = TREES, max_rows: int = MAX_ROWS) -> tuple[DataFrame, Forest]:
     """Grow the ensemble; the same rows and seed give the same trees in whatever order rows come. Rows with a null feature are left out."""
     spark = train.sparkSession
     rows = train.select(*(F.col(f"`{f}`").cast("double").alias(f"f{k}") for k, f in enumerate(features))).where(" and ".join(f"f{k} is not null and not isnan(f{k})" for k in range(len(features))))
-    n = rows.count()
+    width = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    distinct = rows.groupBy(*rows.columns).agg(F.count("*").alias("n")).repartition(width).persist()
+    n = distinct.agg(F.sum("n")).first()[0] or 0
     sizes = detector_sizes(n)
-    if n > max_rows:
-        rows = rows.where(F.pmod(F.xxhash64(F.lit(seed), *rows.columns), F.lit(1 << 30)) / float(1 << 30) < max_rows / n)
-    x = rows.toPandas().to_numpy(float)
-    x = x[np.lexsort(x.T[::-1])]
+    x = sample(distinct, features, seed, min(1.0, max_rows / n))
     shared = spark.sparkContext.broadcast(x)
 
     def build(batches):
@@ -152,12 +155,54 @@ def fit(train: DataFrame, features: list[str], seed: int = 0, trees: int = TREES
     jobs = len(sizes) * trees
     nodes = spark.range(0, jobs, 1, min(jobs, 4 * spark.sparkContext.defaultParallelism)).mapInPandas(build, NODES).persist()
     forest = load(nodes)
-    raw = forest.raw(x)
-    forest.mean, forest.std = raw.mean(0), np.maximum(raw.std(0), 1e-12)
-    forest.cut = float(np.quantile(forest.score(x), 1 - CONTAMINATION))
+    scale(forest, distinct, n)
+    distinct.unpersist()
     return nodes, forest
 
 
+def sample(distinct: DataFrame, features: list[str], seed: int, share: float) -> np.ndarray:
+    """About that share of the training rows, in order. Of n equal rows, n times the share are kept, rounded up or down by a hash."""
+    names = [f"f{k}" for k in range(len(features))]
+    want, u = F.col("n") * share, F.pmod(F.xxhash64(F.lit(seed), *names), F.lit(1 << 30)) / float(1 << 30)
+    copies = F.floor(want) + (u < want - F.floor(want)).cast("long")
+    rows = distinct.select(*names, copies.alias("copies")).where("copies > 0").toPandas()
+    x = np.repeat(rows[names].to_numpy(float), rows["copies"].to_numpy(), axis=0)
+    return x[np.lexsort(x.T[::-1])]
+
+
+def scale(forest: Forest, distinct: DataFrame, n: int) -> None:
+    """Sets the mean, std and cut of all n training rows. Sums are of decimals, so that the order of rows does not change them."""
+    shared = distinct.sparkSession.sparkContext.broadcast(forest)
+
+    def run(batches):
+        for pdf in batches:
+            raw = shared.value.raw(pdf.drop(columns="n").to_numpy(float))
+            yield pd.DataFrame({"n": pdf["n"], "raw": list(raw)})
+
+    rows = distinct.mapInPandas(run, "n long, raw array<double>").persist()
+    weight, kinds = F.col("n").cast("decimal(15,0)"), range(len(forest.psi))
+
+    def mean(of, kind: str) -> np.ndarray:
+        return np.array([float(v) for v in rows.agg(*(F.sum(of(F.col("raw")[d], d).cast(kind) * weight) for d in kinds)).first()]) / n
+
+    forest.mean = mean(lambda v, d: v, "decimal(17,16)")
+    forest.std = np.maximum(np.sqrt(mean(lambda v, d: (v - float(forest.mean[d])) ** 2, "decimal(21,20)")), 1e-12)
+    scaled = distinct.sparkSession.sparkContext.broadcast(forest)
+
+    @F.pandas_udf("double")
+    def score(v: pd.Series) -> pd.Series:
+        return pd.Series(scaled.value.combined(np.stack(v.to_list()))) if len(v) else pd.Series([], dtype=float)
+
+    # the quantile lies between the k-th and the next of the greatest; k is 2, and one more for each 10^9 rows
+    at = (n - 1) * (1 - CONTAMINATION)
+    k = n - math.floor(at)
+    top = rows.select("n", score("raw").alias("s")).orderBy(F.desc("s")).limit(k).collect()
+    ends = np.cumsum([r.n for r in top])
+    low, high = (top[int(np.searchsorted(ends, m))].s for m in (k, max(k - 1, 1)))
+    forest.cut = low + (high - low) * (at - math.floor(at))
+    rows.unpersist()
+
+
 def load(nodes: DataFrame) -> Forest:
     """From the table of nodes, at most DETECTORS * TREES trees."""
     pdf = nodes.orderBy("detector", "tree", "node").toPandas()

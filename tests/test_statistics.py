@@ -117,3 +117,33 @@ def test_hexagons_hold_every_point(spark):
     cells = plotdata.hexagons(pairs).collect()
     assert sum(c.n for c in cells) == 500
     assert sum(c.weight for c in cells if c.layer) == pytest.approx(1)
+
+
+def skewed(spark):
+    """A third of the rows are alike, one row in 20000 is far off."""
+    x = np.random.default_rng(6).normal(size=(20000, 2))
+    x[:6000] = 0.25, -0.5
+    x[-1] = 40, -40
+    return x, spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double")
+
+
+def test_forest_sample_keeps_the_share_of_equal_rows(spark, monkeypatch):
+    _, rows = skewed(spark)
+    drawn, sample = [], forest.sample
+    monkeypatch.setattr(forest, "sample", lambda *a: drawn.append(sample(*a)) or drawn[-1])
+    for seed in range(3):
+        forest.fit(rows, ["a", "b"], seed=seed, trees=1, max_rows=2000)
+        x = drawn[-1]
+        assert (x == [0.25, -0.5]).all(1).sum() == 600 and len(x) == pytest.approx(2000, abs=200)
+    forest.fit(rows, ["a", "b"], trees=1)
+    assert len(drawn[-1]) == 20000
+
+
+def test_forest_scale_is_of_the_whole_training_set(spark):
+    x, rows = skewed(spark)
+    _, model = forest.fit(rows, ["a", "b"], trees=3, max_rows=2000)
+    raw = model.raw(x)
+    assert np.allclose(model.mean, raw.mean(0), rtol=1e-9) and np.allclose(model.std, raw.std(0), rtol=1e-9)
+    assert model.cut == pytest.approx(np.quantile(model.score(x), 1 - forest.CONTAMINATION), rel=1e-12)
+    _, again = forest.fit(rows.repartition(7), ["a", "b"], trees=3, max_rows=2000)
+    assert again.cut == model.cut and np.array_equal(again.mean, model.mean) and np.array_equal(again.std, model.std)
