@@ -5,9 +5,10 @@ matches of a bounded sample of documents, and generated examples of public forma
 states merge where their outgoing frequencies are compatible by Hoeffding's bound. The resulting probabilistic automaton
 gives the likelihood of a format; every other token of MIN_LENGTH or more characters that has letters and digits is scored
 against a background of ordinary tokens, and added where one kind's gain per character reaches the level that nearly all of
-that kind's labelled credentials reach.
+that kind's labelled credentials reach. The background counts how often a symbol follows another in all words of all documents.
 
-Whole texts are scanned, in one pass with no shuffle. Only the bounded sample of credentials reaches the driver.
+Whole texts are scanned, in one pass with no shuffle. Only the bounded sample of credentials and the table of pairs of symbols,
+which has at most SYMBOLS rows squared, reach the driver.
 
 Defined cases: null text is empty and has no spans; rows alike get the same spans; positions are code points, ends
 exclusive; a document may be of any length.
@@ -19,6 +20,7 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import stage_table
+
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # a shorter match holds no longer one
@@ -37,6 +41,9 @@ MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
 SAMPLE_DOCS = 20_000
 MAX_EXAMPLES = 400
 LITERAL = 4  # so many first characters are told apart; later ones by class only
+OTHER = 128  # of the background, beside ASCII: any other character that is no digit, small or capital letter; no credential has one
+SYMBOLS = OTHER + 1
+PIECE = 1 << 20  # characters of which pairs are counted at a time
 
 
 def base_matches(text: str) -> list[tuple[int, int, str, str]]:
@@ -162,13 +169,44 @@ def public_examples(seed: int = 5, each: int = 120) -> dict[str, list[str]]:
     return {k: [head + "".join(rng.choice(list(letters), n)) for _ in range(each)] for k, (head, letters, n) in shapes.items()}
 
 
-def infer(examples: dict[str, list[str]], ordinary: Counter[str]) -> Formats:
-    """Automata, acceptance levels and background from labelled credentials and ordinary tokens."""
+@cache
+def symbol_table() -> np.ndarray:
+    """Of each code point, the code of its symbol; that of a blank for all white space."""
+    chars = map(chr, range(0x110000))
+    return np.array([32 if c.isspace() else ord(x) if (x := symbol(c)) < "\x80" else OTHER for c in chars], np.uint8)
+
+
+def text_pairs(texts: list[str | None]) -> np.ndarray:
+    """SYMBOLS x SYMBOLS: how often a symbol follows another within words of whole texts."""
+    counts, kinds = np.zeros(SYMBOLS * SYMBOLS, np.int64), symbol_table()
+    for text in texts:
+        text = text or ""
+        for a in range(0, len(text), PIECE):
+            # a piece takes the last character of the one before along
+            codes = kinds[np.frombuffer(text[max(a - 1, 0) : a + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)]
+            counts += np.bincount(codes[:-1].astype(np.int32) * SYMBOLS + codes[1:], minlength=len(counts))
+    counts = counts.reshape(SYMBOLS, SYMBOLS)
+    counts[32], counts[:, 32] = 0, 0
+    return counts
+
+
+def symbol_pairs(ordinary: Counter[str]) -> Counter[tuple[str, str]]:
+    """How often a symbol follows another within ordinary tokens."""
     pairs = Counter()
     for w, n in ordinary.items():
         s = [symbol(c) for c in w]
         for p in zip(s, s[1:], strict=False):
             pairs[p] += n
+    return pairs
+
+
+def infer(examples: dict[str, list[str]], ordinary: Counter[str]) -> Formats:
+    """Automata, acceptance levels and background from labelled credentials and ordinary tokens."""
+    return inferred(examples, symbol_pairs(ordinary))
+
+
+def inferred(examples: dict[str, list[str]], pairs: Counter[tuple[str, str]]) -> Formats:
+    """The same with the background's counts of pairs of symbols."""
     first = Counter()
     for (a, _), n in pairs.items():
         first[a] += n
@@ -185,25 +223,29 @@ def learn_formats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     chosen = F.pmod(F.xxhash64(F.lit("secret"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(1 << 20)) / float(1 << 20) < share
 
     def find(batches):
+        pairs = np.zeros((SYMBOLS, SYMBOLS), np.int64)
         for batch in batches:
-            rows, ordinary = set(), Counter()
-            for text in batch.column(0).to_pylist():
-                text = text or ""
-                rows.update((k, w) for _, _, k, w in base_matches(text))
-                ordinary.update(w for w in text[:20_000].split()[:50] if len(w) >= 4)
-            out = [*((k, w, 1) for k, w in rows), *(("", w, n) for w, n in ordinary.most_common(50))]
-            kind, word, n = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(word, pa.string()), pa.array(n, pa.int64())], names=["kind", "word", "n"])
-
-    rows = docs.where(chosen).select(text_col).mapInArrow(find, "kind string, word string, n long")
-    rows = rows.groupBy("kind", "word").agg(F.sum("n").alias("n"))
+            texts, rows = batch.column(0).to_pylist(), set()
+            for text, learn in zip(texts, batch.column(1).to_pylist(), strict=True):
+                if learn:
+                    rows.update((k, w) for _, _, k, w in base_matches(text or ""))
+            pairs += text_pairs(texts)
+            yield found([(k, w, 1) for k, w in rows])
+        yield found([("", f"{a} {b}", pairs[a, b]) for a, b in zip(*np.nonzero(pairs), strict=True)])
+
+    def found(out):
+        kind, word, n = zip(*out, strict=True) if out else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(word, pa.string()), pa.array(n, pa.int64())], names=["kind", "word", "n"])
+
+    rows = docs.select(text_col, chosen.alias("learn")).mapInArrow(find, "kind string, word string, n long")
+    rows = stage_table(rows.groupBy("kind", "word").agg(F.sum("n").alias("n")), "secret-examples")
     examples = public_examples()
     for k in KINDS:
         # any max_examples of them: the least by a hash
         got = [r[0] for r in rows.where((F.col("kind") == k) & (F.length("word") <= 200)).orderBy(F.xxhash64("word"), "word").limit(max_examples).select("word").collect()]
         examples.setdefault(k, []).extend(got)
-    ordinary = Counter({r[0]: r[1] for r in rows.where("kind = ''").orderBy(F.desc("n"), "word").limit(5000).select("word", "n").collect()})
-    return infer(examples, ordinary)
+    pairs = Counter({tuple(chr(int(x)) for x in r[0].split(" ")): r[1] for r in rows.where("kind = ''").select("word", "n").collect()})
+    return inferred(examples, pairs)
 
 
 def scan(docs: DataFrame, formats: Formats, text_col: str = "text") -> DataFrame:

@@ -288,6 +288,25 @@ def test_secret_scan(spark, docs, real):
     assert secret_scan.digests(secret_scan.scan(none(spark), secret_scan.learn_formats(none(spark)))).count() == 0
 
 
+def test_secret_background_is_of_all_words(spark):
+    texts = ["plain words " * 30 + "Ab1-x_9Z é中中 ½½ É9", "\u2003a1\x00b", None, "", "x" * 30000 + " 9Q9Q", *(f"w{k}ord" * 2 for k in range(200))]
+    want = collections.Counter()
+    for t in texts:
+        for w in (t or "").split():
+            want.update(zip(*(s := [secret_scan.symbol(c) if secret_scan.symbol(c) < "\x80" else "\x80" for c in w], s[1:]), strict=False))
+    got = secret_scan.text_pairs(texts)
+    assert {(chr(a), chr(b)): got[a, b] for a, b in zip(*np.nonzero(got), strict=True)} == want
+    cut = secret_scan.text_pairs(["y" * ((1 << 20) - 1) + "9Q" + "y" * (1 << 20)])
+    assert cut.sum() == (1 << 21) and cut[ord("d"), ord("U")] == 1
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    one, two = (secret_scan.learn_formats(rows.repartition(n)) for n in (1, 7))
+    first = collections.Counter()
+    for (a, _), n in want.items():
+        first[a] += n
+    assert one.background == two.background == {p: pytest.approx(np.log2((n + 0.5) / (first[p[0]] + 20))) for p, n in want.items()}
+    assert one.levels == two.levels
+
+
 def test_automata_tell_formats_apart():
     formats = secret_scan.infer(secret_scan.public_examples(), collections.Counter({"ordinary": 5, "words-here": 3, "2024-01-02": 2}))
     new = secret_scan.public_examples(seed=99, each=50)
