@@ -8,7 +8,8 @@ against a background of ordinary tokens, and added where one kind's gain per cha
 that kind's labelled credentials reach. The background counts how often a symbol follows another in all words of all documents.
 
 Whole texts are scanned, in one pass with no shuffle. Only the bounded sample of credentials and the table of pairs of symbols,
-which has at most SYMBOLS rows squared, reach the driver.
+which has at most SYMBOLS rows squared, reach the driver. Credentials are learned from and tokens scored at whatever length; a
+prefix tree takes about 450 bytes for each character of the sample while it is merged.
 
 Defined cases: null text is empty and has no spans; rows alike get the same spans; positions are code points, ends
 exclusive; a document may be of any length.
@@ -242,7 +243,7 @@ def learn_formats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     examples = public_examples()
     for k in KINDS:
         # any max_examples of them: the least by a hash
-        got = [r[0] for r in rows.where((F.col("kind") == k) & (F.length("word") <= 200)).orderBy(F.xxhash64("word"), "word").limit(max_examples).select("word").collect()]
+        got = [r[0] for r in rows.where(F.col("kind") == k).orderBy(F.xxhash64("word"), "word").limit(max_examples).select("word").collect()]
         examples.setdefault(k, []).extend(got)
     pairs = Counter({tuple(chr(int(x)) for x in r[0].split(" ")): r[1] for r in rows.where("kind = ''").select("word", "n").collect()})
     return inferred(examples, pairs)
@@ -262,7 +263,7 @@ def scan(docs: DataFrame, formats: Formats, text_col: str = "text") -> DataFrame
         found = [{"kind": k, "start": s, "end": e, "score": b[1] if b else 0.0} for s, _, k, e, b in out]
         taken = [(s, e) for s, e, _, _ in base]
         for m in TOKEN.finditer(text):
-            if MIXED.match(m[0]) and len(m[0]) <= 4096 and not any(s < m.end() and m.start() < e for s, e in taken) and (b := formats.best(m[0])):
+            if MIXED.match(m[0]) and not any(s < m.end() and m.start() < e for s, e in taken) and (b := formats.best(m[0])):
                 found.append({"kind": f"auto_{b[0]}", "start": m.start(), "end": m.end(), "score": b[1]})
         order = {k: i for i, k in enumerate(KINDS)}
         return sorted(found, key=lambda x: (x["start"], order.get(x["kind"], len(KINDS)), x["kind"]))

@@ -307,6 +307,18 @@ def test_secret_background_is_of_all_words(spark):
     assert one.levels == two.levels
 
 
+def test_long_credentials_are_learned_and_long_tokens_scored(spark):
+    rng = np.random.default_rng(3)
+    letters = list("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    long = [f"some text password={''.join(rng.choice(letters, 300))} and more" for _ in range(30)]
+    formats = secret_scan.learn_formats(spark.createDataFrame(list(enumerate(long)), "doc_id long, text string"))
+    assert "assign" in formats.levels
+    key = "sk_live_" + "".join(rng.choice(letters, 6000))
+    formats = secret_scan.infer(secret_scan.public_examples(), collections.Counter({"ordinary": 5, "words-here": 3, "2024-01-02": 2}))
+    spans = secret_scan.scan(spark.createDataFrame([(1, f"is {key} here")], "doc_id long, text string"), formats).first().secrets
+    assert [(s.start, s.end, s.kind[:5]) for s in spans] == [(3, 3 + len(key), "auto_")]
+
+
 def test_automata_tell_formats_apart():
     formats = secret_scan.infer(secret_scan.public_examples(), collections.Counter({"ordinary": 5, "words-here": 3, "2024-01-02": 2}))
     new = secret_scan.public_examples(seed=99, each=50)
