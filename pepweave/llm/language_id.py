@@ -38,10 +38,15 @@ _FOLD[97:123] = _FOLD[65:91] = np.arange(97, 123)
 _FOLD[128:] = np.arange(128, 256)
 
 
-def hashed(data: np.ndarray) -> np.ndarray:
-    """The hashed 3-gram that starts at each byte; the text ends in blanks."""
+def hashed(data: np.ndarray, ends: np.ndarray | None = None) -> np.ndarray:
+    """The hashed 3-gram that starts at each byte; the text, or each of those that end there, ends in blanks."""
     b = np.concatenate([_FOLD[data], np.full(2, 32, np.uint8)]).astype(np.uint32)
     gram = b[:-2] | b[1:-1] << np.uint32(8) | b[2:] << np.uint32(16)
+    if ends is not None:
+        # the last but one first: before a text of one byte, that is the last of another
+        two, one = ends[ends >= 2] - 2, ends[ends >= 1] - 1
+        gram[two] = b[two] | b[two + 1] << np.uint32(8) | np.uint32(32 << 16)
+        gram[one] = b[one] | np.uint32(32 << 8 | 32 << 16)
     return (gram * np.uint32(2654435761) >> np.uint32(32 - DIM_BITS)).astype(np.int32)
 
 
@@ -166,7 +171,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", ambiguous_bel
                 if not len(rows):
                     continue
                 base = offsets[a]
-                grams = hashed(data[base : offsets[b]])
+                grams = hashed(data[base : offsets[b]], offsets[a + 1 : b + 1] - base)
                 sums = np.zeros((len(rows), len(model.bias)))
                 for bit, w in enumerate(model.weights):
                     total = np.concatenate([[0.0], np.cumsum(w[grams], dtype=np.float64)])

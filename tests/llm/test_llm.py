@@ -226,6 +226,19 @@ def test_language_awkward_rows(spark, docs):
     assert language_id.identify(none(spark)).count() == 0
 
 
+def test_language_grams_end_with_their_text(spark):
+    texts = [b"", b"ab", b"x", b"", "\u00e9".encode(), b"abcdef", b"y", b"z", b""]
+    ends = np.cumsum([len(t) for t in texts])
+    alone = [language_id.hashed(np.frombuffer(t, np.uint8)) for t in texts]
+    assert np.array_equal(language_id.hashed(np.frombuffer(b"".join(texts), np.uint8), ends), np.concatenate(alone))
+    model = language_id.fit(spark.createDataFrame(ROWS, SCHEMA), F.lit(True))
+    short = [(k, t) for k, t in enumerate(["ab", "\u00e9t", "de", "x", "no", "la"])]
+    together = language_id.predict(spark.createDataFrame(short, "doc_id long, text string").coalesce(1), model).collect()
+    for r in together:
+        one = language_id.predict(spark.createDataFrame([(r.doc_id, r.text)], "doc_id long, text string"), model).first()
+        assert (one.lang_pred, one.score) == (r.lang_pred, pytest.approx(r.score, rel=1e-9))
+
+
 def test_language_held_out_accuracy(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = language_id.identify(d).join(d.select("doc_id", "lang"), "doc_id").where("held_out").collect()
