@@ -7,10 +7,11 @@ hidden class estimates by EM how each voter behaves in either class; voters that
 all texts.
 
 The sample (max_rows labelled rows at most of either label in expectation, chosen by a hash of the id) is the only thing
-learned from; executors find the words and prefixes that tell its rows apart, and the driver gets each row's few of them. Scoring reads every whole text once and shuffles nothing.
+learned from where there are labels; executors find the words and prefixes that tell its rows apart, and the driver gets each row's few of them. Scoring reads every whole text once and shuffles nothing.
 
 Defined cases: a null or empty text has no feature and gets the prior's score; without labelled rows of both kinds
-all voters but the public lists abstain; labels that repeat for a row count once (the highest); a null id joins no label
+all voters but the public lists abstain; without any labelled row the public lists and the patterns vote on an unlabelled
+sample of 2 * max_rows rows that have an id; labels that repeat for a row count once (the highest); a null id joins no label
 and counts as the empty text in folds.
 """
 
@@ -197,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     ids = docs.where(learn & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"))
     counts = {r[0]: r[1] for r in ids.join(tagged, "__id").groupBy("toxic").count().collect()}
     if not counts:
-        return Model({}, -2.0)
+        return _unlabelled(docs.where(learn & F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.lit(0).alias("toxic"), F.col(text_col).alias("text")), 2 * max_rows)
     share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, max_rows / n))))
     chosen = tagged.where(F.pmod(F.xxhash64(F.lit("toxic"), F.col("__id").cast("string")), F.lit(1 << 20)) / float(1 << 20) < share[F.col("toxic")])
     some = docs.where(learn).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
@@ -206,17 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     rows = stage_table(rows.select(F.col("__id").cast("string").alias("id"), "toxic", "text"), "toxicity-sample")
     known = _entries(rows, counts)
 
-    def extract(batches):
-        heads = heads_of(known)
-        for batch in batches:
-            out = []
-            for text in batch.column(2).to_pylist():
-                low = (text or "").lower()
-                out.append((" ".join(sorted(counted(Counter(WORD.findall(low)), known, heads))), bool(ADDRESS.search(low)), len(SHOUT.findall(low)) >= 5))
-            found, address, shout = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(address, pa.bool_()), pa.array(shout, pa.bool_())], names=["id", "toxic", "found", "address", "shout"])
-
-    sample = sorted(rows.mapInArrow(extract, "id string, toxic int, found string, address boolean, shout boolean").collect())
+    sample = _votable(rows, known)
     found = FeatureSets([r.found for r in sample])
     given = np.array([r.toxic for r in sample])
     # half of the sample shows which lexicon entries there are; how far voters can be trusted is estimated on all rows without looking at that
@@ -233,6 +224,45 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     return model
 
 
+def _votable(rows: DataFrame, known: set[str]) -> list:
+    """The sample's rows (id, toxic, text) with their features among the known entries and the patterns' hits, in order."""
+
+    def extract(batches):
+        heads = heads_of(known)
+        for batch in batches:
+            out = []
+            for text in batch.column(2).to_pylist():
+                low = (text or "").lower()
+                out.append((" ".join(sorted(counted(Counter(WORD.findall(low)), known, heads))), bool(ADDRESS.search(low)), len(SHOUT.findall(low)) >= 5))
+            found, address, shout = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(address, pa.bool_()), pa.array(shout, pa.bool_())], names=["id", "toxic", "found", "address", "shout"])
+
+    return sorted(rows.mapInArrow(extract, "id string, toxic int, found string, address boolean, shout boolean").collect())
+
+
+def _unlabelled(rows: DataFrame, most: int) -> Model:
+    """From the votes of the public lists and the patterns only."""
+    n = rows.count()
+    if not n:
+        return Model({}, -2.0)
+    listed = {"=" + w for x in LISTS.values() for w in x.split()}
+    sample = _votable(rows.where(F.pmod(F.xxhash64(F.lit("toxic"), "id"), F.lit(1 << 20)) / float(1 << 20) < min(1.0, most / n)), listed)
+    if not sample:
+        return Model({}, -2.0)
+    found = FeatureSets([r.found for r in sample])
+    voters = Voters({})
+    votes = np.array([voters.vote(f, r.address, r.shout) for f, r in zip(found, sample, strict=True)])
+    hit = (votes[:, :-1] > 0).any(1)
+    q, _, _ = label_model(votes, 0.05 + 0.9 * hit)
+    heard = voters.any & set().union(*found)
+    model = linear(found, q, sorted(heard))
+    # a listed word that the sample lacks counts as those that it has
+    usual = float(np.mean(list(model.weights.values()))) if heard else 2 * math.log(0.95 / 0.05)
+    model.weights |= dict.fromkeys(sorted(voters.any - heard), usual)
+    model.bias += 0.5 * math.log((len(q) - q.sum() + 0.5) / (q.sum() + 0.5))
+    return model
+
+
 def heads_of(known: set[str]) -> set[str]:
     return {(e[1:] if e[0] == "=" else e[2:])[:HEAD] for e in known}
 

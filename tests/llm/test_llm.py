@@ -262,6 +262,17 @@ def test_toxicity(spark, docs):
     assert toxicity.score_toxicity(docs, labels.limit(0)).count() == len(ROWS)
 
 
+def test_toxicity_without_labels(spark):
+    d, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    mine = [(10**6 + k, f"du bist ein Arschloch, ein widerlich dummer Wichser Nummer {k}") for k in range(3)]
+    more = d.select("doc_id", "text").unionByName(spark.createDataFrame(mine, "doc_id long, text string"))
+    out = {r.doc_id: r for r in toxicity.score_toxicity(more, labels.limit(0)).collect()}
+    assert all(out[k].predicted == 1 for k, _ in mine)
+    toxic = {r.doc_id for r in labels.where("toxic = 1").collect()}
+    clean = {r.doc_id for r in labels.where("toxic = 0").collect()} - toxic
+    assert np.mean([out[k].score for k in toxic & out.keys()]) > np.mean([out[k].score for k in clean & out.keys()]) + 0.1
+
+
 def test_toxicity_held_out(spark):
     d, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     out = toxicity.score_toxicity(d, labels).join(labels, "doc_id").where("held_out").collect()
