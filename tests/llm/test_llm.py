@@ -524,6 +524,58 @@ def test_embeddings_in_blocks_count_each_link_once(spark):
         assert {r.vec_id: r.n_links for r in out} == {i: links[i] for i, _, _ in rows} and {r.component_id for r in out} == {0}
 
 
+def unit(rng, n, dims):
+    v = rng.normal(size=(n, dims))
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def at_cosine(rng, a, cosine):
+    b = unit(rng, *a.shape)
+    b -= (a * b).sum(1, keepdims=True) * a
+    return cosine * a + np.sqrt(1 - cosine**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+
+
+def meet(a, b):
+    ka, kb = (lattice_dedup.cells(x, np.zeros(len(x))) for x in (a, b))
+    return (ka[:, :, None] == kb[:, None]).any((1, 2))
+
+
+@pytest.mark.parametrize("dims", [16, 64, 256, 768])
+def test_lattice_cells_select(dims):
+    rng = np.random.default_rng(dims)
+    a = unit(rng, 3000, dims)
+    for low in (0.93, 0.935, 0.94, 0.945):  # by bands of cosine up to 0.95
+        assert meet(a, at_cosine(rng, a, rng.uniform(low, low + 0.005, (len(a), 1)))).mean() >= 0.97
+    a = unit(rng, 2000, dims)
+    keys = lattice_dedup.cells(a, np.zeros(len(a)))
+    rows, cell = np.repeat(np.arange(len(a)), keys.shape[1]), np.unique(keys, return_inverse=True)[1].reshape(-1)
+    order = np.argsort(cell, kind="stable")
+    pairs = set()
+    for group in np.split(rows[order], np.nonzero(np.diff(cell[order]))[0] + 1):
+        g = np.unique(group).tolist()
+        pairs |= {(x, y) for k, x in enumerate(g) for y in g[k + 1 :]}
+    assert len(pairs) / (len(a) * (len(a) - 1) / 2) < (0.001 if dims > 16 else 0.01)  # in few dimensions many pairs are near by chance
+
+
+def test_lattice_comparisons_grow_with_the_rows(spark):
+    def comparisons(n):
+        rows = [(i, str(lab), x) for i, x, lab in vectors(5, n, labels=1)]
+        _, live = lattice_dedup.live_cells(spark.createDataFrame(rows, "id long, label string, v array<double>"))
+        return live.selectExpr("sum(n * (n - 1)) as c").first().c
+
+    assert comparisons(4000) < 2.5 * comparisons(2000)
+
+
+def test_embeddings_with_equal_label_hashes_are_told_apart(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    c = rng.normal(size=16)
+    rows = [(k, (c + rng.normal(size=16) * 0.03).tolist(), f"l{k % 2}") for k in range(12)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    real = lattice_dedup._cells_of
+    monkeypatch.setattr(lattice_dedup, "_cells_of", lambda classes, *a: real(classes.withColumn("label", F.lit("same")), *a))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in lattice_dedup.near_duplicates(df).collect()} == {i: (5, i % 2) for i, *_ in rows}
+
+
 def test_embeddings_awkward_rows(spark):
     v = [1.0, 2.0, 3.0]
     rows = [(1, v, 1), (2, v, 1), (3, v, 2), (4, v, None), (5, None, 1), (6, [0.0, 0.0, 0.0], 1), (7, [1.0, None, 3.0], 1), (8, [1.0, float("nan"), 3.0], 1), (9, [1.0, float("inf"), 2.0], 1), (10, [2.0, 4.0, 6.0], 1), (None, v, 1), (11, [], 1), (12, [*v, 4.0], 1), (13, [-1.0, -2.0, -3.0], 1)]
