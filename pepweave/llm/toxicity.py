@@ -1,18 +1,22 @@
 """Toxicity by weak supervision.
 
-Voters: public insult lists, lexicon and word-prefix patterns found in one half of the labelled sample, shouting and
-insult-address patterns, voters for clean text, and the given label itself as one more voter. A generative model with a
-hidden class estimates by EM how each voter behaves in either class; voters that agree more than the class explains
-(correlated ones) share their evidence. A logistic regression on lexicon features, fitted to the posterior labels, scores
-all texts.
+Voters: public insult lists, lexicon and word-prefix patterns, shouting and insult-address patterns; they vote toxic or abstain. A
+generative model with a hidden class estimates by EM how each voter behaves in either class, abstaining included; voters that agree
+more than the class explains (correlated ones) share their evidence. It starts from votes alone, as if all voters were independent
+and behaved as USUAL, with a PRIOR share of toxic rows. A logistic regression on lexicon features, fitted to the posterior
+labels with both classes weighing the same, scores all texts.
+
+Given labels do one thing: they tell which words and prefixes are worth a voter (ENTRIES of them are looked at, VOTING make voters, all of
+them from one half of the sample). They are no voter, no start and no target; the classifier weighs FEATURES words and prefixes found by posteriors.
 
 The sample (max_rows labelled rows at most of either label in expectation, chosen by a hash of the id) is the only thing
 learned from where there are labels; executors find the words and prefixes that tell its rows apart, and the driver gets each row's few of them. Scoring reads every whole text once and shuffles nothing.
 
 Defined cases: a null or empty text has no feature and gets the prior's score; without labelled rows of both kinds
 all voters but the public lists abstain; without any labelled row the public lists and the patterns vote on an unlabelled
-sample of 2 * max_rows rows that have an id; labels that repeat for a row count once (the highest); a null id joins no label
-and counts as the empty text in folds.
+sample, and as their words seldom meet in a text, the model's first guess of how they behave stays; that sample has about 2 * max_rows rows that have an id; labels that repeat for a row count once (the highest); a null id joins no label
+and counts as the empty text in folds; an empty table gives an empty result; columns named like the outputs are replaced; texts of
+any length are scored whole, one at a time; entries of equal strength go by their name.
 """
 
 from __future__ import annotations
@@ -34,6 +38,9 @@ PREFIXES = (3, 4, 5, 6, 7, 8)
 HEAD = min(PREFIXES)
 DENSE = 200  # an entry is dense if it is one word of so many
 THRESHOLD = 0.7
+ENTRIES, VOTING, FEATURES = 3000, 600, 800  # most words and prefixes that are counted in the sample, that voters share, that the classifier weighs
+PRIOR = 0.1  # first guess of the share of toxic rows
+USUAL, SURE = (0.02, 0.3), 5  # first guess of the shares of clean and toxic rows that a voter votes in, later worth as much as so many rows
 WORD = re.compile(r"\w+")
 #: Common insults, a voter a language.
 LISTS = {
@@ -121,41 +128,49 @@ def lexicon(rows: FeatureSets, toxic: np.ndarray, least: float, most: int) -> di
 
 
 class Voters:
-    """Votes of 1 (toxic), -1 (clean) or 0 (abstains)."""
+    """Votes of 1 (toxic) or 0 (abstains)."""
 
-    def __init__(self, found: dict[str, float], groups: int = 6) -> None:
+    def __init__(self, found: dict[str, float], groups: int = 6, listed: int = 1) -> None:
+        """found: entries with their strength; groups, listed: voters that a kind of entries and that a public list is dealt to."""
         up = [f for f, s in found.items() if s > 0]
         kinds = {"words": [f for f in up if f[0] == "="], **{f"prefix{k}": [f for f in up if f.startswith(f"{k}:")] for k in PREFIXES}}
-        self.sets = {f"list-{k}": {"=" + w for w in v.split()} for k, v in LISTS.items()}
+        self.sets = {f"list-{k}-{g}": {"=" + w for w in v.split()[g::listed]} for k, v in LISTS.items() for g in range(listed)}
         self.sets |= {f"{k}-{g}": set(v[g::groups]) for k, v in kinds.items() for g in range(groups) if v[g::groups]}
         self.any = set().union(*self.sets.values()) if self.sets else set()
-        self.names = [*self.sets, "address", "shout", "clean"]
+        self.names = [*self.sets, "address", "shout"]
 
     def vote(self, f: set[str], address: bool, shout: bool) -> list[int]:
         hit = [int(not s.isdisjoint(f)) for s in self.sets.values()]
-        return [*hit, int(address), int(shout), 0 if any(hit) else -1]
+        return [*hit, int(address), int(shout)]
+
+
+def guess(votes: np.ndarray) -> np.ndarray:
+    """P(toxic) of each row if all voters were independent and voted as USUAL tells."""
+    clean, toxic = USUAL
+    ratio = votes * math.log(toxic / clean) + (1 - votes) * math.log((1 - toxic) / (1 - clean))
+    return 1 / (1 + np.exp(-np.clip(ratio.sum(1) + math.log(PRIOR / (1 - PRIOR)), -30, 30)))
 
 
 def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """EM for P(class | votes) with each voter's table of votes by class; start: first guess of P(toxic).
 
-    Returns the posterior, the tables (voters x 2 x 3), and each voter's share of its evidence: 1 / (1 + the sum
+    Returns the posterior, the tables (voters x 2 classes x 2 votes), and each voter's share of its evidence: 1 / (1 + the sum
     of its squared within-class correlations with others), re-estimated as the classes get clear."""
     q, n = start.astype(float), votes.shape[1]
-    share, tables = np.ones(n), np.zeros((n, 2, 3))
+    share, tables = np.ones(n), np.zeros((n, 2, 2))
     for _ in range(rounds):
         prior = min(max(q.mean(), 1e-3), 1 - 1e-3)
         for c, w in enumerate((1 - q, q)):
-            for v in (-1, 0, 1):
-                tables[:, c, v + 1] = ((votes == v) * w[:, None]).sum(0) + 0.5
+            for v in (0, 1):
+                tables[:, c, v] = ((votes == v) * w[:, None]).sum(0) + SURE * (USUAL[c] if v else 1 - USUAL[c])
         tables /= tables.sum(2, keepdims=True)
-        centred = votes - ((1 - q)[:, None] * (tables[:, 0, 2] - tables[:, 0, 0]) + q[:, None] * (tables[:, 1, 2] - tables[:, 1, 0]))
+        centred = votes - ((1 - q)[:, None] * tables[:, 0, 1] + q[:, None] * tables[:, 1, 1])
         covariance = centred.T @ centred / len(votes)
         spread = np.sqrt(np.maximum(np.diag(covariance), 1e-9))
         correlation = covariance / spread[:, None] / spread
         share = 1 / (1 + np.maximum((correlation**2).sum(1) - 1, 0))
         ratio = np.log(tables[:, 1] / tables[:, 0])
-        logit = math.log(prior / (1 - prior)) + (ratio[np.arange(n)[None], votes + 1] * share).sum(1)
+        logit = math.log(prior / (1 - prior)) + (ratio[np.arange(n)[None], votes] * share).sum(1)
         new = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         if np.abs(new - q).max() < 1e-4:
             break
@@ -174,18 +189,19 @@ class Model:
 
 
 def linear(rows: FeatureSets, target: np.ndarray, names: list[str], penalty: float = 1.0) -> Model:
-    """Logistic regression on presence of the named features, to soft targets, by damped Newton steps in the features' space."""
+    """Logistic regression on presence of the named features, to soft targets, classes weighing the same, by damped Newton steps in the features' space."""
     index = {f: k for k, f in enumerate(names)}
     x = np.zeros((len(rows), len(names) + 1), np.float32)
     x[:, -1] = 1
     for r, f in enumerate(rows):
         x[r, [index[g] for g in index.keys() & f]] = 1
+    weigh = 1 + (((1 - target).sum() + 0.5) / (target.sum() + 0.5) - 1) * target
     w, ridge = np.zeros(len(names) + 1), np.full(len(names) + 1, penalty)
     ridge[-1] = 1e-3
     for _ in range(12):
         p = 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -30, 30).astype(float)))
-        h = (x * (p * (1 - p) + 1e-4).astype(np.float32)[:, None]).T @ x + np.diag(ridge)
-        step = np.linalg.solve(h, x.T @ (p - target).astype(np.float32) + ridge * w)
+        h = (x * (weigh * (p * (1 - p) + 1e-4)).astype(np.float32)[:, None]).T @ x + np.diag(ridge)
+        step = np.linalg.solve(h, x.T @ (weigh * (p - target)).astype(np.float32) + ridge * w)
         w = w - step
         if np.abs(step).max() < 1e-4:
             break
@@ -210,18 +226,14 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     sample = _votable(rows, known)
     found = FeatureSets([r.found for r in sample])
     given = np.array([r.toxic for r in sample])
-    # half of the sample shows which lexicon entries there are; how far voters can be trusted is estimated on all rows without looking at that
+    # one half of the sample shows which entries make voters; how far these can be trusted is estimated on all rows without a look at labels
     half = np.arange(len(sample)) % 2 == 0
-    small = len(sample) < 400
-    voters = Voters(lexicon(found.where(half | small), given[half | small], 14.0, 600))
-    votes = np.array([[*voters.vote(f, r.address, r.shout), 1 if g else -1] for f, r, g in zip(found, sample, given, strict=True)])
-    q, _, _ = label_model(votes, 0.05 + 0.9 * given)
-    names = list(lexicon(found, q > 0.5, 12.0, 800))
+    voters = Voters(lexicon(found.where(half), given[half], 14.0, VOTING))
+    votes = np.array([voters.vote(f, r.address, r.shout) for f, r in zip(found, sample, strict=True)])
+    q, _, _ = label_model(votes, guess(votes))
+    names = list(lexicon(found, q > 0.5, 12.0, FEATURES))
     names += sorted((voters.any & set().union(*found)) - set(names))
-    model = linear(found, q, names)
-    # toxic rows are few: half of the way to equal weights of both kinds
-    model.bias += 0.5 * math.log((len(given) - given.sum() + 0.5) / (given.sum() + 0.5))
-    return model
+    return linear(found, q, names)
 
 
 def _votable(rows: DataFrame, known: set[str]) -> list:
@@ -250,16 +262,14 @@ def _unlabelled(rows: DataFrame, most: int) -> Model:
     if not sample:
         return Model({}, -2.0)
     found = FeatureSets([r.found for r in sample])
-    voters = Voters({})
+    voters = Voters({}, listed=4)  # words of one list that agree are what there is to learn from
     votes = np.array([voters.vote(f, r.address, r.shout) for f, r in zip(found, sample, strict=True)])
-    hit = (votes[:, :-1] > 0).any(1)
-    q, _, _ = label_model(votes, 0.05 + 0.9 * hit)
+    q = guess(votes)
     heard = voters.any & set().union(*found)
-    model = linear(found, q, sorted(heard))
+    model = linear(found, q, sorted(heard), 0.1)  # few rows have any
     # a listed word that the sample lacks counts as those that it has
     usual = float(np.mean(list(model.weights.values()))) if heard else 2 * math.log(0.95 / 0.05)
     model.weights |= dict.fromkeys(sorted(voters.any - heard), usual)
-    model.bias += 0.5 * math.log((len(q) - q.sum() + 0.5) / (q.sum() + 0.5))
     return model
 
 
@@ -267,7 +277,7 @@ def heads_of(known: set[str]) -> set[str]:
     return {(e[1:] if e[0] == "=" else e[2:])[:HEAD] for e in known}
 
 
-def _entries(rows: DataFrame, labels: dict[int, int], most: int = 3000) -> set[str]:
+def _entries(rows: DataFrame, labels: dict[int, int], most: int = ENTRIES) -> set[str]:
     """The words and prefixes whose presence differs most between the sample's toxic and clean rows, and the public lists."""
 
     def count(batches):
