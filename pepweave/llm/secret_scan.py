@@ -3,16 +3,18 @@
 Base matches are exact: per kind leftmost and non-overlapping, those that are too short dropped. For the rest, labelled credentials (base
 matches of a bounded sample of documents, and generated examples of public formats) are read into a prefix tree per kind, whose
 states merge where their outgoing frequencies are compatible by Hoeffding's bound. The resulting probabilistic automaton
-gives the likelihood of a format; every other token of MIN_LENGTH or more characters that has letters and digits is scored
+gives the likelihood of a format; every token of MIN_LENGTH or more characters that overlaps no base match is scored
 against a background of ordinary tokens, and added where one kind's gain per character reaches the level that nearly all of
-that kind's labelled credentials reach. The background counts how often a symbol follows another in all words of all documents.
+that kind's labelled credentials reach; where several do, the kind that passes its level by most counts, and of kinds alike in that the last by
+name. The background counts how often a symbol follows another in all words of all documents.
 
-Whole texts are scanned, in one pass with no shuffle. Only the bounded sample of credentials and the table of pairs of symbols,
+Whole texts are scanned, in one pass with no shuffle and time in proportion to a text's length. Only the bounded sample of credentials and the table of pairs of symbols,
 which has at most SYMBOLS rows squared, reach the driver. Credentials are learned from and tokens scored at whatever length; a
 prefix tree takes about 450 bytes for each character of the sample while it is merged.
 
 Defined cases: null text is empty and has no spans; rows alike get the same spans; positions are code points, ends
-exclusive; a document may be of any length.
+exclusive; a document may be of any length; a column named secrets is replaced, other columns come through; an empty table gives an
+empty result and only the public formats are learned from it.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +38,8 @@ ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # a shorter match holds no longer one
 HEX = re.compile(r"[0-9a-f]{24,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
+TOKEN = re.compile(r"[A-Za-z0-9+/_=-]+")
+MIN_LENGTH = 16
 
 SAMPLE_DOCS = 20_000
 MAX_EXAMPLES = 400
@@ -59,6 +61,7 @@ def base_matches(text: str) -> list[tuple[int, int, str, str]]:
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
+@lru_cache(1 << 12)
 def symbol(c: str) -> str:
     return "d" if c.isdigit() else "h" if c in "abcdef" else "l" if c.islower() else "U" if c.isupper() else c
 
@@ -135,10 +138,10 @@ class Automaton:
                 else:
                     self.next[a][c] = self.next[b][c]
 
-    def bits(self, word: str) -> float:
-        """log2 of the word's likelihood; a symbol that a state does not know costs 12 bits and leads back to the first state."""
+    def bits(self, word: list[str]) -> float:
+        """log2 of the likelihood of a word's symbols; one that a state does not know costs 12 bits and stays in it."""
         s, total = 0, 0.0
-        for c in symbols(word):
+        for c in word:
             step, s = self.moves[s].get(c, (-12.0, s))
             total += step
         return total + self.stops[s]
@@ -150,18 +153,33 @@ class Formats:
     levels: dict[str, float]
     background: dict[tuple[str, str], float]
 
+    def usual(self, word: str) -> float:
+        """log2 of the word's likelihood as an ordinary token."""
+        s, background = [*map(symbol, word)], self.background
+        total = sum(background.get(p, -9.0) for p in zip(s, s[1:], strict=False))
+        return total - math.log2(60) * min(LITERAL, len(s))  # the literal characters' choice within their class
+
     def gain(self, kind: str, word: str) -> float:
         """Bits per character by which the kind's automaton predicts the word better than ordinary tokens do."""
-        s = symbols(word)
-        usual = sum(self.background.get((a[-1] if a[0] != "'" else symbol(a[-1]), b if b[0] != "'" else symbol(b[-1])), -9.0) for a, b in zip(s, s[1:], strict=False))
-        usual -= math.log2(60) * min(LITERAL, len(s))  # the literal characters' choice within their class
-        return (self.automata[kind].bits(word) - usual) / len(word)
+        return (self.automata[kind].bits(symbols(word)) - self.usual(word)) / len(word)
 
     def best(self, word: str) -> tuple[str, float] | None:
-        found = [(g - self.levels[k], k, g) for k in self.automata if (g := self.gain(k, word)) >= self.levels[k]]
+        s, usual = symbols(word), self.usual(word)
+        found = [(g - self.levels[k], k, g) for k, a in self.automata.items() if (g := (a.bits(s) - usual) / len(word)) >= self.levels[k]]
         return max(found)[1:] if found else None
 
 
+def free_tokens(text: str, taken: list[tuple[int, int]], least: int = MIN_LENGTH):
+    """Tokens of at least so many characters that overlap none of the spans taken, which are in order of their starts; both are walked through once."""
+    at, last = 0, 0
+    for m in TOKEN.finditer(text):
+        while at < len(taken) and taken[at][0] < m.end():
+            last = max(last, taken[at][1])
+            at += 1
+        if m.end() - m.start() >= least and last <= m.start():
+            yield m
+
+
 def public_examples(seed: int = 5, each: int = 120) -> dict[str, list[str]]:
     """Generated credentials of well-known formats."""
     rng = np.random.default_rng(seed)
@@ -249,7 +267,7 @@ def learn_formats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return inferred(examples, pairs)
 
 
-def scan(docs: DataFrame, formats: Formats, text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, formats: Formats, text_col: str = "text", least: int = MIN_LENGTH) -> DataFrame:
     """All rows and columns of docs with secrets: array of (kind, start, end, score), by start and kind; learned kinds are named auto_<kind>."""
     span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("score", T.DoubleType())])
     own = T.StructField("secrets", T.ArrayType(span))
@@ -261,9 +279,8 @@ def scan(docs: DataFrame, formats: Formats, text_col: str = "text") -> DataFrame
         base = base_matches(text)
         out = [(s, KINDS.index(k), k, e, formats.best(w)) for s, e, k, w in base]
         found = [{"kind": k, "start": s, "end": e, "score": b[1] if b else 0.0} for s, _, k, e, b in out]
-        taken = [(s, e) for s, e, _, _ in base]
-        for m in TOKEN.finditer(text):
-            if MIXED.match(m[0]) and not any(s < m.end() and m.start() < e for s, e in taken) and (b := formats.best(m[0])):
+        for m in free_tokens(text, [(s, e) for s, e, _, _ in base], least):
+            if b := formats.best(m[0]):
                 found.append({"kind": f"auto_{b[0]}", "start": m.start(), "end": m.end(), "score": b[1]})
         order = {k: i for i, k in enumerate(KINDS)}
         return sorted(found, key=lambda x: (x["start"], order.get(x["kind"], len(KINDS)), x["kind"]))

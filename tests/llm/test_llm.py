@@ -383,6 +383,69 @@ def test_long_credentials_are_learned_and_long_tokens_scored(spark):
     assert [(s.start, s.end, s.kind[:5]) for s in spans] == [(3, 3 + len(key), "auto_")]
 
 
+def spans_by_hand(text, formats):
+    """Base spans, and of all tokens of 16 or more characters that overlap none of them those that some automaton predicts well enough."""
+    base = [(int(a), int(b), k) for k, a, b in (x.split(":") for x in base_by_hand(text))]
+    found = [(s, secret_scan.KINDS.index(k), f"{k}:{s}:{e}") for s, e, k in base]
+    for m in re.finditer("[A-Za-z0-9+/_=-]+", text):
+        word, best = m[0], None
+        if len(word) < 16 or any(s < m.end() and m.start() < e for s, e, _ in base):
+            continue
+        for kind, automaton in formats.automata.items():
+            state, total = 0, 0.0
+            for k, c in enumerate(word):
+                c = "'" + c if k < 4 else "d" if c.isdigit() else "h" if c in "abcdef" else "l" if c.islower() else "U" if c.isupper() else c
+                known = c in automaton.moves[state]
+                total += automaton.moves[state][c][0] if known else -12.0
+                state = automaton.moves[state][c][1] if known else state
+            total += automaton.stops[state] + 4 * np.log2(60)
+            total -= sum(formats.background.get((secret_scan.symbol(a), secret_scan.symbol(b)), -9.0) for a, b in zip(word, word[1:], strict=False))
+            over = total / len(word) - formats.levels[kind]
+            if over >= 0 and (best is None or (over, kind) > best):
+                best = over, kind
+        if best:
+            found.append((m.start(), 9, f"auto_{best[1]}:{m.start()}:{m.end()}"))
+    return ",".join(x for *_, x in sorted(found))
+
+
+def test_secret_spans_against_brute_force_whatever_the_batches(spark):
+    rng = np.random.default_rng(7)
+    new = [w for words in secret_scan.public_examples(seed=11, each=6).values() for w in words]
+    plain = "the words of an ordinary text and antidisestablishmentarianism 2024-11-26T10-20-30 some_long_name_of_a_thing ====================".split()
+    texts = [None, "", *SECRETS]
+    for _ in range(150):
+        words = [*rng.choice(plain, 20), *rng.choice(new, 3), "password=" + str(rng.choice(new)), "token:" + str(rng.choice(new))[:9]]
+        texts.append(str(rng.choice([" ", ",", "/", "é"])).join(rng.permutation(words)))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = []
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    try:
+        for batch, parts in ((100, 2), (2000, 9)):
+            spark.conf.set(size, batch)
+            formats = secret_scan.learn_formats(rows.repartition(parts))
+            seen.append({r.doc_id: r.spans for r in secret_scan.digests(secret_scan.scan(rows.repartition(parts), formats)).collect()})
+    finally:
+        spark.conf.set(size, before)
+    assert seen[0] == seen[1] == {k: spans_by_hand(t or "", formats) for k, t in enumerate(texts)}
+    assert sum("auto_" in x for x in seen[0].values()) > 100
+
+
+def test_secret_scan_takes_time_in_proportion_to_the_text():
+    import time
+
+    rng = np.random.default_rng(2)
+    word = lambda: "".join(rng.choice(list("0123456789abcdef"), 26))
+    took = []
+    for n in (3000, 24_000):
+        text = " ".join(word() for _ in range(n)) + " some-other-token-1234"
+        began = time.process_time()
+        base = secret_scan.base_matches(text)
+        assert len(base) == n and len(list(secret_scan.free_tokens(text, [x[:2] for x in base]))) == 1
+        took.append(time.process_time() - began)
+    assert took[1] < 30 * took[0]  # in proportion: 8, quadratic: 64
+
+
 def test_automata_tell_formats_apart():
     formats = secret_scan.infer(secret_scan.public_examples(), collections.Counter({"ordinary": 5, "words-here": 3, "2024-01-02": 2}))
     new = secret_scan.public_examples(seed=99, each=50)
