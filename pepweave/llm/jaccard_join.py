@@ -2,23 +2,29 @@
 
 Sets of distinct word shingles link where percent * union <= 100 * intersection. The steps:
 
-1. One scan counts shingles in a sketch of fixed size (an upper bound of each one's frequency, over all documents) and
-   fingerprints each set; documents of one set are one class from here on.
+1. One scan counts shingles in a sketch whose size grows with the text, up to 2^SKETCH_BITS[1] counters (an upper bound of each
+   one's frequency, over all documents), and fingerprints each set; documents of one set are one class from here on.
 2. A second scan orders each set by (frequency class, hash) and keeps its prefix: two sets that link share a shingle of
    their prefixes. Shingles of one document only are dropped in sorted runs of the shuffled incidence; frequent ones
    are salted, so no run is large.
 3. Stars first, in a few turns: each shingle's documents are compared to one of another component. Verified links join
    components, so a group of near copies needs some comparisons for each member, not their square.
-4. Then the product proper: pairs from different components that meet in a shingle with enough shingles after it on both
-   sides; their overlap counts over all shared prefix shingles are added up, and those below the bound that their sizes give
-   are discarded; the rest are verified on whole sets, block by block. No link is lost: a pair that this step leaves out is in one component already.
+4. Then the product proper, of the incidence of components that meet: tasks take blocks of it by shingle, add up overlap counts
+   of pairs of documents over their shingles, and leave out pairs where too few shingles follow on either side for the bound that their sizes
+   give. Counts of all tasks are added up, pairs below the bound discarded, and the rest verified on whole sets, block by block. No link
+   is lost: a pair that this step leaves out is in one component already. Rows of a frequent shingle are cut into bands of size and number of
+   shingles that follow; the bound is tested once for two bands, at their loosest corner, and only bands that pass meet, dealt
+   over pairs of blocks.
 
 Sets travel only for documents of pairs to be verified: a scan makes them, filtered by a bit array of bounded size.
-Links and components stay distributed; the driver sees the sketch and the bit array only.
+Links and components stay distributed; the driver sees the sketch and the bit array only. A sketch takes four bytes a counter in a task
+and one in the driver and the broadcast: 4 and 1 MB up to about 1 GB of text, 256 and 64 MB at most. A text of any length is
+hashed in pieces of about 1 MB; its set takes about 40 bytes a word.
 
 Defined cases: null or empty texts and those without words have no shingle and link with nothing; with fewer words than
 the width the whole sequence is the one shingle; a null id is returned with a null component and links with nothing; rows
-of one id are one node; an empty table gives an empty result.
+of one id are one node; rows alike are in one class; of documents that might stand for others the least id does; columns other than
+the two are ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +33,6 @@ import zlib
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,8 +43,12 @@ from .components import connected_components
 WIDTH = 5
 PERCENT = 80
 SLICE = 1 << 20
-SKETCH_BITS = 20
+SKETCH_BITS = (20, 26)  # at least and at most
+PER_COUNTER = 1 << 10  # bytes of text
 SKETCH_BLOCKS = 64
+BLOCK = 1024
+SMALL = 64  # rows of a block whose pairs are made together with those of others
+PAIRS = 1 << 20  # that a task holds at once
 FILTER_BITS = 1 << 28
 STARS = 4
 
@@ -81,10 +90,27 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return mix64(h + (ends - starts).astype(np.uint64)), np.searchsorted(starts, offsets)
 
 
+def long_word_hashes(data: np.ndarray) -> np.ndarray:
+    """The same of one text of any length: pieces end with a blank after SLICE bytes."""
+    found, at = [], 0
+    while at < len(data):
+        end = at + SLICE
+        while end < len(data) and not (blank := _SPACE[data[end : end + SLICE]]).any():
+            end += SLICE
+        end = min(len(data), end + int(blank.argmax()) if end < len(data) else end)
+        found.append(word_hashes(data[at:end], np.array([0, end - at]))[0])
+        at = end
+    return np.concatenate(found)
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH):
     """The sorted distinct shingle hashes of each text, in turn."""
     for a, b in slices(offsets, SLICE):
-        words, bounds = word_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        if offsets[b] - offsets[a] > SLICE:
+            words = long_word_hashes(data[offsets[a] : offsets[b]])
+            bounds = np.array([0, len(words)])
+        else:
+            words, bounds = word_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         if len(words) >= width:
             grams = words[: len(words) - width + 1].copy()
             for k in range(1, width):
@@ -110,11 +136,15 @@ def prefix_length(n, percent: int = PERCENT):
     return n - (percent * n + 99) // 100 + 1
 
 
-def _fingerprints(docs: DataFrame, width: int) -> DataFrame:
+def sketch_bits(text_bytes: int) -> int:
+    return min(SKETCH_BITS[1], max(SKETCH_BITS[0], (text_bytes // PER_COUNTER).bit_length()))
+
+
+def _fingerprints(docs: DataFrame, width: int, bits: int) -> DataFrame:
     """Per row: id, n, fp; and sketch rows (block, counts) with a null fp."""
 
     def run(batches):
-        sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+        sketch = np.zeros(1 << bits, np.uint32)
         none = pa.nulls
         for batch in batches:
             sizes, prints, held = [], [], []
@@ -124,9 +154,9 @@ def _fingerprints(docs: DataFrame, width: int) -> DataFrame:
                 held.append(s)
             n = len(sizes)
             if n:
-                sketch += np.bincount((np.concatenate(held) & np.uint64(len(sketch) - 1)).astype(np.int64), minlength=len(sketch))
+                np.add.at(sketch, (np.concatenate(held) & np.uint64(len(sketch) - 1)).astype(np.int64), np.uint32(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), none(n, pa.int32()), none(n, pa.binary())], names=["id", "n", "fp", "block", "counts"])
-        blocks = np.minimum(sketch, 65535).astype("<u2").reshape(SKETCH_BLOCKS, -1)
+        blocks = sketch.reshape(SKETCH_BLOCKS, -1)
         rows = [(k, zlib.compress(b.tobytes(), 1)) for k, b in enumerate(blocks) if b.any()]
         if rows:
             k, c = zip(*rows, strict=True)
@@ -135,29 +165,40 @@ def _fingerprints(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n long, fp binary, block int, counts binary")
 
 
-def _sketch(prints: DataFrame) -> np.ndarray:
-    """The summed counters; 8 MB at most reach the driver."""
+def _sketch(prints: DataFrame, bits: int) -> np.ndarray:
+    """Logarithms of the summed counters, in fifths of a power of two; one byte a counter reaches the driver."""
+    rows = prints.where("block is not null").select("block", "counts").repartition("block").sortWithinPartitions("block")
+
+    def total(batches):
+        block, held = None, None
 
-    def total(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = sum(np.frombuffer(zlib.decompress(c), "<u2").astype(np.int64) for c in pdf["counts"])
-        return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "counts": [out.tobytes()]})
+        def done():
+            levels = (5 * np.log2(held + 1.0)).astype(np.uint8)
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zlib.compress(levels.tobytes(), 1)], pa.binary())], names=["block", "levels"])
 
-    found = prints.where("block is not null").select("block", "counts").groupBy("block").applyInPandas(total, "block int, counts binary").collect()
-    out = np.zeros((SKETCH_BLOCKS, (1 << SKETCH_BITS) // SKETCH_BLOCKS), np.int64)
-    for r in found:
-        out[r.block] = np.frombuffer(r.counts, np.int64)
+        for batch in batches:
+            for b, c in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                counts = np.frombuffer(zlib.decompress(c.as_py()), np.uint32)
+                if b != block:
+                    if held is not None:
+                        yield done()
+                    block, held = b, np.zeros(len(counts), np.int64)
+                held += counts
+        if held is not None:
+            yield done()
+
+    out = np.zeros((SKETCH_BLOCKS, (1 << bits) // SKETCH_BLOCKS), np.uint8)
+    for r in rows.mapInArrow(total, "block int, levels binary").collect():
+        out[r.block] = np.frombuffer(zlib.decompress(r.levels), np.uint8)
     return out.reshape(-1)
 
 
 def _incidence(docs: DataFrame, sketch: np.ndarray, hot_from: int, width: int, percent: int) -> DataFrame:
     """The prefix incidence: item, node, size, rest (items of the set that come after), salt (0, or for frequent items one of many)."""
-    level = np.frombuffer(np.log2(sketch + 1).astype(np.uint8).tobytes(), np.uint8)
-    hot = np.packbits(sketch >= hot_from)
-    level = docs.sparkSession.sparkContext.broadcast((zlib.compress(level.tobytes()), hot.tobytes()))
+    level, hot_from = docs.sparkSession.sparkContext.broadcast(zlib.compress(sketch.tobytes(), 1)), int(5 * np.log2(hot_from + 1.0))
 
     def run(batches):
-        classes, bits = level.value
-        classes, bits = np.frombuffer(zlib.decompress(classes), np.uint8), np.unpackbits(np.frombuffer(bits, np.uint8))
+        classes = np.frombuffer(zlib.decompress(level.value), np.uint8)
         mask, seen = np.uint64(len(classes) - 1), set()
         for batch in batches:
             items, nodes, sizes, rests, salts = [], [], [], [], []
@@ -169,7 +210,7 @@ def _incidence(docs: DataFrame, sketch: np.ndarray, hot_from: int, width: int, p
                     continue
                 seen.add(fp)
                 at = (s & mask).astype(np.int64)
-                key = classes[at].astype(np.uint64) << np.uint64(58) | s >> np.uint64(6)
+                key = (classes[at] // 5).astype(np.uint64) << np.uint64(58) | s >> np.uint64(6)
                 p = prefix_length(len(s), percent)
                 best = np.argpartition(key, p - 1)[:p] if p < len(s) else np.arange(len(s))
                 best = best[np.argsort(key[best])]
@@ -177,7 +218,7 @@ def _incidence(docs: DataFrame, sketch: np.ndarray, hot_from: int, width: int, p
                 nodes.append(np.full(p, node, np.int64))
                 sizes.append(np.full(p, len(s), np.int32))
                 rests.append(np.arange(len(s) - 1, len(s) - 1 - p, -1, np.int32))
-                salts.append(np.where(bits[at[best]] > 0, 1 + (node * 2654435761 >> 7) % 1021, 0).astype(np.int32))
+                salts.append(np.where(classes[at[best]] >= hot_from, 1 + (node * 2654435761 >> 7) % 1021, 0).astype(np.int32))
             if items:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (items, nodes, sizes, rests, salts)], names=["item", "node", "size", "rest", "salt"])
 
@@ -267,18 +308,159 @@ def _mixed(rows: DataFrame) -> DataFrame:
 
 def may_link(size: tuple[str, str], rest: tuple[str, str], percent: int) -> Column:
     """Whether sets of these sizes that share an item with so many others after it may link: at most all before it in either, it, and all after it in either are shared."""
-    before = F.least(*(F.col(n) - F.col(r) - 1 for n, r in zip(size, rest, strict=True)))
+    before = F.least(*(F.col(n).cast("long") - F.col(r) - 1 for n, r in zip(size, rest, strict=True)))
     most = before + 1 + F.least(*rest)
-    return (100 * F.least(*size) >= percent * F.greatest(*size)) & (most * (100 + percent) >= percent * (F.col(size[0]) + F.col(size[1])))
+    return (100 * F.least(*size).cast("long") >= percent * F.greatest(*size).cast("long")) & (most * (100 + percent) >= percent * (F.col(size[0]).cast("long") + F.col(size[1])))
+
+
+def enough(k, large, total, percent: int):
+    """Whether an overlap of k in both prefixes can do for sets that add up to total, the larger of size large; of columns or arrays.
+
+    All items that both prefixes of a pair that links share are in k, and the others are in the longer rest, of ceil(percent * large / 100) - 1 items."""
+    ceil = percent * large + 99
+    return (100 * k + ceil - ceil % 100 - 100) * (100 + percent) >= 100 * percent * total
+
+
+def _dealt(rows: DataFrame, percent: int, block: int) -> DataFrame:
+    """Rows of the incidence with the key of the block that they meet in, and their side there (0 or 1; -1 where all rows of a block meet)."""
+    own = ["node", "size", "rest", "component", "left"]
+    cold = rows.where(F.col("nodes") <= block).select(F.col("item").alias("key"), F.lit(-1).alias("side"), *own)
+    hot = rows.where(F.col("nodes") > block)
+    if not hot.limit(1).count():
+        return cold
+    hot = hot.withColumns({"size": F.col("size").cast("long"), "rest": F.col("rest").cast("long")}).withColumns({"sb": F.floor(F.log("size") / float(np.log(1.05))).cast("int"), "lb": F.floor(F.log("left") / float(np.log(1.25))).cast("int")})
+    hot = stage_table(hot.drop("nodes"), "frequent-items")
+    bands = hot.groupBy("item", "sb", "lb").agg(F.count("*").alias("n"), F.min("size").alias("s0"), F.max("size").alias("s1"), F.max("left").alias("l"), F.max("rest").alias("r"), F.max(F.col("size") - F.col("rest")).alias("f"))
+    bands = stage_table(bands.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")), "bands")
+    other = bands.select("item", *(F.col(c).alias(c + "2") for c in bands.columns if c != "item"))
+    near = (100 * F.col("s1") >= percent * F.col("s02")) & (100 * F.col("s12") >= percent * F.col("s0"))
+    least = F.col("s0") + F.col("s02")
+    shared = (F.least("f", "f2") + F.least("r", "r2")) * (100 + percent) >= percent * least
+    ordered = (F.col("sb") < F.col("sb2")) | (F.col("sb") == F.col("sb2")) & (F.col("lb") <= F.col("lb2"))
+    met = bands.join(other, "item").where(ordered & near & shared & enough(F.least("l", "l2"), F.greatest("s1", "s12"), least, percent))
+    met = stage_table(met.select("item", "sb", "lb", "blocks", "sb2", "lb2", "blocks2"), "band-pairs")
+    band, same = ["item", "sb", "lb"], (F.col("sb") == F.col("sb2")) & (F.col("lb") == F.col("lb2"))
+
+    def key(p, q):
+        return F.xxhash64("item", "sb", "lb", "sb2", "lb2", p, q).alias("key")
+
+    def at(blocks):
+        return F.pmod(F.xxhash64("node"), blocks).cast("int")
+
+    def over(blocks):
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+    first = hot.join(met.where(~same), band).withColumn("b", at(F.col("blocks"))).withColumn("x", over("blocks2")).select(key("b", "x"), F.lit(0).alias("side"), *own)
+    second = hot.withColumnsRenamed({"sb": "sb2", "lb": "lb2"}).join(met.where(~same), ["item", "sb2", "lb2"]).withColumn("b", at(F.col("blocks2"))).withColumn("x", over("blocks")).select(key("x", "b"), F.lit(1).alias("side"), *own)
+    inner = hot.join(met.where(same), band).withColumn("b", at(F.col("blocks"))).withColumn("x", over("blocks"))
+    inner = inner.select(key(F.least("b", "x"), F.greatest("b", "x")), F.when(F.col("b") == F.col("x"), -1).when(F.col("b") < F.col("x"), 0).otherwise(1).alias("side"), *own)
+    return cold.unionByName(first).unionByName(second).unionByName(inner)
+
+
+def block_pairs(starts: np.ndarray, ends: np.ndarray, step: int = 256):
+    """All pairs of places (i < j) of runs of rows that follow each other, some at a time: those of short runs together, those of long ones by rows."""
+    sizes = ends - starts
+    few = sizes <= SMALL
+    i = np.nonzero(np.repeat(few, sizes))[0]
+    end = np.repeat(ends[few], sizes[few])
+    for d in range(1, SMALL):
+        on = i + d < end
+        i, end = i[on], end[on]
+        if not len(i):
+            break
+        yield i, i + d
+    for a, b in zip(starts[~few].tolist(), ends[~few].tolist(), strict=True):
+        for x in range(a, b, step):
+            i, j = np.arange(x, min(x + step, b)), np.arange(x, b)
+            on = j[None] > i[:, None]
+            yield np.broadcast_to(i[:, None], on.shape)[on], np.broadcast_to(j[None], on.shape)[on]
+
+
+def add_up(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """(a, b, count, rest, total, large) of each pair (a, b) once: counts added up, the least rest."""
+    a, b, c, r, total, large = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((b, a))
+    a, b, c, r, total, large = (x[order] for x in (a, b, c, r, total, large))
+    new = np.nonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))[0]
+    return a[new], b[new], np.add.reduceat(c, new), np.minimum.reduceat(r, new), total[new], large[new]
+
+
+def product_pairs(rows: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """rows: item, node, size, rest (items of the set that come after), component, left (of the node's rows from here on), nodes (rows of
+    the item). Gives pairs (a, b) of nodes of different components whose overlap may reach the bound of their sizes.
+
+    A pair is counted at the shared items that enough rows follow on both sides; these come first in an order which is the same for all nodes,
+    so what it shares beyond the counted items is no more than what follows the last of them on either side."""
+    dealt = _dealt(rows, percent, block).repartition("key").sortWithinPartitions("key")
+    names = ["a", "b", "c", "r", "total", "large"]
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        parts, n = [], 0
+
+        def out(x):
+            return pa.RecordBatch.from_arrays([pa.array(v) for v in x], names=names)
+
+        def multiply(t: pa.Table):
+            key, side, node, size, rest, component, left = (t.column(k).to_numpy().astype(np.int64) for k in range(7))
+            cut = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0]
+            for i, j in block_pairs(cut, np.append(cut[1:], len(key))):
+                on = (component[i] != component[j]) & ((side[i] < 0) | (side[i] != side[j]))
+                i, j = i[on], j[on]
+                small, large = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+                most = np.minimum(size[i] - rest[i], size[j] - rest[j]) + np.minimum(rest[i], rest[j])
+                k = np.minimum(left[i], left[j])
+                on = (100 * small >= percent * large) & (most * (100 + percent) >= percent * (small + large)) & enough(k, large, small + large, percent)
+                i, j = i[on], j[on]
+                if len(i):
+                    yield np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), np.ones(len(i), np.int64), k[on] - 1, (small + large)[on], large[on]
+
+        def full(last: bool):
+            """Adds up what the held blocks give; hands out counts when there are many."""
+            nonlocal parts, n, held
+            if held:
+                for x in multiply(pa.Table.from_batches(held)):
+                    parts.append(x)
+                    n += len(x[0])
+                    if n >= PAIRS:
+                        parts = [add_up(parts)]
+                        n = len(parts[0][0])
+                        if n >= PAIRS // 2:
+                            yield out(parts[0])
+                            parts, n = [], 0
+            held = []
+            if last and parts:
+                yield out(add_up(parts))
+
+        many, key = 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(0).to_numpy()
+            if many >= 1 << 15:
+                # the last run may go on
+                cut = int((np.nonzero(keys[1:] != keys[:-1])[0] + 1).max(initial=0))
+                if cut or key != keys[0]:
+                    held.append(batch.slice(0, cut))
+                    yield from full(False)
+                    batch, many = batch.slice(cut), 0
+            held.append(batch)
+            many, key = many + batch.num_rows, keys[-1]
+        yield from full(True)
+
+    counts = dealt.mapInArrow(run, "a long, b long, c long, r long, total long, large long")
+    counts = counts.groupBy("a", "b").agg(F.sum("c").alias("c"), F.min("r").alias("r"), F.max("total").alias("total"), F.max("large").alias("large"))
+    return counts.where(enough(F.col("c") + F.col("r"), F.col("large"), F.col("total"), percent)).select("a", "b")
 
 
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Per row (id, n, fp), and (node, component) of nodes that link with others of another set."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    prints = stage_table(_fingerprints(docs, width), "fingerprints")
+    bits = sketch_bits(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    prints = stage_table(_fingerprints(docs, width, bits), "fingerprints")
     rows = prints.where("block is null").select("id", "n", "fp")
-    sketch = _sketch(prints)
-    hot_from = int(2 * np.median(sketch)) + max(64, rows.count() // HEAVY_SHARE)
+    sketch = _sketch(prints, bits)
+    hot_from = int(2 * 2 ** (np.median(sketch) / 5)) + max(64, rows.count() // HEAVY_SHARE)
     shared = stage_table(_shared(_incidence(docs, sketch, hot_from, width, percent)), "shared")
     # stars: first around each item's node with most shared items for its size, as what others were copied from has, then around random ones
     weight = shared.groupBy("node").agg((F.count("*") / F.max("size")).alias("w"))
@@ -306,22 +488,8 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         rest = _mixed(rest)
     own = Window.partitionBy("node")
     rest = rest.select("item", "node", "size", "rest", "component", "nodes").distinct()
-    rest = rest.withColumn("left", F.count("*").over(own) - F.row_number().over(own.orderBy("nodes", "item")) + 1).drop("nodes")
-    rest = stage_table(rest, "incidence")
-    other = rest.select("item", *(F.col(c).alias(c + "2") for c in ("node", "size", "rest", "component", "left")))
-
-    def enough(k: Column, na: str, nb: str) -> Column:
-        """Whether an overlap of k in both prefixes can do: all items that both prefixes of a pair that links share are in k, and the others are in the longer rest."""
-        suffix = F.greatest(*(F.ceil(F.col(n) * percent / 100) - 1 for n in (na, nb)))
-        return (k + suffix) * (100 + percent) >= percent * (F.col(na) + F.col(nb))
-
-    order = (F.col("size") < F.col("size2")) | (F.col("size") == F.col("size2")) & (F.col("node") < F.col("node2"))
-    met = rest.join(other, (rest["item"] == other["item"]) & (F.col("component") != F.col("component2")) & order & may_link(("size", "size2"), ("rest", "rest2"), percent) & enough(F.least("left", "left2"), "size", "size2"))
-    met = met.select(F.col("node").alias("a"), F.col("node2").alias("b"), F.col("size").alias("na"), F.col("size2").alias("nb")).distinct()
-    rows_of = stage_table(rest.groupBy("node").agg(F.collect_set("item").alias("items")), "prefixes")  # of bounded length
-    counts = met.join(rows_of.select(F.col("node").alias("a"), F.col("items").alias("ia")), "a").join(rows_of.select(F.col("node").alias("b"), F.col("items").alias("ib")), "b")
-    pairs = counts.withColumn("k", F.size(F.array_intersect("ia", "ib"))).where(enough(F.col("k"), "na", "nb"))
-    pairs = stage_table(pairs.select("a", "b"), "product-pairs")
+    rest = stage_table(rest.withColumn("left", F.count("*").over(own) - F.row_number().over(own.orderBy("nodes", "item")) + 1), "incidence")
+    pairs = stage_table(product_pairs(rest, percent), "product-pairs")
     if pairs.limit(1).count():
         found = _verified(pairs, docs, width, percent)
         links = found if links is None else links.unionByName(found)

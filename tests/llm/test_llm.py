@@ -509,6 +509,62 @@ def test_jaccard_join_against_brute_force(spark, seed):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == jaccard_by_hand(rows)
 
 
+@pytest.mark.parametrize("block", [3, 1024])
+def test_jaccard_product_against_brute_force(spark, block):
+    """Random incidences with hot items: no pair whose overlap may do is left out, and those handed out may do by their counts."""
+    rng = np.random.default_rng(block)
+    sets = {}
+    for n in range(120):
+        base = rng.choice(60, 24, replace=False) if n % 3 else rng.choice(30, 22, replace=False)
+        sets[n] = sorted(set(base.tolist()) | {100 + n})
+    freq = collections.Counter(i for s in sets.values() for i in s)
+    order = {i: (c, i) for i, c in freq.items()}
+    rows = []
+    for n, s in sets.items():
+        by = sorted(s, key=order.get)
+        for k, i in enumerate(by[: jaccard_join.prefix_length(len(s), 50)]):
+            rows.append((i, n, len(s), len(s) - 1 - k, n % 40, freq[i]))
+    held = collections.defaultdict(list)
+    for r in sorted(rows, key=lambda r: order[r[0]]):
+        held[r[1]].append(r)
+    rows = [(*r[:5], len(h) - k, r[5]) for h in held.values() for k, r in enumerate(h)]
+    df = spark.createDataFrame(rows, "item long, node long, size int, rest int, component long, left long, nodes long").repartition(3)
+    got = {(r.a, r.b) for r in jaccard_join.product_pairs(df, 50, block).collect()}
+    prefix = {n: {r[0] for r in h} for n, h in held.items()}
+    for a in sets:
+        for b in range(a + 1, 120):
+            both = len(set(sets[a]) & set(sets[b]))
+            if 2 * both >= len(set(sets[a]) | set(sets[b])) and a % 40 != b % 40:
+                assert (a, b) in got
+            if (a, b) in got:
+                assert a % 40 != b % 40 and prefix[a] & prefix[b]
+    assert got
+
+
+def test_jaccard_family_below_the_bound_meets_nowhere(spark):
+    """Sets of 88 that share 78 don't link: their rows of frequent items aren't dealt at all, however many there are."""
+    for n in (200, 400):
+        rows = [(item, node, 88, 87 - k - 10, node, 8 - k, n) for node in range(n) for k, item in enumerate(range(8))]
+        df = spark.createDataFrame(rows, "item long, node long, size int, rest int, component long, left long, nodes long")
+        assert jaccard_join._dealt(df, 80, 64).count() == 0
+        closer = df.withColumn("left", F.col("left") + 1)
+        assert jaccard_join._dealt(closer, 80, 64).count() > 0
+
+
+def test_jaccard_long_texts_in_pieces():
+    rng = np.random.default_rng(0)
+    words = [f"W{rng.integers(10**6)}é" for _ in range(260_000)]
+    for text in (" ".join(words), "  ".join(words[:9]) + "\t" + "x" * 2_500_000 + " " + " ".join(words[:3]), "y" * 2_200_000):
+        data = np.frombuffer(text.encode(), np.uint8)
+        assert len(data) > 2 * jaccard_join.SLICE
+        whole, _ = jaccard_join.word_hashes(data, np.array([0, len(data)]))
+        assert np.array_equal(jaccard_join.long_word_hashes(data), whole)
+
+
+def test_jaccard_sketch_grows_with_the_text():
+    assert [jaccard_join.sketch_bits(n) for n in (0, 1 << 29, 1 << 31, 1 << 34, 1 << 50)] == [20, 20, 22, 25, 26]
+
+
 def test_jaccard_join_awkward_rows(spark, docs, real):
     out = jaccard_join.jaccard_join(docs).collect()
     want = jaccard_by_hand({i: t for i, t, *_ in ROWS if i is not None})
