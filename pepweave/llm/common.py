@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -21,9 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a fresh local one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a fresh local one where it is unset and all is on one machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="pepweave-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -34,12 +37,22 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    # shuffles of plans that are done go when the driver collects its garbage; a long query would keep all of them until then
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    _collect_garbage(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_collected = 0.0
+
+
+def _collect_garbage(spark: SparkSession, every: float = 10.0) -> None:
+    """Shuffles of plans that are done go when the driver collects its garbage; a long query would keep all of them until then."""
+    global _collected
+    if time.monotonic() - _collected > every:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        _collected = time.monotonic()
+
+
 def drop_stage_tables(spark: SparkSession) -> None:
     """Delete all stage tables; only for when no DataFrame that reads them is needed any more."""
     jvm = spark.sparkContext._jvm
