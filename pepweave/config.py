@@ -107,5 +107,5 @@ class Config:
             raise ConfigError("run_psa needs run_rescoring: the scan table is made from its merged branches")
         if self.iforest_training_source not in ("percolator_percentile", "denovo_score"):
             raise ConfigError(f"unknown iforest_training_source {self.iforest_training_source!r}")
-        if self.denovo_only and self.run_iforest and self.iforest_training_source == "percolator_percentile":
+        if self.denovo_only and (self.run_iforest or self.run_postprocess) and self.iforest_training_source != "denovo_score":
             raise ConfigError("denovo_only has no database scores: set iforest_training_source to denovo_score")

@@ -1,7 +1,7 @@
 """Empirical distribution functions and the two-sample Kolmogorov-Smirnov statistic.
 
 Scores are grouped by value; running counts are taken within ranges of values and topped up with the totals of the ranges before,
-so no task sees more than a range. Ranges come from approximate quantiles, a fixed number a side.
+so no task sees more than a range. Ranges come from approximate quantiles, as many a side as a shuffle has partitions (64 to 512).
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import SIDES, SUMMARY_COLUMNS
 
-RANGES = 64
+RANGES = (64, 512)
 EXACT_UP_TO = 10_000  # sizes of both samples up to which the p-value is exact
 
 
@@ -22,8 +22,9 @@ class EmptyPopulation(ValueError):
     pass
 
 
-def running_counts(values: DataFrame, counts: list[str], group: str = "side", value: str = "v", ranges: int = RANGES) -> DataFrame:
+def running_counts(values: DataFrame, counts: list[str], group: str = "side", value: str = "v", ranges: int | None = None) -> DataFrame:
     """values: one row for each group and value. Adds <count>_le: the sum of the count over values of the group up to this one."""
+    ranges = ranges or min(RANGES[1], max(RANGES[0], int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     cuts = F.percentile_approx(value, [k / ranges for k in range(1, ranges)], F.lit(10 * ranges)).alias("__cuts")
     bounds = values.groupBy(group).agg(cuts)  # a row a group
     binned = values.join(F.broadcast(bounds), group).withColumn("__range", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
@@ -37,14 +38,16 @@ def running_counts(values: DataFrame, counts: list[str], group: str = "side", va
 
 def quantile(df: DataFrame, column: str, q: float) -> float | None:
     """The exact quantile with linear interpolation, from running counts of distinct values: no task holds them all. Nulls are left out."""
-    values = df.where(F.col(column).isNotNull()).groupBy(F.lit("x").alias("side"), F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    values = df.where(F.col(column).isNotNull()).groupBy(F.lit("x").alias("side"), F.col(column).alias("v")).agg(F.count("*").alias("n")).persist()
     n = values.agg(F.sum("n")).first()[0]
     if not n:
+        values.unpersist()
         return None
     at = (n - 1) * q
     low = math.floor(at)
     steps = running_counts(values, ["n"])
     a, b = steps.agg(*(F.min(F.when(F.col("n_le") > k, F.col("v"))) for k in (low, min(low + 1, n - 1)))).first()
+    values.unpersist()
     return a + (b - a) * (at - low)
 
 

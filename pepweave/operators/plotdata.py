@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import detection_level, on_side
+from ..functions.columns import on_side
 from ..schemas import SIDES
 from .calls import detection_counts
 from .ecdf import goodness
@@ -109,7 +109,3 @@ def all_plots(scans: DataFrame, cutoffs: dict[str, float], reference: DataFrame,
 
 def denovo_plots(scans: DataFrame, reference: DataFrame, other: DataFrame) -> dict[str, DataFrame]:
     return {"peptide_length": length_density(scans, ("denovo",)), "ks_vs_tp": ecdf_grid(reference, other)}
-
-
-def levels(scans: DataFrame) -> DataFrame:
-    return scans.groupBy(detection_level().alias("level")).agg(F.count("*").alias("n"))

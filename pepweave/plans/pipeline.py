@@ -43,9 +43,27 @@ class Pipeline:
         tab = f"{folder}/results/percolator"
         features = drop_columns(readers.read_features(self.spark, f"{tab}/rescore.tab"), getattr(c, f"drop_columns_{side}"))
         decoy = f"{tab}/rescore.percolator.decoy.psms.txt" if side == "database" else None
-        scores = None if c.denovo_only else readers.read_scores(self.spark, f"{tab}/rescore.percolator.psms.txt", decoy)
+        found = f"{tab}/rescore.percolator.psms.txt"
+        if c.denovo_only:
+            scores = None
+        elif side == "denovo" and not readers.exists(self.spark, found):
+            scores = self.static_scores(features)
+        else:
+            scores = readers.read_scores(self.spark, found, decoy)
         return readers.read_search(self.spark, f"{folder}/msms", side), features, scores
 
+    def static_scores(self, features: DataFrame) -> DataFrame | None:
+        """Where the de novo branch has no scorer output: its features by the database branch's weights, averaged over bins and applied by position."""
+        weights = f"{self.config.database_oktoberfest_dir.rstrip('/')}/results/percolator/rescore.percolator.weights.csv"
+        if not readers.exists(self.spark, weights):
+            return None
+        header, _, raw = sinks.write_average_weights(self.spark, weights, f"{self.out}/weights/rescore.percolator.weights.avg.csv")
+        names = [x for x in features.columns if x not in ("SpecId", "Label", "ScanNr", "Peptide", "Proteins", "RAW_FILE")]
+        if len(raw) - len(names) not in (0, 1):
+            raise ValueError(f"{len(raw)} weights ({', '.join(header)}) for {len(names)} features ({', '.join(names)})")
+        values = F.array(*(F.coalesce(F.col(f"`{x}`"), F.lit(0.0)) for x in names))
+        return features.select(F.col("SpecId").alias("PSMId"), forest.weighted_score(values, raw).alias("score"), F.lit(True).alias("is_target"))
+
     def rescoring(self) -> dict[str, DataFrame]:
         parts = {s: self.read_branch(s) for s in self.sides}
         if not self.config.denovo_only:
@@ -135,7 +153,9 @@ class Pipeline:
             out.scored = self.iforest(out.scans if out.scans is not None else self.existing("scans"))
         if c.run_postprocess:
             out.called, out.cutoffs = self.postprocess(out.scored if out.scored is not None else self.existing("scored", "scans"))
-        if c.run_plotting and (out.called is not None or c.grove_forest_dir):
-            self.plotting(out.called if out.called is not None else self.existing("called/scans"), out.cutoffs)
+        if c.run_plotting:
+            # figures need scores only; cutoffs are found again where no decision stage has run
+            known = next((x for x in (out.called, out.scored) if x is not None), None)
+            self.plotting(known if known is not None else self.existing("called/scans", "scored"), out.cutoffs)
         return out
 

@@ -13,6 +13,7 @@ from ..operators import calls, ecdf, forest, merge, plotdata, similarity
 from ..schemas import SIDES
 from ..sources import readers
 from . import views
+from .session import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -77,20 +78,25 @@ def branch_full_outer(spark, sf_dir):
     return out.select("RAW_FILE", "SCAN_NUMBER", "SpecId", "SEQUENCE_database", "SEQUENCE_denovo", F.col("_merge").alias("found_by"))
 
 
-_PIN = """, pin AS (SELECT SpecId, max(Label) AS Label, max(f_price) AS f_price, min(f_tax) AS f_tax FROM dbi WHERE SCAN_NUMBER % 3 <> 0 GROUP BY SpecId),
-sc AS (SELECT SpecId AS PSMId, percolator_score AS score, Label = 1 AS is_target FROM dbi WHERE SCAN_NUMBER % 4 <> 0),
+_PIN = """, pin AS (SELECT SpecId || CASE WHEN SCAN_NUMBER % 3 = 0 THEN '-0' ELSE '' END AS SpecId, max(Label) AS Label, max(f_price) AS f_price, min(f_tax) AS f_tax FROM dbi GROUP BY 1),
+sc AS (SELECT SpecId || CASE WHEN SCAN_NUMBER % 4 = 0 THEN '-0' ELSE '' END AS PSMId, percolator_score AS score, Label = 1 AS is_target FROM dbi),
 one AS (SELECT PSMId, score FROM (SELECT *, row_number() OVER (PARTITION BY PSMId ORDER BY is_target DESC, score DESC) AS k FROM sc) WHERE k = 1)
 """
 
 
 def _pin(spark, sf_dir):
+    """Search rows, features and scores; ids of some features and scores are others, so that rows without a counterpart are on all sides."""
+
+    def moved(every: int):
+        return F.concat("SpecId", F.when(F.col("SCAN_NUMBER") % every == 0, "-0").otherwise(""))
+
     rows = search(spark, sf_dir, "database")
-    pin = rows.where("SCAN_NUMBER % 3 <> 0").groupBy("SpecId").agg(F.max("Label").alias("Label"), F.max("f_price").alias("f_price"), F.min("f_tax").alias("f_tax"))
-    scores = rows.where("SCAN_NUMBER % 4 <> 0").select(F.col("SpecId").alias("PSMId"), F.col("percolator_score").alias("score"), (F.col("Label") == 1).alias("is_target"))
+    pin = rows.groupBy(moved(3).alias("SpecId")).agg(F.max("Label").alias("Label"), F.max("f_price").alias("f_price"), F.min("f_tax").alias("f_tax"))
+    scores = rows.select(moved(4).alias("PSMId"), F.col("percolator_score").alias("score"), (F.col("Label") == 1).alias("is_target"))
     return rows.select("RAW_FILE", "SCAN_NUMBER", "MODIFIED_SEQUENCE", "PRECURSOR_CHARGE", "SEQUENCE"), pin, scores
 
 
-@query("pin_merge", FIX + _PIN + "SELECT d.SpecId, d.RAW_FILE, d.SEQUENCE, p.Label, p.f_price, p.f_tax, CASE WHEN p.SpecId IS NOT NULL THEN one.score END AS percolator_score FROM dbi d FULL OUTER JOIN pin p ON d.SpecId = p.SpecId LEFT JOIN one ON one.PSMId = p.SpecId")
+@query("pin_merge", FIX + _PIN + "SELECT coalesce(d.SpecId, p.SpecId) AS SpecId, d.RAW_FILE, d.SEQUENCE, p.Label, p.f_price, p.f_tax, CASE WHEN p.SpecId IS NOT NULL THEN one.score END AS percolator_score FROM dbi d FULL OUTER JOIN pin p ON d.SpecId = p.SpecId LEFT JOIN one ON one.PSMId = p.SpecId")
 def pin_merge(spark, sf_dir):
     rows, pin, scores = _pin(spark, sf_dir)
     return merge.merge_branch(rows, pin, scores).select("SpecId", "RAW_FILE", "SEQUENCE", "Label", "f_price", "f_tax", "percolator_score")
@@ -189,38 +195,55 @@ def ks_cutoff(spark, sf_dir):
     return ecdf.ks_table(*populations(scans(spark, sf_dir))).select("side", "n_reference", "n_other", F.round("statistic_D", 9).alias("statistic"), F.col("statistic_location").alias("cutoff"))
 
 
-@query("ks_summary")
+@query("ks_summary", FIX + "SELECT 'trusted_shared vs ' || side || '_only' AS comparison, n AS n_reference, m AS n_other, round(stat, 9) AS statistic_D, loc AS statistic_location, NULL::DOUBLE AS cutoff_iso_scores FROM ks UNION ALL SELECT 'cutoff_' || side, NULL, NULL, NULL, NULL, loc FROM ks")
 def ks_summary(spark, sf_dir):
+    """The summary without its p-values, see ks_pvalues."""
+    return _summary(spark, sf_dir).drop("pvalue").withColumn("statistic_D", F.round("statistic_D", 9))
+
+
+@query("ks_pvalues")
+def ks_pvalues(spark, sf_dir):
+    return _summary(spark, sf_dir).where("pvalue is not null").select("comparison", "pvalue")
+
+
+def _summary(spark, sf_dir):
     found = ecdf.ks_cutoffs(*populations(scans(spark, sf_dir)))
     return ecdf.summary(spark, found, {s: f"trusted_shared vs {s}_only" for s in SIDES})
 
 
-_CALLED = """, c AS (SELECT (SELECT loc FROM ks WHERE side = 'database') AS cd, (SELECT loc FROM ks WHERE side = 'denovo') AS cn),
+_CALLED = """, asked AS (SELECT 'database' AS side, ISO_scores_database AS v FROM scans WHERE ISO_scores_database IS NOT NULL UNION ALL SELECT 'denovo', ISO_scores_denovo FROM scans WHERE ISO_scores_denovo IS NOT NULL),
+good AS (SELECT g.side, g.v, round(le::DOUBLE / nn.n, 9) AS goodness FROM (SELECT side, v, sum(a) OVER (PARTITION BY side ORDER BY v) AS le FROM
+  (SELECT side, v, sum(r) AS a FROM (SELECT side, v, 1 AS r FROM ref UNION ALL SELECT side, v, 0 FROM asked) GROUP BY side, v)) g JOIN nn ON nn.side = g.side),
+c AS  (SELECT (SELECT loc FROM ks WHERE side = 'database') AS cd, (SELECT loc FROM ks WHERE side = 'denovo') AS cn),
 lists AS (
   SELECT SpecId, RAW_FILE, SCAN_NUMBER, ISO_scores_database, ISO_scores_denovo, SCORE_denovo AS CASANOVO_SCORE, SCORE_database AS DATABASE_SCORE, percolator_score_database AS PERCOLATOR_SCORE_DATABASE,
          replace(_merge, '_only', '') AS DETECTION_LEVEL, coalesce(SEQUENCE_denovo, SEQUENCE_database) AS SEQUENCE, replace(AA_SCORE_denovo, '|', ',') AS CASANOVO_AA_SCORE,
          CASE WHEN ISO_scores_database >= cd THEN 'GOOD' WHEN ISO_scores_database IS NOT NULL THEN 'BAD' END AS CALL_database,
-         CASE WHEN ISO_scores_denovo >= cn THEN 'GOOD' WHEN ISO_scores_denovo IS NOT NULL THEN 'BAD' END AS CALL_denovo
-  FROM scans, c)
+         CASE WHEN ISO_scores_denovo >= cn THEN 'GOOD' WHEN ISO_scores_denovo IS NOT NULL THEN 'BAD' END AS CALL_denovo,
+         gd.goodness AS TP_GOODNESS_database, gn.goodness AS TP_GOODNESS_denovo
+  FROM scans CROSS JOIN c LEFT JOIN good gd ON gd.side = 'database' AND gd.v = ISO_scores_database LEFT JOIN good gn ON gn.side = 'denovo' AND gn.v = ISO_scores_denovo)
 """
 
 
-def _cutoffs(df):
-    return {s: v["statistic_location"] for s, v in ecdf.ks_cutoffs(*populations(df)).items()}
+def _called(spark, sf_dir):
+    df = scans(spark, sf_dir)
+    reference, other = populations(df)
+    cutoffs = {s: v["statistic_location"] for s, v in ecdf.ks_cutoffs(reference, other).items()}
+    for s in SIDES:
+        df = ecdf.with_goodness(df, reference.where(F.col("side") == s).select("v"), f"ISO_scores_{s}", f"TP_GOODNESS_{s}")
+    return calls.call_lists(df, cutoffs)
 
 
-@query("good_list", FIX + _CALLED + "SELECT * FROM lists WHERE CASE DETECTION_LEVEL WHEN 'denovo' THEN CALL_denovo ELSE CALL_database END = 'GOOD'")
+@query("good_list", FIX + _CALLED + "SELECT *, CASE DETECTION_LEVEL WHEN 'denovo' THEN TP_GOODNESS_denovo ELSE TP_GOODNESS_database END AS TP_GOODNESS FROM lists WHERE CASE DETECTION_LEVEL WHEN 'denovo' THEN CALL_denovo ELSE CALL_database END = 'GOOD'")
 def good_list(spark, sf_dir):
-    df = scans(spark, sf_dir)
-    df = df.withColumns({f"TP_GOODNESS_{s}": F.lit(0.0) for s in SIDES})
-    return calls.call_lists(df, _cutoffs(df)).where("CALL = 'GOOD'").drop("CALL", "TP_GOODNESS", *(f"TP_GOODNESS_{s}" for s in SIDES))
+    goodness = ["TP_GOODNESS", *(f"TP_GOODNESS_{s}" for s in SIDES)]
+    return _called(spark, sf_dir).where("CALL = 'GOOD'").drop("CALL").withColumns({c: F.round(c, 9) for c in goodness})
 
 
-@query("call_counts", FIX + _CALLED + "SELECT DETECTION_LEVEL, CALL_database, CALL_denovo, count(*) AS n FROM lists GROUP BY ALL")
+@query("call_counts", FIX + _CALLED + "SELECT DETECTION_LEVEL, CALL_database, CALL_denovo, count(*) AS n, round(sum(TP_GOODNESS_database), 4) AS goodness_database, round(sum(TP_GOODNESS_denovo), 4) AS goodness_denovo FROM lists GROUP BY ALL")
 def call_counts(spark, sf_dir):
-    df = scans(spark, sf_dir)
-    df = df.withColumns({f"TP_GOODNESS_{s}": F.lit(0.0) for s in SIDES})
-    return calls.call_lists(df, _cutoffs(df)).groupBy("DETECTION_LEVEL", "CALL_database", "CALL_denovo").agg(F.count("*").alias("n"))
+    total = [F.round(F.sum(F.round(f"TP_GOODNESS_{s}", 9)), 4).alias(f"goodness_{s}") for s in SIDES]
+    return _called(spark, sf_dir).groupBy("DETECTION_LEVEL", "CALL_database", "CALL_denovo").agg(F.count("*").alias("n"), *total)
 
 
 @query("denovo_only_list", FIX + ", r AS (SELECT ISO_scores AS v FROM dn WHERE SCORE >= 0.6) SELECT SpecId, RAW_FILE, SCAN_NUMBER, ISO_scores, round((SELECT count(*) FROM r WHERE r.v <= d.ISO_scores)::DOUBLE / (SELECT count(*) FROM r), 9) AS TP_GOODNESS, SCORE AS CASANOVO_SCORE, SEQUENCE, replace(AA_SCORE, '|', ',') AS CASANOVO_AA_SCORE, CASE WHEN ISO_scores >= 0.5 THEN 'GOOD' ELSE 'BAD' END AS call FROM dni d")
@@ -247,9 +270,24 @@ def shared_overview(spark, sf_dir):
     return plotdata.shared_overview(scans(spark, sf_dir)).withColumn("agreement", F.round("agreement", 9))
 
 
-@query("level_counts", FIX + "SELECT replace(_merge, '_only', '') AS level, count(*) AS n FROM scans GROUP BY 1")
+@query("level_counts", FIX + "SELECT level, count(*) FILTER (_merge = level || '_only' OR (_merge = 'shared' AND sequence_match = (level = 'shared'))) AS n FROM scans, (VALUES ('shared'), ('database'), ('denovo')) l(level) GROUP BY level")
 def level_counts(spark, sf_dir):
-    return plotdata.levels(scans(spark, sf_dir))
+    return plotdata.level_counts(scans(spark, sf_dir))
+
+
+def _denovo_plots(spark, sf_dir):
+    df = C.suffixed(views.branch(spark, sf_dir, "denovo"), "denovo").withColumn("_merge", F.lit("denovo_only"))
+    return plotdata.denovo_plots(df, ecdf.side_scores(df, {"denovo": C.trusted_denovo()}), ecdf.side_scores(df, {"denovo": C.denovo_rest()}))
+
+
+@query("denovo_length_density", FIX + "SELECT 'denovo' AS side, length(SEQUENCE)::INT AS length, count(*) AS n, round(count(*)::DOUBLE / (SELECT count(*) FROM dn WHERE SEQUENCE IS NOT NULL), 9) AS density, (SELECT median(length(SEQUENCE))::DOUBLE FROM dn) AS median FROM dn WHERE SEQUENCE IS NOT NULL GROUP BY 2")
+def denovo_length_density(spark, sf_dir):
+    return _denovo_plots(spark, sf_dir)["peptide_length"].withColumn("density", F.round("density", 9))
+
+
+@query("denovo_ecdf_grid", FIX + ", p AS (SELECT coalesce(SCORE >= 0.9, false) AS good, ISO_scores AS x FROM dn WHERE ISO_scores IS NOT NULL), gr AS (SELECT i::DOUBLE / 500 AS v FROM range(501) r(i)) SELECT 'denovo' AS side, round(v, 9) AS v, round((SELECT count(*) FROM p WHERE good AND x <= v)::DOUBLE / (SELECT count(*) FROM p WHERE good), 9) AS reference, round((SELECT count(*) FROM p WHERE NOT good AND x <= v)::DOUBLE / (SELECT count(*) FROM p WHERE NOT good), 9) AS other FROM gr")
+def denovo_ecdf_grid(spark, sf_dir):
+    return _denovo_plots(spark, sf_dir)["ks_vs_tp"].select("side", *(F.round(c, 9).alias(c) for c in ("v", "reference", "other")))
 
 
 @query("levenshtein_histogram", FIX + "SELECT levenshtein(SEQUENCE_database, SEQUENCE_denovo)::INT AS bin, count(*) AS n FROM scans WHERE _merge = 'shared' GROUP BY 1")
@@ -316,6 +354,23 @@ def align_events(spark, sf_dir):
     return similarity.classify_pairs(pairs).drop("events")
 
 
+@query("align_measures", FIX + _PAIRS + f"SELECT a, b, levenshtein(a, b)::INT AS levenshtein, abs(x.m - y.m) <= 0.000005 * greatest(x.m, y.m, 1.0) AS isobaric, list_sort(string_split(a, '')) = list_sort(string_split(b, '')) AS anagram, {_TIER.replace('lev', 'levenshtein(a, b)')} AS tier, x.m AS mass1, y.m AS mass2, a AS first_residues, b AS second_residues, true AS aligned, 'PSA - Tier ' || {_TIER.replace('lev', 'levenshtein(a, b)')} || CASE WHEN abs(x.m - y.m) <= 0.000005 * greatest(x.m, y.m, 1.0) THEN ' - ISOBARIC - ' ELSE ' - NONISOBARIC - ' END AS label FROM p JOIN ma x ON x.s = a JOIN ma y ON y.s = b WHERE a <> b")
+def align_measures(spark, sf_dir):
+    """What SQL can say of align_events: measures, the label up to its event, and that the aligned texts hold both peptides, with a mark for each place."""
+    out = align_events(spark, sf_dir)
+    whole = F.col("error").isNull() & (F.length("first") == F.length("second")) & (F.length("first") == F.length("marks"))
+    residues_of = (F.replace(c, F.lit("-"), F.lit("")).alias(f"{c}_residues") for c in ("first", "second"))
+    return out.select("a", "b", "levenshtein", "isobaric", "anagram", "tier", "mass1", "mass2", *residues_of, whole.alias("aligned"), F.regexp_extract("label", "^PSA - Tier [0-9] - (NON)?ISOBARIC - ", 0).alias("label"))
+
+
+@query("similarity_kinds", FIX + f", k AS (SELECT scans.*, levenshtein(SEQUENCE_database, SEQUENCE_denovo) AS lev FROM scans), ma AS (SELECT SEQUENCE AS s, {_MASS} AS m FROM (SELECT DISTINCT SEQUENCE_database AS SEQUENCE FROM scans WHERE _merge = 'shared' UNION SELECT SEQUENCE_denovo FROM scans WHERE _merge = 'shared')) SELECT CASE WHEN _merge = 'shared' THEN 'PSA - Tier ' || CASE WHEN sequence_match OR unmodified_sequence_match THEN '0' ELSE {_TIER}::VARCHAR || CASE WHEN abs(x.m - y.m) <= 0.000005 * greatest(x.m, y.m, 1.0) THEN ' - ISOBARIC' ELSE ' - NONISOBARIC' END END END AS kind, count(*) AS n, sum(CASE WHEN _merge <> 'shared' THEN NULL WHEN sequence_match OR unmodified_sequence_match THEN 0 ELSE lev END)::DOUBLE AS total_distance, 0::BIGINT AS errors FROM k LEFT JOIN ma x ON _merge = 'shared' AND x.s = SEQUENCE_database LEFT JOIN ma y ON _merge = 'shared' AND y.s = SEQUENCE_denovo GROUP BY 1")
+def similarity_kinds(spark, sf_dir):
+    """What SQL can say of similarity_labels: rows by tier and mass."""
+    out = similarity.with_similarity(scans(spark, sf_dir))
+    kind = F.regexp_extract("PSA", "^PSA - Tier [0-9]( - ISOBARIC| - NONISOBARIC)?", 0)
+    return out.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"), F.sum("PSA_LEVENSHTEIN").alias("total_distance"), F.count("PSA_ERROR").alias("errors"))
+
+
 @query("similarity_labels")
 def similarity_labels(spark, sf_dir):
     out = similarity.with_similarity(scans(spark, sf_dir))
@@ -328,5 +383,6 @@ def forest_scores(spark, sf_dir):
     rows = forest.training_set(forest.training_candidates(df).select(*C.features_of(df, "database")))
     nodes, model = forest.fit(rows, views.FEATURES)
     nodes.unpersist()
-    out = forest.rescaled(forest.score_sides(df, model, views.FEATURES).persist())
+    scored = forest.score_sides(df, model, views.FEATURES).select("RAW_FILE", "SCAN_NUMBER", "SpecId", *(f"ISO_{n}_{s}" for n in ("labels", "scores") for s in SIDES))
+    out = forest.rescaled(staged(scored, "forest-scores"))
     return out.select("RAW_FILE", "SCAN_NUMBER", "SpecId", *(f"ISO_{n}_{s}" for n in ("labels", "scores") for s in SIDES))

@@ -3,13 +3,28 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write df to a folder that driver and executors share (spark.checkpoint.dir; on one machine a local one) and read it back, for what is read more than once."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="pepweave-")
+    path = f"{base.rstrip('/')}/plans/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Let local Python workers import this package wherever the driver was started; on a cluster it is installed or sent with --py-files."""
     env, known = spark.sparkContext.environment, os.environ.get("PYTHONPATH", "").split(os.pathsep)

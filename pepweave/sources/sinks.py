@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import logging
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,22 +10,23 @@ from ..operators.calls import ranked
 from .readers import average_weights, exists, parse_weights, read_by_raw_file
 
 
-def write_by_raw_file(df: DataFrame, path: str, overwrite: bool = True, files_per_raw: int = 1) -> None:
+def write_by_raw_file(df: DataFrame, path: str, overwrite: bool = True) -> None:
     """A folder for each raw file. Without overwrite, raw files that are there already are left alone.
 
-    Rows of one raw file may go to several tasks (files_per_raw), so that a very large one does not wait on one."""
+    Adaptive execution splits a large raw file over tasks, and rows without a name likewise, by the advisory partition size."""
     spark = df.sparkSession
     if not overwrite and exists(spark, path):
         done = read_by_raw_file(spark, path).select(F.col("RAW_FILE").alias("__done")).distinct()
         df = df.join(done, F.col("RAW_FILE").eqNullSafe(F.col("__done")), "left_anti")
-    salt = [F.pmod(F.xxhash64("SCAN_NUMBER"), F.lit(files_per_raw))] if files_per_raw > 1 and "SCAN_NUMBER" in df.columns else []
-    out = df.repartition("RAW_FILE", *salt).write.partitionBy("RAW_FILE")
+    out = df.hint("rebalance", "RAW_FILE").write.partitionBy("RAW_FILE")
     (out.mode("overwrite") if overwrite else out.mode("append")).parquet(path)
 
 
-def write_list(df: DataFrame, path: str) -> None:
-    """One CSV, by goodness from the best, ties by raw file, scan and id."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_list(df: DataFrame, path: str, single: bool = False) -> None:
+    """A CSV folder of a ranked list, by goodness from the best, ties by raw file, scan and id; its parts by name are in order.
+
+    single: one part, which one task writes."""
+    (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_calls(called: DataFrame, folder: str) -> None:
@@ -44,8 +43,12 @@ def write_average_weights(spark: SparkSession, path: str, out_path: str, decimal
     """Averages of the bins' weights; a small text file either way."""
     header, norm, raw = parse_weights([r.value for r in spark.read.text(path).collect()])
     norm, raw = average_weights(norm), average_weights(raw)
+    # fixed values: the file's first line and layout
     lines = ["# Average weights across all bins", "\t".join(header), *("\t".join(f"{x:.{decimals}f}" for x in w) for w in (norm, raw))]
-    Path(out_path).write_text("\n".join(lines) + "\n")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out_path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(("\n".join(lines) + "\n").encode()))
+    out.close()
     return header, norm, raw
 
 

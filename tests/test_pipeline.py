@@ -1,6 +1,7 @@
 """Sources, merges and the whole run on a small synthetic fixture with the awkward rows."""
 
 import csv
+from dataclasses import replace
 from pathlib import Path
 
 import numpy as np
@@ -158,12 +159,79 @@ def test_weights(spark, tmp_path):
     assert (tmp_path / "out.txt").read_text().splitlines()[2] == "2.0000\t3.0000\t4.0000"
 
 
+def test_static_rescoring(spark, branches, tmp_path):
+    """Without scorer output of its own the de novo branch is scored by the database branch's averaged weights."""
+    import shutil
+
+    base, _ = branches
+    shutil.copytree(base, tmp_path / "in")
+    (tmp_path / "in/denovo/results/percolator/rescore.percolator.psms.txt").unlink()
+    (tmp_path / "in/database/results/percolator/rescore.percolator.weights.csv").write_text("# bins\nf1\tf2\tf3\tm0\n0\t0\t0\t0\n1\t2\t3\t4\nf1\tf2\tf3\tm0\n0\t0\t0\t0\n3\t2\t1\t0\n")
+    c = config(tmp_path / "in", tmp_path / "out", run_psa=False, run_iforest=False, run_postprocess=False, run_plotting=False)
+    merged = Pipeline(spark, c).run().merged["denovo"]
+    rows = merged.where("f1 is not null").select("f1", "f2", "f3", "percolator_score").collect()
+    assert len(rows) > 1000 and all(r.percolator_score == pytest.approx(2 * r.f1 + 2 * r.f2 + 2 * r.f3 + 2) for r in rows)
+    assert (tmp_path / "out/weights/rescore.percolator.weights.avg.csv").read_text().splitlines()[3] == "2.0000\t2.0000\t2.0000\t2.0000"
+    (tmp_path / "in/database/results/percolator/rescore.percolator.weights.csv").write_text("f1\tm0\n0\t0\n1\t2\n")
+    with pytest.raises(ValueError, match="2 weights"):
+        Pipeline(spark, c).run()
+
+
+def test_figures_of_scored_tables_without_calls(spark, branches, tmp_path):
+    base, _ = branches
+    Pipeline(spark, config(base, tmp_path / "a", run_postprocess=False)).run()
+    assert (tmp_path / "a/qc/score_quadrants_database.csv").exists() and not (tmp_path / "a/called").exists()
+    alone = config(base, tmp_path / "b", run_rescoring=False, run_psa=False, run_iforest=False, run_postprocess=False)
+    with pytest.raises(ConfigError, match="grove_forest_dir"):
+        Pipeline(spark, alone).run()
+    Pipeline(spark, replace(alone, grove_forest_dir=str(tmp_path / "a"))).run()
+    assert (tmp_path / "b/qc/score_quadrants_database.csv").exists()
+
+
+def test_lists_are_in_order(spark, tmp_path):
+    from pepweave.operators.calls import ranked
+
+    rng = np.random.default_rng(0)
+    rows = [(None if k % 50 == 0 else float(rng.integers(40)) / 40, f"run{rng.integers(3)}", int(rng.integers(30)), f"s{k}") for k in range(2000)]
+    df = spark.createDataFrame(rows, "TP_GOODNESS double, RAW_FILE string, SCAN_NUMBER long, SpecId string").repartition(4)
+    want = [r[3] for r in sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), *r[1:]))]
+    for single in (False, True):
+        path = tmp_path / f"list{single}.csv"
+        sinks.write_list(ranked(df), str(path), single)
+        parts = sorted(path.glob("part-*.csv"))
+        assert [r["SpecId"] for p in parts for r in csv.DictReader(p.open())] == want and (len(parts) == 1 or not single)
+
+
+def test_empty_tables_and_chosen_columns(spark, tmp_path):
+    schema = spark.createDataFrame([], "a int, b string").schema
+    assert readers.read_parquet(spark, str(tmp_path / "none"), schema=schema).columns == ["a", "b"]
+    spark.createDataFrame([(1, "x")], schema).write.parquet(str(tmp_path / "t"))
+    chosen = readers.read_parquet(spark, str(tmp_path / "t"), columns=["b"])
+    assert chosen.columns == ["b"] and "ReadSchema: struct<b:string>" in chosen._jdf.queryExecution().toString()
+
+
+def test_streamed_branches_meet(spark, tmp_path):
+    """Scans of one name and number meet within the watermark's time; grades are those of tables."""
+    from pepweave.streaming import join_branches
+
+    schema = "RAW_FILE string, SCAN_NUMBER long, SEQUENCE string, seen timestamp"
+    rows = {"database": [("r", 1, "PEPK", "00:00"), ("r", 2, "PEPR", "00:01"), ("r", 3, "AAAK", "00:00")], "denovo": [("r", 1, "PEPK", "00:05"), ("r", 2, "PPER", "00:02"), ("r", 3, "AAAK", "00:30"), ("s", 1, "PEPK", "00:00")]}
+    sides = []
+    for side, r in rows.items():
+        spark.createDataFrame(r, "RAW_FILE string, SCAN_NUMBER long, SEQUENCE string, t string").withColumn("seen", F.to_timestamp(F.concat(F.lit("2024-01-01 "), "t"))).drop("t").write.parquet(str(tmp_path / side))
+        sides.append(spark.readStream.schema(schema).parquet(str(tmp_path / side)))
+    q = join_branches(*sides, "seen").writeStream.format("memory").queryName("met").outputMode("append").start()
+    q.processAllAvailable()
+    q.stop()
+    assert sorted((r.SCAN_NUMBER, r.unmodified_sequence_match, r.tier) for r in spark.table("met").collect()) == [(1, True, 0), (2, False, 1)]
+
+
 def test_configuration(tmp_path):
     c = Config.from_dict({"outdir": "x"}).with_overrides(["iforest_features=[a, b]", "psa_max_raw_files=3", "thermo_exe=a=b"])
     assert c.iforest_features == ["a", "b"] and c.psa_max_raw_files == 3 and c.thermo_exe == "a=b" and c.run_plotting
     c.to_yaml(tmp_path / "c.yaml")
     assert Config.from_yaml(tmp_path / "c.yaml") == c
-    for bad in (lambda: Config.from_dict({"nope": 1}), lambda: c.with_overrides(["nope=1"]), lambda: c.with_overrides(["outdir"]), lambda: Config(run_rescoring=False).check(), lambda: Config(denovo_only=True).check(), lambda: Config(iforest_training_source="x").check(), lambda: Config().require("iforest_features")):
+    for bad in (lambda: Config.from_dict({"nope": 1}), lambda: c.with_overrides(["nope=1"]), lambda: c.with_overrides(["outdir"]), lambda: Config(run_rescoring=False).check(), lambda: Config(denovo_only=True).check(), lambda: Config(denovo_only=True, run_iforest=False).check(), lambda: Config(iforest_training_source="x").check(), lambda: Config().require("iforest_features")):
         with pytest.raises(ConfigError):
             bad()
     assert parse(["run", "--config", "c.yaml", "--set", "a=1", "--set", "b=2"]).overrides == ["a=1", "b=2"]
@@ -171,7 +239,7 @@ def test_configuration(tmp_path):
 
 def test_raw_file_names_stay_text(spark, tmp_path):
     rows = spark.createDataFrame([("001", 1), ("1", 2), (None, 3)], "RAW_FILE string, SCAN_NUMBER long")
-    sinks.write_by_raw_file(rows, str(tmp_path / "t"), files_per_raw=2)
+    sinks.write_by_raw_file(rows, str(tmp_path / "t"))
     sinks.write_by_raw_file(rows.withColumn("SCAN_NUMBER", F.lit(9).cast("long")).union(spark.createDataFrame([("2", 4)], rows.schema)), str(tmp_path / "t"), overwrite=False)
     out = readers.read_by_raw_file(spark, str(tmp_path / "t"))
     assert {(r.RAW_FILE, r.SCAN_NUMBER) for r in out.collect()} == {("001", 1), ("1", 2), (None, 3), ("2", 4)}
