@@ -16,7 +16,8 @@ Windows found are mapped back to the documents and their bytes removed.
 
 Defined cases: null text is empty; texts shorter than the length lose nothing; rows alike are documents of their own, so they
 remove each other's bytes; overlapping occurrences count; ids may be null or repeated; an empty table gives an empty
-result.
+result; columns other than the two are ignored, whatever their names. A text of any length is scanned in pieces of PIECE bytes; where its
+bytes are cut out, it is in memory whole.
 """
 
 from __future__ import annotations
@@ -26,10 +27,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, slices, stage_table, text_bytes
+from .common import mix64, shuffle_width, slices, stage_table, text_bytes
 
 LENGTH = 200
 GRAM = 64  # a power of two, at least 8
@@ -37,8 +39,9 @@ PIECE = 1 << 20
 SHARD = 1 << 22  # bytes of contexts in a suffix array
 FEW = 256  # contexts of an anchor from which they are told apart by more than the anchor
 CUT = 34  # windows that a cut of a context has at most
-MANY = 4096  # contexts of a cut that one task takes
+MANY = 512  # contexts of a cut that one block takes
 FILTER_BITS = 1 << 28
+MOST_TASKS = 100_000
 _POSITION = np.uint64((1 << 24) - 1)
 
 
@@ -81,12 +84,12 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     return h[x[first]], window[first], window[last], x[first]
 
 
-def pieces_of(data: np.ndarray, offsets: np.ndarray, length: int):
+def pieces_of(data: np.ndarray, offsets: np.ndarray, length: int, piece: int = PIECE):
     """(row, start in the text, bytes, offsets of their texts): many short texts at once, long ones in overlapping pieces."""
-    for a, b in slices(offsets, PIECE):
-        if b == a + 1 and offsets[b] - offsets[a] > PIECE:
-            for s in range(int(offsets[a]), int(offsets[b]), PIECE):
-                end = min(s + PIECE + length - 1, int(offsets[b]))
+    for a, b in slices(offsets, piece):
+        if b == a + 1 and offsets[b] - offsets[a] > piece:
+            for s in range(int(offsets[a]), int(offsets[b]), piece):
+                end = min(s + piece + length - 1, int(offsets[b]))
                 yield a, s - int(offsets[a]), data[s:end], np.array([0, end - s])
         else:
             yield a, 0, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
@@ -176,10 +179,10 @@ def _spans(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return offsets[np.concatenate([[0], cut + 1])], offsets[np.concatenate([cut, [len(offsets) - 1]])]
 
 
-def _anchor_counts(docs: DataFrame, length: int) -> DataFrame:
+def _anchor_counts(docs: DataFrame, length: int, piece: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            found = [anchors(d, o, length)[0] for _, _, d, o in pieces_of(*text_bytes(batch.column(0)), length)]
+            found = [anchors(d, o, length)[0] for _, _, d, o in pieces_of(*text_bytes(batch.column(0)), length, piece)]
             if found:
                 keys, counts = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], names=["key", "n"])
@@ -187,7 +190,7 @@ def _anchor_counts(docs: DataFrame, length: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key long, n long")
 
 
-def _contexts(docs: DataFrame, repeated: DataFrame, length: int, max_bits: int) -> DataFrame:
+def _contexts(docs: DataFrame, repeated: DataFrame, length: int, max_bits: int, piece: int) -> DataFrame:
     """Occurrences: id, h, key, lo, size, at (the anchor's place in it), ctx (digest), bytes (at a context's first occurrence in a task)."""
     n = repeated.count()
     by_join = n * 4 > max_bits
@@ -196,7 +199,7 @@ def _contexts(docs: DataFrame, repeated: DataFrame, length: int, max_bits: int)
 
         def mark(batches):
             for batch in batches:
-                for row, at, d, o in pieces_of(*text_bytes(batch.column(2)), length):
+                for row, at, d, o in pieces_of(*text_bytes(batch.column(2)), length, piece):
                     key, lo, _, _ = anchors(d, o, length)
                     rows = pa.array(row + np.searchsorted(o, lo, "right") - 1)
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(key.view(np.int64))], names=["id", "h", "key"])
@@ -219,7 +222,7 @@ def _contexts(docs: DataFrame, repeated: DataFrame, length: int, max_bits: int)
         seen: set[bytes] = set()
         for batch in batches:
             out = []
-            for row, at, d, o in pieces_of(*text_bytes(batch.column(2)), length):
+            for row, at, d, o in pieces_of(*text_bytes(batch.column(2)), length, piece):
                 key, lo, hi, x = anchors(d, o, length)
                 if live is not None:
                     s = (key & mask).astype(np.int64)
@@ -280,9 +283,11 @@ def _parted(contexts: DataFrame, many: int) -> DataFrame:
     return contexts.join(keys, "key").withColumn("block", F.pmod(F.xxhash64("ctx"), "blocks").cast("int"))
 
 
-def _shards(contexts: DataFrame, length: int) -> DataFrame:
+def _shards(contexts: DataFrame, length: int, total: int) -> DataFrame:
     """contexts: key, block, blocks, ctx, base (where bytes start in the context), bytes. Gives ctx, first, last (repeated windows) and, of split anchors, digests of windows with ctx and offset (or none) to be merged."""
-    rows = contexts.repartition("key", "block").sortWithinPartitions("key", "block", "ctx").select("key", "block", "blocks", "ctx", "base", "bytes")
+    # a task for each shard's worth of bytes: what a task costs goes by them, and partitions that are given by number are not put together
+    tasks = min(MOST_TASKS, max(shuffle_width(contexts.sparkSession), -(-total // SHARD)))
+    rows = contexts.repartition(tasks, "key", "block").sortWithinPartitions("key", "block", "ctx").select("key", "block", "blocks", "ctx", "base", "bytes")
 
     def solve(group: list[tuple]):
         """group: whole runs of (key, block), each context once: (split, ctx, bytes, base)."""
@@ -335,39 +340,51 @@ def _shards(contexts: DataFrame, length: int) -> DataFrame:
 
 def _merged(found: DataFrame) -> DataFrame:
     """Across shards of one anchor: windows whose digest other shards have too, as ctx, first, last."""
-    rows = found.where("digest is not null").select("digest", "member", "place").repartition("digest")
+    rows = found.where("digest is not null").select("digest", "member", "place").repartition("digest").sortWithinPartitions("digest")
 
     def run(batches):
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
-            return
-        t = pa.Table.from_batches(batches)
-        digest = np.array(t.column("digest").to_pylist(), "V16").view(">u8").reshape(-1, 2)
-        digest = np.rec.fromarrays([digest[:, 0].astype(np.uint64), digest[:, 1].astype(np.uint64)])
-        ordered = np.sort(digest)
-        many = np.searchsorted(ordered, digest, "right") - np.searchsorted(ordered, digest, "left") > 1
-        keep = t.filter(pa.array(many)).filter(pa.compute.is_valid(t.filter(pa.array(many)).column("member")))
-        for b in keep.combine_chunks().to_batches():
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), b.column(2)], names=["ctx", "first", "last"])
+        pending, last = None, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            raw = b.column(0)
+            digest = np.array(raw.to_pylist(), "V16").view(">u8").reshape(-1, 2).astype(np.uint64)
+            digest = np.rec.fromarrays([digest[:, 0], digest[:, 1]])  # in order
+            lo, hi = np.searchsorted(digest, digest, "left"), np.searchsorted(digest, digest, "right")
+            many = hi - lo > 1
+            if last == raw[0].as_py():  # the run goes on from the batch before
+                many |= lo == 0
+                if pending is not None:
+                    yield pending
+            last, pending = raw[-1].as_py(), None if many[-1] else kept(b.slice(b.num_rows - 1))
+            yield kept(b.filter(pa.array(many)))
+
+    def kept(b: pa.RecordBatch) -> pa.RecordBatch:
+        b = b.filter(pa.compute.is_valid(b.column(1)))
+        return pa.RecordBatch.from_arrays([b.column(1), b.column(2), b.column(2)], names=["ctx", "first", "last"])
 
     return rows.mapInArrow(run, "ctx binary, first long, last long")
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, max_bits: int = FILTER_BITS, many: int = MANY, few_from: int = FEW) -> DataFrame:
+def _size(contexts: DataFrame) -> int:
+    return contexts.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, max_bits: int = FILTER_BITS, many: int = MANY, few_from: int = FEW, piece: int = PIECE) -> DataFrame:
     """docs: id, h, text. Gives id, h, lo, hi: first and last start of windows of the text that occur elsewhere."""
-    counts = _anchor_counts(docs, length).groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
+    counts = _anchor_counts(docs, length, piece).groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
     repeated = stage_table(counts, "anchors")
-    seen = stage_table(_contexts(docs, repeated, length, max_bits), "contexts")
+    seen = stage_table(_contexts(docs, repeated, length, max_bits, piece), "contexts")
 
     classes = stage_table(seen.groupBy("key", "ctx").agg(F.count("*").alias("n"), F.max("size").alias("size"), F.count("bytes").alias("copies")), "context-classes")
     keys = classes.groupBy("key").agg(F.count("*").alias("kinds"), F.sum("copies").alias("rows")).where("kinds > 1")
     mixed = stage_table(seen.where("bytes is not null").join(keys.select("key", "rows"), "key").select("key", "ctx", "at", "bytes", "rows"), "mixed-contexts")
     few = mixed.where(F.col("rows") <= few_from).select("key", "ctx", F.lit(0).cast("long").alias("base"), "bytes", F.lit(1).alias("blocks"), F.lit(0).alias("block"))
-    parts = few
+    parts, total = few, _size(mixed.where(F.col("rows") <= few_from))
     if mixed.where(F.col("rows") > few_from).limit(1).count():
         cuts = stage_table(_refined(mixed.where(F.col("rows") > few_from), length), "cuts")
-        parts = few.unionByName(_parted(cuts, many))
-    found = stage_table(_shards(parts, length), "windows")
+        parts, total = few.unionByName(_parted(cuts, many)), total + _size(cuts)
+    found = stage_table(_shards(parts, length, total), "windows")
 
     whole = classes.where("n > 1").select("ctx", F.lit(0).cast("long").alias("first"), (F.col("size") - length).alias("last"))
     windows = whole.unionByName(found.where("ctx is not null").select("ctx", "first", "last"))
@@ -378,10 +395,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, max_bits: int = FILTER
     return hits.select("id", "h", (F.col("lo") + F.col("r.first")).alias("lo"), (F.col("lo") + F.col("r.last")).alias("hi"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, max_bits: int = FILTER_BITS, many: int = MANY, few_from: int = FEW) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, max_bits: int = FILTER_BITS, many: int = MANY, few_from: int = FEW, piece: int = PIECE) -> DataFrame:
     """Per row: id_col, n_bytes, removed (array of start, end in bytes), kept (the remaining bytes)."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    spans = repeated_spans(docs, length, max_bits, many, few_from).groupBy(F.col("id").alias("id2"), F.col("h").alias("h2")).agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
+    spans = repeated_spans(docs, length, max_bits, many, few_from, piece).groupBy(F.col("id").alias("id2"), F.col("h").alias("h2")).agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
     rows = docs.join(spans, F.col("id").eqNullSafe(F.col("id2")) & (F.col("h") == F.col("h2")), "left").select("id", "text", "runs")
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 

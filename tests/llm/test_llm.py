@@ -617,7 +617,7 @@ def removed_by_hand(texts, length):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"max_bits": 8, "many": 2, "few_from": 2}, {"few_from": 1}, {"max_bits": 8}])
+@pytest.mark.parametrize("options", [{}, {"max_bits": 8, "many": 2, "few_from": 2}, {"few_from": 1}, {"max_bits": 8}, {"piece": 256}, {"piece": 256, "many": 2, "few_from": 1}])
 def test_repeats_against_brute_force(spark, options):
     rng = np.random.default_rng(4)
     base = ["".join(rng.choice(list("abcd é"), 900)) for _ in range(3)]
@@ -628,6 +628,49 @@ def test_repeats_against_brute_force(spark, options):
     assert got == sorted(removed_by_hand([(t or "").encode() for t in texts], 200))
 
 
+def test_repeats_in_texts_of_several_pieces(spark):
+    """Texts of more than 1 MiB, with repeats within and across the bounds of their pieces."""
+    rng = np.random.default_rng(9)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz     é"))
+    a, b = ("".join(rng.choice(letters, n)) for n in (1_150_000, 1_250_000))
+    near = suffix_dedup.PIECE - 5 * a[: suffix_dedup.PIECE // 2].count("é")
+    texts = [a, b[:700_000] + a[near - 40_000 : near + 40_000] + b[700_000:] + b[300:900], "and " + b[-450:], "z" * 1_100_000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {}
+    for piece in (suffix_dedup.PIECE, 1 << 17):
+        out = suffix_dedup.remove_repeats(rows, piece=piece).collect()
+        got[piece] = {r.doc_id: (r.n_bytes, sum(s.end - s.start for s in r.removed), len(r.removed), hashlib.sha256(r.kept).hexdigest()) for r in out}
+    want = removed_by_hash([t.encode() for t in texts], 200)
+    assert got[suffix_dedup.PIECE] == got[1 << 17] == {k: (n, m, s, hashlib.sha256(x).hexdigest()) for k, (n, m, s, x) in enumerate(want)}
+    assert want[3][1] == 1_100_000 and want[0][1] > 79_000
+
+
+def removed_by_hash(texts, length):
+    """removed_by_hand with windows told apart by a rolling hash, for long texts."""
+    mod, base = (1 << 61) - 1, 911382323
+    top, count, hashes = pow(base, length - 1, mod), collections.Counter(), []
+    for t in texts:
+        h, own = 0, []
+        for k, c in enumerate(t):
+            if k >= length:
+                h = (h - t[k - length] * top) % mod
+            h = (h * base + c) % mod
+            if k >= length - 1:
+                own.append(h)
+        hashes.append(own)
+        count.update(own)
+    out = []
+    for t, own in zip(texts, hashes, strict=True):
+        edge = np.zeros(len(t) + 2, np.int64)
+        starts = np.array([k for k, h in enumerate(own) if count[h] > 1], np.int64)
+        np.add.at(edge, starts, 1)
+        np.add.at(edge, starts + length, -1)
+        gone = edge.cumsum()[: len(t)] > 0
+        spans = int((gone[1:] & ~gone[:-1]).sum() + (len(gone) and gone[0]))
+        out.append((len(t), int(gone.sum()), spans, np.frombuffer(t, np.uint8)[~gone].tobytes()))
+    return out
+
+
 def test_repeats_awkward_rows(spark, docs):
     out = suffix_dedup.remove_repeats(docs).collect()
     assert len(out) == len(ROWS) and suffix_dedup.remove_repeats(none(spark)).count() == 0
