@@ -113,41 +113,66 @@ def _decode_rows(x: np.ndarray, place: np.ndarray, words: np.ndarray, steps: int
     return out.reshape(len(x), -1)
 
 
-def read_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-    """Document ids, their lengths, and all tokens; raises CorruptSegment if a checksum does not hold."""
+def _directory(data: bytes):
+    """ids, null flags, lengths, symbols, frequencies, block table, number of tokens, and where the blocks start."""
     magic, docs, n, bits, n_symbols, blocks, crc = HEADER.unpack_from(data)
     at = HEADER.size
     size = docs * 13 + n_symbols * 8 + blocks * 12
     if magic != MAGIC or bits != SCALE_BITS or zlib.crc32(data[at : at + size]) != crc:
         raise CorruptSegment("bad header")
+    parts = []
+    for kind, count in (("<i8", docs), ("u1", docs), ("<u4", docs), ("<u4", n_symbols), ("<u4", n_symbols), ("<u4", blocks * 3)):
+        parts.append(np.frombuffer(data, kind, count, at))
+        at += parts[-1].nbytes
+    return *parts[:5], parts[5].reshape(-1, 3), n, at
+
+
+def _block(data: bytes, k: int, row, at: int):
+    """Checkpoints' places and states, words and end of block k, which starts at `at`."""
+    count, n_words, want = (int(v) for v in row)
+    steps = -(-count // LANES)
+    marks = -(-steps // (INTERVAL // LANES))
+    end = at + marks * (4 + 8 * LANES) + 4 * n_words
+    if zlib.crc32(data[at:end]) != want:
+        raise CorruptSegment(f"bad block {k}")
+    places = np.frombuffer(data, "<u4", marks, at)
+    states = np.frombuffer(data, "<u8", marks * LANES, at + places.nbytes).reshape(marks, LANES)
+    return steps, places, states, np.frombuffer(data, "<u4", n_words, end - 4 * n_words), end
+
+
+def _symbol_table(freq: np.ndarray):
+    return np.repeat(np.arange(len(freq), dtype=np.uint32), freq), freq.astype(np.uint64), (np.cumsum(freq, dtype=np.int64) - freq).astype(np.uint64)
+
+
+def read_interval(data: bytes, k: int) -> np.ndarray:
+    """Tokens k * INTERVAL and on of a segment, up to INTERVAL of them, decoded alone; only the header and the block they are in are read."""
+    _, _, _, symbols, freq, table, n, at = _directory(data)
+    if not 0 <= k * INTERVAL < n:
+        raise IndexError(k)
+    block, mark = divmod(k, BLOCK // INTERVAL)
+    marks = -(-(-(-table[:block, 0].astype(np.int64) // LANES)) // (INTERVAL // LANES))
+    at += int((marks * (4 + 8 * LANES) + 4 * table[:block, 1].astype(np.int64)).sum())
+    steps, places, states, words, _ = _block(data, block, table[block], at)
+    per = INTERVAL // LANES
+    ranks = _decode_rows(states[mark : mark + 1].copy(), places[mark : mark + 1], words.astype(np.uint64), min(per, steps - mark * per), *_symbol_table(freq))
+    return symbols[ranks[0]][: n - k * INTERVAL]
 
-    def take(kind: str, count: int) -> np.ndarray:
-        nonlocal at
-        found = np.frombuffer(data, kind, count, at)
-        at += found.nbytes
-        return found
 
-    ids, nulls, lengths = take("<i8", docs), take("u1", docs), take("<u4", docs)
-    symbols, freq, table = take("<u4", n_symbols), take("<u4", n_symbols), take("<u4", blocks * 3).reshape(-1, 3)
-    symbol = np.repeat(np.arange(n_symbols, dtype=np.uint32), freq)
-    f64, c64 = freq.astype(np.uint64), (np.cumsum(freq, dtype=np.int64) - freq).astype(np.uint64)
+def read_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
+    """Document ids, their lengths, and all tokens; raises CorruptSegment if a checksum does not hold."""
+    ids, nulls, lengths, symbols, freq, table, n, at = _directory(data)
     rows: dict[int, list] = {}  # by number of steps
-    streams, base = [], 0
-    for k, (count, n_words, want) in enumerate(table.tolist()):
-        steps, per = -(-count // LANES), INTERVAL // LANES
-        marks = -(-steps // per)
-        start = at
-        places, states, words = take("<u4", marks), take("<u8", marks * LANES).reshape(marks, LANES), take("<u4", n_words)
-        if zlib.crc32(data[start:at]) != want:
-            raise CorruptSegment(f"bad block {k}")
+    streams, base, per = [], 0, INTERVAL // LANES
+    for k, row in enumerate(table):
+        steps, places, states, words, at = _block(data, k, row, at)
         streams.append(words)
-        for m in range(marks):
+        for m in range(len(places)):
             rows.setdefault(min(per, steps - m * per), []).append((k * BLOCK + m * INTERVAL, states[m], base + int(places[m])))
-        base += n_words
+        base += len(words)
     words = np.concatenate(streams).astype(np.uint64) if streams else np.zeros(0, np.uint64)
-    out = np.zeros(n + INTERVAL, np.uint32)
+    out, tables = np.zeros(n + INTERVAL, np.uint32), _symbol_table(freq)
     for steps, group in rows.items():
-        ranks = _decode_rows(np.array([g[1] for g in group], np.uint64), np.array([g[2] for g in group]), words, steps, symbol, f64, c64)
+        ranks = _decode_rows(np.array([g[1] for g in group], np.uint64), np.array([g[2] for g in group]), words, steps, *tables)
         for (to, _, _), r in zip(group, ranks, strict=True):
             out[to : to + len(r)] = symbols[r][: len(out) - to]
     return [None if z else int(i) for i, z in zip(ids, nulls, strict=True)], lengths, out[:n]

@@ -1,16 +1,22 @@
-"""Token-ID output: tokenise documents, write them as rANS segments in ascending id order, and read them back.
+"""Token-ID output: tokenise documents, write them as files of rANS segments in ascending id order, and read the files back.
 
-Rows are dealt by ranges of the id, so file k holds smaller ids than file k + 1; each task encodes its range in order and
-cuts it into segments of about SEGMENT tokens, each with its own frequency table (see rans). Segments are stored
-in Parquet, whose commit makes the output safe from retried tasks and lost executors on any file system that Spark writes;
-export_segments() hands out the same bytes as plain files. Decoding is one task per group of segments.
+Rows are dealt by ranges of the id, so file group k holds smaller ids than group k + 1; each task encodes its range in order and
+cuts it into segments of about SEGMENT tokens, each with its own frequency table (see rans). A segment is a file
+<group>-<segment>-<tokens of the group before it>.rans: the task writes it under another name and renames it when it is whole. A task that
+is run again makes the same bytes under the same names, so lost executors and retries do no harm. Tasks return a row for each file
+(the manifest), which Spark commits; files are read by Spark's binary source, and where a group starts follows from the manifest.
+
+Workers write to file systems that pyarrow knows (local or shared folders, HDFS, object stores); where it does not know that of the
+folder, segments are kept as rows of a Parquet dataset, with the same bytes. Decoding is one task per group of segments.
 
 Defined cases: null text is empty, so the document is its end id alone; null ids come first; rows alike are all
-written; the order of rows with one id is that of their text hashes; an empty table gives no segment and no rows.
+written; the order of rows with one id is that of their text hashes; columns other than the two are ignored, whatever their names; a
+text of any length is one document, encoded whole; an empty table gives no file and no rows.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import numpy as np
@@ -20,15 +26,43 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import rans
-from .common import shuffle_width, stage_table
+from .common import shared_dir, shuffle_width, stage_table
 from .tokenizing import encoder
 
 SEGMENT = 1 << 20
 SEGMENT_SCHEMA = "file int, segment int, start_in_file long, n_docs int, n_tokens long, data binary"
 
 
-def write_segments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = 0, files: int | None = None) -> DataFrame:
-    """The segments (SEGMENT_SCHEMA), lazily; write the result where it shall stay. tokenizer: a path, by default the public byte-level one."""
+def _store(folder: str):
+    """The file system of a qualified folder, and the folder's path there; None if pyarrow knows none."""
+    from pyarrow import fs
+
+    if folder.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+    try:
+        return fs.FileSystem.from_uri(folder)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return None
+
+
+def _put(folder: str, name: str, data: bytes) -> None:
+    """A whole file or none, whoever else writes the same one."""
+    store, base = _store(folder)
+    part = f"{base}/_{uuid.uuid4().hex}.part"
+    with store.open_output_stream(part) as f:
+        f.write(data)
+    try:
+        store.move(part, f"{base}/{name}")
+    except OSError:  # some file systems don't rename over a file: another attempt has written the same bytes
+        if store.get_file_info(f"{base}/{name}").size != len(data):
+            raise
+        store.delete_file(part)
+
+
+def write_segments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = 0, files: int | None = None, folder: str | None = None) -> DataFrame:
+    """The segments (SEGMENT_SCHEMA), lazily; write the result where it shall stay. tokenizer: a path, by default the public byte-level one.
+
+    folder: qualified; tasks write each segment as a file there and return its name as data."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
     rows = rows.repartitionByRange(files or shuffle_width(docs.sparkSession), *order).sortWithinPartitions(*order)
@@ -40,7 +74,12 @@ def write_segments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         def cut():
             nonlocal segment, start, held
             lengths, flat = np.array([len(t) for t in tokens], np.uint32), np.concatenate(tokens)
-            row = (file, segment, start, len(ids), len(flat), rans.write_segment(ids, lengths, flat))
+            data = rans.write_segment(ids, lengths, flat)
+            if folder:
+                name = f"{file:06d}-{segment:06d}-{start:012d}.rans"
+                _put(folder, name, data)
+                data = name.encode()
+            row = (file, segment, start, len(ids), len(flat), data)
             segment, start, held = segment + 1, start + len(flat), 0
             ids.clear(), tokens.clear()
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["file", "segment", "start_in_file", "n_docs", "n_tokens", "data"])
@@ -63,8 +102,22 @@ def read_documents(segments: DataFrame, with_ids: bool = False) -> DataFrame:
     totals = segments.groupBy("file").agg(F.sum("n_tokens").alias("n"))  # a row per file
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("file_start"))
-    rows = segments.join(starts, "file").select((F.col("file_start") + F.col("start_in_file")).alias("start"), "data")
+    return _decoded(segments.join(F.broadcast(starts), "file").select((F.col("file_start") + F.col("start_in_file")).alias("start"), "data"), with_ids)
 
+
+def read_files(folder: str, manifest: DataFrame, with_ids: bool = False) -> DataFrame:
+    """read_documents of the files in a folder. manifest: what write_segments gave for it."""
+    name = F.element_at(F.split("path", "/"), -1)
+    part = F.split(name, "[-.]")
+    files = manifest.sparkSession.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.rans").load(folder)
+    segments = files.select(part[0].cast("int").alias("file"), part[2].cast("long").alias("start_in_file"), F.col("content").alias("data"))
+    totals = manifest.groupBy("file").agg(F.sum("n_tokens").alias("n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("file_start"))  # a row per range of ids, of which there are `files`
+    return _decoded(segments.join(F.broadcast(starts), "file").select((F.col("file_start") + F.col("start_in_file")).alias("start"), "data"), with_ids)
+
+
+def _decoded(rows: DataFrame, with_ids: bool) -> DataFrame:
     def run(batches):
         for batch in batches:
             for first, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -81,6 +134,18 @@ def read_documents(segments: DataFrame, with_ids: bool = False) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids)
 
 
+def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0, files: int | None = None) -> tuple[str, DataFrame] | None:
+    """Write docs as files of a new folder; gives its qualified path and the manifest. None where workers can't write there."""
+    spark = docs.sparkSession
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folder = system.makeQualified(target).toString()
+    if _store(folder) is None:
+        return None
+    system.mkdirs(target)
+    return folder, stage_table(write_segments(docs, tokenizer=tokenizer, end_id=end_id, files=files, folder=folder), "token-manifest")
+
+
 def export_segments(segments: DataFrame, folder: str) -> None:
     """Each segment as a file <file>-<segment>.rans of a folder that the driver can write; streams one at a time."""
     import os
@@ -92,4 +157,8 @@ def export_segments(segments: DataFrame, folder: str) -> None:
 
 
 def encode_and_read(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0) -> DataFrame:
-    return read_documents(stage_table(write_segments(docs, tokenizer=tokenizer, end_id=end_id), "tokens"))
+    """Per document doc_id, start, n_tokens, ids_crc32, read back from files in the shared folder."""
+    written = write_files(docs, f"{shared_dir(docs.sparkSession)}/stage/token-files-{uuid.uuid4().hex}", tokenizer, end_id)
+    if written is None:
+        return read_documents(stage_table(write_segments(docs, tokenizer=tokenizer, end_id=end_id), "tokens"))
+    return read_files(*written)

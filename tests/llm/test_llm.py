@@ -140,6 +140,10 @@ def test_rans_round_trip(n):
     data = rans.write_segment([7, None], lengths, tokens)
     ids, sizes, back = rans.read_segment(data)
     assert ids == [7, None] and np.array_equal(sizes, lengths) and np.array_equal(back, tokens)
+    for k in range(-(-n // rans.INTERVAL)):
+        assert np.array_equal(rans.read_interval(data, k), tokens[k * rans.INTERVAL : (k + 1) * rans.INTERVAL])
+    with pytest.raises(IndexError):
+        rans.read_interval(data, -(-n // rans.INTERVAL))
     if n:
         with pytest.raises(rans.CorruptSegment):
             rans.read_segment(data[:-1] + bytes([data[-1] ^ 1]))
@@ -161,6 +165,15 @@ def test_token_files(spark, docs, tmp_path):
     assert sum(len(rans.read_segment(p.read_bytes())[2]) for p in (tmp_path / "out").iterdir()) == at
     assert token_files.read_documents(segments, with_ids=True).where("doc_id = 6").first().ids == encoded("Été à Noël", 0)
     assert token_files.encode_and_read(none(spark)).count() == 0
+    folder, manifest = token_files.write_files(docs, str(tmp_path / "files"), files=3)
+    names = sorted(p.name for p in (tmp_path / "files").glob("*.rans"))
+    assert names == sorted(bytes(r.data).decode() for r in manifest.collect()) and not list((tmp_path / "files").glob("*.part"))
+    assert sorted(map(tuple, token_files.read_files(folder, manifest).collect()), key=lambda r: r[1]) == want
+    whole = (tmp_path / "files" / names[0]).read_bytes()
+    token_files._put(folder, names[0], whole)  # a second attempt
+    assert (tmp_path / "files" / names[0]).read_bytes() == whole
+    in_order = [i for n in names for i in rans.read_segment((tmp_path / "files" / n).read_bytes())[0]]
+    assert in_order == [w[0] for w in want]
 
 
 def test_packing(spark, docs):
