@@ -9,7 +9,7 @@ Groups that hold a 1/HEAVY_SHARE part of all rows are at most HEAVY_SHARE, so th
 shuffle; no other group is large enough to weigh on one task. The group table is pre-aggregated map-side.
 
 Defined cases: null text is the empty text; a null id ranks below all others; of rows alike in id and text one stays;
-an empty table gives an empty result; columns named like the outputs are replaced.
+an empty table gives an empty result; columns named like the outputs are replaced; texts of any length are hashed whole.
 """
 
 from __future__ import annotations
@@ -41,10 +41,24 @@ def _maybe_repeated(rows: DataFrame, bitmaps: DataFrame, bits: int) -> DataFrame
     return with_bits(rows, _slots(F.col("__sha"), bits), bitmaps)
 
 
+def _fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return stage_table(docs.select(F.col(id_col).alias("__id"), digest(F.col(text_col)).alias("__sha")), "fingerprints")
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 1 << 28) -> DataFrame:
     """All rows and columns of docs with keep_id, group_size, kept, text_sha256; texts equal up to A-Z case form a group and its largest id stays."""
-    ids = docs.drop(*(c for c in OWN if c not in (id_col, text_col)))
-    prints = stage_table(ids.select(F.col(id_col).alias("__id"), digest(F.col(text_col)).alias("__sha")), "fingerprints")
+    docs = docs.drop(*(c for c in OWN if c not in (id_col, text_col)))
+    return _marked(docs.withColumn("__sha", digest(F.col(text_col))), _fingerprints(docs, id_col, text_col), id_col, max_bits)
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 1 << 28) -> DataFrame:
+    """The same without columns of docs but the id: texts are read and hashed once, and rows of some 50 bytes go through the filter."""
+    prints = _fingerprints(docs, id_col, text_col)
+    return _marked(prints.select(F.col("__id").alias(id_col), "__sha"), prints, id_col, max_bits)
+
+
+def _marked(ids: DataFrame, prints: DataFrame, id_col: str, max_bits: int) -> DataFrame:
+    """ids (id_col, __sha and others) with OWN; prints: __id and __sha of the same rows."""
     n = prints.count()
     bits = bit_count(n, max_bits)
     bitmaps = stage_table(repeated_bits(prints, bits), "repeated-bits")
@@ -58,7 +72,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = stage_table(groups.where("__size > 1"), "groups")
     heavy_from = max(2, -(-n // HEAVY_SHARE))
 
-    rows = _maybe_repeated(ids.withColumn("__sha", digest(F.col(text_col))), bitmaps, bits)
+    rows = _maybe_repeated(ids, bitmaps, bits)
     none = {"__size": F.lit(1).cast("long"), "__keep": F.col(id_col), "__tie": F.lit(False)}
     straight = rows.where("not __maybe").withColumns(none)
     heavy = F.broadcast(groups.where(F.col("__size") >= heavy_from))

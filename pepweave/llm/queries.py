@@ -14,7 +14,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = exact_dedup.exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 

@@ -88,6 +88,8 @@ def test_exact_dedup_with_a_full_filter_and_a_heavy_group(spark):
         want[r.text].append(r.doc_id)
     assert all(r.group_size == len(want[r.text]) and r.keep_id == max(want[r.text]) and r.kept == (r.doc_id == r.keep_id) for r in out)
     assert exact_dedup.exact_dedup(rows).where("kept").count() == len(want)
+    cols = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    assert sorted(exact_dedup.exact_groups(rows).select(*cols).collect()) == sorted(r for r in exact_dedup.exact_dedup(rows).select(*cols).collect())
 
 
 # mixing
