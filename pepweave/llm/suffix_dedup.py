@@ -36,7 +36,7 @@ from .common import mix64, shuffle_width, slices, stage_table, text_bytes
 LENGTH = 200
 GRAM = 64  # a power of two, at least 8
 PIECE = 1 << 20
-SHARD = 1 << 22  # bytes of contexts in a suffix array
+SHARD = 1 << 21  # bytes of contexts in a suffix array
 FEW = 256  # contexts of an anchor from which they are told apart by more than the anchor
 CUT = 34  # windows that a cut of a context has at most
 MANY = 512  # contexts of a cut that one block takes
