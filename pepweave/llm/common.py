@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import time
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +70,19 @@ def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 1 << 24)
             spark.conf.set(key, ours)
 
 
+def released(run: Callable) -> Callable:
+    """An Arrow function of which each task ends by giving free memory back to the system: workers are kept for later tasks, which need it elsewhere."""
+
+    def task(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+
+    return task
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import HEAVY_SHARE, bit_count, bit_table, mix64, slices, stage_table, text_bytes, with_bits
+from .common import HEAVY_SHARE, bit_count, bit_table, mix64, released, slices, stage_table, text_bytes, with_bits
 from .components import connected_components
 
 WIDTH = 5
@@ -162,7 +162,7 @@ def _fingerprints(docs: DataFrame, width: int, bits: int) -> DataFrame:
             k, c = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([none(len(k), pa.int64()), none(len(k), pa.int64()), none(len(k), pa.binary()), pa.array(k, pa.int32()), pa.array(c, pa.binary())], names=["id", "n", "fp", "block", "counts"])
 
-    return docs.mapInArrow(run, "id long, n long, fp binary, block int, counts binary")
+    return docs.mapInArrow(released(run), "id long, n long, fp binary, block int, counts binary")
 
 
 def _sketch(prints: DataFrame, bits: int) -> np.ndarray:
@@ -188,7 +188,7 @@ def _sketch(prints: DataFrame, bits: int) -> np.ndarray:
             yield done()
 
     out = np.zeros((SKETCH_BLOCKS, (1 << bits) // SKETCH_BLOCKS), np.uint8)
-    for r in rows.mapInArrow(total, "block int, levels binary").collect():
+    for r in rows.mapInArrow(released(total), "block int, levels binary").collect():
         out[r.block] = np.frombuffer(zlib.decompress(r.levels), np.uint8)
     return out.reshape(-1)
 
@@ -222,7 +222,7 @@ def _incidence(docs: DataFrame, sketch: np.ndarray, hot_from: int, width: int, p
             if items:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (items, nodes, sizes, rests, salts)], names=["item", "node", "size", "rest", "salt"])
 
-    return docs.mapInArrow(run, "item long, node long, size int, rest int, salt int")
+    return docs.mapInArrow(released(run), "item long, node long, size int, rest int, salt int")
 
 
 def _shared(incidence: DataFrame) -> DataFrame:
@@ -248,7 +248,7 @@ def _shared(incidence: DataFrame) -> DataFrame:
                 pending = batch.slice(batch.num_rows - 1).select([0, 1, 2, 3])
             yield batch.select([0, 1, 2, 3]).filter(pa.array(keep))
 
-    return rows.mapInArrow(run, "item long, node long, size int, rest int")
+    return rows.mapInArrow(released(run), "item long, node long, size int, rest int")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, width: int, max_bits: int = FILTER_BITS) -> DataFrame:
@@ -266,7 +266,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int, max_bits: int = FILTER_
             sets = [s.tobytes() for s in shingle_sets(*text_bytes(batch.column(1)), width)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "items"])
 
-    return rows.mapInArrow(run, "node long, items binary")
+    return rows.mapInArrow(released(run), "node long, items binary")
 
 
 def overlaps(left: list[bytes], right: list[bytes]) -> np.ndarray:
@@ -296,7 +296,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
                 keep[a:b] = overlaps(left[a:b], right[a:b]) >= np.maximum(1, least_overlap(na, nb, percent))
             yield batch.select([0, 1]).filter(pa.array(keep))
 
-    return stage_table(rows.mapInArrow(run, "a long, b long"), "links")
+    return stage_table(rows.mapInArrow(released(run), "a long, b long"), "links")
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
@@ -448,7 +448,7 @@ def product_pairs(rows: DataFrame, percent: int, block: int = BLOCK) -> DataFram
             many, key = many + batch.num_rows, keys[-1]
         yield from full(True)
 
-    counts = dealt.mapInArrow(run, "a long, b long, c long, r long, total long, large long")
+    counts = dealt.mapInArrow(released(run), "a long, b long, c long, r long, total long, large long")
     counts = counts.groupBy("a", "b").agg(F.sum("c").alias("c"), F.min("r").alias("r"), F.max("total").alias("total"), F.max("large").alias("large"))
     return counts.where(enough(F.col("c") + F.col("r"), F.col("large"), F.col("total"), percent)).select("a", "b")
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_fold, slices, text_bytes
+from .common import in_fold, released, slices, text_bytes
 
 DIM_BITS = 12
 MAX_ROWS = 1600
@@ -107,7 +107,7 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
                 vectors.append(np.bincount(hashed(data[offsets[k] : offsets[k + 1]]), minlength=1 << DIM_BITS).astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), batch.column(2).take(pa.array(keep)), pa.array(vectors, pa.binary())], names=["id", "lang", "counts"])
 
-    sample = sorted(rows.where(chosen).mapInArrow(count, "id string, lang string, counts binary").collect())
+    sample = sorted(rows.where(chosen).mapInArrow(released(count), "id string, lang string, counts binary").collect())
     classes = sorted({r.lang for r in sample})
     code = codewords(len(classes))
     if not code.size:
@@ -179,7 +179,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", ambiguous_bel
                 best[rows], score[rows], gap[rows] = model.decode(sums / (offsets[rows + 1] - offsets[rows])[:, None] + model.bias)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(classes[best], pa.string()), pa.array(score), pa.array(live & (gap < ambiguous_below))], names=[*batch.schema.names, *(f.name for f in own)])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *own]))
+    return docs.mapInArrow(released(run), T.StructType([*docs.schema.fields, *own]))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: tuple[int, int] = (4, 2), max_rows: int = MAX_ROWS) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage_table
+from .common import released, stage_table
 from .tokenizing import encoder
 
 ROOM = 1024
@@ -96,7 +96,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
                 columns = [batch.column(0).take(pa.array(row)), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()), strict=True))]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, task int, nth long")
+    return rows.mapInArrow(released(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, task int, nth long")
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = END_ID, room: int = ROOM) -> DataFrame:
@@ -121,4 +121,4 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset)], names=[*batch.schema.names[:5], "sequence_id", "offset"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return rows.mapInArrow(released(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
