@@ -7,7 +7,8 @@ import gc
 import tempfile
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +37,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives the loss of executors, fixes row identities."""
+    return _written(df, name)[0]
+
+
+def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _collect_garbage(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+@contextmanager
+def passing_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A stage table that is deleted when its block is left; what the block hands on must not read it any more."""
+    held, path = _written(df, name)
+    try:
+        yield held
+    finally:
+        _delete(df.sparkSession, path)
 
 
 _collected = 0.0
@@ -57,8 +72,11 @@ def _collect_garbage(spark: SparkSession, every: float = 10.0) -> None:
 
 def drop_stage_tables(spark: SparkSession) -> None:
     """Delete all stage tables; only for when no DataFrame that reads them is needed any more."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/stage")
+    _delete(spark, f"{shared_dir(spark)}/stage")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import HEAVY_SHARE, bit_count, bit_table, mix64, released, slices, stage_table, text_bytes, with_bits
+from .common import HEAVY_SHARE, bit_count, bit_table, mix64, passing_table, released, slices, stage_table, text_bytes, with_bits
 from .components import connected_components
 
 WIDTH = 5
@@ -283,8 +283,6 @@ def overlaps(left: list[bytes], right: list[bytes]) -> np.ndarray:
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of a stage table that link; another scan of docs makes the sets of their nodes."""
     nodes = stage_table(pairs.select("a").union(pairs.select("b")).distinct().toDF("node"), "nodes")
-    sets = stage_table(_sets(docs, nodes, width), "sets")
-    rows = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("items").alias("sb")), "b").select("a", "b", "sa", "sb")
 
     def run(batches):
         for batch in batches:
@@ -296,14 +294,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
                 keep[a:b] = overlaps(left[a:b], right[a:b]) >= np.maximum(1, least_overlap(na, nb, percent))
             yield batch.select([0, 1]).filter(pa.array(keep))
 
-    return stage_table(rows.mapInArrow(released(run), "a long, b long"), "links")
+    with passing_table(_sets(docs, nodes, width), "sets") as sets:
+        rows = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("items").alias("sb")), "b").select("a", "b", "sa", "sb")
+        return stage_table(rows.mapInArrow(released(run), "a long, b long"), "links")
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
     """Only items whose rows are of more than one component, with their number of rows."""
-    rows = stage_table(rows, "incidence")
-    items = rows.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("nodes")).where("lo <> hi").select("item", "nodes")
-    return stage_table(rows.drop("nodes").join(items, "item"), "mixed")
+    with passing_table(rows, "incidence") as rows:
+        items = rows.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("nodes")).where("lo <> hi").select("item", "nodes")
+        return stage_table(rows.drop("nodes").join(items, "item"), "mixed")
 
 
 def may_link(size: tuple[str, str], rest: tuple[str, str], percent: int) -> Column:
@@ -461,10 +461,10 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = prints.where("block is null").select("id", "n", "fp")
     sketch = _sketch(prints, bits)
     hot_from = int(2 * 2 ** (np.median(sketch) / 5)) + max(64, rows.count() // HEAVY_SHARE)
-    shared = stage_table(_shared(_incidence(docs, sketch, hot_from, width, percent)), "shared")
-    # stars: first around each item's node with most shared items for its size, as what others were copied from has, then around random ones
-    weight = shared.groupBy("node").agg((F.count("*") / F.max("size")).alias("w"))
-    rest = stage_table(shared.join(weight, "node").withColumn("component", F.col("node")), "incidence")
+    with passing_table(_shared(_incidence(docs, sketch, hot_from, width, percent)), "shared") as shared:
+        # stars: first around each item's node with most shared items for its size, as what others were copied from has, then around random ones
+        weight = shared.groupBy("node").agg((F.count("*") / F.max("size")).alias("w"))
+        rest = stage_table(shared.join(weight, "node").withColumn("component", F.col("node")), "incidence")
     links, linked = None, None
     for turn in range(STARS):
         order = F.struct(F.when(F.lit(turn) == 0, -F.col("w")).otherwise(0.0), F.xxhash64("node", F.lit(turn)), "node", "size", "rest", "component").alias("o")
