@@ -12,7 +12,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: At most this many keys can each hold a HEAVY_SHARE-th of all rows, so a table of such keys has at most so many rows.
@@ -198,3 +198,30 @@ def shielded(docs: DataFrame, own: tuple[str, ...]) -> tuple[DataFrame, dict[str
     """docs with columns named like an operator's own renamed, and how to name them back."""
     back = {f"__kept_{c}": c for c in docs.columns if c in own}
     return docs.withColumnsRenamed({c: k for k, c in back.items()}), back
+
+
+def sorted_rows(df: DataFrame, keys: list[Column], order: list[Column], name: str) -> DataFrame:
+    """A stage table of df with __place, a long that ascends in the order given; no task holds more than a range of it.
+
+    keys: a coarser form of the order that the ranges are cut by; rows alike in it stay together. Places have gaps between ranges: the upper 31
+    bits are the range, the lower 33 the place in it.
+    """
+    ranges = df.repartitionByRange(shuffle_width(df.sparkSession), *keys).sortWithinPartitions(*order)
+    return stage_table(ranges.withColumn("__place", F.monotonically_increasing_id()), name)
+
+
+def ranked(df: DataFrame, group: str, order: list[str], name: str, max_broadcast: int = 100_000) -> DataFrame:
+    """df with __index (from 0, ascending in the order within each value of group, null being one) and __count (of the group's rows).
+
+    Rows are cut into ranges of (group, order), so a group that holds most rows spreads over all tasks; of each range only the counts
+    by group are summed up. That table has at most as many rows as ranges and groups together; it is broadcast up to max_broadcast of them.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in (group, *order)]
+    held = sorted_rows(df, keys, keys, name).withColumn("__range", F.shiftright("__place", 33))
+    runs = held.groupBy("__range", F.col(group).alias("__run")).agg(F.min("__place").alias("__first"), F.count("*").alias("__n"))
+    before = Window.partitionBy("__run").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumns({"__before": F.coalesce(F.sum("__n").over(before), F.lit(0)), "__count": F.sum("__n").over(Window.partitionBy("__run"))})
+    runs = stage_table(runs.withColumnRenamed("__range", "__of").drop("__n"), f"{name}-ranges")
+    side = F.broadcast(runs) if runs.count() <= max_broadcast else runs
+    rows = held.join(side, (F.col("__range") == F.col("__of")) & F.col(group).eqNullSafe(F.col("__run")))
+    return rows.withColumn("__index", F.col("__place") - F.col("__first") + F.col("__before")).drop("__place", "__range", "__of", "__run", "__first", "__before")

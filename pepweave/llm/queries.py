@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, language_id, lattice_dedup, mixing, packing, secret_scan, suffix_dedup, token_files, toxicity
-from .common import table
+from . import exact_dedup, jaccard_join, language_id, lattice_dedup, merkle, mixing, packing, secret_scan, suffix_dedup, token_files, toxicity
+from .common import ascii_lower, table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +55,16 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(docs, secret_scan.learn_formats(docs)))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    altered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    seen = merkle.leaf([altered if c == "text" else F.col(c) for c in merkle.COLUMNS])
+    out = merkle.manifest(docs, {"seen": seen})
+    out = out.withColumn("folded_root", merkle.folded(F.col("seen"), F.col("places"), F.col("others"))).withColumn("proof_sha256", merkle.proof_digest(F.col("others")))
+    out = out.withColumns({c: F.lower(F.hex(c)) for c in ("leaf", "subroot", "root")}).withColumn("verified", F.col("folded_root") == F.col("root"))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
@@ -66,6 +76,7 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_secret_scan": op10_secret_scan,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL = {
@@ -93,4 +104,61 @@ j AS (
          ('0x' || substr(md5('mix-17:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM j""",
+    "op13_merkle_manifest": """
+WITH RECURSIVE bytes AS (
+  SELECT i, CASE WHEN i % 2 = 1 THEN xor(i >> 1, 3988292384::BIGINT) ELSE i >> 1 END AS c FROM range(256) r(i)),
+b2 AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END AS c FROM bytes),
+b3 AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END AS c FROM b2),
+b4 AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END AS c FROM b3),
+b5 AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END AS c FROM b4),
+b6 AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END AS c FROM b5),
+b7 AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END AS c FROM b6),
+b8 AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END AS c FROM b7),
+crcs AS (SELECT list(c ORDER BY i) AS c FROM b8),
+marked AS (
+  SELECT d.*, xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+                              lambda s, x: xor(s >> 8, c[(xor(s, x) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) % 3 = 0 AS altered
+  FROM documents d, crcs),
+fields AS (
+  SELECT doc_id, lang, altered,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS body,
+         coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS altered_body FROM marked),
+digests AS (
+  SELECT doc_id, lang, sha256(head || body) AS leaf, CASE WHEN altered THEN sha256(head || altered_body) ELSE sha256(head || body) END AS seen FROM fields),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM digests),
+tree AS (
+  SELECT lang, 0 AS level, i, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+  UNION ALL
+  SELECT lang, level, i, h, count(*) OVER (PARTITION BY lang) AS n FROM (
+    SELECT lang, level + 1 AS level, i // 8 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h FROM tree WHERE n > 1 GROUP BY lang, level, i // 8)),
+subroots AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS j FROM tree WHERE n = 1),
+upper_tree AS (
+  SELECT 0 AS level, j AS i, subroot AS h, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level, i, h, count(*) OVER () AS n FROM (
+    SELECT level + 1 AS level, i // 8 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h FROM upper_tree WHERE n > 1 GROUP BY level, i // 8)),
+nodes AS (
+  SELECT lang, false AS above, level, i, h FROM tree WHERE n > 1
+  UNION ALL SELECT NULL, true, level, i, h FROM upper_tree WHERE n > 1),
+runs AS (
+  SELECT lang, above, level, i // 8 AS run, list(h ORDER BY i) AS hs FROM nodes GROUP BY lang, above, level, i // 8),
+heights AS (SELECT lang, above, max(level) + 1 AS height FROM runs GROUP BY lang, above),
+steps AS (
+  SELECT l.lang, l.i, s.j, r.above, r.level, r.hs, (CASE WHEN r.above THEN s.j ELSE l.i END >> (3 * r.level)) % 8 AS place,
+         r.level + CASE WHEN r.above THEN coalesce(t.height, 0) ELSE 0 END AS step
+  FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang LEFT JOIN heights t ON NOT t.above AND t.lang IS NOT DISTINCT FROM l.lang
+  JOIN runs r ON (r.above AND r.run = s.j >> (3 * (r.level + 1))) OR (NOT r.above AND r.lang IS NOT DISTINCT FROM l.lang AND r.run = l.i >> (3 * (r.level + 1)))),
+proofs AS (
+  SELECT lang, i, string_agg(array_to_string(hs[:place] || hs[place + 2:], ''), '' ORDER BY step) AS proof,
+         list({'before': array_to_string(hs[:place], ''), 'after': array_to_string(hs[place + 2:], '')} ORDER BY step) AS steps FROM steps GROUP BY lang, i),
+fold AS (
+  SELECT l.lang, l.i, 0 AS step, l.seen AS h, p.steps FROM leaves l LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM l.lang AND p.i = l.i
+  UNION ALL
+  SELECT lang, i, step + 1, sha256(steps[step + 1].before || h || steps[step + 1].after), steps FROM fold WHERE step < coalesce(len(steps), 0))
+SELECT l.doc_id, l.leaf, s.subroot, u.h AS root, sha256(coalesce(p.proof, '')) AS proof_sha256, f.h AS folded_root, f.h = u.h AS verified
+FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang CROSS JOIN (SELECT h FROM upper_tree WHERE n = 1) u
+LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM l.lang AND p.i = l.i
+JOIN fold f ON f.lang IS NOT DISTINCT FROM l.lang AND f.i = l.i AND f.step = coalesce(len(p.steps), 0)""",
 }
