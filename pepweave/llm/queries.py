@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, language_id, lattice_dedup, merkle, mixing, packing, secret_scan, suffix_dedup, token_files, toxicity
+from . import conversation_repair, exact_dedup, jaccard_join, language_id, lattice_dedup, merkle, mixing, packing, secret_scan, suffix_dedup, token_files, toxicity
 from .common import ascii_lower, table
 
 
@@ -55,6 +55,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(docs, secret_scan.learn_formats(docs)))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults: by a hash of id and turn rows are dropped, emptied, cut at their sentences' ends, repeated or given to the user."""
+    named = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(" ")) for c in ("role", "text")}).withColumn("__fault", F.crc32(named.cast("binary")) % 20).where("__fault <> 0")
+    text = F.when(F.col("__fault") == 1, "").when(F.col("__fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    times = F.when(F.col("__fault") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    role = F.when(F.col("__fault") == 4, "user").otherwise(F.col("role"))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("__time")).drop("__time")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repair(damaged(rows), rows)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     altered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, ascii_lower(F.col("text"))).otherwise(F.col("text"))
@@ -76,9 +91,34 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_secret_scan": op10_secret_scan,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
+#: The table of CRC-32 as one list; crcs.c[1] is that of byte 0.
+_CRC = "bytes AS (SELECT i, i AS c0 FROM range(256) r(i)),\n" + "".join(
+    f"b{k + 1} AS (SELECT i, CASE WHEN c{k} % 2 = 1 THEN xor(c{k} >> 1, 3988292384::BIGINT) ELSE c{k} >> 1 END AS c{k + 1} FROM {f'b{k}' if k else 'bytes'}),\n" for k in range(8)
+) + "crcs AS (SELECT list(c8 ORDER BY i) AS c FROM b8)"
+
+
+def _crc(text: str) -> str:
+    """SQL for the CRC-32 of an ASCII text, beside a table crcs."""
+    step = "lambda s, x: xor(s >> 8, c[(xor(s, x) & 255) + 1])"
+    return f"xor(list_reduce(list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT), {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+def _insert(own: str, to: str) -> str:
+    """SQL for the better of a state's rest and that of another one behind an inserted row."""
+    return f"least({own}, {{'n': {to}.n + 2, 'a': 'I' || {to}.a}})"
+
+
+def _row(system: str, own: str, after_s: str, keeps: str, after: str, other: str) -> str:
+    """SQL for the best that a row makes of a state: deleted, kept as s or as its next role, or given that role."""
+    kept = f"CASE WHEN fault IN (1, 2) THEN NULL WHEN {system} THEN {{'n': {after_s}.n + (fault = 3)::INT, 'a': 'K' || {after_s}.a}} WHEN {keeps} THEN {{'n': {after}.n + (fault = 3)::INT, 'a': 'K' || {after}.a}} END"
+    named = f"CASE WHEN fault NOT IN (1, 2) THEN {{'n': {other}.n + 2 + (fault = 3)::INT, 'a': 'R' || {other}.a}} END"
+    return f"least({{'n': {own}.n + 3, 'a': 'D' || {own}.a}}, {kept}, {named})"
+
+
 ORACLE_SQL = {
     "op2_exact_dedup": """
 WITH h AS (
@@ -104,20 +144,53 @@ j AS (
          ('0x' || substr(md5('mix-17:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM j""",
-    "op13_merkle_manifest": """
-WITH RECURSIVE bytes AS (
-  SELECT i, CASE WHEN i % 2 = 1 THEN xor(i >> 1, 3988292384::BIGINT) ELSE i >> 1 END AS c FROM range(256) r(i)),
-b2 AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END AS c FROM bytes),
-b3 AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END AS c FROM b2),
-b4 AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END AS c FROM b3),
-b5 AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END AS c FROM b4),
-b6 AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END AS c FROM b5),
-b7 AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END AS c FROM b6),
-b8 AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END AS c FROM b7),
-crcs AS (SELECT list(c ORDER BY i) AS c FROM b8),
+    "op12_conversation_repair": f"""
+WITH RECURSIVE {_CRC},
+hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS f FROM conversations, crcs),
+rows AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM hashed, range(2) r(t) WHERE f <> 0 AND (t = 0 OR f = 3)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+         count(*) OVER (PARTITION BY conv_id) AS n FROM rows),
+marked AS (
+  SELECT *, left(role, 1) AS c, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS b,
+         CASE WHEN body = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault
+  FROM placed),
+-- from the last row to the first: of each state (before anything, after s, u, a) the cheapest rest, with the least letters
+ends AS (SELECT DISTINCT conv_id, n FROM marked),
+walk AS (
+  SELECT conv_id, n + 1 AS i, {{'n': 0, 'a': ''}} AS s0, {{'n': 4, 'a': 'II'}} AS s1, {{'n': 2, 'a': 'I'}} AS s2, {{'n': 0, 'a': ''}} AS s3 FROM ends
+  UNION ALL
+  SELECT conv_id, i, {_insert('t0', 't2')} AS s0, {_insert('t1', 't2')} AS s1, t2 AS s2, {_insert('t3', 't2')} AS s3 FROM (
+    SELECT conv_id, i, r0 AS t0, r1 AS t1, {_insert('r2', 'q3')} AS t2, q3 AS t3 FROM (
+      SELECT *, {_insert('r3', 'r2')} AS q3 FROM (
+        SELECT m.conv_id, m.i, {_row("c = 's'", 's0', 's1', "c = 'u'", 's2', 's2')} AS r0, {_row("false", 's1', 's1', "c = 'u'", 's2', 's2')} AS r1,
+               {_row("false", 's2', 's2', "c = 'a'", 's3', 's3')} AS r2, {_row("false", 's3', 's3', "c = 'u'", 's2', 's2')} AS r3
+        FROM walk w JOIN marked m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.i = w.i - 1)))),
+best AS (SELECT conv_id, s0.n::BIGINT AS cost, s0.a AS audit FROM walk WHERE i = 1),
+letters AS (SELECT conv_id, unnest(string_split(audit, '')) AS e, unnest(range(length(audit))) AS k FROM best WHERE audit <> ''),
+counted AS (
+  SELECT *, count(*) FILTER (e <> 'I') OVER o AS i, count(*) FILTER (e <> 'D') OVER o AS p FROM letters WINDOW o AS (PARTITION BY conv_id ORDER BY k)),
+joined AS (
+  SELECT l.*, m.role, m.text, bool_or(l.p = 1 AND l.e = 'K' AND m.c = 's') OVER (PARTITION BY l.conv_id) AS has_s
+  FROM counted l LEFT JOIN marked m ON l.e <> 'I' AND m.conv_id IS NOT DISTINCT FROM l.conv_id AND m.i = l.i WHERE l.e <> 'D'),
+fixed AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (p - has_s::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS body
+  FROM joined GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+         count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (b IS NOT NULL AND b || c NOT IN ('su', 'ua', 'au')) AS illegal FROM marked GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN fixed f ON f.conv_id IS NOT DISTINCT FROM o.conv_id""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE {_CRC},
 marked AS (
-  SELECT d.*, xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
-                              lambda s, x: xor(s >> 8, c[(xor(s, x) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) % 3 = 0 AS altered
+  SELECT d.*, {_crc('doc_id::VARCHAR')} % 3 = 0 AS altered
   FROM documents d, crcs),
 fields AS (
   SELECT doc_id, lang, altered,
@@ -152,7 +225,7 @@ steps AS (
   JOIN runs r ON (r.above AND r.run = s.j >> (3 * (r.level + 1))) OR (NOT r.above AND r.lang IS NOT DISTINCT FROM l.lang AND r.run = l.i >> (3 * (r.level + 1)))),
 proofs AS (
   SELECT lang, i, string_agg(array_to_string(hs[:place] || hs[place + 2:], ''), '' ORDER BY step) AS proof,
-         list({'before': array_to_string(hs[:place], ''), 'after': array_to_string(hs[place + 2:], '')} ORDER BY step) AS steps FROM steps GROUP BY lang, i),
+         list({{'before': array_to_string(hs[:place], ''), 'after': array_to_string(hs[place + 2:], '')}} ORDER BY step) AS steps FROM steps GROUP BY lang, i),
 fold AS (
   SELECT l.lang, l.i, 0 AS step, l.seen AS h, p.steps FROM leaves l LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM l.lang AND p.i = l.i
   UNION ALL
