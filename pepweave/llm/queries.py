@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversation_repair, exact_dedup, jaccard_join, language_id, lattice_dedup, merkle, mixing, packing, secret_scan, suffix_dedup, token_files, toxicity
+from . import conversation_repair, exact_dedup, jaccard_join, language_id, lattice_dedup, merkle, mixing, packing, personal_data, secret_scan, suffix_dedup, token_files, toxicity
 from .common import ascii_lower, table
 
 
@@ -55,6 +55,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(docs, secret_scan.learn_formats(docs)))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digests(personal_data.detect(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """Conversations with faults: by a hash of id and turn rows are dropped, emptied, cut at their sentences' ends, repeated or given to the user."""
     named = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
@@ -91,6 +95,7 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_secret_scan": op10_secret_scan,
+    "op11_personal_data": op11_personal_data,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
