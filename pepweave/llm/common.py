@@ -225,3 +225,17 @@ def ranked(df: DataFrame, group: str, order: list[str], name: str, max_broadcast
     side = F.broadcast(runs) if runs.count() <= max_broadcast else runs
     rows = held.join(side, (F.col("__range") == F.col("__of")) & F.col(group).eqNullSafe(F.col("__run")))
     return rows.withColumn("__index", F.col("__place") - F.col("__first") + F.col("__before")).drop("__place", "__range", "__of", "__run", "__first", "__before")
+
+
+def numbered(rows: DataFrame, key: list[str], name: str) -> DataFrame:
+    """rows with __number, from 1 within rows of equal key (null being a value), in no set order. No group is gathered: tasks number what they hold, counts by task are added up."""
+    held = stage_table(rows.withColumn("__place", F.monotonically_increasing_id()), name).withColumn("__task", F.shiftright("__place", 33))
+    own = {f"__of_{c}": F.col(c) for c in key}
+    tasks = held.groupBy("__task", *key).agg(F.count("*").alias("__n"))
+    before = Window.partitionBy(*key).orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = tasks.select(*(c.alias(k) for k, c in own.items()), F.col("__task").alias("__of"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    match = F.col("__task") == F.col("__of")
+    for k, c in own.items():
+        match = match & c.eqNullSafe(F.col(k))
+    within = F.row_number().over(Window.partitionBy(*key, "__task").orderBy("__place"))
+    return held.withColumn("__within", within).join(tasks, match).withColumn("__number", F.col("__within") + F.col("__before")).drop("__place", "__task", "__of", "__before", "__within", *own)

@@ -133,7 +133,7 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM h WINDOW g AS (PARTITION BY text_sha256)""",
     "op7_mixing": """
 WITH d AS (
-  SELECT doc_id, source, coalesce(length(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents),
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest, row_number() OVER (PARTITION BY doc_id, source, text) AS number, coalesce(length(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM s),
 w AS (SELECT *, (rank - 1) % 3 + 1 AS w, source_size * 3.0::DOUBLE / ((rank - 1) % 3 + 1) AS full_at FROM r),
@@ -146,7 +146,7 @@ t AS (
   FROM l),
 j AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate,
-         ('0x' || substr(md5('mix-17:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
+         ('0x' || substr(md5('mix-17:' || coalesce(doc_id::VARCHAR, '') || ':' || digest || ':' || number), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM j""",
     "op12_conversation_repair": f"""
