@@ -8,7 +8,7 @@ its broadcast is bounded (32 MB); beyond that more unique rows shuffle, with the
 Groups that hold a 1/HEAVY_SHARE part of all rows are at most HEAVY_SHARE, so they are broadcast and their rows don't
 shuffle; no other group is large enough to weigh on one task. The group table is pre-aggregated map-side.
 
-Defined cases: null text is the empty text; a null id ranks below all others; of rows alike in id and text one stays;
+Defined cases: null text is the empty text; a null id ranks below all others; of rows alike in id and text one stays, with its own values in other columns;
 an empty table gives an empty result; columns named like the outputs are replaced; texts of any length are hashed whole.
 """
 
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import HEAVY_SHARE, ascii_lower, bit_count, bit_table, stage_table, with_bits
+from .common import HEAVY_SHARE, ascii_lower, bit_count, bit_table, numbered, stage_table, with_bits
 
 OWN = ("keep_id", "group_size", "kept", "text_sha256")
 
@@ -87,12 +87,11 @@ def _marked(ids: DataFrame, prints: DataFrame, id_col: str, max_bits: int) -> Da
 
 
 def _one_of_ties(rows: DataFrame) -> DataFrame:
-    """Where the row that stays has twins alike in id and text, one of them stays."""
+    """Where the row that stays has twins alike in id and text, one of them stays: one whose columns have the least hash."""
     tie = F.col("kept") & F.col("__tie")
-    twins = rows.where(tie)
-    first = twins.dropDuplicates(["__sha"])
-    counts = twins.groupBy("__sha").agg(F.count("*").alias("__twins"))
-    other = [c for c in rows.columns if c != "__sha"]
-    extra = first.join(counts, "__sha").withColumn("__copy", F.explode(F.sequence(F.lit(2).cast("long"), F.col("__twins"))))
-    extra = extra.withColumn("kept", F.lit(False)).select("__sha", *other)
-    return rows.where(~tie).unionByName(first).unionByName(extra)
+    twins = rows.where(tie).withColumn("__hash", F.xxhash64(*(c for c, t in rows.dtypes if "map<" not in t)))
+    least = twins.groupBy("__sha").agg(F.min("__hash").alias("__least"))
+    least = least.select(F.col("__sha").alias("__of"), F.col("__least"))
+    twins = twins.join(least, F.col("__sha") == F.col("__of")).withColumn("__first", F.col("__hash") == F.col("__least")).drop("__of", "__least", "__hash")
+    twins = numbered(twins, ["__sha", "__first"], "twins").withColumn("kept", F.col("__first") & (F.col("__number") == 1))
+    return rows.where(~tie).unionByName(twins.select(*rows.columns))
