@@ -60,6 +60,7 @@ class Config:
     percolator_test_fdr: float = 0.01
     percolator_train_fdr: float = 0.01
     percolator_verbose: int = 3
+    rescoring_seed: int = 1
     psa_max_raw_files: int | None = None
     overwrite_outputs: bool = False
     psa_max_workers: int | None = None

@@ -12,6 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.session import staged
 from ..schemas import SIDES, SUMMARY_COLUMNS
 
 RANGES = (64, 512)
@@ -22,12 +23,19 @@ class EmptyPopulation(ValueError):
     pass
 
 
-def running_counts(values: DataFrame, counts: list[str], group: str = "side", value: str = "v", ranges: int | None = None) -> DataFrame:
-    """values: one row for each group and value. Adds <count>_le: the sum of the count over values of the group up to this one."""
+def ranged(values: DataFrame, group: str = "side", value: str = "v", ranges: int | None = None) -> DataFrame:
+    """Adds __range, which ascends with the value within a group: as many ranges with about as many values each. values is read twice."""
     ranges = ranges or min(RANGES[1], max(RANGES[0], int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     cuts = F.percentile_approx(value, [k / ranges for k in range(1, ranges)], F.lit(10 * ranges)).alias("__cuts")
     bounds = values.groupBy(group).agg(cuts)  # a row a group
-    binned = values.join(F.broadcast(bounds), group).withColumn("__range", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
+    return values.join(F.broadcast(bounds), group).withColumn("__range", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
+
+
+def running_counts(values: DataFrame, counts: list[str], group: str = "side", value: str = "v", ranges: int | None = None) -> DataFrame:
+    """values: one row for each group and value. Adds <count>_le: the sum of the count over values of the group up to this one.
+
+    The distinct values are written once, as they are read for bounds, totals and sums; what they are made from is not read again."""
+    binned = ranged(staged(values, "values"), group, value, ranges)
     totals = binned.groupBy(group, "__range").agg(*(F.sum(c).alias(f"__{c}") for c in counts))
     earlier = Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select(group, "__range", *(F.coalesce(F.sum(f"__{c}").over(earlier), F.lit(0)).alias(f"__{c}_before") for c in counts))
@@ -68,19 +76,38 @@ def with_goodness(df: DataFrame, reference: DataFrame, column: str, name: str) -
 
 
 def ks_table(reference: DataFrame, other: DataFrame, group: str = "side", value: str = "v") -> DataFrame:
-    """For each group the statistic, where it is reached, and both sizes.
+    """For each group the statistic, where it is reached, and both sizes."""
+    both = reference.select(group, value, F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(other.select(group, value, F.lit(0).alias("a"), F.lit(1).alias("b"))).where(F.col(value).isNotNull())
+    return ks_of_steps(running_counts(both.groupBy(group, value).agg(F.sum("a").alias("a"), F.sum("b").alias("b")), ["a", "b"], group, value), group, value)
+
+
+def ks_of_steps(steps: DataFrame, group: str = "side", value: str = "v") -> DataFrame:
+    """The same from running counts a_le of the reference and b_le of the others.
 
     The largest absolute difference of the two functions; of equal ones a positive, then one at a reference value, then the least value."""
-    both = reference.select(group, value, F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(other.select(group, value, F.lit(0).alias("a"), F.lit(1).alias("b"))).where(F.col(value).isNotNull())
-    counts = both.groupBy(group, value).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    sizes = counts.groupBy(group).agg(F.sum("a").alias("n_reference"), F.sum("b").alias("n_other"))
-    steps = running_counts(counts, ["a", "b"], group, value).join(F.broadcast(sizes), group).where("n_reference > 0 and n_other > 0")
+    sizes = steps.groupBy(group).agg(F.sum("a").alias("n_reference"), F.sum("b").alias("n_other"))
+    steps = steps.where("a > 0 or b > 0").join(F.broadcast(sizes), group).where("n_reference > 0 and n_other > 0")
     d = F.col("a_le") / F.col("n_reference") - F.col("b_le") / F.col("n_other")
     rank = F.struct(F.abs(d).alias("d"), F.when(d >= 0, 1).otherwise(0).alias("positive"), F.when(F.col("a") > 0, 1).otherwise(0).alias("own"), (-F.col(value)).alias("low"))
     best = steps.groupBy(group, "n_reference", "n_other").agg(F.max(rank).alias("best"))
     return best.select(group, "n_reference", "n_other", F.col("best.d").alias("statistic_D"), (-F.col("best.low")).alias("statistic_location"))
 
 
+def graded(df: DataFrame, reference: dict, other: dict, prefix: str = "ISO_scores", name: str = "TP_GOODNESS") -> tuple[DataFrame, dict[str, dict]]:
+    """df with each side's goodness, and ks_cutoffs of reference and other scores, from one running count of all sides.
+
+    reference, other: conditions by side. df is read twice, once for the counts and once for the rows, so it had better be a table."""
+    sides = list(reference)
+    held = F.array(*(F.struct(F.lit(s).alias("side"), F.col(f"{prefix}_{s}").alias("v"), reference[s].cast("long").alias("a"), other[s].cast("long").alias("b")) for s in sides))
+    counts = df.select(F.explode(held).alias("x")).select("x.*").where("v is not null").groupBy("side", "v").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    steps = staged(running_counts(counts, ["a", "b"]), "steps")
+    sizes = {r.side: r.n for r in steps.groupBy("side").agg(F.sum("a").alias("n")).collect()}
+    for s in sides:
+        own = steps.where(F.col("side") == s).select(F.col("v").alias("__v"), (F.col("a_le") / F.lit(sizes.get(s) or None)).alias(f"{name}_{s}"))
+        df = df.join(own, F.col(f"{prefix}_{s}") == F.col("__v"), "left").drop("__v")
+    return df, _cutoffs(ks_of_steps(steps), sides)
+
+
 def ks_pvalue(d: float, n: int, m: int) -> float:
     """Two-sided: exact by counting lattice paths for small samples, else from Kolmogorov's limit."""
     if d <= 0:
@@ -121,10 +148,12 @@ def side_scores(df: DataFrame, condition: dict, prefix: str = "ISO_scores") -> D
 
 def ks_cutoffs(reference: DataFrame, other: DataFrame, names: dict[str, str] | None = None) -> dict[str, dict]:
     """Statistic, p-value and cutoff of each side; the driver gets a row a side. Raises where a population is empty."""
-    rows = {r.side: r for r in ks_table(reference, other).collect()}
-    names = names or dict.fromkeys(SIDES, "")
-    out = {}
-    for side in names:
+    return _cutoffs(ks_table(reference, other), names or SIDES)
+
+
+def _cutoffs(table: DataFrame, sides) -> dict[str, dict]:
+    rows, out = {r.side: r for r in table.collect()}, {}
+    for side in sides:
         if side not in rows:
             raise EmptyPopulation(f"no reference or no other scores on the {side} side")
         r = rows[side]

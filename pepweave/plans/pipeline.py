@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.columns import denovo_rest, drop_columns, only_on, require_same_columns, suffixed, trusted_denovo, trusted_shared
-from ..operators import calls, ecdf, forest, merge, plotdata, similarity
+from ..operators import calls, ecdf, forest, merge, plotdata, rescore, similarity
 from ..schemas import SIDES
 from ..sources import readers, sinks
-from .session import ship
+from .session import ship, staged
 
 
 @dataclass
@@ -48,13 +48,25 @@ class Pipeline:
             scores = None
         elif side == "denovo" and not readers.exists(self.spark, found):
             scores = self.static_scores(features)
+        elif side == "database" and not readers.exists(self.spark, found):
+            scores = self.own_scores(features)
         else:
             scores = readers.read_scores(self.spark, found, decoy)
         return readers.read_search(self.spark, f"{folder}/msms", side), features, scores
 
+    def own_scores(self, features: DataFrame) -> DataFrame:
+        """Where the database branch has no scorer output: its features rescored against decoys; scores and weights are kept under the output folder."""
+        c = self.config
+        scores, model = rescore.rescore(staged(features, "features"), c.percolator_test_fdr, c.percolator_train_fdr, c.rescoring_seed, c.percolator_subset_max_train)
+        scores.write.mode("overwrite").parquet(f"{self.out}/scores/database")
+        rescore.write_weights(self.spark, model, f"{self.out}/weights/rescore.percolator.weights.csv")
+        return self.spark.read.parquet(f"{self.out}/scores/database")
+
     def static_scores(self, features: DataFrame) -> DataFrame | None:
         """Where the de novo branch has no scorer output: its features by the database branch's weights, averaged over bins and applied by position."""
-        weights = f"{self.config.database_oktoberfest_dir.rstrip('/')}/results/percolator/rescore.percolator.weights.csv"
+        tab = f"{self.config.database_oktoberfest_dir.rstrip('/')}/results/percolator"
+        scored = readers.exists(self.spark, f"{tab}/rescore.percolator.psms.txt")
+        weights = f"{tab if scored else f'{self.out}/weights'}/rescore.percolator.weights.csv"
         if not readers.exists(self.spark, weights):
             return None
         header, _, raw = sinks.write_average_weights(self.spark, weights, f"{self.out}/weights/rescore.percolator.weights.avg.csv")
@@ -97,22 +109,23 @@ class Pipeline:
         forest.rescaled(self.spark.read.parquet(raw), self.sides).write.mode("overwrite").parquet(f"{path}/scored")
         return self.spark.read.parquet(f"{path}/scored")
 
-    def populations(self, scored: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Reference and other scores of each side."""
+    def conditions(self) -> tuple[dict, dict]:
+        """By side, which scores are the reference and which are held against it."""
         if self.config.denovo_only:
             t = self.config.iforest_denovo_score_threshold
-            return ecdf.side_scores(scored, {"denovo": trusted_denovo(t)}), ecdf.side_scores(scored, {"denovo": denovo_rest(t)})
-        return ecdf.side_scores(scored, dict.fromkeys(SIDES, trusted_shared())), ecdf.side_scores(scored, {s: only_on(s) for s in SIDES})
+            return {"denovo": trusted_denovo(t)}, {"denovo": denovo_rest(t)}
+        return dict.fromkeys(SIDES, trusted_shared()), {s: only_on(s) for s in SIDES}
+
+    def populations(self, scored: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Reference and other scores of each side."""
+        return tuple(ecdf.side_scores(scored, c) for c in self.conditions())
 
     def postprocess(self, scored: DataFrame) -> tuple[DataFrame, dict[str, float]]:
         missing = [f"ISO_scores_{s}" for s in self.sides if f"ISO_scores_{s}" not in scored.columns]
         if missing:
             raise ValueError(f"score first: columns {missing} are missing")
-        reference, other = self.populations(scored)
-        found = ecdf.ks_cutoffs(reference, other, dict.fromkeys(self.sides, ""))
+        scored, found = ecdf.graded(scored, *self.conditions())
         cutoffs = {s: v["statistic_location"] for s, v in found.items()}
-        for s in self.sides:
-            scored = ecdf.with_goodness(scored, reference.where(F.col("side") == s).select("v"), f"ISO_scores_{s}", f"TP_GOODNESS_{s}")
         path = f"{(self.config.iforest_output_dir or self.out).rstrip('/')}/called"
         scored.write.mode("overwrite").parquet(f"{path}/scans")
         scored = self.spark.read.parquet(f"{path}/scans")

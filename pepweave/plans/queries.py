@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import residues
-from ..operators import calls, ecdf, forest, merge, plotdata, similarity
+from ..operators import calls, ecdf, forest, merge, plotdata, rescore, similarity
 from ..schemas import SIDES
 from ..sources import readers
 from . import views
@@ -226,12 +226,9 @@ lists AS (
 
 
 def _called(spark, sf_dir):
-    df = scans(spark, sf_dir)
-    reference, other = populations(df)
-    cutoffs = {s: v["statistic_location"] for s, v in ecdf.ks_cutoffs(reference, other).items()}
-    for s in SIDES:
-        df = ecdf.with_goodness(df, reference.where(F.col("side") == s).select("v"), f"ISO_scores_{s}", f"TP_GOODNESS_{s}")
-    return calls.call_lists(df, cutoffs)
+    df = staged(scans(spark, sf_dir), "scans")
+    df, found = ecdf.graded(df, dict.fromkeys(SIDES, C.trusted_shared()), {s: C.only_on(s) for s in SIDES})
+    return calls.call_lists(df, {s: v["statistic_location"] for s, v in found.items()})
 
 
 @query("good_list", FIX + _CALLED + "SELECT *, CASE DETECTION_LEVEL WHEN 'denovo' THEN TP_GOODNESS_denovo ELSE TP_GOODNESS_database END AS TP_GOODNESS FROM lists WHERE CASE DETECTION_LEVEL WHEN 'denovo' THEN CALL_denovo ELSE CALL_database END = 'GOOD'")
@@ -336,6 +333,23 @@ def ecdf_grid(spark, sf_dir):
     return out.select("side", *(F.round(c, 9).alias(c) for c in ("v", "reference", "other")))
 
 
+@query("q_values", FIX + """, best AS (SELECT * FROM (SELECT SpecId, percolator_score AS score, Label = 1 AS is_target, row_number() OVER (PARTITION BY RAW_FILE, SCAN_NUMBER ORDER BY percolator_score DESC, Label, SpecId) AS k FROM dbi) WHERE k = 1),
+st AS (SELECT score, sum(t) OVER w AS t, sum(d) OVER w AS d FROM (SELECT score, count(*) FILTER (is_target) AS t, count(*) FILTER (NOT is_target) AS d FROM best GROUP BY score) WINDOW w AS (ORDER BY score DESC)),
+q AS (SELECT score, min(least(1.0::DOUBLE, (d + 1)::DOUBLE / greatest(t, 1))) OVER (ORDER BY score) AS q FROM st)
+SELECT SpecId, best.score AS score, is_target, round(q, 9) AS q_value FROM best JOIN q ON q.score = best.score""")
+def q_values(spark, sf_dir):
+    """Target-decoy competition of all database matches by the scorer's score, and q-values of those that stay."""
+    rows = search(spark, sf_dir, "database").select("SpecId", F.col("percolator_score").alias("score"), (F.col("Label") == 1).alias("is_target"))
+    return rescore.with_q_values(rows).select(F.col("PSMId").alias("SpecId"), "score", "is_target", F.round("q-value", 9).alias("q_value"))
+
+
+@query("rescored_matches")
+def rescored_matches(spark, sf_dir):
+    features = staged(search(spark, sf_dir, "database").select("SpecId", "Label", *views.FEATURES), "features")
+    out, _ = rescore.rescore(features)
+    return out.select(F.col("PSMId").alias("SpecId"), F.round("score", 6).alias("score"), F.round("q-value", 9).alias("q_value"), F.round("posterior_error_prob", 9).alias("posterior_error_prob"), "is_target")
+
+
 @query("static_scores", FIX + "SELECT SpecId, round(f_discount * 0.5 + f_tax * -0.25 + f_quantity * 0.125 + 1.5, 6) AS score FROM dbi")
 def static_scores(spark, sf_dir):
     v = F.array("f_discount", "f_tax", "f_quantity")
