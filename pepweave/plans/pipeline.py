@@ -7,6 +7,7 @@ under the output folder and leaves its inputs alone: merged/<side>, scans, score
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,24 +36,25 @@ class Pipeline:
         self.out = config.outdir.rstrip("/")
         self.sides = ("denovo",) if config.denovo_only else SIDES
 
-    def read_branch(self, side: str) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-        """Search rows, features without the columns to drop, and scores (none in de novo only runs)."""
-        c = self.config
+    def read_branch(self, side: str) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame]:
+        """Search rows, features without the columns to drop, scores (none in de novo only runs), and what could not be read or typed."""
+        c, spark = self.config, self.spark
         c.require(f"{side}_oktoberfest_dir")
         folder = getattr(c, f"{side}_oktoberfest_dir").rstrip("/")
         tab = f"{folder}/results/percolator"
-        features = drop_columns(readers.read_features(self.spark, f"{tab}/rescore.tab"), getattr(c, f"drop_columns_{side}"))
+        search, errors = readers.read_search_checked(spark, f"{folder}/msms", side, staged)
+        features, more = readers.read_features_checked(spark, f"{tab}/rescore.tab", f"{side} features", staged)
+        features, errors = drop_columns(features, getattr(c, f"drop_columns_{side}")), errors.unionByName(more)
         decoy = f"{tab}/rescore.percolator.decoy.psms.txt" if side == "database" else None
         found = f"{tab}/rescore.percolator.psms.txt"
         if c.denovo_only:
             scores = None
-        elif side == "denovo" and not readers.exists(self.spark, found):
-            scores = self.static_scores(features)
-        elif side == "database" and not readers.exists(self.spark, found):
-            scores = self.own_scores(features)
+        elif readers.exists(spark, found):
+            scores, more = readers.read_scores_checked(spark, found, decoy, f"{side} scores", staged)
+            errors = errors.unionByName(more)
         else:
-            scores = readers.read_scores(self.spark, found, decoy)
-        return readers.read_search(self.spark, f"{folder}/msms", side), features, scores
+            scores = self.static_scores(features) if side == "denovo" else self.own_scores(features)
+        return search, features, scores, errors
 
     def own_scores(self, features: DataFrame) -> DataFrame:
         """Where the database branch has no scorer output: its features rescored against decoys; scores and weights are kept under the output folder."""
@@ -77,10 +79,17 @@ class Pipeline:
         return features.select(F.col("SpecId").alias("PSMId"), forest.weighted_score(values, raw).alias("score"), F.lit(True).alias("is_target"))
 
     def rescoring(self) -> dict[str, DataFrame]:
+        """Both branches merged by raw file. Raw files with errors are left out of both, as half of one would look like matches of one side only."""
         parts = {s: self.read_branch(s) for s in self.sides}
         if not self.config.denovo_only:
             require_same_columns(*(parts[s][1] for s in SIDES))
-        for s, (search, features, scores) in parts.items():
+        errors = staged(reduce(DataFrame.unionByName, (parts[s][3] for s in self.sides)), "errors")
+        sinks.write_errors(errors, self.out)
+        bad = errors.where("RAW_FILE is not null").select("RAW_FILE").distinct()
+        any_bad = bool(bad.limit(1).count())
+        for s, (search, features, scores, _) in parts.items():
+            if any_bad:
+                search, features = (df.join(bad, "RAW_FILE", "left_anti") for df in (search, features))
             sinks.write_by_raw_file(merge.merge_branch(search, features, scores), f"{self.out}/merged/{s}")
         return {s: readers.read_by_raw_file(self.spark, f"{self.out}/merged/{s}") for s in self.sides}
 

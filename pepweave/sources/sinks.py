@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,15 +13,48 @@ from .readers import average_weights, exists, parse_weights, read_by_raw_file
 
 
 def write_by_raw_file(df: DataFrame, path: str, overwrite: bool = True) -> None:
-    """A folder for each raw file. Without overwrite, raw files that are there already are left alone.
+    """A folder for each raw file. Without overwrite, raw files that are there whole are left alone.
 
-    Adaptive execution splits a large raw file over tasks, and rows without a name likewise, by the advisory partition size."""
+    What is whole stands in a manifest, which is written when the rows are committed and put in place by a rename: folders of raw files that it
+    doesn't name, as a run that broke off leaves them, are written anew. Adaptive execution splits a large raw file over tasks, and rows
+    without a name likewise, by the advisory partition size."""
     spark = df.sparkSession
-    if not overwrite and exists(spark, path):
-        done = read_by_raw_file(spark, path).select(F.col("RAW_FILE").alias("__done")).distinct()
-        df = df.join(done, F.col("RAW_FILE").eqNullSafe(F.col("__done")), "left_anti")
-    out = df.hint("rebalance", "RAW_FILE").write.partitionBy("RAW_FILE")
-    (out.mode("overwrite") if overwrite else out.mode("append")).parquet(path)
+    done = None if overwrite else manifest(spark, path)
+    if done is None:
+        df.hint("rebalance", "RAW_FILE").write.partitionBy("RAW_FILE").mode("overwrite").parquet(path)
+        fresh = read_by_raw_file(spark, path)
+    else:
+        known = done.select(F.col("RAW_FILE").alias("__done"))
+        match = F.col("RAW_FILE").eqNullSafe(F.col("__done"))
+        rows = df.join(known, match, "left_anti").hint("rebalance", "RAW_FILE")
+        rows.write.partitionBy("RAW_FILE").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        fresh = read_by_raw_file(spark, path).join(known, match, "left_anti")
+    counts = fresh.groupBy("RAW_FILE").agg(F.count("*").alias("rows"))
+    part = f"{path}/{MANIFEST}/{uuid.uuid4().hex}"
+    counts.coalesce(1).write.parquet(f"{part}.writing")
+    fs, of = _fs(spark, path)
+    fs.rename(of(f"{part}.writing"), of(f"{part}.done"))
+
+
+MANIFEST = "_manifest"
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame | None:
+    """The raw files that a table holds whole, with their rows; None where there is no table with a manifest."""
+    if not exists(spark, f"{path}/{MANIFEST}/*.done"):
+        return None
+    return spark.read.schema("RAW_FILE string, rows long").parquet(f"{path}/{MANIFEST}/*.done").dropDuplicates(["RAW_FILE"])
+
+
+def _fs(spark: SparkSession, path: str):
+    """The path's file system and the class of its paths."""
+    of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), of
+
+
+def write_errors(errors: DataFrame, folder: str) -> None:
+    """The error table, in one CSV part: a row for each source, raw file and reason."""
+    errors.orderBy("source", "RAW_FILE", "reason").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/errors.csv")
 
 
 def write_list(df: DataFrame, path: str, single: bool = False) -> None:
