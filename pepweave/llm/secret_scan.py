@@ -10,7 +10,9 @@ name. The background counts how often a symbol follows another in all words of a
 
 Whole texts are scanned, in one pass with no shuffle and time in proportion to a text's length. Only the bounded sample of credentials and the table of pairs of symbols,
 which has at most SYMBOLS rows squared, reach the driver. Credentials are learned from and tokens scored at whatever length; a
-prefix tree takes about 450 bytes for each character of the sample while it is merged.
+prefix tree takes about 450 bytes for each character of the sample while it is merged. However few credentials of a kind there are, they make its
+automaton: of one or two it knows little more than these, and no ordinary token comes near its level. Tokens are scored from MIN_LENGTH characters on, parts
+joined by dots being one token; shorter ones, in which too few bits tell a credential from a word, count only where a base pattern names them.
 
 Defined cases: null text is empty and has no spans; rows alike get the same spans; positions are code points, ends
 exclusive; a document may be of any length; a column named secrets is replaced, other columns come through; an empty table gives an
@@ -38,8 +40,8 @@ ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # a shorter match holds no longer one
 HEX = re.compile(r"[0-9a-f]{24,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]+")
-MIN_LENGTH = 16
+TOKEN = re.compile(r"[A-Za-z0-9+/_=-]++(?:\.[A-Za-z0-9+/_=-]++)*+")  # parts joined by dots are one token
+MIN_LENGTH = 12
 
 SAMPLE_DOCS = 20_000
 MAX_EXAMPLES = 400
@@ -168,6 +170,11 @@ class Formats:
         found = [(g - self.levels[k], k, g) for k, a in self.automata.items() if (g := (a.bits(s) - usual) / len(word)) >= self.levels[k]]
         return max(found)[1:] if found else None
 
+    def likeliest(self, word: str) -> tuple[str, float]:
+        """The format that a credential is likest, whether it reaches its level or not, and its gain."""
+        gain, kind = max((self.gain(k, word), k) for k in self.automata)
+        return kind, gain
+
 
 def free_tokens(text: str, taken: list[tuple[int, int]], least: int = MIN_LENGTH):
     """Tokens of at least so many characters that overlap none of the spans taken, which are in order of their starts; both are walked through once."""
@@ -230,7 +237,7 @@ def inferred(examples: dict[str, list[str]], pairs: Counter[tuple[str, str]]) ->
     for (a, _), n in pairs.items():
         first[a] += n
     background = {p: math.log2((n + 0.5) / (first[p[0]] + 20)) for p, n in pairs.items()}
-    formats = Formats({k: Automaton(v) for k, v in sorted(examples.items()) if len(v) >= 20}, {}, background)
+    formats = Formats({k: Automaton(v) for k, v in sorted(examples.items()) if v}, {}, background)
     for k in formats.automata:
         gains = sorted(formats.gain(k, w) for w in examples[k])
         formats.levels[k] = max(0.5, gains[len(gains) // 50])  # all but 2 in 100
@@ -267,34 +274,42 @@ def learn_formats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return inferred(examples, pairs)
 
 
+def _remembered(score, most: int = 64):
+    """A function of a token that remembers its results for frequent short ones."""
+    held = lru_cache(1 << 15)(score)
+    return lambda word: held(word) if len(word) <= most else score(word)
+
+
 def scan(docs: DataFrame, formats: Formats, text_col: str = "text", least: int = MIN_LENGTH) -> DataFrame:
-    """All rows and columns of docs with secrets: array of (kind, start, end, score), by start and kind; learned kinds are named auto_<kind>."""
-    span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("score", T.DoubleType())])
+    """All rows and columns of docs with secrets: array of (kind, start, end, score, format), by start and kind; learned kinds are named auto_<kind>.
+
+    format and score: the learned format that a span is likest and how many bits a character that gains, for base spans too."""
+    span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("format", T.StringType())])
     own = T.StructField("secrets", T.ArrayType(span))
     docs = docs.drop(*(c for c in ["secrets"] if c != text_col))
     at = docs.columns.index(text_col)
-    arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
+    arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("format", pa.string())]))
 
-    def spans(text: str) -> list[dict]:
+    def spans(text: str, best, likeliest) -> list[dict]:
         base = base_matches(text)
-        out = [(s, KINDS.index(k), k, e, formats.best(w)) for s, e, k, w in base]
-        found = [{"kind": k, "start": s, "end": e, "score": b[1] if b else 0.0} for s, _, k, e, b in out]
+        found = [{"kind": k, "start": s, "end": e, "score": g, "format": f} for s, e, k, w in base for f, g in [likeliest(w)]]
         for m in free_tokens(text, [(s, e) for s, e, _, _ in base], least):
-            if b := formats.best(m[0]):
-                found.append({"kind": f"auto_{b[0]}", "start": m.start(), "end": m.end(), "score": b[1]})
+            if b := best(m[0]):
+                found.append({"kind": f"auto_{b[0]}", "start": m.start(), "end": m.end(), "score": b[1], "format": b[0]})
         order = {k: i for i, k in enumerate(KINDS)}
         return sorted(found, key=lambda x: (x["start"], order.get(x["kind"], len(KINDS)), x["kind"]))
 
     def run(batches):
+        best, likeliest = _remembered(formats.best), _remembered(formats.likeliest)
         for batch in batches:
-            found = pa.array([spans(x.as_py() or "") for x in batch.column(at)], arrow)
+            found = pa.array([spans(x.as_py() or "", best, likeliest) for x in batch.column(at)], arrow)
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "secrets"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, own]))
 
 
 def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Counts by base kind, the digest of the base spans and the list of all."""
+    """Counts by base kind, the digest of the base spans, the list of all, and of each its likeliest format and score."""
 
     def joined(spans):
         return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
@@ -304,4 +319,6 @@ def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     def count(kind):
         return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select(id_col, *map(count, KINDS), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
+    formats = F.concat_ws(",", F.transform("secrets", lambda s: s["format"]))
+    scores = F.concat_ws(",", F.transform("secrets", lambda s: F.format_number(s["score"], 3)))
+    return found.select(id_col, *map(count, KINDS), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"), formats.alias("formats"), scores.alias("scores"))
