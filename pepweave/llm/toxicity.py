@@ -6,15 +6,15 @@ more than the class explains (correlated ones) share their evidence. It starts f
 and behaved as USUAL, with a PRIOR share of toxic rows. A logistic regression on lexicon features, fitted to the posterior
 labels with both classes weighing the same, scores all texts.
 
-Given labels do one thing: they tell which words and prefixes are worth a voter (ENTRIES of them are looked at, VOTING make voters, all of
-them from one half of the sample). They are no voter, no start and no target; the classifier weighs FEATURES words and prefixes found by posteriors.
+Given labels do one thing: they tell which words and prefixes are worth a voter (ENTRIES of them are looked at, VOTING make voters; both must be in
+LEAST_ROWS rows and reach VOTER_STRENGTH, whatever the sample's size). They are no voter, no start and no target; the classifier weighs FEATURES words and prefixes found by posteriors.
 
 The sample (max_rows labelled rows at most of either label in expectation, chosen by a hash of the id) is the only thing
 learned from where there are labels; executors find the words and prefixes that tell its rows apart, and the driver gets each row's few of them. Scoring reads every whole text once and shuffles nothing.
 
 Defined cases: a null or empty text has no feature and gets the prior's score; without labelled rows of both kinds
 all voters but the public lists abstain; without any labelled row the public lists and the patterns vote on an unlabelled
-sample, and as their words seldom meet in a text, the model's first guess of how they behave stays; that sample has about 2 * max_rows rows that have an id; labels that repeat for a row count once (the highest); a null id joins no label
+sample, and as their words seldom meet in a text, the model's first guess of how they behave stays; that sample has about 2 * max_rows rows that have an id; labels other than 0 and 1 don't count; labels that repeat for a row count once (the highest); a null id joins no label
 and counts as the empty text in folds; an empty table gives an empty result; columns named like the outputs are replaced; texts of
 any length are scored whole, one at a time; entries of equal strength go by their name.
 """
@@ -39,6 +39,8 @@ HEAD = min(PREFIXES)
 DENSE = 200  # an entry is dense if it is one word of so many
 THRESHOLD = 0.7
 ENTRIES, VOTING, FEATURES = 3000, 600, 800  # most words and prefixes that are counted in the sample, that voters share, that the classifier weighs
+LEAST_ROWS = 3  # of the sample that an entry must be in, in toxic or in clean ones, to be looked at
+VOTER_STRENGTH, FEATURE_STRENGTH = 10.0, 12.0  # twice the log-likelihood ratio from which an entry makes a voter, or is weighed: by chance one in 600 or 2000 reaches it
 PRIOR = 0.1  # first guess of the share of toxic rows
 USUAL, SURE = (0.02, 0.3), 5  # first guess of the shares of clean and toxic rows that a voter votes in, later worth as much as so many rows
 WORD = re.compile(r"\w+")
@@ -120,7 +122,7 @@ def lexicon(rows: FeatureSets, toxic: np.ndarray, least: float, most: int) -> di
     n, m = float(toxic.sum()), float(len(toxic) - toxic.sum())
     if not n or not m:
         return {}
-    names = [f for f, c in ct.items() if c >= 3] + [f for f, c in cc.items() if f not in ct and c >= 3]
+    names = [f for f, c in ct.items() if c >= LEAST_ROWS] + [f for f, c in cc.items() if f not in ct and c >= LEAST_ROWS]
     a, b = np.array([ct[f] for f in names], float), np.array([cc[f] for f in names], float)
     s = strength(a, b, n, m) * np.where(a / n >= b / m, 1, -1)
     order = np.argsort(-np.abs(s), kind="stable")
@@ -210,7 +212,7 @@ def linear(rows: FeatureSets, target: np.ndarray, names: list[str], penalty: flo
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_ROWS) -> Model:
     """learn: which rows of docs may be learned from. labels: id_col and label_col."""
-    tagged = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
+    tagged = labels.where(F.col(label_col).cast("int").isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
     ids = docs.where(learn & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"))
     counts = {r[0]: r[1] for r in ids.join(tagged, "__id").groupBy("toxic").count().collect()}
     if not counts:
@@ -226,12 +228,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     sample = _votable(rows, known)
     found = FeatureSets([r.found for r in sample])
     given = np.array([r.toxic for r in sample])
-    # one half of the sample shows which entries make voters; how far these can be trusted is estimated on all rows without a look at labels
-    half = np.arange(len(sample)) % 2 == 0
-    voters = Voters(lexicon(found.where(half), given[half], 14.0, VOTING))
+    # labels tell which entries make voters; how far these can be trusted is estimated without a look at labels
+    voters = Voters(lexicon(found, given, VOTER_STRENGTH, VOTING))
     votes = np.array([voters.vote(f, r.address, r.shout) for f, r in zip(found, sample, strict=True)])
     q, _, _ = label_model(votes, guess(votes))
-    names = list(lexicon(found, q > 0.5, 12.0, FEATURES))
+    names = list(lexicon(found, q > 0.5, FEATURE_STRENGTH, FEATURES))
     names += sorted((voters.any & set().union(*found)) - set(names))
     return linear(found, q, names)
 
@@ -296,7 +297,7 @@ def _entries(rows: DataFrame, labels: dict[int, int], most: int = ENTRIES) -> se
     listed = {"=" + w for x in LISTS.values() for w in x.split()}
     if not n or not m:
         return listed
-    both = rows.mapInArrow(count, "entry string, a long, b long").groupBy("entry").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where("a >= 3 or b >= 3")
+    both = rows.mapInArrow(count, "entry string, a long, b long").groupBy("entry").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where((F.col("a") >= LEAST_ROWS) | (F.col("b") >= LEAST_ROWS))
 
     def part(x, total, p):
         return F.when(x > 0, x * F.log(x / (total * p))).otherwise(0.0)
