@@ -46,16 +46,15 @@ def running_counts(values: DataFrame, counts: list[str], group: str = "side", va
 
 def quantile(df: DataFrame, column: str, q: float) -> float | None:
     """The exact quantile with linear interpolation, from running counts of distinct values: no task holds them all. Nulls are left out."""
-    values = df.where(F.col(column).isNotNull()).groupBy(F.lit("x").alias("side"), F.col(column).alias("v")).agg(F.count("*").alias("n")).persist()
+    values = df.where(F.col(column).isNotNull()).groupBy(F.lit("x").alias("side"), F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    values = staged(values, "distinct")
     n = values.agg(F.sum("n")).first()[0]
     if not n:
-        values.unpersist()
         return None
     at = (n - 1) * q
     low = math.floor(at)
     steps = running_counts(values, ["n"])
     a, b = steps.agg(*(F.min(F.when(F.col("n_le") > k, F.col("v"))) for k in (low, min(low + 1, n - 1)))).first()
-    values.unpersist()
     return a + (b - a) * (at - low)
 
 

@@ -1,6 +1,7 @@
 """Seeded isolation-forest ensembles (M1-M7): training sets, growth, scoring, global rescaling.
 
-Growth is a task for each group of trees over a bounded, hash-chosen sample of the training rows; a model is a table of nodes.
+Growth is a task for each group of trees over a bounded, hash-chosen sample of the training rows; a tree is a row of packed nodes, which the
+driver only puts one after another.
 Standardisation and the cut are taken over the whole training set, which executors score.
 Scoring is an Arrow function over a broadcast model, whose size is fixed by the ensemble's shape.
 """
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import PERCENTILE, feature_vector, features_of, on_side, trusted_denovo, trusted_shared, unsuffixed
 from ..schemas import SIDES
 from .ecdf import quantile as exact_quantile
+from .ecdf import staged
 
 #: Fixed values of the ensemble's shape.
 SMALLEST, DETECTORS, TREES = 256, 8, 100
@@ -26,7 +28,10 @@ SOURCES = ("percolator_percentile", "denovo_score")
 #: Rows that trees draw from; a training set with more gives a hash-chosen sample of about so many, in which equal rows keep their share.
 MAX_ROWS = 1 << 18
 EULER = 0.5772156649015329
-NODES = "detector int, tree int, psi int, node int, feature int, threshold double, lower int, upper int, path double"
+#: A tree is a row; its nodes are packed one after another as NODE.
+TREE = "detector int, tree int, psi int, nodes binary"
+#: lower: the child for values up to the threshold, the next node being the other one; leaves lead to themselves, as nothing is above their threshold.
+NODE = np.dtype([("feature", "<i2"), ("lower", "<i4"), ("threshold", "<f8"), ("path", "<f4")])
 
 
 class TooFewRows(ValueError):
@@ -68,36 +73,35 @@ def average_path(n) -> np.ndarray:
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, 2 * (np.log(m - 1) + EULER) - 2 * (m - 1) / m))
 
 
-def grow(x: np.ndarray, rng: np.random.Generator) -> list[tuple[int, float, int, int, float]]:
-    """One tree: (feature, threshold, lower, upper, path) rows; feature -1 for leaves, whose path is depth plus that of their rows."""
+def grow(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """One tree as NODE rows, siblings side by side; a leaf's path is its depth plus that of its rows."""
     limit: int = math.ceil(math.log2(max(len(x), 2)))
-    nodes: list[list] = []
-    todo = [(np.arange(len(x)), 0, -1, 0)]
+    nodes: list[tuple[int, int, float, float]] = [(0, 0, math.inf, 0.0)]
+    todo = [(np.arange(len(x)), 0, 0)]
     while todo:
-        rows, depth, parent, side = todo.pop()
-        me, part = len(nodes), x[rows]
-        if parent >= 0:
-            nodes[parent][2 + side] = me
+        rows, depth, me = todo.pop()
+        part = x[rows]
         low, high = part.min(0), part.max(0)
         spread = np.nonzero(high > low)[0]
         if depth >= limit or len(rows) <= 1 or not len(spread):
-            nodes.append([-1, 0.0, -1, -1, depth + float(average_path(len(rows)))])
+            nodes[me] = (0, me, math.inf, depth + float(average_path(len(rows))))
             continue
         f = int(rng.choice(spread))
         t = float(rng.uniform(low[f], high[f]))
         below = part[:, f] <= t
-        nodes.append([f, t, -1, -1, 0.0])
-        todo += [(rows[~below], depth + 1, me, 1), (rows[below], depth + 1, me, 0)]
-    return [tuple(n) for n in nodes]
+        nodes[me] = (f, len(nodes), t, 0.0)
+        todo += [(rows[~below], depth + 1, len(nodes) + 1), (rows[below], depth + 1, len(nodes))]
+        nodes += [(0, 0, math.inf, 0.0)] * 2
+    return np.array(nodes, NODE)
 
 
 @dataclass
 class Forest:
-    """Nodes of all trees in arrays, offsets of trees, and each detector's standardisation; score: higher is more unusual."""
+    """Nodes of all trees (NODE, with children counted over all), each detector's roots and standardisation; score: higher is more unusual."""
 
     feature: np.ndarray
+    lower: np.ndarray
     threshold: np.ndarray
-    child: np.ndarray  # lower and upper child of each node in turn; of leaves themselves
     path: np.ndarray
     roots: list[np.ndarray]  # of each detector's trees
     psi: list[int]
@@ -108,13 +112,13 @@ class Forest:
     def raw(self, x: np.ndarray) -> np.ndarray:
         """rows x detectors scores in (0, 1]."""
         out = np.empty((len(x), len(self.psi)))
-        flat, base = np.ascontiguousarray(x).reshape(-1), np.arange(len(x)) * x.shape[1]
+        flat, base = np.ascontiguousarray(x, float).reshape(-1), np.arange(len(x), dtype=np.int32) * x.shape[1]
         for d, (roots, psi) in enumerate(zip(self.roots, self.psi, strict=True)):
             total = np.zeros(len(x))
             for root in roots:
-                at = np.full(len(x), root)
-                for _ in range(math.ceil(math.log2(psi))):  # leaves lead to themselves
-                    at = self.child[2 * at + (flat[base + self.feature[at]] > self.threshold[at])]
+                at = np.full(len(x), root, np.int32)
+                for _ in range(math.ceil(math.log2(psi))):
+                    at = self.lower[at] + (flat[base + self.feature[at]] > self.threshold[at])
                 total += self.path[at]
             out[:, d] = 2.0 ** (-total / len(roots) / float(average_path(psi)))
         return out
@@ -131,7 +135,8 @@ def fit(train: DataFrame, features: list[str], seed: int = 0, trees: int = TREES
     spark = train.sparkSession
     rows = train.select(*(F.col(f"`{f}`").cast("double").alias(f"f{k}") for k, f in enumerate(features))).where(" and ".join(f"f{k} is not null and not isnan(f{k})" for k in range(len(features))))
     width = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    distinct = rows.groupBy(*rows.columns).agg(F.count("*").alias("n")).repartition(width).persist()
+    distinct = rows.groupBy(*rows.columns).agg(F.count("*").alias("n")).repartition(width)
+    distinct = staged(distinct, "training-rows")
     n = distinct.agg(F.sum("n")).first()[0] or 0
     sizes = detector_sizes(n)
     x = sample(distinct, features, seed, min(1.0, max_rows / n))
@@ -145,18 +150,12 @@ def fit(train: DataFrame, features: list[str], seed: int = 0, trees: int = TREES
                 rng = np.random.default_rng([seed, detector, tree])
                 psi = min(sizes[detector], len(data))
                 nodes = grow(data[rng.choice(len(data), psi, replace=False)], rng)
-                out = pd.DataFrame(nodes, columns=["feature", "threshold", "lower", "upper", "path"])
-                out.insert(0, "node", np.arange(len(out)))
-                out.insert(0, "psi", psi)
-                out.insert(0, "tree", tree)
-                out.insert(0, "detector", detector)
-                yield out
+                yield pd.DataFrame({"detector": [detector], "tree": [tree], "psi": [psi], "nodes": [nodes.tobytes()]})
 
     jobs = len(sizes) * trees
-    nodes = spark.range(0, jobs, 1, min(jobs, 4 * spark.sparkContext.defaultParallelism)).mapInPandas(build, NODES).persist()
+    nodes = staged(spark.range(0, jobs, 1, min(jobs, 4 * spark.sparkContext.defaultParallelism)).mapInPandas(build, TREE), "trees")
     forest = load(nodes)
     scale(forest, distinct, n)
-    distinct.unpersist()
     return nodes, forest
 
 
@@ -179,7 +178,7 @@ def scale(forest: Forest, distinct: DataFrame, n: int) -> None:
             raw = shared.value.raw(pdf.drop(columns="n").to_numpy(float))
             yield pd.DataFrame({"n": pdf["n"], "raw": list(raw)})
 
-    rows = distinct.mapInPandas(run, "n long, raw array<double>").persist()
+    rows = staged(distinct.mapInPandas(run, "n long, raw array<double>"), "training-scores")
     weight, kinds = F.col("n").cast("decimal(15,0)"), range(len(forest.psi))
 
     def mean(of, kind: str) -> np.ndarray:
@@ -200,21 +199,20 @@ def scale(forest: Forest, distinct: DataFrame, n: int) -> None:
     ends = np.cumsum([r.n for r in top])
     low, high = (top[int(np.searchsorted(ends, m))].s for m in (k, max(k - 1, 1)))
     forest.cut = low + (high - low) * (at - math.floor(at))
-    rows.unpersist()
 
 
 def load(nodes: DataFrame) -> Forest:
-    """From the table of nodes, at most DETECTORS * TREES trees."""
-    pdf = nodes.orderBy("detector", "tree", "node").toPandas()
-    first = np.nonzero(pdf["node"].to_numpy() == 0)[0]
-    base = np.repeat(first, np.diff(np.append(first, len(pdf))))
-    leaf = pdf["feature"].to_numpy() < 0
-    child = np.where(leaf[:, None], np.arange(len(pdf))[:, None], pdf[["lower", "upper"]].to_numpy() + base[:, None])
-    detector = pdf["detector"].to_numpy()[first]
-    psi = pdf["psi"].to_numpy()[first]
+    """From the table of trees, at most DETECTORS * TREES of them: their bytes one after another."""
+    trees = nodes.orderBy("detector", "tree").collect()
+    parts = [np.frombuffer(t.nodes, NODE) for t in trees]
+    first = np.cumsum([0, *map(len, parts)])
+    every = {name: np.concatenate([p[name] for p in parts]) for name in NODE.names}
+    for a, b in zip(first, first[1:], strict=False):
+        every["lower"][a:b] += a
+    detector = np.array([t.detector for t in trees])
     kinds = sorted(set(detector.tolist()))
-    feature, threshold = np.where(leaf, 0, pdf["feature"]), np.where(leaf, np.inf, pdf["threshold"])
-    return Forest(feature, threshold, child.reshape(-1), pdf["path"].to_numpy(), [first[detector == d] for d in kinds], [int(psi[detector == d][0]) for d in kinds], np.zeros(len(kinds)), np.ones(len(kinds)), math.inf)
+    psi = {t.detector: t.psi for t in trees}
+    return Forest(every["feature"], every["lower"], every["threshold"], every["path"], [first[:-1][detector == d] for d in kinds], [psi[d] for d in kinds], np.zeros(len(kinds)), np.ones(len(kinds)), math.inf)
 
 
 def save(nodes: DataFrame, forest: Forest, path: str) -> None:

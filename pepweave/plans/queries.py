@@ -393,10 +393,9 @@ def similarity_labels(spark, sf_dir):
 
 @query("forest_scores")
 def forest_scores(spark, sf_dir):
-    df = scans(spark, sf_dir).drop(*(f"ISO_scores_{s}" for s in SIDES))
+    df = staged(scans(spark, sf_dir).drop(*(f"ISO_scores_{s}" for s in SIDES)), "scans")
     rows = forest.training_set(forest.training_candidates(df).select(*C.features_of(df, "database")))
-    nodes, model = forest.fit(rows, views.FEATURES)
-    nodes.unpersist()
+    _, model = forest.fit(rows, views.FEATURES)
     scored = forest.score_sides(df, model, views.FEATURES).select("RAW_FILE", "SCAN_NUMBER", "SpecId", *(f"ISO_{n}_{s}" for n in ("labels", "scores") for s in SIDES))
     out = forest.rescaled(staged(scored, "forest-scores"))
     return out.select("RAW_FILE", "SCAN_NUMBER", "SpecId", *(f"ISO_{n}_{s}" for n in ("labels", "scores") for s in SIDES))
