@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import SCORE_NAMES, call, detection_level, residue_scores
+from ..plans.session import staged
 from ..schemas import DENOVO_LIST_COLUMNS, LIST_COLUMNS, SIDES
 
 
@@ -13,6 +14,16 @@ def ranked(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("TP_GOODNESS").desc_nulls_last(), "RAW_FILE", "SCAN_NUMBER", "SpecId")
 
 
+def with_rank(df: DataFrame) -> DataFrame:
+    """df with rank, from 1 in the lists' order: rows are sorted by ranges, places within them are topped up with the counts of the ranges before."""
+    rows = staged(ranked(df).withColumn("__at", F.monotonically_increasing_id()), "ranked").withColumn("__range", F.shiftright("__at", 33))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = rows.groupBy("__range").agg(F.count("*").alias("__n"))  # a row a range
+    ranges = ranges.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    place = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(F.broadcast(ranges), "__range").withColumn("rank", F.col("__before") + place + 1).drop("__at", "__range", "__before")
+
+
 def detection_counts(scans: DataFrame) -> DataFrame:
     """Matches found by both branches alike, and by either; a shared scan with different peptides counts for each."""
     level = detection_level()

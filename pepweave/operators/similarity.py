@@ -1,6 +1,7 @@
 """Classification of shared rows by how their two peptides differ (Q17-Q19).
 
-Tier, distance, mass and flags are expressions; only the alignment runs in Python, once for each distinct pair of peptides.
+Tier, distance, mass and flags are expressions; only the alignment runs in Python, once for each distinct pair of peptides, and
+on arrays over many pairs of equal lengths at a time.
 """
 
 from __future__ import annotations
@@ -10,30 +11,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import residues
-from ..functions.alignment import align, event_name, events, label_of
+from ..functions.alignment import event_name, events, label_of
+from ..functions.alignment_batch import align_stream, name_of
 from ..functions.columns import shared_kind
 
 PAIR = "SEQUENCE_database", "SEQUENCE_denovo"
 EVENT = "struct<event: string, pos: int, seq1: string, seq2: string, k: int, description: string>"
-ALIGNED = f"a string, b string, event string, change_summary string, first string, marks string, second string, score double, events array<{EVENT}>, error string"
+NAMED = "a string, b string, event string, error string"
+DETAILS = f"change_summary string, first string, marks string, second string, score double, events array<{EVENT}>"
 
 
-def align_pairs(pairs: DataFrame) -> DataFrame:
-    """pairs: a, b. Adds the alignment, its events, their name and summary; an error text instead where a pair fails."""
+def align_pairs(pairs: DataFrame, details: bool = True) -> DataFrame:
+    """pairs: a, b. Adds the name of the events that separate them, or an error text where a pair fails; with details the alignment and its events too."""
 
     def run(batches):
-        for pdf in batches:
-            rows = []
-            for a, b in zip(pdf["a"], pdf["b"], strict=True):
-                try:
-                    found = align(a, b)
-                    what = events(found)
-                    rows.append((a, b, event_name(what), "+".join(e.description for e in what if e.description), found.first, found.marks, found.second, found.score, [vars(e) for e in what], None))
-                except Exception as e:  # a pair's failure is its result
-                    rows.append((a, b, None, None, None, None, None, None, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["a", "b", "event", "change_summary", "first", "marks", "second", "score", "events", "error"])
-
-    return pairs.select("a", "b").mapInPandas(run, ALIGNED)
+        def rows():
+            for pdf in batches:
+                yield from zip(pdf["a"], pdf["b"], strict=True)
+
+        out = []
+        for a, b, found in align_stream(rows()):
+            if isinstance(found, Exception):
+                out.append((a, b, None, f"{type(found).__name__}: {found}", *[None] * 6)[: len(names)])
+            elif details:
+                what = events(found)
+                out.append((a, b, event_name(what), None, "+".join(e.description for e in what if e.description), found.first, found.marks, found.second, found.score, [vars(e) for e in what]))
+            else:
+                out.append((a, b, name_of(found), None))
+            if len(out) >= 10_000:
+                yield pd.DataFrame(out, columns=names)
+                out = []
+        yield pd.DataFrame(out, columns=names)
+
+    schema = NAMED + (f", {DETAILS}" if details else "")
+    names = ["a", "b", "event", "error"] + (["change_summary", "first", "marks", "second", "score", "events"] if details else [])
+    return pairs.select("a", "b").mapInPandas(run, schema)
 
 
 def with_pair_measures(df: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -47,9 +59,9 @@ def label(tier: Column, isobaric: Column, event: Column, identical: Column) -> C
     return F.when(identical, label_of(0, True, "", True)).otherwise(graded)
 
 
-def classify_pairs(pairs: DataFrame) -> DataFrame:
-    """Distinct (a, b) with measures, alignment and label."""
-    out = with_pair_measures(align_pairs(pairs.select("a", "b").distinct()))
+def classify_pairs(pairs: DataFrame, details: bool = True) -> DataFrame:
+    """Distinct (a, b) with measures, alignment (with details) and label."""
+    out = with_pair_measures(align_pairs(pairs.select("a", "b").distinct(), details))
     return out.withColumn("label", F.when(F.col("error").isNull(), label(F.col("tier"), F.col("isobaric"), F.col("event"), F.col("a") == F.col("b"))))
 
 
@@ -59,7 +71,7 @@ def with_similarity(scans: DataFrame) -> DataFrame:
     A missing sequence on a shared row is an error of that row, as no pair can be formed."""
     kind = shared_kind()
     a, b = (F.col(c) for c in PAIR)
-    pairs = classify_pairs(scans.where((kind == "different") & a.isNotNull() & b.isNotNull()).select(a.alias("a"), b.alias("b")))
+    pairs = classify_pairs(scans.where((kind == "different") & a.isNotNull() & b.isNotNull()).select(a.alias("a"), b.alias("b")), details=False)
     pairs = pairs.select(F.col("a").alias("__a"), F.col("b").alias("__b"), F.col("label").alias("__label"), F.col("levenshtein").alias("__distance"), F.col("error").alias("__error"))
     out = scans.withColumn("__kind", kind).join(pairs, (F.col("__kind") == "different") & (a == F.col("__a")) & (b == F.col("__b")), "left")
     k = F.col("__kind")

@@ -7,7 +7,7 @@ under the output folder and leaves its inputs alone: merged/<side>, scans, score
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from ..functions.columns import denovo_rest, drop_columns, only_on, require_same
 from ..operators import calls, ecdf, forest, merge, plotdata, rescore, similarity
 from ..schemas import SIDES
 from ..sources import readers, sinks
-from .session import ship, staged
+from .session import ship, side_by_side, staged
 
 
 @dataclass
@@ -87,10 +87,14 @@ class Pipeline:
         sinks.write_errors(errors, self.out)
         bad = errors.where("RAW_FILE is not null").select("RAW_FILE").distinct()
         any_bad = bool(bad.limit(1).count())
-        for s, (search, features, scores, _) in parts.items():
+
+        def write(side: str) -> None:
+            search, features, scores, _ = parts[side]
             if any_bad:
                 search, features = (df.join(bad, "RAW_FILE", "left_anti") for df in (search, features))
-            sinks.write_by_raw_file(merge.merge_branch(search, features, scores), f"{self.out}/merged/{s}")
+            sinks.write_by_raw_file(merge.merge_branch(search, features, scores), f"{self.out}/merged/{side}")
+
+        side_by_side(self.spark, {s: partial(write, s) for s in self.sides})
         return {s: readers.read_by_raw_file(self.spark, f"{self.out}/merged/{s}") for s in self.sides}
 
     def psa(self, merged: dict[str, DataFrame]) -> DataFrame:
@@ -112,7 +116,7 @@ class Pipeline:
         rows = forest.training_candidates(scans, c.iforest_training_source, c.iforest_denovo_score_threshold)
         nodes, model = forest.fit(forest.training_set(rows, c.iforest_training_source), c.iforest_features, c.iforest_seed)
         forest.save(nodes, model, f"{path}/model")
-            raw = f"{path}/scored_raw"
+        raw = f"{path}/scored_raw"
         forest.score_sides(scans, model, c.iforest_features, self.sides).write.mode("overwrite").parquet(raw)
         forest.rescaled(self.spark.read.parquet(raw), self.sides).write.mode("overwrite").parquet(f"{path}/scored")
         return self.spark.read.parquet(f"{path}/scored")

@@ -11,9 +11,9 @@ from ..functions import columns as C
 from ..functions import residues
 from ..operators import calls, ecdf, forest, merge, plotdata, rescore, similarity
 from ..schemas import SIDES
-from ..sources import readers
+from ..sources import readers, sinks
 from . import views
-from .session import staged
+from .session import shared_folder, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -163,6 +163,54 @@ def numbers_from_text(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", readers.number(text).alias("value"), readers.number(F.round(readers.number(text)), "int").alias("whole"))
 
 
+# tables written in the formats of the inputs and outputs and read back by the engine's own readers
+
+
+def _text_files(df: DataFrame, name: str, sep: str) -> str:
+    path = shared_folder(df.sparkSession, name)
+    df.write.option("header", True).option("sep", sep).csv(path)
+    return path
+
+
+_SEARCH = "RAW_FILE, SCAN_NUMBER, MODIFIED_SEQUENCE, PRECURSOR_CHARGE, MASS, SCORE, SEQUENCE, num_missed_cleavages, REVERSE"
+
+
+@query("search_files", FIX + f"SELECT {_SEARCH}, 0::BIGINT AS errors FROM db")
+def search_files(spark, sf_dir):
+    """Search results as comma-separated files; columns stand in another order, and one more is ignored."""
+    rows = views.branch(spark, sf_dir, "database").select("SEQUENCE", "Label", *(c for c in _SEARCH.split(", ") if c != "SEQUENCE"))
+    found, errors = readers.read_search_checked(spark, _text_files(rows, "search", ",") + "/*.csv", "database", staged)
+    return found.select(*_SEARCH.split(", ")).withColumn("errors", F.lit(errors.count()))
+
+
+@query("feature_files", FIX + "SELECT SpecId, Label, f_discount, f_tax, f_price, f_quantity, RAW_FILE, 0::BIGINT AS errors FROM dbi")
+def feature_files(spark, sf_dir):
+    rows = search(spark, sf_dir, "database").select("SpecId", "Label", *views.FEATURES)
+    found, errors = readers.read_features_checked(spark, _text_files(rows, "features", "\t"), "database features", staged)
+    return found.withColumn("errors", F.lit(errors.count()))
+
+
+@query("score_files", FIX + """SELECT SpecId AS PSMId, percolator_score AS score, 0.5::DOUBLE AS q_value, Label = 1 AS is_target, 0::BIGINT AS errors FROM dbi""")
+def score_files(spark, sf_dir):
+    """Scorer output of targets and decoys."""
+    rows = search(spark, sf_dir, "database")
+    cols = [F.col("SpecId").alias("PSMId"), F.col("percolator_score").alias("score"), F.lit(0.5).alias("q-value"), F.lit(0.25).alias("posterior_error_prob"), F.lit("-").alias("peptide")]
+    paths = [_text_files(rows.where(c).select(*cols), "scores", "\t") for c in ("Label = 1", "Label <> 1")]
+    found, errors = readers.read_scores_checked(spark, *paths, "database scores", staged)
+    return found.select("PSMId", "score", F.col("q-value").alias("q_value"), "is_target").withColumn("errors", F.lit(errors.count()))
+
+
+@query("raw_file_tables", FIX + "SELECT RAW_FILE, SCAN_NUMBER, SpecId, MASS, count(*) OVER (PARTITION BY RAW_FILE) AS rows_in_manifest FROM dni")
+def raw_file_tables(spark, sf_dir):
+    """A branch by raw file, written in two runs of which the second leaves alone what the first has written, with the rows that the manifest has."""
+    path = shared_folder(spark, "by-raw-file")
+    rows = search(spark, sf_dir, "denovo").select("RAW_FILE", "SCAN_NUMBER", "SpecId", "MASS")
+    sinks.write_by_raw_file(rows.where("RAW_FILE < 'run_4'"), path)
+    sinks.write_by_raw_file(rows, path, overwrite=False)
+    found = readers.read_by_raw_file(spark, path).join(sinks.manifest(spark, path).withColumnRenamed("rows", "rows_in_manifest"), "RAW_FILE")
+    return found.select("RAW_FILE", "SCAN_NUMBER", "SpecId", "MASS", "rows_in_manifest")
+
+
 @query("train_cutoff", FIX + "SELECT count(*) AS n, round(sum(f_price), 4) AS total_price, min(percolator_score) AS least FROM (SELECT f_price_database AS f_price, percolator_score_database AS percolator_score, quantile_cont(percolator_score_database, 0.7) OVER () AS cut FROM scans WHERE _merge = 'shared' AND Label_database = 1 AND percolator_score_database > 0) WHERE percolator_score > cut")
 def train_cutoff(spark, sf_dir):
     rows = forest.training_set(forest.training_candidates(scans(spark, sf_dir)))
@@ -243,6 +291,13 @@ def call_counts(spark, sf_dir):
     return _called(spark, sf_dir).groupBy("DETECTION_LEVEL", "CALL_database", "CALL_denovo").agg(F.count("*").alias("n"), *total)
 
 
+@query("ranked_good_list", FIX + _CALLED + "SELECT SpecId, RAW_FILE, SCAN_NUMBER, row_number() OVER (ORDER BY tp DESC NULLS LAST, RAW_FILE, SCAN_NUMBER, SpecId) AS rank FROM (SELECT *, CASE DETECTION_LEVEL WHEN 'denovo' THEN TP_GOODNESS_denovo ELSE TP_GOODNESS_database END AS tp FROM lists WHERE CASE DETECTION_LEVEL WHEN 'denovo' THEN CALL_denovo ELSE CALL_database END = 'GOOD')")
+def ranked_good_list(spark, sf_dir):
+    """The order of the list of good matches, each with its place."""
+    good = _called(spark, sf_dir).where("CALL = 'GOOD'").withColumn("TP_GOODNESS", F.round("TP_GOODNESS", 9))
+    return calls.with_rank(good).select("SpecId", "RAW_FILE", "SCAN_NUMBER", "rank")
+
+
 @query("denovo_only_list", FIX + ", r AS (SELECT ISO_scores AS v FROM dn WHERE SCORE >= 0.6) SELECT SpecId, RAW_FILE, SCAN_NUMBER, ISO_scores, round((SELECT count(*) FROM r WHERE r.v <= d.ISO_scores)::DOUBLE / (SELECT count(*) FROM r), 9) AS TP_GOODNESS, SCORE AS CASANOVO_SCORE, SEQUENCE, replace(AA_SCORE, '|', ',') AS CASANOVO_AA_SCORE, CASE WHEN ISO_scores >= 0.5 THEN 'GOOD' ELSE 'BAD' END AS call FROM dni d")
 def denovo_only_list(spark, sf_dir):
     df = C.suffixed(search(spark, sf_dir, "denovo"), "denovo").withColumns({"_merge": F.lit("denovo_only"), "SpecId": F.col("SpecId_denovo")})
@@ -363,9 +418,10 @@ def feature_columns(spark, sf_dir):
 
 
 @query("align_events")
-def align_events(spark, sf_dir):
+def align_events(spark, sf_dir, keep_events=False):
     pairs = scans(spark, sf_dir).where("_merge = 'shared' and not unmodified_sequence_match").select(F.col("SEQUENCE_database").alias("a"), F.col("SEQUENCE_denovo").alias("b"))
-    return similarity.classify_pairs(pairs).drop("events")
+    out = similarity.classify_pairs(pairs)
+    return out if keep_events else out.drop("events")
 
 
 @query("align_measures", FIX + _PAIRS + f"SELECT a, b, levenshtein(a, b)::INT AS levenshtein, abs(x.m - y.m) <= 0.000005 * greatest(x.m, y.m, 1.0) AS isobaric, list_sort(string_split(a, '')) = list_sort(string_split(b, '')) AS anagram, {_TIER.replace('lev', 'levenshtein(a, b)')} AS tier, x.m AS mass1, y.m AS mass2, a AS first_residues, b AS second_residues, true AS aligned, 'PSA - Tier ' || {_TIER.replace('lev', 'levenshtein(a, b)')} || CASE WHEN abs(x.m - y.m) <= 0.000005 * greatest(x.m, y.m, 1.0) THEN ' - ISOBARIC - ' ELSE ' - NONISOBARIC - ' END AS label FROM p JOIN ma x ON x.s = a JOIN ma y ON y.s = b WHERE a <> b")
@@ -377,6 +433,28 @@ def align_measures(spark, sf_dir):
     return out.select("a", "b", "levenshtein", "isobaric", "anagram", "tier", "mass1", "mass2", *residues_of, whole.alias("aligned"), F.regexp_extract("label", "^PSA - Tier [0-9] - (NON)?ISOBARIC - ", 0).alias("label"))
 
 
+@query("align_event_rows", FIX + _PAIRS + " SELECT a, b, a AS first_rebuilt, b AS second_rebuilt, true AS blocks_hold, true AS places_add_up FROM p WHERE a <> b")
+def align_event_rows(spark, sf_dir):
+    """What SQL can say of the events: each block is cut from its peptide at its place and is what its name says, and blocks and equal runs make up both peptides."""
+    out = align_events(spark, sf_dir, keep_events=True)
+    rows = out.select("a", "b", "first", "second", "marks", F.explode("events").alias("e"))
+
+    def cut(of: str):
+        return F.replace(F.substr(of, F.col("e.pos") + 1, F.col("e.k")), F.lit("-"), F.lit(""))
+
+    one, two = F.col("e.seq1"), F.col("e.seq2")
+    aligned = (F.substr(c, F.col("e.pos") + 1, F.col("e.k")) for c in ("first", "second"))
+    differ = F.forall(F.zip_with(*(F.split(x, "") for x in aligned), lambda x, y: (x == "") | (x != y)), lambda x: x)
+    holds = F.when(F.col("e.event").isin("SWAP", "SHUFFLE"), residues.anagram(one, two) & (one != two))
+    holds = holds.when(F.col("e.event") == "ISOBARIC-SUBSTITUTION", F.abs(residues.mass(one) - residues.mass(two)) <= 0.01 * F.col("e.k"))
+    holds = holds.when(F.col("e.event") == "DELETION", (two == "") & (one != "")).when(F.col("e.event") == "INSERTION", (one == "") & (two != ""))
+    holds = holds.otherwise(differ & (F.length(one) == F.length(two))) & (one == cut("first")) & (two == cut("second"))
+    per_pair = rows.groupBy("a", "b", "first", "second", "marks").agg(F.bool_and(holds).alias("blocks_hold"), F.sum("e.k").alias("k"))
+    equal_runs = F.length("marks") - F.length(F.replace("marks", F.lit("|"), F.lit("")))
+    rebuilt = {f"{c}_rebuilt": F.replace(c, F.lit("-"), F.lit("")) for c in ("first", "second")}
+    return per_pair.withColumns(rebuilt).select("a", "b", *rebuilt, "blocks_hold", (F.col("k") + equal_runs == F.length("marks")).alias("places_add_up"))
+
+
 @query("similarity_kinds", FIX + f", k AS (SELECT scans.*, levenshtein(SEQUENCE_database, SEQUENCE_denovo) AS lev FROM scans), ma AS (SELECT SEQUENCE AS s, {_MASS} AS m FROM (SELECT DISTINCT SEQUENCE_database AS SEQUENCE FROM scans WHERE _merge = 'shared' UNION SELECT SEQUENCE_denovo FROM scans WHERE _merge = 'shared')) SELECT CASE WHEN _merge = 'shared' THEN 'PSA - Tier ' || CASE WHEN sequence_match OR unmodified_sequence_match THEN '0' ELSE {_TIER}::VARCHAR || CASE WHEN abs(x.m - y.m) <= 0.000005 * greatest(x.m, y.m, 1.0) THEN ' - ISOBARIC' ELSE ' - NONISOBARIC' END END END AS kind, count(*) AS n, sum(CASE WHEN _merge <> 'shared' THEN NULL WHEN sequence_match OR unmodified_sequence_match THEN 0 ELSE lev END)::DOUBLE AS total_distance, 0::BIGINT AS errors FROM k LEFT JOIN ma x ON _merge = 'shared' AND x.s = SEQUENCE_database LEFT JOIN ma y ON _merge = 'shared' AND y.s = SEQUENCE_denovo GROUP BY 1")
 def similarity_kinds(spark, sf_dir):
     """What SQL can say of similarity_labels: rows by tier and mass."""

@@ -5,7 +5,9 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+from pepweave.operators.calls import with_rank
 from pepweave.plans.pipeline import Pipeline
+from pepweave.plans.session import side_by_side
 from pepweave.sources import readers, sinks
 from tests.test_pipeline import DB_HEAD, branches, config, write  # noqa: F401
 
@@ -74,3 +76,67 @@ def test_a_table_without_a_manifest_is_written_anew(spark, tmp_path):
 def test_mistyped(spark, c, bad):
     df = spark.createDataFrame([(c,)], "c string")
     assert df.select(readers.mistyped(F.col("c"), "long")).first()[0] is bad
+
+
+def slow(seconds):
+    def run(batches):
+        import time
+
+        for pdf in batches:
+            time.sleep(seconds)
+            yield pdf
+
+    return run
+
+
+def test_branches_run_side_by_side_in_pools_of_their_own(spark):
+    import time
+
+    context, running = spark.sparkContext, {}
+
+    def work(name):
+        def run():
+            jobs = context.statusTracker().getActiveJobsIds
+            started = time.time()
+            n = spark.range(0, 2, 1, 2).mapInPandas(slow(2), "id long").count()
+            running[name] = (context.getLocalProperty("spark.scheduler.pool"), started, time.time(), callable(jobs))
+            return n
+
+        return run
+
+    assert side_by_side(spark, {"one": work("one"), "two": work("two")}) == {"one": 2, "two": 2}
+    (pool_a, a, b, _), (pool_b, c, d, _) = running["one"], running["two"]
+    assert {pool_a, pool_b} == {"one", "two"} and max(a, c) < min(b, d)  # both were active at once
+    assert context.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_a_failing_branch_stops_the_other(spark):
+    import time
+
+    def fails():
+        time.sleep(2)
+        raise ValueError("this branch is broken")
+
+    started, stopped = time.time(), []
+
+    def long():
+        try:
+            return spark.range(0, 4, 1, 4).mapInPandas(slow(60), "id long").count()
+        except Exception as e:
+            stopped.append(str(e))
+            raise
+
+    with pytest.raises(ValueError, match="broken"):
+        side_by_side(spark, {"bad": fails, "long": long})
+    assert time.time() - started < 40 and stopped and "cancel" in stopped[0].lower()
+
+
+def test_ranks_are_places_in_the_sorted_list(spark):
+    import random
+
+    rng = random.Random(1)
+    values = [(rng.choice([None, 0.1, 0.5, 0.9]), rng.choice(["a", "b"]), k % 50, f"id{k}") for k in range(700)]
+    df = spark.createDataFrame(values, "TP_GOODNESS double, RAW_FILE string, SCAN_NUMBER long, SpecId string").repartition(6)
+    got = [r.SpecId for r in with_rank(df).orderBy("rank").collect()]
+    assert got == [v[3] for v in sorted(values, key=lambda v: (v[0] is None, -(v[0] or 0), v[1], v[2], v[3]))]
+    assert sorted(r["rank"] for r in with_rank(df).collect()) == list(range(1, 701)) and with_rank(df.limit(0)).count() == 0
