@@ -105,6 +105,13 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def ranges_for(df: DataFrame, each: int = 1 << 27) -> int:
+    """Into how many ranges df is cut: the shuffle's width, or more where a range would hold more than so many bytes by the plan's estimate (stored files' sizes)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # an estimate over a join or an unknown source is an upper bound without meaning
+    return max(shuffle_width(df.sparkSession), -(-size // each) if size < 1 << 60 else 0)
+
+
 def in_fold(id_col: Column, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves this remainder; null ids count as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % modulus == remainder
@@ -206,7 +213,7 @@ def sorted_rows(df: DataFrame, keys: list[Column], order: list[Column], name: st
     keys: a coarser form of the order that the ranges are cut by; rows alike in it stay together. Places have gaps between ranges: the upper 31
     bits are the range, the lower 33 the place in it.
     """
-    ranges = df.repartitionByRange(shuffle_width(df.sparkSession), *keys).sortWithinPartitions(*order)
+    ranges = df.repartitionByRange(ranges_for(df), *keys).sortWithinPartitions(*order)
     return stage_table(ranges.withColumn("__place", F.monotonically_increasing_id()), name)
 
 

@@ -46,6 +46,7 @@ SLICE = 1 << 20
 SKETCH_BITS = (20, 26)  # at least and at most
 PER_COUNTER = 1 << 10  # bytes of text
 SKETCH_BLOCKS = 64
+SKETCH_SALTS = 16  # tasks that first add up a block's counters, each those of some of the tasks that counted
 BLOCK = 1024
 SMALL = 64  # rows of a block whose pairs are made together with those of others
 PAIRS = 1 << 20  # that a task holds at once
@@ -156,7 +157,7 @@ def _fingerprints(docs: DataFrame, width: int, bits: int) -> DataFrame:
             if n:
                 np.add.at(sketch, (np.concatenate(held) & np.uint64(len(sketch) - 1)).astype(np.int64), np.uint32(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), none(n, pa.int32()), none(n, pa.binary())], names=["id", "n", "fp", "block", "counts"])
-        blocks = sketch.reshape(SKETCH_BLOCKS, -1)
+        blocks = sketch.reshape(sketch_blocks(len(sketch)), -1)
         rows = [(k, zlib.compress(b.tobytes(), 1)) for k, b in enumerate(blocks) if b.any()]
         if rows:
             k, c = zip(*rows, strict=True)
@@ -167,30 +168,45 @@ def _fingerprints(docs: DataFrame, width: int, bits: int) -> DataFrame:
 
 def _sketch(prints: DataFrame, bits: int) -> np.ndarray:
     """Logarithms of the summed counters, in fifths of a power of two; one byte a counter reaches the driver."""
-    rows = prints.where("block is not null").select("block", "counts").repartition("block").sortWithinPartitions("block")
+    def added(kind, finish):
+        """Adds up counters (of this kind) of equal blocks, which come one after another."""
+
+        def total(batches):
+            block, held = None, None
+
+            def done():
+                return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zlib.compress(finish(held).tobytes(), 1)], pa.binary())], names=["block", "counts"])
+
+            for batch in batches:
+                for b, c in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    counts = np.frombuffer(zlib.decompress(c.as_py()), kind)
+                    if b != block:
+                        if held is not None:
+                            yield done()
+                        block, held = b, np.zeros(len(counts), np.int64)
+                    held += counts
+            if held is not None:
+                yield done()
+
+        return released(total)
+
+    # in two steps, so that a block's counters from very many tasks are not added up by one
+    rows = prints.where("block is not null").select("block", "counts", F.pmod(F.spark_partition_id(), F.lit(SKETCH_SALTS)).alias("salt"))
+    some = rows.repartition("block", "salt").sortWithinPartitions("block", "salt").select("block", "counts").mapInArrow(added(np.uint32, np.asarray), "block int, counts binary")
+    every = some.repartition("block").sortWithinPartitions("block").mapInArrow(added(np.int64, _levels), "block int, counts binary")
+    out = np.zeros((sketch_blocks(1 << bits), (1 << bits) // sketch_blocks(1 << bits)), np.uint8)
+    for r in every.collect():
+        out[r.block] = np.frombuffer(zlib.decompress(r.counts), np.uint8)
+    return out.reshape(-1)
 
-    def total(batches):
-        block, held = None, None
 
-        def done():
-            levels = (5 * np.log2(held + 1.0)).astype(np.uint8)
-            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zlib.compress(levels.tobytes(), 1)], pa.binary())], names=["block", "levels"])
+def _levels(counts: np.ndarray) -> np.ndarray:
+    return (5 * np.log2(counts + 1.0)).astype(np.uint8)
 
-        for batch in batches:
-            for b, c in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                counts = np.frombuffer(zlib.decompress(c.as_py()), np.uint32)
-                if b != block:
-                    if held is not None:
-                        yield done()
-                    block, held = b, np.zeros(len(counts), np.int64)
-                held += counts
-        if held is not None:
-            yield done()
-
-    out = np.zeros((SKETCH_BLOCKS, (1 << bits) // SKETCH_BLOCKS), np.uint8)
-    for r in rows.mapInArrow(released(total), "block int, levels binary").collect():
-        out[r.block] = np.frombuffer(zlib.decompress(r.levels), np.uint8)
-    return out.reshape(-1)
+
+def sketch_blocks(counters: int) -> int:
+    """Into how many blocks so many counters are dealt: more of them where there are more."""
+    return max(SKETCH_BLOCKS, counters >> 16)
 
 
 def _incidence(docs: DataFrame, sketch: np.ndarray, hot_from: int, width: int, percent: int) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import rans
-from .common import shared_dir, shuffle_width, stage_table
+from .common import ranges_for, shared_dir, stage_table
 from .tokenizing import encoder
 
 SEGMENT = 1 << 20
@@ -65,7 +65,7 @@ def write_segments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     folder: qualified; tasks write each segment as a file there and return its name as data."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
-    rows = rows.repartitionByRange(files or shuffle_width(docs.sparkSession), *order).sortWithinPartitions(*order)
+    rows = rows.repartitionByRange(files or ranges_for(rows), *order).sortWithinPartitions(*order)
 
     def run(batches):
         enc, end, file = encoder(tokenizer), np.array([end_id], np.uint32), TaskContext.get().partitionId()

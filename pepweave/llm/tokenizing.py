@@ -11,6 +11,7 @@ import numpy as np
 WORDS = "byte_bpe_50k.json"
 #: A worker remembers the last so many distinct words, and those that it met among as many before.
 MEMO_WORDS = 250_000
+MEMO_BYTES = 48 << 20  # and no more of them than take so much memory
 #: Letters and numbers among the characters of PLAIN, on whose classes all regex engines agree; other texts go to the library whole.
 LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-ɏ–-…]*")
@@ -38,15 +39,17 @@ class Memo(dict):
         super().__init__()
         self.older: dict[str, bytes] = {}
         self.encode = encode
+        self.size = 0
 
     def __missing__(self, word: str) -> bytes:
         found = self.older.get(word)
         if found is None:
             found = self.encode(word)
-        if len(self) >= MEMO_WORDS:
-            self.older = dict(self)
+        if len(self) >= MEMO_WORDS or self.size >= MEMO_BYTES:
+            self.older, self.size = dict(self), 0
             self.clear()
         self[word] = found
+        self.size += 200 + 4 * len(word) + len(found)
         return found
 
 

@@ -6,11 +6,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from pepweave.llm import exact_dedup, jaccard_join, language_id, lattice_dedup, mixing, packing, rans, secret_scan, suffix_dedup, token_files, toxicity
-from pepweave.llm.common import drop_stage_tables, without_ids
+from pepweave.llm.common import drop_stage_tables, ranges_for, text_bytes, without_ids
 from pepweave.llm.components import connected_components
 from pepweave.llm.queries import ORACLE_SQL, QUERIES
 
@@ -612,6 +613,33 @@ def test_jaccard_long_texts_in_pieces():
         assert np.array_equal(jaccard_join.long_word_hashes(data), whole)
 
 
+def test_jaccard_sketch_is_the_sum_of_all_tasks_counts(spark, real):
+    """Whatever the tasks: each counter's level is that of the shingles of all rows."""
+    docs = real.select(F.col("doc_id").alias("id"), "text").limit(60)
+    rows = docs.collect()
+    want = np.zeros(1 << 20)
+    for r in rows:
+        for s in jaccard_join.shingle_sets(*text_bytes(pa.array([r.text])), 5):
+            np.add.at(want, (s & np.uint64((1 << 20) - 1)).astype(np.int64), 1)
+    for parts in (1, 7):
+        got = jaccard_join._sketch(jaccard_join._fingerprints(docs.repartition(parts), 5, 20), 20)
+        assert (got == (5 * np.log2(want + 1)).astype(np.uint8)).all()
+
+
+def test_blocks_and_ranges_grow_with_the_data(spark):
+    assert [jaccard_join.sketch_blocks(1 << b) for b in (20, 22, 24, 26)] == [64, 64, 256, 1024]
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    assert ranges_for(docs) == 4 and ranges_for(docs, 1 << 20) > 5 and ranges_for(docs.where("doc_id > 5").select("text"), 1 << 20) > 4
+
+
+def test_memo_is_bounded_by_bytes(monkeypatch):
+    from pepweave.llm import tokenizing
+
+    monkeypatch.setattr(tokenizing, "MEMO_BYTES", 20_000)
+    memo = tokenizing.Memo(lambda w: w.encode())
+    assert all(memo[f"{'w' * 300}{k % 70}"] == f"{'w' * 300}{k % 70}".encode() for k in range(500)) and len(memo) + len(memo.older) < 40
+
+
 def test_jaccard_sketch_grows_with_the_text():
     assert [jaccard_join.sketch_bits(n) for n in (0, 1 << 29, 1 << 31, 1 << 34, 1 << 50)] == [20, 20, 22, 25, 26]
 
