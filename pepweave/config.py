@@ -21,7 +21,9 @@ def _yaml():
 
 @dataclass(frozen=True)
 class Config:
-    """Keys that this engine acts on; those that only set up external tools are kept so that existing files load."""
+    """Keys that this engine acts on; those that only set up external tools are kept so that existing files load.
+
+    Fixed values: the keys' names, their defaults and the columns to drop are those of existing files; rescoring_seed is this engine's own."""
 
     run_rescoring: bool = True
     run_psa: bool = True

@@ -7,6 +7,7 @@ from pepweave.functions import residues
 from pepweave.functions.alignment import PeptideAligner, align, compare, levenshtein
 from pepweave.operators.similarity import with_similarity
 
+#: Published pairs and what must come of them.
 GOLDEN = [
     ("PEPTIDAEPGRWHKFEK", "PEPIATDEPGRHWFKEK", "SHUFFLE+SHUFFLE", "SHUFFLE(TIDA->IATD)@4+SHUFFLE(WHKF->HWFK)@12", "|||xxxx||||xxxx||"),
     ("AKDEITFGHKMPQ", "ADKEITFGHMKPQ", "SWAP+SWAP", "SWAP(KD->DK)@2+SWAP(KM->MK)@10", "|xx||||||xx||"),
