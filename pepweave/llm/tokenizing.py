@@ -11,7 +11,7 @@ import numpy as np
 WORDS = "byte_bpe_50k.json"
 #: A worker remembers the last so many distinct words, and those that it met among as many before.
 MEMO_WORDS = 250_000
-MEMO_BYTES = 48 << 20  # and no more of them than take so much memory
+MEMO_BYTES = 96 << 20  # and no more of them than take so much memory; 250000 ordinary words take two thirds of it
 #: Letters and numbers among the characters of PLAIN, on whose classes all regex engines agree; other texts go to the library whole.
 LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-ɏ–-…]*")
