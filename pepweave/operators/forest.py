@@ -3,13 +3,14 @@
 Growth is a task for each group of trees over a bounded, hash-chosen sample of the training rows; a tree is a row of packed nodes, which the
 driver only puts one after another.
 Standardisation and the cut are taken over the whole training set, which executors score.
-Scoring is an Arrow function over a broadcast model, whose size is fixed by the ensemble's shape.
+Scoring is an Arrow function over a broadcast model, whose size is fixed by the ensemble's shape; each distinct vector is scored once.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import PERCENTILE, feature_vector, features_of, on_side, trusted_denovo, trusted_shared, unsuffixed
-from ..schemas import SIDES
+from ..schemas import KEYS, SIDES
 from .ecdf import quantile as exact_quantile
 from .ecdf import staged
 
@@ -28,6 +29,7 @@ SOURCES = ("percolator_percentile", "denovo_score")
 #: Rows that trees draw from; a training set with more gives a hash-chosen sample of about so many, in which equal rows keep their share.
 MAX_ROWS = 1 << 18
 EULER = 0.5772156649015329
+BLOCK = 8192  # rows that go down a tree at a time: their places and values stay in a core's cache
 #: A tree is a row; its nodes are packed one after another as NODE.
 TREE = "detector int, tree int, psi int, nodes binary"
 #: lower: the child for values up to the threshold, the next node being the other one; leaves lead to themselves, as nothing is above their threshold.
@@ -112,15 +114,28 @@ class Forest:
     def raw(self, x: np.ndarray) -> np.ndarray:
         """rows x detectors scores in (0, 1]."""
         out = np.empty((len(x), len(self.psi)))
-        flat, base = np.ascontiguousarray(x, float).reshape(-1), np.arange(len(x), dtype=np.int32) * x.shape[1]
-        for d, (roots, psi) in enumerate(zip(self.roots, self.psi, strict=True)):
-            total = np.zeros(len(x))
-            for root in roots:
-                at = np.full(len(x), root, np.int32)
-                for _ in range(math.ceil(math.log2(psi))):
-                    at = self.lower[at] + (flat[base + self.feature[at]] > self.threshold[at])
-                total += self.path[at]
-            out[:, d] = 2.0 ** (-total / len(roots) / float(average_path(psi)))
+        ends = np.append(np.sort(np.concatenate(self.roots)), len(self.lower))
+        for start in range(0, len(x), BLOCK):
+            part = np.ascontiguousarray(x[start : start + BLOCK], float)
+            n, flat = len(part), part.reshape(-1)
+            base = np.arange(n, dtype=np.intp) * part.shape[1]
+            at, place, value, limit, over, path = np.empty(n, np.intp), np.empty(n, np.intp), np.empty(n), np.empty(n), np.empty(n, bool), np.empty(n, np.float32)
+            for d, (roots, psi) in enumerate(zip(self.roots, self.psi, strict=True)):
+                total = np.zeros(n)
+                for root in roots:
+                    tree = slice(root, ends[np.searchsorted(ends, root, side="right")])
+                    feature, lower, threshold = self.feature[tree].astype(np.intp), self.lower[tree].astype(np.intp) - root, self.threshold[tree]
+                    at.fill(0)
+                    for _ in range(math.ceil(math.log2(psi))):  # clip: all places are inside, and out is not copied
+                        feature.take(at, out=place, mode="clip")
+                        place += base
+                        flat.take(place, out=value, mode="clip")
+                        threshold.take(at, out=limit, mode="clip")
+                        np.greater(value, limit, out=over)
+                        lower.take(at, out=place, mode="clip")
+                        np.add(place, over, out=at)
+                    total += self.path[tree].take(at, out=path, mode="clip")
+                out[start : start + n, d] = 2.0 ** (-total / len(roots) / float(average_path(psi)))
         return out
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -228,30 +243,38 @@ def restore(spark: SparkSession, path: str) -> Forest:
     return forest
 
 
-def scorer(spark: SparkSession, forest: Forest):
-    """A function of a feature array column to (label, score); null arrays give null."""
-    shared = spark.sparkContext.broadcast(forest)
+def score_vectors(vectors: DataFrame, forest: Forest) -> DataFrame:
+    """Adds label and score to a table of features only, none of them null."""
+    shared = vectors.sparkSession.sparkContext.broadcast(forest)
 
-    @F.pandas_udf("label double, score double")
-    def run(v: pd.Series) -> pd.DataFrame:
-        out = pd.DataFrame({"label": np.full(len(v), np.nan), "score": np.full(len(v), np.nan)})
-        there = v.notna().to_numpy()
-        if there.any():
-            s = shared.value.score(np.stack([np.asarray(x, float) for x in v[there]]))
-            out.loc[there, "score"] = s
-            out.loc[there, "label"] = (s > shared.value.cut).astype(float)
-        return out
+    def run(batches):
+        for pdf in batches:
+            s = shared.value.score(pdf.to_numpy(float))
+            yield pdf.assign(label=(s > shared.value.cut).astype(float), score=s)
 
-    return run
+    return vectors.mapInPandas(run, ", ".join(f"{c} double" for c in [*vectors.columns, "label", "score"]))
 
 
 def score_sides(scans: DataFrame, forest: Forest, features: list[str], sides: tuple[str, ...] = SIDES) -> DataFrame:
-    """Adds ISO_labels_<side> and raw ISO_scores_<side>, for rows on the side with all features."""
-    run = scorer(scans.sparkSession, forest)
+    """Adds ISO_labels_<side> and raw ISO_scores_<side>, for rows on the side with all features.
+
+    A vector goes through hundreds of trees, so all sides' distinct ones are scored once, written, and joined. scans is read twice, so it had better be a table."""
+    spark = scans.sparkSession
+    width = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    vectors = {s: F.when(on_side(s), feature_vector(scans, features, s)) for s in sides}
+    every = scans.select(F.explode(F.array(*vectors.values())).alias("v")).where("v is not null")
+    names = [f"__f{k}" for k in range(len(features))]
+    distinct = every.select(*(F.col("v")[k].alias(c) for k, c in enumerate(names))).distinct().repartition(width)
+    scored = staged(score_vectors(distinct, forest), "vector-scores")
+    spread = [c for c in KEYS if c in scans.columns] or scans.columns
     for s in sides:
-        v = F.when(on_side(s), feature_vector(scans, features, s))
-        scans = scans.withColumn("__s", run(v))
-        scans = scans.withColumns({f"ISO_{n}s_{s}": F.when(F.isnan(f"__s.{n}"), None).otherwise(F.col(f"__s.{n}")) for n in ("label", "score")}).drop("__s")
+        found = scored.withColumnsRenamed({"label": f"ISO_labels_{s}", "score": f"ISO_scores_{s}"})
+        has = vectors[s].isNotNull()
+        # rows without a vector match nothing; a hash as their first value spreads them over the tasks
+        keys = [F.when(has, vectors[s][0]).otherwise(F.xxhash64(*spread).cast("double")), *(vectors[s][k] for k in range(1, len(names)))]
+        scans = scans.withColumns({f"__k{k}": key for k, key in enumerate(keys)} | {"__has": has})
+        on = reduce(lambda a, b: a & b, (F.col(f"__k{k}") == F.col(c) for k, c in enumerate(names)), F.col("__has"))
+        scans = scans.join(found, on, "left").drop("__has", *names, *(f"__k{k}" for k in range(len(names))))
     return scans
 
 

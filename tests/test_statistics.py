@@ -147,3 +147,19 @@ def test_forest_scale_is_of_the_whole_training_set(spark):
     assert model.cut == pytest.approx(np.quantile(model.score(x), 1 - forest.CONTAMINATION), rel=1e-12)
     _, again = forest.fit(rows.repartition(7), ["a", "b"], trees=3, max_rows=2000)
     assert again.cut == model.cut and np.array_equal(again.mean, model.mean) and np.array_equal(again.std, model.std)
+
+
+def test_forest_scores_each_distinct_vector_once(spark, monkeypatch):
+    """Equal rows of either side go through the trees once, and have the scores of their own vectors."""
+    x, rows = skewed(spark)
+    _, model = forest.fit(rows, ["a", "b"], trees=3, max_rows=2000)
+    some = [(i % 3, float(i % 7), float(i % 5) if i % 11 else None) for i in range(2000)]
+    df = spark.createDataFrame([(i, ["shared", "database_only", "denovo_only"][k], a, b, b, a) for i, (k, a, b) in enumerate(some)], "id int, _merge string, a_database double, b_database double, a_denovo double, b_denovo double")
+    asked, score_vectors = [], forest.score_vectors
+    monkeypatch.setattr(forest, "score_vectors", lambda v, m: asked.append(v.count()) or score_vectors(v, m))
+    out = forest.score_sides(df, model, ["a", "b"]).orderBy("id").collect()
+    assert asked == [len({v for k, a, b in some if b is not None for v in ([(a, b)] if k == 1 else [(b, a)] if k == 2 else [(a, b), (b, a)])})] and len(out) == len(some)
+    for r, (k, a, b) in zip(out, some, strict=True):
+        for s, here, v in (("database", k != 2, (a, b)), ("denovo", k != 1, (b, a))):
+            want = model.score(np.array([v]))[0] if here and b is not None else None
+            assert r[f"ISO_scores_{s}"] == want and r[f"ISO_labels_{s}"] == (None if want is None else float(want > model.cut))
