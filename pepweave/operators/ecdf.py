@@ -24,21 +24,26 @@ class EmptyPopulation(ValueError):
 
 
 def ranged(values: DataFrame, group: str = "side", value: str = "v", ranges: int | None = None) -> DataFrame:
-    """Adds __range, which ascends with the value within a group: as many ranges with about as many values each. values is read twice."""
+    """Adds __range, which ascends with the value within a group: as many ranges with about as many values each. values is read twice.
+
+    The range is the number of cuts below the value, found by halving: a row looks at 10 of up to 511 cuts."""
     ranges = ranges or min(RANGES[1], max(RANGES[0], int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     cuts = F.percentile_approx(value, [k / ranges for k in range(1, ranges)], F.lit(10 * ranges)).alias("__cuts")
     bounds = values.groupBy(group).agg(cuts)  # a row a group
-    return values.join(F.broadcast(bounds), group).withColumn("__range", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
+    halves = [1 << k for k in reversed(range(max(1, (ranges - 1).bit_length())))]
+    below = F.aggregate(F.array(*map(F.lit, halves)), F.lit(0), lambda at, half: F.when(F.get("__cuts", at + half - 1) < F.col(value), at + half).otherwise(at))
+    return values.join(F.broadcast(bounds), group).withColumn("__range", below).drop("__cuts")
 
 
 def running_counts(values: DataFrame, counts: list[str], group: str = "side", value: str = "v", ranges: int | None = None) -> DataFrame:
-    """values: one row for each group and value. Adds <count>_le: the sum of the count over values of the group up to this one.
+    """values: one row for each group and value. Adds <count>_le, the sum of the count over values of the group up to this one, and <count>_all, over all of them.
 
     The distinct values are written once, as they are read for bounds, totals and sums; what they are made from is not read again."""
     binned = ranged(staged(values, "values"), group, value, ranges)
     totals = binned.groupBy(group, "__range").agg(*(F.sum(c).alias(f"__{c}") for c in counts))
-    earlier = Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(group, "__range", *(F.coalesce(F.sum(f"__{c}").over(earlier), F.lit(0)).alias(f"__{c}_before") for c in counts))
+    earlier, whole = Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(group)
+    sums = (x for c in counts for x in (F.coalesce(F.sum(f"__{c}").over(earlier), F.lit(0)).alias(f"__{c}_before"), F.sum(f"__{c}").over(whole).alias(f"{c}_all")))
+    before = totals.select(group, "__range", *sums)
     upto = Window.partitionBy(group, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     out = binned.withColumns({f"{c}_le": F.sum(c).over(upto) for c in counts}).join(F.broadcast(before), [group, "__range"])  # at most `ranges` rows a group
     return out.withColumns({f"{c}_le": F.col(f"{c}_le") + F.col(f"__{c}_before") for c in counts}).drop("__range", *(f"__{c}_before" for c in counts))
@@ -60,11 +65,29 @@ def quantile(df: DataFrame, column: str, q: float) -> float | None:
 
 def goodness(reference: DataFrame, scores: DataFrame, group: str = "side", value: str = "v") -> DataFrame:
     """For each distinct group and score, the share of the reference at or below it. Both: group, value; nulls are left out."""
-    both = reference.select(group, value, F.lit(1).alias("r")).unionByName(scores.select(group, value, F.lit(0).alias("r"))).where(F.col(value).isNotNull())
-    counts = both.groupBy(group, value).agg(F.sum("r").alias("r"), F.count_if(F.col("r") == 0).alias("asked"))
-    sizes = reference.where(F.col(value).isNotNull()).groupBy(group).agg(F.count("*").alias("__n"))
-    out = running_counts(counts, ["r"], group, value).where("asked > 0").join(F.broadcast(sizes), group)
-    return out.select(group, value, (F.col("r_le") / F.col("__n")).alias("goodness"))
+    return goodness_of(marked(reference, scores, group, value), group, value)
+
+
+def goodness_of(rows: DataFrame, group: str = "side", value: str = "v") -> DataFrame:
+    """The same from rows with a, which counts in the reference, and b, which counts in the scores."""
+    steps = running_counts(counted(rows, group, value), ["a"], group, value).where("b > 0 and a_all > 0")
+    return steps.select(group, value, (F.col("a_le") / F.col("a_all")).alias("goodness"))
+
+
+def marked(reference: DataFrame, other: DataFrame, group: str = "side", value: str = "v") -> DataFrame:
+    """Rows of both, without nulls: a is 1 for the reference's and b for the others'."""
+    both = ((df.select(group, value, F.lit(a).cast("long").alias("a"), F.lit(1 - a).cast("long").alias("b"))) for df, a in ((reference, 1), (other, 0)))
+    return next(both).unionByName(next(both)).where(F.col(value).isNotNull())
+
+
+def marked_scores(df: DataFrame, reference: dict, other: dict, prefix: str = "ISO_scores") -> DataFrame:
+    """The same (side, v, a, b) of all sides' scores in a table, which is read once. reference, other: conditions by side; a score may be in neither."""
+    held = F.array(*(F.struct(F.lit(s).alias("side"), F.col(f"{prefix}_{s}").alias("v"), reference[s].cast("long").alias("a"), other[s].cast("long").alias("b")) for s in reference))
+    return df.select(F.explode(held).alias("x")).select("x.*").where("v is not null")
+
+
+def counted(rows: DataFrame, group: str = "side", value: str = "v") -> DataFrame:
+    return rows.groupBy(group, value).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
 
 
 def with_goodness(df: DataFrame, reference: DataFrame, column: str, name: str) -> DataFrame:
@@ -76,16 +99,18 @@ def with_goodness(df: DataFrame, reference: DataFrame, column: str, name: str) -
 
 def ks_table(reference: DataFrame, other: DataFrame, group: str = "side", value: str = "v") -> DataFrame:
     """For each group the statistic, where it is reached, and both sizes."""
-    both = reference.select(group, value, F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(other.select(group, value, F.lit(0).alias("a"), F.lit(1).alias("b"))).where(F.col(value).isNotNull())
-    return ks_of_steps(running_counts(both.groupBy(group, value).agg(F.sum("a").alias("a"), F.sum("b").alias("b")), ["a", "b"], group, value), group, value)
+    return ks_of(marked(reference, other, group, value), group, value)
+
+
+def ks_of(rows: DataFrame, group: str = "side", value: str = "v") -> DataFrame:
+    return ks_of_steps(running_counts(counted(rows, group, value), ["a", "b"], group, value), group, value)
 
 
 def ks_of_steps(steps: DataFrame, group: str = "side", value: str = "v") -> DataFrame:
     """The same from running counts a_le of the reference and b_le of the others.
 
     The largest absolute difference of the two functions; of equal ones a positive, then one at a reference value, then the least value."""
-    sizes = steps.groupBy(group).agg(F.sum("a").alias("n_reference"), F.sum("b").alias("n_other"))
-    steps = steps.where("a > 0 or b > 0").join(F.broadcast(sizes), group).where("n_reference > 0 and n_other > 0")
+    steps = steps.withColumnsRenamed({"a_all": "n_reference", "b_all": "n_other"}).where("(a > 0 or b > 0) and n_reference > 0 and n_other > 0")
     d = F.col("a_le") / F.col("n_reference") - F.col("b_le") / F.col("n_other")
     rank = F.struct(F.abs(d).alias("d"), F.when(d >= 0, 1).otherwise(0).alias("positive"), F.when(F.col("a") > 0, 1).otherwise(0).alias("own"), (-F.col(value)).alias("low"))
     best = steps.groupBy(group, "n_reference", "n_other").agg(F.max(rank).alias("best"))
@@ -97,14 +122,12 @@ def graded(df: DataFrame, reference: dict, other: dict, prefix: str = "ISO_score
 
     reference, other: conditions by side. df is read twice, once for the counts and once for the rows, so it had better be a table."""
     sides = list(reference)
-    held = F.array(*(F.struct(F.lit(s).alias("side"), F.col(f"{prefix}_{s}").alias("v"), reference[s].cast("long").alias("a"), other[s].cast("long").alias("b")) for s in sides))
-    counts = df.select(F.explode(held).alias("x")).select("x.*").where("v is not null").groupBy("side", "v").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    steps = staged(running_counts(counts, ["a", "b"]), "steps")
-    sizes = {r.side: r.n for r in steps.groupBy("side").agg(F.sum("a").alias("n")).collect()}
+    steps = staged(running_counts(counted(marked_scores(df, reference, other, prefix)), ["a", "b"]), "steps")
     for s in sides:
-        own = steps.where(F.col("side") == s).select(F.col("v").alias("__v"), (F.col("a_le") / F.lit(sizes.get(s) or None)).alias(f"{name}_{s}"))
+        share = F.when(F.col("a_all") > 0, F.col("a_le") / F.col("a_all"))
+        own = steps.where(F.col("side") == s).select(F.col("v").alias("__v"), share.alias(f"{name}_{s}"))
         df = df.join(own, F.col(f"{prefix}_{s}") == F.col("__v"), "left").drop("__v")
-    return df, _cutoffs(ks_of_steps(steps), sides)
+    return df, cutoffs_of(ks_of_steps(steps), sides)
 
 
 def ks_pvalue(d: float, n: int, m: int) -> float:
@@ -138,19 +161,16 @@ def ks_pvalue(d: float, n: int, m: int) -> float:
 
 def side_scores(df: DataFrame, condition: dict, prefix: str = "ISO_scores") -> DataFrame:
     """(side, v) rows of both sides' non-null scores where the side's condition holds."""
-    parts = [df.where(condition[s]).select(F.lit(s).alias("side"), F.col(f"{prefix}_{s}").alias("v")) for s in condition]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.where("v is not null")
+    return marked_scores(df, condition, condition, prefix).where("a > 0").select("side", "v")  # df is read once
 
 
 def ks_cutoffs(reference: DataFrame, other: DataFrame, names: dict[str, str] | None = None) -> dict[str, dict]:
     """Statistic, p-value and cutoff of each side; the driver gets a row a side. Raises where a population is empty."""
-    return _cutoffs(ks_table(reference, other), names or SIDES)
+    return cutoffs_of(ks_table(reference, other), names or SIDES)
 
 
-def _cutoffs(table: DataFrame, sides) -> dict[str, dict]:
+def cutoffs_of(table: DataFrame, sides=SIDES) -> dict[str, dict]:
+    """From a table as of ks_table."""
     rows, out = {r.side: r for r in table.collect()}, {}
     for side in sides:
         if side not in rows:

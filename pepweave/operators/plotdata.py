@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import on_side
 from ..schemas import SIDES
 from .calls import detection_counts
-from .ecdf import goodness
+from .ecdf import marked, staged
 
 #: Numbers of bins, the scorer's threshold, the hexagonal grid's width.
 SCORE_BINS, SCORER_BINS, GRID_POINTS, HEX_WIDTH = 100, 120, 501, 90
@@ -83,11 +83,22 @@ def hexagons(pairs: DataFrame, width: int = HEX_WIDTH, x: str = "iso", y: str =
 
 def ecdf_grid(reference: DataFrame, other: DataFrame, points: int = GRID_POINTS) -> DataFrame:
     """Both functions at evenly spaced points of [0, 1] for each side: side, v, reference, other. Both: side, v."""
-    spark = reference.sparkSession
-    sides = reference.select("side").union(other.select("side")).distinct()
-    grid = sides.crossJoin(F.broadcast(spark.range(points).select((F.col("id") / (points - 1)).alias("v"))))
-    a, b = (goodness(x, grid).withColumnRenamed("goodness", n) for x, n in ((reference, "reference"), (other, "other")))
-    return a.join(b, ["side", "v"])
+    return ecdf_grid_of(marked(reference, other), points)
+
+
+def ecdf_grid_of(rows: DataFrame, points: int = GRID_POINTS) -> DataFrame:
+    """The same from rows (side, v, a, b) of both, which are read once: each counts at the first point that is not below it, and points add up."""
+    v, last = F.col("v"), points - 1
+    near = F.when(v <= 0, 0).when(v <= 1, F.ceil(v * last)).otherwise(points).cast("long")  # off by a rounding of the product at most
+    at = F.when((near > 0) & (v <= (near - 1) / last), near - 1).when((near < points) & (v > near / last), near + 1).otherwise(near)
+    counts = staged(rows.groupBy("side", at.alias("at")).agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "grid")  # at most points + 1 rows a side
+    whole, upto = Window.partitionBy("side"), Window.partitionBy("side").orderBy("at")
+    counts = counts.withColumns({f"{c}_all": F.sum(c).over(whole) for c in ("a", "b")}).where("a_all > 0 and b_all > 0")
+    empty = counts.select("side", "a_all", "b_all").distinct().crossJoin(F.broadcast(rows.sparkSession.range(points).select(F.col("id").alias("at"))))
+    both = counts.unionByName(empty.withColumns({c: F.lit(0).cast("long") for c in ("a", "b")}))
+    steps = both.groupBy("side", "at", "a_all", "b_all").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    out = steps.withColumns({c: F.sum(c).over(upto) / F.col(f"{c}_all") for c in ("a", "b")}).where(F.col("at") < points)
+    return out.select("side", (F.col("at") / last).alias("v"), F.col("a").alias("reference"), F.col("b").alias("other"))
 
 
 def level_counts(scans: DataFrame) -> DataFrame:

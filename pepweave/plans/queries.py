@@ -65,11 +65,16 @@ def search(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
 
 
 def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge.scan_table(*(search(spark, sf_dir, s) for s in SIDES))
+    """The scan table. Ids are made of their parts after the merge, so that they don't go through its shuffles."""
+    df = merge.scan_table(*(views.branch(spark, sf_dir, s) for s in SIDES))
+    ids = {f"SpecId_{s}": F.when(C.on_side(s), C.spec_id(F.col("RAW_FILE"), F.col("SCAN_NUMBER"), F.col(f"MODIFIED_SEQUENCE_{s}"), F.col(f"PRECURSOR_CHARGE_{s}"))) for s in SIDES}
+    return df.withColumns(ids).withColumn("SpecId", F.coalesce(*ids))
 
 
-def populations(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return ecdf.side_scores(df, dict.fromkeys(SIDES, C.trusted_shared())), ecdf.side_scores(df, {s: C.only_on(s) for s in SIDES})
+def populations(df: DataFrame) -> DataFrame:
+    """Scores of both sides, those of trusted shared rows marked a and those of rows on one side b; df, a merge of whole tables, is read once."""
+    rows = ecdf.marked_scores(df, dict.fromkeys(SIDES, C.trusted_shared()), {s: C.only_on(s) for s in SIDES})
+    return rows.where("a > 0 or b > 0")
 
 
 @query("branch_full_outer", FIX + "SELECT RAW_FILE, SCAN_NUMBER, SpecId, SEQUENCE_database, SEQUENCE_denovo, _merge AS found_by FROM scans")
@@ -234,13 +239,12 @@ def minmax_invert(spark, sf_dir):
 
 @query("goodness", FIX + "SELECT s.side, s.v, round(coalesce(max(st.a_le), 0)::DOUBLE / max(nn.n), 9) AS goodness FROM (SELECT DISTINCT side, v FROM oth) s JOIN nn ON nn.side = s.side JOIN steps st ON st.side = s.side AND st.v = s.v GROUP BY s.side, s.v")
 def goodness(spark, sf_dir):
-    reference, other = populations(scans(spark, sf_dir))
-    return ecdf.goodness(reference, other).select("side", "v", F.round("goodness", 9).alias("goodness"))
+    return ecdf.goodness_of(populations(scans(spark, sf_dir))).select("side", "v", F.round("goodness", 9).alias("goodness"))
 
 
 @query("ks_cutoff", FIX + "SELECT side, n AS n_reference, m AS n_other, round(stat, 9) AS statistic, loc AS cutoff FROM ks")
 def ks_cutoff(spark, sf_dir):
-    return ecdf.ks_table(*populations(scans(spark, sf_dir))).select("side", "n_reference", "n_other", F.round("statistic_D", 9).alias("statistic"), F.col("statistic_location").alias("cutoff"))
+    return ecdf.ks_of(populations(scans(spark, sf_dir))).select("side", "n_reference", "n_other", F.round("statistic_D", 9).alias("statistic"), F.col("statistic_location").alias("cutoff"))
 
 
 @query("ks_summary", FIX + "SELECT 'trusted_shared vs ' || side || '_only' AS comparison, n AS n_reference, m AS n_other, round(stat, 9) AS statistic_D, loc AS statistic_location, NULL::DOUBLE AS cutoff_iso_scores FROM ks UNION ALL SELECT 'cutoff_' || side, NULL, NULL, NULL, NULL, loc FROM ks")
@@ -255,7 +259,7 @@ def ks_pvalues(spark, sf_dir):
 
 
 def _summary(spark, sf_dir):
-    found = ecdf.ks_cutoffs(*populations(scans(spark, sf_dir)))
+    found = ecdf.cutoffs_of(ecdf.ks_of(populations(scans(spark, sf_dir))))
     return ecdf.summary(spark, found, {s: f"trusted_shared vs {s}_only" for s in SIDES})
 
 
@@ -273,8 +277,16 @@ lists AS (
 """
 
 
-def _called(spark, sf_dir):
-    df = staged(scans(spark, sf_dir), "scans")
+#: What calls are made from, and what else the lists show.
+_GRADED = ["_merge", "Label_database", "percolator_score_database", *(f"ISO_scores_{s}" for s in SIDES)]
+_LISTED = ["SpecId", "RAW_FILE", "SCAN_NUMBER", "SCORE_database", "SCORE_denovo", "SEQUENCE_database", "SEQUENCE_denovo", "AA_SCORE_denovo"]
+
+
+def _called(spark, sf_dir, shown=_LISTED):
+    """The lists of all scans. Only what calls are made from and the columns to be shown are written; the others are null."""
+    df = scans(spark, sf_dir).select(*_GRADED, *shown)
+    missing = {c: t for c, t in scans(spark, sf_dir).select(*_LISTED).dtypes if c not in shown}
+    df = C.with_missing(staged(df, "scans"), missing)
     df, found = ecdf.graded(df, dict.fromkeys(SIDES, C.trusted_shared()), {s: C.only_on(s) for s in SIDES})
     return calls.call_lists(df, {s: v["statistic_location"] for s, v in found.items()})
 
@@ -288,13 +300,14 @@ def good_list(spark, sf_dir):
 @query("call_counts", FIX + _CALLED + "SELECT DETECTION_LEVEL, CALL_database, CALL_denovo, count(*) AS n, round(sum(TP_GOODNESS_database), 4) AS goodness_database, round(sum(TP_GOODNESS_denovo), 4) AS goodness_denovo FROM lists GROUP BY ALL")
 def call_counts(spark, sf_dir):
     total = [F.round(F.sum(F.round(f"TP_GOODNESS_{s}", 9)), 4).alias(f"goodness_{s}") for s in SIDES]
-    return _called(spark, sf_dir).groupBy("DETECTION_LEVEL", "CALL_database", "CALL_denovo").agg(F.count("*").alias("n"), *total)
+    return _called(spark, sf_dir, []).groupBy("DETECTION_LEVEL", "CALL_database", "CALL_denovo").agg(F.count("*").alias("n"), *total)
 
 
 @query("ranked_good_list", FIX + _CALLED + "SELECT SpecId, RAW_FILE, SCAN_NUMBER, row_number() OVER (ORDER BY tp DESC NULLS LAST, RAW_FILE, SCAN_NUMBER, SpecId) AS rank FROM (SELECT *, CASE DETECTION_LEVEL WHEN 'denovo' THEN TP_GOODNESS_denovo ELSE TP_GOODNESS_database END AS tp FROM lists WHERE CASE DETECTION_LEVEL WHEN 'denovo' THEN CALL_denovo ELSE CALL_database END = 'GOOD')")
 def ranked_good_list(spark, sf_dir):
     """The order of the list of good matches, each with its place."""
-    good = _called(spark, sf_dir).where("CALL = 'GOOD'").withColumn("TP_GOODNESS", F.round("TP_GOODNESS", 9))
+    good = _called(spark, sf_dir, ["SpecId", "RAW_FILE", "SCAN_NUMBER"]).where("CALL = 'GOOD'")
+    good = good.select("SpecId", "RAW_FILE", "SCAN_NUMBER", F.round("TP_GOODNESS", 9).alias("TP_GOODNESS"))
     return calls.with_rank(good).select("SpecId", "RAW_FILE", "SCAN_NUMBER", "rank")
 
 
@@ -384,7 +397,7 @@ def score_hexagons(spark, sf_dir):
 
 @query("ecdf_grid", FIX + ", gr AS (SELECT s.side, i::DOUBLE / 500 AS v FROM range(501) r(i), (VALUES ('database'), ('denovo')) s(side)) SELECT gr.side, round(gr.v, 9) AS v, round((SELECT count(*) FROM ref WHERE ref.side = gr.side AND ref.v <= gr.v)::DOUBLE / nn.n, 9) AS reference, round((SELECT count(*) FROM oth WHERE oth.side = gr.side AND oth.v <= gr.v)::DOUBLE / nn.m, 9) AS other FROM gr JOIN nn ON nn.side = gr.side")
 def ecdf_grid(spark, sf_dir):
-    out = plotdata.ecdf_grid(*populations(scans(spark, sf_dir)))
+    out = plotdata.ecdf_grid_of(populations(scans(spark, sf_dir)))
     return out.select("side", *(F.round(c, 9).alias(c) for c in ("v", "reference", "other")))
 
 
@@ -418,16 +431,15 @@ def feature_columns(spark, sf_dir):
 
 
 @query("align_events")
-def align_events(spark, sf_dir, keep_events=False):
+def align_events(spark, sf_dir, details=tuple(d for d in similarity.DETAILS if d != "events")):
     pairs = scans(spark, sf_dir).where("_merge = 'shared' and not unmodified_sequence_match").select(F.col("SEQUENCE_database").alias("a"), F.col("SEQUENCE_denovo").alias("b"))
-    out = similarity.classify_pairs(pairs)
-    return out if keep_events else out.drop("events")
+    return similarity.classify_pairs(pairs, details)
 
 
 @query("align_measures", FIX + _PAIRS + f"SELECT a, b, levenshtein(a, b)::INT AS levenshtein, abs(x.m - y.m) <= 0.000005 * greatest(x.m, y.m, 1.0) AS isobaric, list_sort(string_split(a, '')) = list_sort(string_split(b, '')) AS anagram, {_TIER.replace('lev', 'levenshtein(a, b)')} AS tier, x.m AS mass1, y.m AS mass2, a AS first_residues, b AS second_residues, true AS aligned, 'PSA - Tier ' || {_TIER.replace('lev', 'levenshtein(a, b)')} || CASE WHEN abs(x.m - y.m) <= 0.000005 * greatest(x.m, y.m, 1.0) THEN ' - ISOBARIC - ' ELSE ' - NONISOBARIC - ' END AS label FROM p JOIN ma x ON x.s = a JOIN ma y ON y.s = b WHERE a <> b")
 def align_measures(spark, sf_dir):
     """What SQL can say of align_events: measures, the label up to its event, and that the aligned texts hold both peptides, with a mark for each place."""
-    out = align_events(spark, sf_dir)
+    out = align_events(spark, sf_dir, ("first", "marks", "second"))
     whole = F.col("error").isNull() & (F.length("first") == F.length("second")) & (F.length("first") == F.length("marks"))
     residues_of = (F.replace(c, F.lit("-"), F.lit("")).alias(f"{c}_residues") for c in ("first", "second"))
     return out.select("a", "b", "levenshtein", "isobaric", "anagram", "tier", "mass1", "mass2", *residues_of, whole.alias("aligned"), F.regexp_extract("label", "^PSA - Tier [0-9] - (NON)?ISOBARIC - ", 0).alias("label"))
@@ -436,7 +448,7 @@ def align_measures(spark, sf_dir):
 @query("align_event_rows", FIX + _PAIRS + " SELECT a, b, a AS first_rebuilt, b AS second_rebuilt, true AS blocks_hold, true AS places_add_up FROM p WHERE a <> b")
 def align_event_rows(spark, sf_dir):
     """What SQL can say of the events: each block is cut from its peptide at its place and is what its name says, and blocks and equal runs make up both peptides."""
-    out = align_events(spark, sf_dir, keep_events=True)
+    out = align_events(spark, sf_dir, ("first", "marks", "second", "events"))
     rows = out.select("a", "b", "first", "second", "marks", F.explode("events").alias("e"))
 
     def cut(of: str):
@@ -471,7 +483,8 @@ def similarity_labels(spark, sf_dir):
 
 @query("forest_scores")
 def forest_scores(spark, sf_dir):
-    df = staged(scans(spark, sf_dir).drop(*(f"ISO_scores_{s}" for s in SIDES)), "scans")
+    features = (f"{f}_{s}" for f in views.FEATURES for s in SIDES)
+    df = staged(scans(spark, sf_dir).select("RAW_FILE", "SCAN_NUMBER", "SpecId", "_merge", "Label_database", "percolator_score_database", *features), "scans")
     rows = forest.training_set(forest.training_candidates(df).select(*C.features_of(df, "database")))
     _, model = forest.fit(rows, views.FEATURES)
     scored = forest.score_sides(df, model, views.FEATURES).select("RAW_FILE", "SCAN_NUMBER", "SpecId", *(f"ISO_{n}_{s}" for n in ("labels", "scores") for s in SIDES))
