@@ -28,7 +28,7 @@ _MARK, _P, _Q = (np.array(x, np.int64) for x in zip(*MOVES, strict=True))
 @lru_cache(1)
 def _masses() -> dict[int, np.ndarray]:
     """Masses of blocks of one and two residues by their letters' codes."""
-    out = {1: np.full(32, np.nan), 2: np.full(1024, np.nan)}
+    out = {1: np.full(32, np.nan), 2: np.full(1024, np.nan)}  # nan is near to nothing
     for x in KNOWN:
         out[1][ord(x) - 64] = residue_mass(x)
         for y in KNOWN:
@@ -36,57 +36,72 @@ def _masses() -> dict[int, np.ndarray]:
     return out
 
 
-def _codes(letters: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of the windows that end at each place: their letters in a number, as they are and sorted. Places before the first window have -1."""
-    n, width = letters.shape
-    plain, ordered = np.full((n, width + 1), -1), np.full((n, width + 1), -1)
-    if width >= size:
-        windows = np.lib.stride_tricks.sliding_window_view(letters, size, axis=1)
-        powers = 32 ** np.arange(size - 1, -1, -1)
-        plain[:, size:], ordered[:, size:] = windows @ powers, np.sort(windows, axis=2) @ powers
-    return plain, ordered
+#: Powers that letters add up by: sums of up to SHUFFLE_MAX letters are equal if and only if the letters are, in whatever order.
+_POWERS = np.zeros(32, np.int64)
+_POWERS[[ord(c) - 64 for c in sorted(KNOWN)]] = (SHUFFLE_MAX + 1) ** np.arange(len(KNOWN), dtype=np.int64)
+
+
+def _codes(letters: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By size, of the windows that end at each place (a row, of all pairs): their letters in a number, as they are and in whatever order. Places before the first window have -1."""
+    letters = np.ascontiguousarray(letters.T)
+    width, n = letters.shape
+    sums = np.concatenate([np.zeros((1, n), np.int64), np.cumsum(_POWERS[letters], axis=0)])
+    out, last = {}, np.zeros((width + 1, n), np.int32)
+    for size in range(1, max(SHUFFLE_MAX, ISO_MAX) + 1):
+        plain, ordered = np.full((width + 1, n), -1, np.int32), np.full((width + 1, n), -1, np.int64)
+        plain[size:] = last[size - 1 : -1] * np.int32(32) + letters[size - 1 :]
+        ordered[size:] = sums[size:] - sums[:-size] if width >= size else 0
+        out[size], last = (plain, ordered), plain
+    return out
 
 
 def align_alike(a: list[str], b: list[str]) -> list[Alignment]:
     """Alignments of pairs that all have the same two lengths, residues only."""
-    x, y = (np.frombuffer("".join(s).encode(), np.uint8).reshape(len(s), -1).astype(np.int64) - 64 for s in (a, b))
+    x, y = (np.frombuffer("".join(s).encode(), np.uint8).reshape(len(s), -1).astype(np.int32) - 64 for s in (a, b))
     pairs, n, m = len(a), x.shape[1], y.shape[1]
-    sizes = range(1, max(SHUFFLE_MAX, ISO_MAX) + 1)
-    wx, wy = ({s: tuple(np.ascontiguousarray(c.T) for c in _codes(z, s)) for s in sizes} for z in (x, y))  # a row for each place
+    wx, wy = _codes(x), _codes(y)
     masses = _masses()
     mx, my = ({s: masses[s][np.maximum(w[s][0], 0)] for s in range(1, ISO_MAX + 1)} for w in (wx, wy))
 
-    total = np.empty((n + 1, m + 1, pairs))
+    # near masses are looked for in single precision, with some room, and looked at again in double
+    lx, ly = ({s: v.astype(np.float32) for s, v in z.items()} for z in (mx, my))
+    room = np.float32(ISO_TOLERANCE * 1.1)
+
+    total = np.empty((n + 1, m + 1, pairs), np.int16)  # all totals are whole, and small by CELLS
+    gain, miss, gap = (np.int16(v) for v in (MATCH - MISMATCH, MISMATCH, GAP))
     step = np.empty((n + 1, m + 1, pairs), np.uint8)
-    total[0] = (np.arange(m + 1) * GAP)[:, None]
+    total[0] = (np.arange(m + 1) * int(GAP))[:, None]
     step[0], step[1:, 0] = 3, 2
     for i in range(1, n + 1):
-        total[i, 0] = i * GAP
+        total[i, 0] = i * int(GAP)
         for j in range(1, m + 1):
             same = wx[1][0][i] == wy[1][0][j]
             best, move = total[i, j], step[i, j]
-            np.multiply(same, MATCH - MISMATCH, out=best)
+            np.multiply(same.view(np.int8), gain, out=best)
             best += total[i - 1, j - 1]
-            best += MISMATCH
-            np.logical_not(same, out=move, casting="unsafe")
-            for k, value in ((2, total[i - 1, j] + GAP), (3, total[i, j - 1] + GAP)):
-                over = value > best
-                np.copyto(best, value, where=over)
-                np.copyto(move, k, where=over)
+            best += miss
+            np.logical_not(same, out=move.view(bool))
+            for k, value in ((2, total[i - 1, j] + gap), (3, total[i, j - 1] + gap)):
+                move[value > best] = k
+                np.maximum(best, value, out=best)
             for k in range(4, len(MOVES)):
                 mark, p, q = MOVES[k]
                 if i < p or j < q:
                     continue
                 if mark == ord("x"):
-                    at = np.nonzero((wx[p][1][i] == wy[q][1][j]) & (wx[p][0][i] != wy[q][0][j]))[0]
-                    value = total[i - p, j - q, at] + SHUFFLE_GAIN * p
+                    at = ((wx[p][1][i] == wy[q][1][j]) & (wx[p][0][i] != wy[q][0][j])).nonzero()[0]
+                    value = total[i - p, j - q].take(at) + np.int16(SHUFFLE_GAIN * p)
                 else:
-                    off = np.abs(mx[p][i] - my[q][j])
-                    at = np.nonzero((off <= ISO_TOLERANCE) & ((p != q) | (wx[p][1][i] != wy[q][1][j])))[0]
-                    value = np.rint(total[i - p, j - q, at] + (ISO_GAIN * max(p, q) * (1 - off[at] / ISO_TOLERANCE) - ISO_LENGTH_PENALTY * abs(p - q)))
+                    near = np.abs(lx[p][i] - ly[q][j]) <= room
+                    at = (near & (wx[p][1][i] != wy[q][1][j]) if p == q else near).nonzero()[0]
+                    off = np.abs(mx[p][i].take(at) - my[q][j].take(at))
+                    if len(at) and not (inside := off <= ISO_TOLERANCE).all():
+                        at, off = at[inside], off[inside]
+                    value = np.rint(total[i - p, j - q].take(at) + (ISO_GAIN * max(p, q) * (1 - off / ISO_TOLERANCE) - ISO_LENGTH_PENALTY * abs(p - q)))
                 if len(at):
-                    over = value > best[at]
-                    best[at[over]], move[at[over]] = value[over], k
+                    over = value > best.take(at)
+                    at = at[over]
+                    best[at], move[at] = value[over], k
 
     # back from the last cell of all pairs together; columns are filled from the right
     width = n + m
@@ -112,7 +127,7 @@ def align_alike(a: list[str], b: list[str]) -> list[Alignment]:
         j[open_] -= q
     first, second, marks = (rows[k, :, :width].tobytes().decode() for k in range(3))
     starts = (every * width + at).tolist()
-    scores = total[n, m].tolist()
+    scores = total[n, m].astype(float).tolist()
     return [Alignment(first[s:e], second[s:e], marks[s:e], v) for s, e, v in zip(starts, range(width, (pairs + 1) * width, width), scores, strict=True)]
 
 
@@ -144,11 +159,19 @@ def align_stream(pairs: Iterator[tuple[str, str]]) -> Iterator[tuple[str, str, A
         yield from together(held)
 
 
-@lru_cache(1 << 14)
-def _name(marks: str, missing: str) -> str:
-    return event_name(events(Alignment(missing, "", marks, 0.0)))
+def kinds(found: Alignment) -> str:
+    """Its marks, with + for a residue that the first sequence lacks: all that events depend on but their letters."""
+    if "-" not in found.marks:
+        return found.marks
+    return "".join(["+" if m == "-" == c else m for m, c in zip(found.marks, found.first, strict=True)])
+
+
+@lru_cache(1 << 16)
+def places(kinds: str) -> tuple[str, tuple[tuple[str, int, int], ...]]:
+    """The name of all events of alignments of these kinds, and of each one its name, start and length."""
+    what = events(Alignment("".join("-" if c == "+" else "." for c in kinds), "", kinds.replace("+", "-"), 0.0))
+    return event_name(what), tuple((e.event, e.pos, e.k) for e in what)
 
 
 def name_of(found: Alignment) -> str:
-    """The name of an alignment's events. It depends on the marks and, where there are gaps, on which side they are, so it is remembered by these."""
-    return _name(found.marks, "".join("-" if c == "-" else "." for c in found.first) if "-" in found.marks else "." * len(found.first))
+    return places(kinds(found))[0]

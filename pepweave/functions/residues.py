@@ -28,6 +28,8 @@ RESIDUE_MASS = {
     "Y": 163.063329,
     "V": 99.068414,
 }
+#: The same in millionths, by letter.
+MICRO = {k: round(v * 1_000_000) for k, v in RESIDUE_MASS.items()}
 #: A distance below the bound has the tier; larger ones the last tier.
 TIER_BOUNDS = ((1, 0), (4, 1), (7, 2), (10, 3), (13, 4))
 LAST_TIER = 5
@@ -51,11 +53,10 @@ def _letters(sequence: Column) -> Column:
 
 
 def mass(sequence: Column) -> Column:
-    """residue_mass as an expression, summed in decimals; null where a residue is unsupported."""
-    kind = "decimal(18,6)"
-    table = F.create_map(*(x for k, v in RESIDUE_MASS.items() for x in (F.lit(k), F.lit(str(v)).cast(kind))))
-    total = F.aggregate(_letters(sequence), F.lit(0).cast(kind), lambda t, c: (t + F.try_element_at(table, c)).cast(kind))
-    return F.round(total, 4).cast("double")
+    """residue_mass as an expression, summed in millionths; null where a residue is unsupported."""
+    table = F.array(*(F.lit(MICRO.get(chr(c))).cast("long") for c in range(ord("A"), ord("Z") + 1)))
+    total = F.aggregate(_letters(sequence), F.lit(0).cast("long"), lambda t, c: t + F.get(table, F.ascii(c) - ord("A")))
+    return F.floor((total + 50) / 100).cast("double") / 10_000.0
 
 
 def unsupported(sequence: Column) -> Column:
@@ -79,4 +80,4 @@ def isobaric(mass1: Column, mass2: Column, ppm: float = PPM) -> Column:
 
 
 def anagram(a: Column, b: Column) -> Column:
-    return (F.length(a) == F.length(b)) & (F.array_sort(_letters(a)) == F.array_sort(_letters(b)))
+    return (F.length(a) == F.length(b)) & (F.sort_array(_letters(a)) == F.sort_array(_letters(b)))

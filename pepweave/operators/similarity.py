@@ -6,46 +6,74 @@ on arrays over many pairs of equal lengths at a time.
 
 from __future__ import annotations
 
-import pandas as pd
+from itertools import batched
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import residues
-from ..functions.alignment import event_name, events, label_of
-from ..functions.alignment_batch import align_stream, name_of
+from ..functions.alignment import Alignment, label_of
+from ..functions.alignment_batch import align_stream, kinds, name_of, places
 from ..functions.columns import shared_kind
 
 PAIR = "SEQUENCE_database", "SEQUENCE_denovo"
 EVENT = "struct<event: string, pos: int, seq1: string, seq2: string, k: int, description: string>"
-NAMED = "a string, b string, event string, error string"
-DETAILS = f"change_summary string, first string, marks string, second string, score double, events array<{EVENT}>"
-
-
-def align_pairs(pairs: DataFrame, details: bool = True) -> DataFrame:
-    """pairs: a, b. Adds the name of the events that separate them, or an error text where a pair fails; with details the alignment and its events too."""
+NAMED = {"a": "string", "b": "string", "event": "string", "error": "string"}
+DETAILS = {"change_summary": "string", "first": "string", "marks": "string", "second": "string", "score": "double", "events": f"array<{EVENT}>"}
+ARROW = {"string": pa.string(), "double": pa.float64()}
+ROWS = 10_000
+
+
+def event_columns(found: list[Alignment | Exception]) -> tuple[pa.Array, pa.Array]:
+    """Of each alignment its events and their summary, column by column; where they are and what they are called is remembered by the alignment's marks."""
+    ends, summaries = [0], []
+    names, starts, ones, twos, sizes, texts = [], [], [], [], [], []
+    for f in found:
+        if isinstance(f, Exception):
+            ends.append(len(names))
+            summaries.append(None)
+            continue
+        first, second, before = f.first, f.second, len(texts)
+        for name, start, k in places(kinds(f))[1]:
+            one, two = first[start : start + k].replace("-", ""), second[start : start + k].replace("-", "")
+            names.append(name)
+            starts.append(start)
+            ones.append(one)
+            twos.append(two)
+            sizes.append(k)
+            texts.append(f"{name}({one}->{two})@{start + 1}" if k else "")
+        ends.append(len(names))
+        summaries.append("+".join(filter(None, texts[before:])))
+    fields = {"event": pa.array(names, pa.string()), "pos": pa.array(starts, pa.int32()), "seq1": pa.array(ones, pa.string()), "seq2": pa.array(twos, pa.string()), "k": pa.array(sizes, pa.int32()), "description": pa.array(texts, pa.string())}
+    failed = pa.array([isinstance(f, Exception) for f in found], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(list(fields.values()), list(fields)), mask=failed), pa.array(summaries, pa.string())
+
+
+def align_pairs(pairs: DataFrame, details: bool | tuple[str, ...] = True) -> DataFrame:
+    """pairs: a, b. Adds the name of the events that separate them, or an error text where a pair fails; with details, all or those named, the alignment and its events too."""
+    more = tuple(DETAILS) if details is True else details or ()
+    schema = NAMED | {c: DETAILS[c] for c in more}
+
+    def table(rows: list[tuple[str, str, Alignment | Exception]]) -> pa.RecordBatch:
+        a, b, found = map(list, zip(*rows, strict=True))
+        good = [None if isinstance(f, Exception) else f for f in found]
+        out = {"a": a, "b": b, "event": [f and name_of(f) for f in good], "error": [None if g else f"{type(f).__name__}: {f}" for f, g in zip(found, good, strict=True)]}
+        out |= {c: [f and getattr(f, c) for f in good] for c in more if c in Alignment._fields}
+        columns = {c: pa.array(v, ARROW[schema[c]]) for c, v in out.items()}
+        if {"events", "change_summary"} & set(more):
+            columns["events"], columns["change_summary"] = event_columns(found)
+        return pa.RecordBatch.from_arrays([columns[c] for c in schema], list(schema))
 
     def run(batches):
         def rows():
-            for pdf in batches:
-                yield from zip(pdf["a"], pdf["b"], strict=True)
-
-        out = []
-        for a, b, found in align_stream(rows()):
-            if isinstance(found, Exception):
-                out.append((a, b, None, f"{type(found).__name__}: {found}", *[None] * 6)[: len(names)])
-            elif details:
-                what = events(found)
-                out.append((a, b, event_name(what), None, "+".join(e.description for e in what if e.description), found.first, found.marks, found.second, found.score, [vars(e) for e in what]))
-            else:
-                out.append((a, b, name_of(found), None))
-            if len(out) >= 10_000:
-                yield pd.DataFrame(out, columns=names)
-                out = []
-        yield pd.DataFrame(out, columns=names)
-
-    schema = NAMED + (f", {DETAILS}" if details else "")
-    names = ["a", "b", "event", "error"] + (["change_summary", "first", "marks", "second", "score", "events"] if details else [])
-    return pairs.select("a", "b").mapInPandas(run, schema)
+            for batch in batches:
+                yield from zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)
+
+        for some in batched(align_stream(rows()), ROWS):
+            yield table(some)
+
+    return pairs.select("a", "b").mapInArrow(run, ", ".join(f"{c} {t}" for c, t in schema.items()))
 
 
 def with_pair_measures(df: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -59,8 +87,8 @@ def label(tier: Column, isobaric: Column, event: Column, identical: Column) -> C
     return F.when(identical, label_of(0, True, "", True)).otherwise(graded)
 
 
-def classify_pairs(pairs: DataFrame, details: bool = True) -> DataFrame:
-    """Distinct (a, b) with measures, alignment (with details) and label."""
+def classify_pairs(pairs: DataFrame, details: bool | tuple[str, ...] = True) -> DataFrame:
+    """Distinct (a, b) with measures, alignment (with details, all or those named) and label."""
     out = with_pair_measures(align_pairs(pairs.select("a", "b").distinct(), details))
     return out.withColumn("label", F.when(F.col("error").isNull(), label(F.col("tier"), F.col("isobaric"), F.col("event"), F.col("a") == F.col("b"))))
 
