@@ -66,10 +66,13 @@ def q_values(scores: DataFrame, group: str | None = None, extra: int = 1) -> Dat
 
 
 def best_of_spectrum(matches: DataFrame) -> DataFrame:
-    """Target-decoy competition: of the matches (SpecId, score, is_target) of a spectrum the best one. Pre-aggregated before it shuffles."""
+    """Target-decoy competition: of the matches (SpecId, score, is_target) of a spectrum the best one. Pre-aggregated before it shuffles.
+
+    A column spectrum, where there is one, is what spectrum() says of the ids."""
     rows = matches.where("score is not null and SpecId is not null")
     order = F.struct((-F.col("score")).alias("low"), F.col("is_target"), F.col("SpecId"))  # of equal scores a decoy, then the least id
-    best = rows.groupBy(spectrum(F.col("SpecId")).alias("__spectrum")).agg(F.min(order).alias("b"))
+    key = F.col("spectrum") if "spectrum" in matches.columns else spectrum(F.col("SpecId"))
+    best = rows.groupBy(key.alias("__spectrum")).agg(F.min(order).alias("b"))
     return best.select("b.SpecId", (-F.col("b.low")).alias("score"), "b.is_target")
 
 
@@ -167,10 +170,10 @@ class Rescorer:
         w = self.weights[k][:-1] / self.spread
         return [*w.tolist(), float(self.weights[k][-1] - w @ self.mean)]
 
-    def fold(self, spec_id: Column) -> Column:
-        return _draw(spec_id, self.seed, "fold", len(self.weights)).cast("int")
+    def fold(self, spectrum: Column) -> Column:
+        return _draw(spectrum, self.seed, "fold", len(self.weights)).cast("int")
 
-    def score(self, spec_id: Column) -> Column:
+    def score(self, fold: Column) -> Column:
         """The score of each row by its own fold's weights; a missing feature counts as its mean."""
         values = [F.coalesce(F.col(f"`{n}`").cast("double"), F.lit(float(m))) for n, m in zip(self.names, self.mean, strict=True)]
         out = None
@@ -179,7 +182,7 @@ class Rescorer:
             total = F.lit(raw[-1])
             for v, w in zip(values, raw, strict=False):
                 total = total + v * F.lit(w)
-            out = F.when(self.fold(spec_id) == k, total) if out is None else out.when(self.fold(spec_id) == k, total)
+            out = F.when(fold == k, total) if out is None else out.when(fold == k, total)
         return out
 
     def lines(self) -> list[str]:
@@ -190,8 +193,8 @@ class Rescorer:
         return out
 
 
-def _draw(spec_id: Column, seed: int, use: str, n: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(f"{use}:{seed}"), spectrum(spec_id)), F.lit(n))
+def _draw(spectrum: Column, seed: int, use: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(f"{use}:{seed}"), spectrum), F.lit(n))
 
 
 def fit(features: DataFrame, rate: float = 0.01, seed: int = 1, max_train: int = MAX_TRAIN, folds: int = FOLDS, rounds: int = ROUNDS) -> Rescorer:
@@ -206,8 +209,9 @@ def fit(features: DataFrame, rate: float = 0.01, seed: int = 1, max_train: int =
     if not n:
         model.spread = np.ones(len(names))
         return model
-    chosen = _draw(F.col("SpecId"), seed, "train", 1 << 30) < int(min(1.0, max_train / n) * (1 << 30))
-    sample = rows.where(chosen).select((F.col("Label") == 1).alias("target"), model.fold(F.col("SpecId")).alias("fold"), F.array(*(F.coalesce((F.col(f"`{c}`").cast("double") - float(m)) / float(s), F.lit(0.0)) for c, m, s in zip(names, model.mean, model.spread, strict=True))).alias("x"))
+    rows = rows.withColumn("__spectrum", spectrum(F.col("SpecId")))
+    chosen = _draw(F.col("__spectrum"), seed, "train", 1 << 30) < int(min(1.0, max_train / n) * (1 << 30))
+    sample = rows.where(chosen).select((F.col("Label") == 1).alias("target"), model.fold(F.col("__spectrum")).alias("fold"), F.array(*(F.coalesce((F.col(f"`{c}`").cast("double") - float(m)) / float(s), F.lit(0.0)) for c, m, s in zip(names, model.mean, model.spread, strict=True))).alias("x"))
     models = F.filter(F.array(*map(F.lit, range(folds))), lambda k: k != F.col("fold"))
 
     def train(part: pd.DataFrame) -> pd.DataFrame:
@@ -222,14 +226,14 @@ def fit(features: DataFrame, rate: float = 0.01, seed: int = 1, max_train: int =
 
 
 def on_one_scale(scored: DataFrame, rate: float = 0.01) -> DataFrame:
-    """SpecId, fold, score, is_target with the score of each fold such that 0 is its least accepted one and -1 its median decoy's."""
+    """SpecId, fold, score, is_target (and spectrum) with the score of each fold such that 0 is its least accepted one and -1 its median decoy's."""
     steps = q_values(scored, "fold")
     ends = steps.groupBy("fold").agg(F.min(F.when(F.col("q_value") <= rate, F.col("score"))).alias("__cut"), F.max("score").alias("__top"))
     decoys = scored.where("not is_target").groupBy("fold").agg(F.percentile_approx("score", 0.5, 10_000).alias("__decoy"))
     ends = ends.join(decoys, "fold", "left").withColumn("__cut", F.coalesce("__cut", "__top"))  # a row a fold
     width = F.col("__cut") - F.col("__decoy")
     out = scored.join(F.broadcast(ends), "fold").withColumn("score", (F.col("score") - F.col("__cut")) / F.when(width > 0, width).otherwise(1.0))
-    return out.select("SpecId", "score", "is_target")
+    return out.drop("fold", "__cut", "__top", "__decoy")
 
 
 def with_q_values(matches: DataFrame) -> DataFrame:
@@ -248,7 +252,9 @@ def rescore(features: DataFrame, test_rate: float = 0.01, train_rate: float = 0.
     """Scorer output for a feature table, and the classifiers."""
     model = fit(features, train_rate, seed, max_train)
     rows = features.where("SpecId is not null and Label is not null")
-    scored = staged(rows.select("SpecId", model.fold(F.col("SpecId")).alias("fold"), model.score(F.col("SpecId")).alias("score"), (F.col("Label") == 1).alias("is_target")), "fold-scores")
+    rows = rows.withColumn("spectrum", spectrum(F.col("SpecId")))  # once a row: the pattern is dearer than the score
+    rows = rows.withColumn("__fold", model.fold(F.col("spectrum")))
+    scored = staged(rows.select("SpecId", "spectrum", F.col("__fold").alias("fold"), model.score(F.col("__fold")).alias("score"), (F.col("Label") == 1).alias("is_target")), "fold-scores")
     return with_q_values(on_one_scale(scored, test_rate)), model
 
 
