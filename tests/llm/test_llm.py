@@ -135,6 +135,44 @@ def test_encoder_gives_the_librarys_ids(real):
         assert e.encode(t).tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_encoder_splits_many_texts_at_once(monkeypatch):
+    from pepweave.llm import tokenizing
+
+    rng, e = np.random.default_rng(6), tokenizing.encoder(None)
+    plain = [c for c in map(chr, range(0x2030)) if tokenizing.PLAIN.fullmatch(c)]
+    kinds = [plain, list("  \n\t\r''stmdrevl a1."), list("'stmdrevl é"), list("  '\"s.x–²")]
+    texts = ["".join(rng.choice(kinds[k % 4], rng.integers(0, 40))) for k in range(2000)] + ["<|endoftext|>'s", "你好", "", "w" * 5000, "'re" * 99]
+    found = e.encode_all(texts)
+    monkeypatch.setattr(tokenizing, "SPLIT_BYTES", 100)
+    for text, ids, again in zip(texts, found, e.encode_all(iter(texts)), strict=True):
+        assert ids.tolist() == again.tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+    assert e.encode_all([]) == []
+
+
+def test_encoder_asks_once_for_each_distinct_piece():
+    from pepweave.llm import tokenizing
+
+    e, asked = tokenizing.Encoder(tokenizing.default_path()), []
+    tokenize = e.tokenizer.model.tokenize
+    e._word = lambda word: asked.append(word) or np.array([t.id for t in tokenize(word)], np.uint32).tobytes()
+    for _ in range(3):
+        e.encode_all(["the cat and the dog and the cow"] * 500)
+    assert sorted(asked) == sorted(["the", "Ġthe", "Ġcat", "Ġand", "Ġdog", "Ġcow"])
+
+
+def test_encoder_forgets_words_that_do_not_return(monkeypatch):
+    from pepweave.llm import tokenizing
+
+    monkeypatch.setattr(tokenizing, "SHORT_WORDS", 256)
+    e = tokenizing.Encoder(tokenizing.default_path())
+    texts = [f"often {k} é{k}x averyveryverylongword{k % 7} often" for k in range(3000)]
+    for text, ids in zip(texts, e.encode_all(texts), strict=True):
+        assert ids.tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+    assert e.short.count <= 256 and len(e.short.ids) < 20_000
+    e.short.encode = lambda words, length: pytest.fail("asked again")
+    e.encode_all(["often often"] * 9)
+
+
 @pytest.mark.parametrize("n", [0, 1, 31, 33, 16384, 65536, 65537, 140_001])
 def test_rans_round_trip(n):
     rng = np.random.default_rng(n)
