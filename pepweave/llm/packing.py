@@ -99,14 +99,19 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     return rows.mapInArrow(released(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, task int, nth long")
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = END_ID, room: int = ROOM) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = END_ID, room: int = ROOM, max_broadcast: int = 100_000) -> DataFrame:
+    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    The table of prefix sums has a row for each length that a task has; it is broadcast up to max_broadcast of them. Counts are taken
+    anew where they are needed: as a stage table they would be a small file for each partition of a shuffle."""
     cut = stage_table(pieces(docs, id_col, text_col, tokenizer, end_id, room), "pieces")
-    counts = stage_table(cut.groupBy("length", "task").agg(F.count("*").alias("n")), "piece-counts")
-    histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}  # at most `room` rows
-    where, _ = places(plan(histogram, room))
+    counts = cut.groupBy("length", "task").agg(F.count("*").alias("n"))
+    totals = counts.groupBy("length").agg(F.sum("n"), F.count("*")).collect()  # at most `room` rows
+    where, _ = places(plan({r[0]: r[1] for r in totals}, room))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    if sum(r[2] for r in totals) <= max_broadcast:
+        first = F.broadcast(first)
     rows = cut.join(first, ["length", "task"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("first") + F.col("nth")).alias("rank"))
 
     def run(batches):

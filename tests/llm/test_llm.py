@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import pathlib
 import re
 import zlib
 
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pepweave.llm import exact_dedup, jaccard_join, language_id, lattice_dedup, mixing, packing, rans, secret_scan, suffix_dedup, token_files, toxicity
-from pepweave.llm.common import drop_stage_tables, ranges_for, text_bytes, without_ids
+from pepweave.llm.common import drop_stage_tables, ranges_for, shared_dir, text_bytes, without_ids
 from pepweave.llm.components import connected_components
 from pepweave.llm.queries import ORACLE_SQL, QUERIES
 
@@ -252,6 +253,25 @@ def test_packing_is_dense(spark, real):
     assert check_sequences(out) <= 1.03 * sum(r.length for r in out) / 1024 + 1
 
 
+def test_packing_writes_few_files(spark, real, tmp_path):
+    """As many as there are pieces' files, however wide shuffles are; joined by a shuffle the rows are the same."""
+    wide = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    staged = lambda: set(pathlib.Path(shared_dir(spark).removeprefix("file:")).glob("stage/*/part-*"))
+    was, before = {k: spark.conf.get(k) for k in wide}, staged()
+    try:
+        for k, v in wide.items():
+            spark.conf.set(k, v)
+        rows = real.repartitionByRange(3, "doc_id")
+        packing.pack(rows).write.parquet(str(tmp_path / "few"))
+        assert len(staged() - before) == 3 and len(list(tmp_path.glob("few/part-*"))) <= 4
+        packing.pack(rows, max_broadcast=0).write.parquet(str(tmp_path / "shuffled"))
+        few, shuffled = (sorted(map(tuple, spark.read.parquet(str(tmp_path / k)).collect())) for k in ("few", "shuffled"))
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert few == shuffled
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_packing_plan(seed):
     rng = np.random.default_rng(seed)
