@@ -85,7 +85,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
         enc, end, task, seen = encoder(tokenizer), np.array([end_id], np.uint32), TaskContext.get().partitionId(), np.zeros(room + 1, np.int64)
         for batch in batches:
             row, out = [], []
-            for k, found in enumerate(enc.encode_all(text.as_py() or "" for text in batch.column(1))):
+            for k, found in enumerate(enc.each(text.as_py() or "" for text in batch.column(1))):
                 ids = np.concatenate([found, end])
                 cuts = [0, *range(len(ids) % room or room, len(ids) + 1, room)] if len(ids) > room else [0, len(ids)]
                 for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):

@@ -85,7 +85,7 @@ def write_segments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["file", "segment", "start_in_file", "n_docs", "n_tokens", "data"])
 
         for batch in batches:
-            for i, found in zip(batch.column(0).to_pylist(), enc.encode_all(text.as_py() or "" for text in batch.column(1)), strict=True):
+            for i, found in zip(batch.column(0).to_pylist(), enc.each(text.as_py() or "" for text in batch.column(1)), strict=True):
                 ids.append(i)
                 tokens.append(np.concatenate([found, end]))
                 held += len(tokens[-1])

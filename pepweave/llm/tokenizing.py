@@ -4,25 +4,31 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from operator import attrgetter
 
 import numpy as np
 
+from .common import STAGE_CACHES
+
 WORDS = "byte_bpe_50k.json"
 #: A worker remembers so many distinct words of up to 16 bytes; when there are more, those that it met again since the last time stay.
-SHORT_WORDS = 1 << 20
+SHORT_WORDS = 1 << 19
+#: Of so many bytes; byte-level BPE has one id for a byte at most.
+WORD_IDS = 16
 #: And of longer words the last so many, and those that it met among as many before.
 MEMO_WORDS = 250_000
-MEMO_BYTES = 96 << 20  # and no more of them than take so much memory; 250000 ordinary words take two thirds of it
+MEMO_BYTES = 32 << 20  # and no more of them than take so much memory
 #: Letters and numbers among the characters of PLAIN, on whose classes all regex engines agree; other texts go to the library whole.
 LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-ɏ–-…]*")
 #: Byte-level BPE encodes each piece that this splits off on its own, so a piece's ids can be remembered.
 PIECES = re.compile(rf" ?[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[{NUMBERS}]+| ?[^\t\n\r {LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+")
 #: piece_starts finds the same pieces in the bytes of many texts; so many bytes of them, or one longer text, are split at a time.
-SPLIT_BYTES = 1 << 22
+SPLIT_BYTES = 1 << 20
+#: So many pieces or words are looked up or moved at a time.
+STEP = 1 << 17
 SPACE, LETTER, NUMBER, OTHER = range(4)
 
 
@@ -125,20 +131,32 @@ class ShortWords:
     def __init__(self, encode) -> None:
         self.encode = encode
         self.low, self.high = np.zeros((2, SHORT_WORDS), np.uint64)
-        self.start, self.length = np.zeros(SHORT_WORDS, np.int64), np.zeros(SHORT_WORDS, np.int64)
+        self.start, self.length = np.zeros(SHORT_WORDS, np.int32), np.zeros(SHORT_WORDS, np.uint8)
         self.again = np.zeros(SHORT_WORDS, bool)
         self.keep(NONE)
 
     def keep(self, words: np.ndarray) -> None:
         """Only these of the words."""
-        low, high, start, length = self.low[words], self.high[words], self.start[words], self.length[words]
-        ids = self.ids[ragged(start, length)] if len(words) else NONE
+        steps = [words[k : k + STEP] for k in range(0, len(words), STEP)]
+        low, high, (start, length) = self.low[words], self.high[words], self.places(words)
+        ids, used = np.zeros(WORD_IDS * SHORT_WORDS, np.uint32), 0  # memory that is not written to is not taken
+        for w in steps:
+            some = self.ids[ragged(*self.places(w))]
+            ids[used : used + len(some)] = some
+            used += len(some)
         self.slots, self.count = np.full(2 * SHORT_WORDS, -1, np.int32), 0
-        order = self._places(low, high)  # words are numbered as they come to their slots
-        self.start[order], self.length[order] = np.cumsum(length) - length, length
-        self.ids, self.used = ids, len(ids)
+        till = np.cumsum(length)
+        for k in range(0, len(words), STEP):
+            part = slice(k, k + STEP)
+            at = self._places(low[part], high[part])  # words are numbered as they come to their slots
+            self.start[at], self.length[at] = till[part] - length[part], length[part]
+        self.ids, self.used = ids, used
         self.again[:] = False
 
+    def places(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each word start in self.ids, and how many they are."""
+        return self.start[words].astype(np.int64), self.length[words].astype(np.int64)
+
     def _places(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """The number of each word; new ones get the next numbers."""
         mask = np.uint32(len(self.slots) - 1)
@@ -164,7 +182,7 @@ class ShortWords:
         return out
 
     def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """The number of each word, of which there are at most SHORT_WORDS / 2; its ids are self.ids[start : start + length] of that number, until the next call."""
+        """The number of each word, of which there are at most SHORT_WORDS / 2; places() says where its ids are, until the next call."""
         if self.count + len(low) > SHORT_WORDS:
             kept = np.flatnonzero(self.again[: self.count])
             self.keep(kept if 2 * len(kept) <= SHORT_WORDS else kept[:0])
@@ -175,11 +193,9 @@ class ShortWords:
             new = slice(old, self.count)
             words = np.stack([self.low[new], self.high[new]], 1).view(np.uint8).reshape(-1, 16)
             ids = self.encode(words, np.count_nonzero(words, 1))
-            length = self.length[new] = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            self.length[new] = length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             self.start[new] = self.used + np.cumsum(length) - length
             ids = np.frombuffer(b"".join(ids), np.uint32)
-            if self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + len(ids), np.uint32)])
             self.ids[self.used : self.used + len(ids)] = ids
             self.used += len(ids)
         return found
@@ -221,39 +237,43 @@ class Encoder:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: Iterable[str]) -> list[np.ndarray]:
-        """The ids of each text. Texts are split together and each distinct piece of theirs is looked up once."""
+        """The ids of each text."""
+        return list(self.each(texts))
+
+    def each(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of one text after another. SPLIT_BYTES of texts are split together and each distinct piece of theirs is looked up once; no more ids than theirs are held."""
         out: list[np.ndarray] = []
         plain, places, size = [], [], 0
         for text in texts:
+            data = text.encode()
+            if out and size + len(data) > SPLIT_BYTES:
+                yield from self._split(plain, places, out)
+                out, plain, places, size = [], [], [], 0
+            size += len(data)
             if not self.splits or any(a in text for a in self.added) or not PLAIN.fullmatch(text):
                 out.append(np.frombuffer(self._whole(text), np.uint32))
                 continue
-            data = text.encode()
-            if plain and size + len(data) > SPLIT_BYTES:
-                self._split(plain, places, out)
-                plain, places, size = [], [], 0
             plain.append(data)
             places.append(len(out))
-            size += len(data)
             out.append(NONE)
-        self._split(plain, places, out)
-        return out
+        yield from self._split(plain, places, out)
 
-    def _split(self, plain: list[bytes], places: list[int], out: list[np.ndarray]) -> None:
-        """Sets the ids of plain texts at their places of out."""
+    def _split(self, plain: list[bytes], places: list[int], out: list[np.ndarray]) -> list[np.ndarray]:
+        """out with the ids of plain texts set at their places."""
         data = np.frombuffer(b"".join(plain), np.uint8)
         if not len(data):
-            return
+            return out
         ends = np.cumsum([len(text) for text in plain])
         first = np.concatenate([[0], ends[:-1]])
         starts = piece_starts(data, first[first < ends])
         eights = np.frombuffer(data.tobytes() + bytes(32 - len(data) % 8), "<u8")
-        sizes, step = np.diff(starts, append=len(data)), SHORT_WORDS // 8
+        sizes, step = np.diff(starts, append=len(data)), min(STEP, SHORT_WORDS // 2)
         ids, lengths = zip(*(self._pieces(data, eights, starts[k : k + step], sizes[k : k + step]) for k in range(0, len(starts), step)), strict=True)
         ids, till = np.concatenate(ids), np.cumsum(np.concatenate(lengths))
         cuts = np.append(0, till)[np.searchsorted(starts, ends)].tolist()
         for place, a, b in zip(places, [0, *cuts[:-1]], cuts, strict=True):
             out[place] = ids[a:b]
+        return out
 
     def _pieces(self, data: np.ndarray, eights: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces, and how many each has. eights: data as numbers of 8 bytes, with at least 24 bytes of zeros after it."""
@@ -265,15 +285,18 @@ class Encoder:
         short, long = np.flatnonzero(size <= 16), np.flatnonzero(size > 16)
         if not len(long):
             found = self.short.find(low, high)
-            begin, length = self.short.start[found], self.short.length[found]
+            begin, length = self.short.places(found)
             return self.short.ids[ragged(begin, length)], length
         found = self.short.find(low[short], high[short])
         words = [self.memo[self.letters[data[a : a + n]].tobytes().decode("utf-16-le")] for a, n in zip(start[long].tolist(), size[long].tolist(), strict=True)]
-        begin, length = np.zeros((2, len(size)), np.int64)
-        begin[short], length[short] = self.short.start[found], self.short.length[found]
-        length[long] = np.fromiter(map(len, words), np.int64, len(words)) // 4
-        begin[long] = self.short.used + np.cumsum(length[long]) - length[long]
-        return np.concatenate([self.short.ids[: self.short.used], np.frombuffer(b"".join(words), np.uint32)])[ragged(begin, length)], length
+        begin, few = self.short.places(found)
+        length = np.zeros(len(size), np.int64)
+        length[short], length[long] = few, np.fromiter(map(len, words), np.int64, len(words)) // 4
+        place = np.cumsum(length) - length
+        ids = np.zeros(length.sum(), np.uint32)
+        ids[ragged(place[short], few)] = self.short.ids[ragged(begin, few)]
+        ids[ragged(place[long], length[long])] = np.frombuffer(b"".join(words), np.uint32)
+        return ids, length
 
 
 @lru_cache(2)
@@ -282,3 +305,6 @@ def encoder(path: str | None) -> Encoder:
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Encoder(path or default_path())
+
+
+STAGE_CACHES.append(encoder.cache_clear)

@@ -174,6 +174,43 @@ def test_encoder_forgets_words_that_do_not_return(monkeypatch):
     e.encode_all(["often often"] * 9)
 
 
+def test_encoder_holds_the_ids_of_few_texts(monkeypatch):
+    from pepweave.llm import tokenizing
+
+    monkeypatch.setattr(tokenizing, "SPLIT_BYTES", 100)
+    e, read = tokenizing.encoder(None), []
+    texts = [f"{'你' * (k % 3)} some words {k}" for k in range(500)]
+    for k, ids in enumerate(e.each(read.append(t) or t for t in texts)):
+        assert ids.tolist() == e.tokenizer.encode(texts[k], add_special_tokens=False).ids
+        assert len(read) <= k + 10
+    assert len(read) == 500 == k + 1
+
+
+def test_encoder_tables_are_small():
+    from pepweave.llm import tokenizing
+
+    e = tokenizing.Encoder(tokenizing.default_path())
+    arrays = [v for k, v in vars(e.short).items() if isinstance(v, np.ndarray) and k != "ids"]
+    assert sum(a.nbytes for a in arrays) <= 24 << 20 and 2 * tokenizing.MEMO_BYTES <= 64 << 20
+
+
+def test_workers_forget_the_encoder_in_another_stage(spark):
+    from pepweave.llm.common import released
+    from pepweave.llm.tokenizing import encoder
+
+    def use(batches):
+        encoder(None).encode("some words")
+        yield from held(batches)
+
+    def held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([encoder.cache_info().currsize] * batch.num_rows)], names=["held"])
+
+    rows = spark.range(0, 8, 1, 4)
+    assert {r.held for r in rows.mapInArrow(released(use), "held long").collect()} == {1}
+    assert {r.held for r in rows.mapInArrow(released(held), "held long").collect()} == {0}
+
+
 @pytest.mark.parametrize("n", [0, 1, 31, 33, 16384, 65536, 65537, 140_001])
 def test_rans_round_trip(n):
     rng = np.random.default_rng(n)
