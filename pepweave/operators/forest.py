@@ -4,11 +4,13 @@ Growth is a task for each group of trees over a bounded, hash-chosen sample of t
 driver only puts one after another.
 Standardisation and the cut are taken over the whole training set, which executors score.
 Scoring is an Arrow function over a broadcast model, whose size is fixed by the ensemble's shape; each distinct vector is scored once.
+Vectors are sorted for it: for those that differ in one feature only, all trees are one row of steps along that feature, where each is looked up (Runs).
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -33,6 +35,8 @@ BLOCK = 8192  # rows that go down a tree at a time: their places and values stay
 #: A tree is a row; its nodes are packed one after another as NODE.
 TREE = "detector int, tree int, psi int, nodes binary"
 #: lower: the child for values up to the threshold, the next node being the other one; leaves lead to themselves, as nothing is above their threshold.
+LEAF = -1  # in place of a feature
+WORTH = 2000  # nodes that are passed over, when trees are cut down, in the time in which a vector goes down all of them
 NODE = np.dtype([("feature", "<i2"), ("lower", "<i4"), ("threshold", "<f8"), ("path", "<f4")])
 
 
@@ -78,21 +82,23 @@ def average_path(n) -> np.ndarray:
 def grow(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """One tree as NODE rows, siblings side by side; a leaf's path is its depth plus that of its rows."""
     limit: int = math.ceil(math.log2(max(len(x), 2)))
+    paths = average_path(np.arange(len(x) + 1)).tolist()
     nodes: list[tuple[int, int, float, float]] = [(0, 0, math.inf, 0.0)]
-    todo = [(np.arange(len(x)), 0, 0)]
+    todo = [(x, 0, 0)]
     while todo:
-        rows, depth, me = todo.pop()
-        part = x[rows]
-        low, high = part.min(0), part.max(0)
-        spread = np.nonzero(high > low)[0]
-        if depth >= limit or len(rows) <= 1 or not len(spread):
-            nodes[me] = (0, me, math.inf, depth + float(average_path(len(rows))))
+        part, depth, me = todo.pop()
+        spread: list[int] = []
+        if depth < limit and len(part) > 1:
+            low, high = np.minimum.reduce(part), np.maximum.reduce(part)
+            spread = (high > low).nonzero()[0].tolist()
+        if not spread:
+            nodes[me] = (0, me, math.inf, depth + paths[len(part)])
             continue
-        f = int(rng.choice(spread))
+        f = spread[int(rng.integers(0, len(spread)))]
         t = float(rng.uniform(low[f], high[f]))
         below = part[:, f] <= t
         nodes[me] = (f, len(nodes), t, 0.0)
-        todo += [(rows[~below], depth + 1, len(nodes) + 1), (rows[below], depth + 1, len(nodes))]
+        todo += [(part.compress(~below, 0), depth + 1, len(nodes) + 1), (part.compress(below, 0), depth + 1, len(nodes))]
         nodes += [(0, 0, math.inf, 0.0)] * 2
     return np.array(nodes, NODE)
 
@@ -144,6 +150,134 @@ class Forest:
     def combined(self, raw: np.ndarray) -> np.ndarray:
         return ((raw - self.mean) / self.std).mean(1) if len(raw) else np.zeros(0)
 
+    def order(self, width: int) -> list[int]:
+        """Features by the nodes that ask for them, fewest first: those of few values come before those of many."""
+        asks = np.bincount(self.feature[~np.isinf(self.threshold)], minlength=width)
+        return np.argsort(asks, kind="stable").tolist()
+
+    def trees(self) -> Trees:
+        feature = np.where(np.isinf(self.threshold), LEAF, self.feature)
+        return Trees(feature, self.lower, self.threshold, self.path, np.concatenate(self.roots), np.repeat(np.arange(len(self.psi)), list(map(len, self.roots))))
+
+
+@dataclass
+class Trees:
+    """The nodes of all trees as a Forest has them, but that a leaf's feature is LEAF, and each tree's root and detector."""
+
+    feature: np.ndarray
+    lower: np.ndarray
+    threshold: np.ndarray
+    path: np.ndarray
+    roots: np.ndarray
+    detector: np.ndarray
+
+    def given(self, f: int, value: float) -> Trees:
+        """The trees for vectors with that value of feature f: nodes that ask for it give way to the child that it leads to."""
+        kept, lower, ends, level = [], [], 0, self.led(self.roots.copy(), f, value)
+        while len(level):
+            ends += len(level)
+            inner = np.flatnonzero(self.feature[level] != LEAF)
+            child = np.zeros(len(level), self.lower.dtype)
+            child[inner] = np.arange(ends, ends + 2 * len(inner), 2)
+            kept.append(level)
+            lower.append(child)
+            below = self.lower[level[inner]]
+            level = self.led(np.stack([below, below + 1], 1).reshape(-1), f, value)
+        every = np.concatenate(kept)
+        return Trees(self.feature[every], np.concatenate(lower), self.threshold[every], self.path[every], np.arange(len(self.roots)), self.detector)
+
+    def led(self, at: np.ndarray, f: int, value: float) -> np.ndarray:
+        """Nodes in place of at: those below that the value leads to, where at asks for f."""
+        on = np.flatnonzero(self.feature[at] == f)
+        while len(on):
+            here = at[on]
+            at[on] = here = self.lower[here] + (value > self.threshold[here])
+            on = on[self.feature[here] == f]
+        return at
+
+    def steps(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For trees that ask for one feature: each detector's thresholds in order, and its sum of paths for values up to the first, between two, and above the last.
+
+        Paths are multiples of 2^-23, so their sums are exact, and those of walks down the trees."""
+        at, of = self.roots, self.detector
+        low, high = np.full(len(at), -math.inf), np.full(len(at), math.inf)
+        ends, change, whose = [], [], []
+        while len(at):  # a leaf holds for values above low and up to high
+            leaf = self.feature[at] == LEAF
+            path = self.path[at[leaf]].astype(float)
+            ends += [low[leaf], high[leaf]]
+            change += [path, -path]
+            whose += [of[leaf], of[leaf]]
+            at, of, low, high = at[~leaf], of[~leaf], low[~leaf], high[~leaf]
+            t, below = self.threshold[at], self.lower[at]
+            at, of, low, high = np.concatenate([below, below + 1]), np.concatenate([of, of]), np.concatenate([low, t]), np.concatenate([t, high])
+        ends, change, whose = np.concatenate(ends), np.concatenate(change), np.concatenate(whose)
+        out = []
+        for d in range(int(self.detector.max()) + 1):
+            mine = np.flatnonzero((whose == d) & (ends < math.inf))
+            mine = mine[np.argsort(ends[mine])]
+            first = int(np.searchsorted(ends[mine], -math.inf, side="right"))
+            out.append((ends[mine[first:]], np.cumsum(change[mine])[first - 1 :]))
+        return out
+
+
+class Runs:
+    """A forest's raw scores of vectors that come sorted by the features in its order, batch after batch.
+
+    Vectors that only the last of these features tells apart are looked up in the steps of the trees given the others' values.
+    Trees once given values are kept for the next vectors, which often share some. Rows too few for that go down the whole trees."""
+
+    def __init__(self, forest: Forest, width: int):
+        self.forest, self.by = forest, forest.order(width)
+        #: For the first k features: the last one's place among the thresholds, the trees given all their values, the thresholds of the next.
+        self.given = [(-1, whole := forest.trees(), self.marks(whole, 0))]
+        self.steps: list[tuple[np.ndarray, np.ndarray]] | None = None
+
+    def marks(self, trees: Trees, k: int) -> np.ndarray:
+        """A value's place among them decides all that the trees ask of the k-th feature. The last one's are among the steps."""
+        return np.unique(trees.threshold[trees.feature == self.by[k]]) if k < len(self.by) - 1 else np.zeros(0)
+
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        """rows x detectors scores in (0, 1], the same as the forest's."""
+        out, rest = np.empty((len(x), len(self.forest.psi))), np.zeros(len(x), bool)
+        for start, end in self.left(x, 0, len(x), 0, out):
+            rest[start:end] = True
+        done = ~rest
+        for d, (roots, psi) in enumerate(zip(self.forest.roots, self.forest.psi, strict=True)):
+            out[done, d] = 2.0 ** (-out[done, d] / len(roots) / float(average_path(psi)))
+        if rest.any():
+            out[rest] = self.forest.raw(x[rest])
+        return out
+
+    def left(self, x: np.ndarray, start: int, end: int, k: int, out: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Writes the sums of paths of the rows from start to end, which are alike in the first k features; yields those too few for it."""
+        _, trees, marks = self.given[k]
+        value = x[start:end, self.by[k]]
+        if k == len(self.by) - 1:
+            self.steps = self.steps or trees.steps()
+            for d, (thresholds, totals) in enumerate(self.steps):
+                out[start:end, d] = totals[np.searchsorted(thresholds, value)]
+            return
+        place = np.searchsorted(marks, value)
+        cuts = (1 + np.flatnonzero(place[1:] != place[:-1])).tolist()
+        for a, b in zip([0, *cuts], [*cuts, end - start], strict=True):
+            if len(self.given) == k + 1 or self.given[k + 1][0] != place[a]:
+                if (b - a) * WORTH < len(trees.lower):
+                    yield start + a, start + b
+                    continue
+                below = trees.given(self.by[k], value[a])
+                self.given[k + 1 :] = [(place[a], below, self.marks(below, k + 1))]
+                self.steps = None
+            yield from self.left(x, start + a, start + b, k + 1, out)
+
+
+def in_order(vectors: DataFrame, names: list[str], forest: Forest) -> DataFrame:
+    """Sorted by the features (names) in the forest's order: tasks get ranges of about the same size."""
+    spark = vectors.sparkSession
+    width = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    by = [names[k] for k in forest.order(len(names))]
+    return vectors.repartitionByRange(width, *by).sortWithinPartitions(*by)
+
 
 def fit(train: DataFrame, features: list[str], seed: int = 0, trees: int = TREES, max_rows: int = MAX_ROWS) -> tuple[DataFrame, Forest]:
     """Grow the ensemble; the same rows and seed give the same trees in whatever order rows come. Rows with a null feature are left out."""
@@ -185,32 +319,39 @@ def sample(distinct: DataFrame, features: list[str], seed: int, share: float) ->
 
 
 def scale(forest: Forest, distinct: DataFrame, n: int) -> None:
-    """Sets the mean, std and cut of all n training rows. Sums are of decimals, so that the order of rows does not change them."""
-    shared = distinct.sparkSession.sparkContext.broadcast(forest)
+    """Sets the mean, std and cut of all n training rows. Sums are of whole numbers, so that the order of rows does not change them."""
+    shared, kinds = distinct.sparkSession.sparkContext.broadcast(forest), range(len(forest.psi))
+    names = [c for c in distinct.columns if c != "n"]
 
     def run(batches):
+        runs = Runs(shared.value, len(names))
         for pdf in batches:
-            raw = shared.value.raw(pdf.drop(columns="n").to_numpy(float))
-            yield pd.DataFrame({"n": pdf["n"], "raw": list(raw)})
+            yield pd.DataFrame(runs.raw(pdf[names].to_numpy(float)), columns=[f"raw{d}" for d in kinds]).assign(n=pdf["n"])
 
-    rows = staged(distinct.mapInPandas(run, "n long, raw array<double>"), "training-scores")
-    weight, kinds = F.col("n").cast("decimal(15,0)"), range(len(forest.psi))
+    rows = staged(in_order(distinct, names, forest).mapInPandas(run, ", ".join([*(f"raw{d} double" for d in kinds), "n long"])), "training-scores")
 
-    def mean(of, kind: str) -> np.ndarray:
-        return np.array([float(v) for v in rows.agg(*(F.sum(of(F.col("raw")[d], d).cast(kind) * weight) for d in kinds)).first()]) / n
+    def mean(of) -> np.ndarray:
+        """Of values below 1 (1 counts as the next smaller one), in steps of 2^-60; both halves of their sums fit 2^33 rows."""
+        parts = []
+        for d in kinds:
+            whole = F.least(F.rint(of(F.col(f"raw{d}"), d) * float(1 << 60)).cast("long"), F.lit((1 << 60) - 1))
+            parts += [F.sum(F.shiftright(whole, 30) * F.col("n")), F.sum(whole.bitwiseAND((1 << 30) - 1) * F.col("n"))]
+        sums = rows.agg(*parts).first()
+        return np.array([((high << 30) + low) / (1 << 60) / n for high, low in zip(sums[::2], sums[1::2], strict=True)])
 
-    forest.mean = mean(lambda v, d: v, "decimal(17,16)")
-    forest.std = np.maximum(np.sqrt(mean(lambda v, d: (v - float(forest.mean[d])) ** 2, "decimal(21,20)")), 1e-12)
+    forest.mean = mean(lambda v, d: v)
+    forest.std = np.maximum(np.sqrt(mean(lambda v, d: (v - float(forest.mean[d])) ** 2)), 1e-12)
     scaled = distinct.sparkSession.sparkContext.broadcast(forest)
 
-    @F.pandas_udf("double")
-    def score(v: pd.Series) -> pd.Series:
-        return pd.Series(scaled.value.combined(np.stack(v.to_list()))) if len(v) else pd.Series([], dtype=float)
-
     # the quantile lies between the k-th and the next of the greatest; k is 2, and one more for each 10^9 rows
     at = (n - 1) * (1 - CONTAMINATION)
     k = n - math.floor(at)
-    top = rows.select("n", score("raw").alias("s")).orderBy(F.desc("s")).limit(k).collect()
+
+    def greatest(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"n": pdf["n"], "s": scaled.value.combined(pdf.drop(columns="n").to_numpy(float))}).nlargest(k, "s")
+
+    top = rows.mapInPandas(greatest, "n long, s double").orderBy(F.desc("s")).limit(k).collect()
     ends = np.cumsum([r.n for r in top])
     low, high = (top[int(np.searchsorted(ends, m))].s for m in (k, max(k - 1, 1)))
     forest.cut = low + (high - low) * (at - math.floor(at))
@@ -244,37 +385,38 @@ def restore(spark: SparkSession, path: str) -> Forest:
 
 
 def score_vectors(vectors: DataFrame, forest: Forest) -> DataFrame:
-    """Adds label and score to a table of features only, none of them null."""
-    shared = vectors.sparkSession.sparkContext.broadcast(forest)
+    """Adds the score to a table of features, none of them null, which are its columns of doubles."""
+    shared, names = vectors.sparkSession.sparkContext.broadcast(forest), [c for c, kind in vectors.dtypes if kind == "double"]
 
     def run(batches):
+        runs = Runs(shared.value, len(names))
         for pdf in batches:
-            s = shared.value.score(pdf.to_numpy(float))
-            yield pdf.assign(label=(s > shared.value.cut).astype(float), score=s)
+            yield pdf.assign(score=shared.value.combined(runs.raw(pdf[names].to_numpy(float))))
 
-    return vectors.mapInPandas(run, ", ".join(f"{c} double" for c in [*vectors.columns, "label", "score"]))
+    return in_order(vectors, names, forest).mapInPandas(run, ", ".join(f"{c} {kind}" for c, kind in [*vectors.dtypes, ("score", "double")]))
 
 
 def score_sides(scans: DataFrame, forest: Forest, features: list[str], sides: tuple[str, ...] = SIDES) -> DataFrame:
     """Adds ISO_labels_<side> and raw ISO_scores_<side>, for rows on the side with all features.
 
     A vector goes through hundreds of trees, so all sides' distinct ones are scored once, written, and joined. scans is read twice, so it had better be a table."""
-    spark = scans.sparkSession
-    width = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     vectors = {s: F.when(on_side(s), feature_vector(scans, features, s)) for s in sides}
-    every = scans.select(F.explode(F.array(*vectors.values())).alias("v")).where("v is not null")
     names = [f"__f{k}" for k in range(len(features))]
-    distinct = every.select(*(F.col("v")[k].alias(c) for k, c in enumerate(names))).distinct().repartition(width)
+    every = scans.select(F.explode(F.array(*(F.struct(v.alias("v"), *(F.lit(s == t).alias(t) for t in sides)) for s, v in vectors.items()))).alias("x")).where("x.v is not null")
+    distinct = every.select(*(F.col("x.v")[k].alias(c) for k, c in enumerate(names)), *(f"x.{s}" for s in sides)).groupBy(*names).agg(*(F.max(s).alias(s) for s in sides))
     scored = staged(score_vectors(distinct, forest), "vector-scores")
     spread = [c for c in KEYS if c in scans.columns] or scans.columns
+    # a join sorts by its first key most of the time; a hash is sorted fastest, as a number that few rows share
+    on = ["__hash", *names]
     for s in sides:
-        found = scored.withColumnsRenamed({"label": f"ISO_labels_{s}", "score": f"ISO_scores_{s}"})
-        has = vectors[s].isNotNull()
-        # rows without a vector match nothing; a hash as their first value spreads them over the tasks
-        keys = [F.when(has, vectors[s][0]).otherwise(F.xxhash64(*spread).cast("double")), *(vectors[s][k] for k in range(1, len(names)))]
-        scans = scans.withColumns({f"__k{k}": key for k, key in enumerate(keys)} | {"__has": has})
-        on = reduce(lambda a, b: a & b, (F.col(f"__k{k}") == F.col(c) for k, c in enumerate(names)), F.col("__has"))
-        scans = scans.join(found, on, "left").drop("__has", *names, *(f"__k{k}" for k in range(len(names))))
+        found = scored.where(s).select(F.xxhash64(*names).alias("__hash"), *names, F.col("score").alias(f"ISO_scores_{s}"))
+        own = [vectors[s][k] for k in range(len(names))]
+        # rows without a vector match nothing; another hash spreads them over the tasks
+        keys = [F.when(vectors[s].isNotNull(), F.xxhash64(*own)).otherwise(F.xxhash64(*spread)), *own]
+        scans = scans.withColumns({f"__own{c}": key for c, key in zip(on, keys, strict=True)})
+        scans = scans.join(found, reduce(lambda a, b: a & b, (F.col(f"__own{c}") == F.col(c) for c in on)), "left").drop(*on, *(f"__own{c}" for c in on))
+        score = F.col(f"ISO_scores_{s}")
+        scans = scans.withColumn(f"ISO_labels_{s}", F.when(score.isNotNull(), (score > forest.cut).cast("double")))
     return scans
 
 

@@ -42,7 +42,8 @@ def merge_scans(database: DataFrame, denovo: DataFrame) -> DataFrame:
     """Both branches by raw file and scan, null keys equal to each other, all pairs within a scan; _merge says where a row is from."""
     sides = [suffixed(df, s).withColumn(f"__has_{s}", F.lit(True)) for df, s in zip((database, denovo), SIDES, strict=True)]
     right = sides[1].withColumnsRenamed({k: f"__{k}" for k in KEYS})
-    on = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in KEYS))
+    # scan numbers first: the join sorts by its first key most of the time, and few rows share one
+    on = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in reversed(KEYS)))
     out = sides[0].join(right, on, "full_outer")
     # the right keys stand where there is no left row; a left row's own null keys are equal to the right's anyway
     out = out.withColumns({k: F.coalesce(k, f"__{k}") for k in KEYS}).drop(*(f"__{k}" for k in KEYS))

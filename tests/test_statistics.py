@@ -163,3 +163,29 @@ def test_forest_scores_each_distinct_vector_once(spark, monkeypatch):
         for s, here, v in (("database", k != 2, (a, b)), ("denovo", k != 1, (b, a))):
             want = model.score(np.array([v]))[0] if here and b is not None else None
             assert r[f"ISO_scores_{s}"] == want and r[f"ISO_labels_{s}"] == (None if want is None else float(want > model.cut))
+
+
+def test_forest_runs_are_the_walks_down_the_trees(spark):
+    """Sorted vectors have the very scores of the whole trees, though long runs, in pieces or not, never go down them."""
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.integers(0, 3, 20000) / 100, rng.normal(size=20000), rng.integers(0, 9, 20000) / 10, rng.integers(0, 40, 20000)])
+    _, model = forest.fit(spark.createDataFrame(x.tolist(), "a double, b double, c double, d double"), list("abcd"), trees=4, max_rows=5000)
+    by = model.order(4)
+    assert by[0] == 0 and by[-1] == 1
+    x[:300, 2], x[300:310, 1], x[:5, 0] = -0.0, np.inf, 1e300
+    x = x[np.lexsort(x[:, by[::-1]].T)]
+    want, whole, walked = model.raw(x), model.raw, []
+    model.raw = lambda rows: walked.append(len(rows)) or whole(rows)
+    runs = forest.Runs(model, 4)
+    assert np.array_equal(np.concatenate([runs.raw(x[k : k + 3000]) for k in range(0, len(x), 3000)]), want)
+    assert sum(walked) < len(x) / 4
+    few = rng.permutation(x)[:50]
+    assert np.array_equal(forest.Runs(model, 4).raw(few), whole(few)) and np.array_equal(forest.Runs(model, 4).raw(x[:0]), whole(x[:0]))
+
+
+def test_forest_scores_find_their_rows_whatever_the_sign_of_zero(spark):
+    x, rows = skewed(spark)
+    _, model = forest.fit(rows, ["a", "b"], trees=3, max_rows=2000)
+    df = spark.createDataFrame([(k, "shared", 0.0 * (-1) ** k, 1.0, 1.0, 0.0 * (-1) ** k) for k in range(4)], "id int, _merge string, a_database double, b_database double, a_denovo double, b_denovo double")
+    one, two = model.score(np.array([[0.0, 1.0], [1.0, 0.0]]))
+    assert {(r.ISO_scores_database, r.ISO_scores_denovo) for r in forest.score_sides(df, model, ["a", "b"]).collect()} == {(one, two)}
