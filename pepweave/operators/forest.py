@@ -16,6 +16,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -239,12 +240,11 @@ class Runs:
 
     def raw(self, x: np.ndarray) -> np.ndarray:
         """rows x detectors scores in (0, 1], the same as the forest's."""
-        out, rest = np.empty((len(x), len(self.forest.psi))), np.zeros(len(x), bool)
+        out, rest = np.zeros((len(x), len(self.forest.psi))), np.zeros(len(x), bool)
         for start, end in self.left(x, 0, len(x), 0, out):
             rest[start:end] = True
-        done = ~rest
         for d, (roots, psi) in enumerate(zip(self.forest.roots, self.forest.psi, strict=True)):
-            out[done, d] = 2.0 ** (-out[done, d] / len(roots) / float(average_path(psi)))
+            out[:, d] = 2.0 ** (-out[:, d] / len(roots) / float(average_path(psi)))
         if rest.any():
             out[rest] = self.forest.raw(x[rest])
         return out
@@ -254,6 +254,9 @@ class Runs:
         _, trees, marks = self.given[k]
         value = x[start:end, self.by[k]]
         if k == len(self.by) - 1:
+            if not self.steps and (end - start) * WORTH < len(trees.lower):
+                yield start, end
+                return
             self.steps = self.steps or trees.steps()
             for d, (thresholds, totals) in enumerate(self.steps):
                 out[start:end, d] = totals[np.searchsorted(thresholds, value)]
@@ -271,6 +274,11 @@ class Runs:
             yield from self.left(x, start + a, start + b, k + 1, out)
 
 
+def matrix(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
+    """Columns of doubles without nulls as rows x columns."""
+    return np.stack([batch[c].to_numpy() for c in names], 1)
+
+
 def in_order(vectors: DataFrame, names: list[str], forest: Forest) -> DataFrame:
     """Sorted by the features (names) in the forest's order: tasks get ranges of about the same size."""
     spark = vectors.sparkSession
@@ -321,14 +329,15 @@ def sample(distinct: DataFrame, features: list[str], seed: int, share: float) ->
 def scale(forest: Forest, distinct: DataFrame, n: int) -> None:
     """Sets the mean, std and cut of all n training rows. Sums are of whole numbers, so that the order of rows does not change them."""
     shared, kinds = distinct.sparkSession.sparkContext.broadcast(forest), range(len(forest.psi))
-    names = [c for c in distinct.columns if c != "n"]
+    names, columns = [c for c in distinct.columns if c != "n"], [f"raw{d}" for d in kinds]
 
     def run(batches):
         runs = Runs(shared.value, len(names))
-        for pdf in batches:
-            yield pd.DataFrame(runs.raw(pdf[names].to_numpy(float)), columns=[f"raw{d}" for d in kinds]).assign(n=pdf["n"])
+        for batch in batches:
+            raw = runs.raw(matrix(batch, names))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, np.ascontiguousarray(raw.T)), batch["n"]], [*columns, "n"])
 
-    rows = staged(in_order(distinct, names, forest).mapInPandas(run, ", ".join([*(f"raw{d} double" for d in kinds), "n long"])), "training-scores")
+    rows = staged(in_order(distinct, names, forest).mapInArrow(run, ", ".join([*(f"{c} double" for c in columns), "n long"])), "training-scores")
 
     def mean(of) -> np.ndarray:
         """Of values below 1 (1 counts as the next smaller one), in steps of 2^-60; both halves of their sums fit 2^33 rows."""
@@ -348,10 +357,11 @@ def scale(forest: Forest, distinct: DataFrame, n: int) -> None:
     k = n - math.floor(at)
 
     def greatest(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"n": pdf["n"], "s": scaled.value.combined(pdf.drop(columns="n").to_numpy(float))}).nlargest(k, "s")
+        for batch in batches:
+            s = scaled.value.combined(matrix(batch, columns))
+            yield pa.RecordBatch.from_arrays([batch["n"], pa.array(s)], ["n", "s"]).take(pa.array(np.argsort(-s)[:k]))
 
-    top = rows.mapInPandas(greatest, "n long, s double").orderBy(F.desc("s")).limit(k).collect()
+    top = rows.mapInArrow(greatest, "n long, s double").orderBy(F.desc("s")).limit(k).collect()
     ends = np.cumsum([r.n for r in top])
     low, high = (top[int(np.searchsorted(ends, m))].s for m in (k, max(k - 1, 1)))
     forest.cut = low + (high - low) * (at - math.floor(at))
@@ -390,10 +400,10 @@ def score_vectors(vectors: DataFrame, forest: Forest) -> DataFrame:
 
     def run(batches):
         runs = Runs(shared.value, len(names))
-        for pdf in batches:
-            yield pdf.assign(score=shared.value.combined(runs.raw(pdf[names].to_numpy(float))))
+        for batch in batches:
+            yield batch.append_column("score", pa.array(shared.value.combined(runs.raw(matrix(batch, names)))))
 
-    return in_order(vectors, names, forest).mapInPandas(run, ", ".join(f"{c} {kind}" for c, kind in [*vectors.dtypes, ("score", "double")]))
+    return in_order(vectors, names, forest).mapInArrow(run, ", ".join(f"{c} {kind}" for c, kind in [*vectors.dtypes, ("score", "double")]))
 
 
 def score_sides(scans: DataFrame, forest: Forest, features: list[str], sides: tuple[str, ...] = SIDES) -> DataFrame:
@@ -406,15 +416,14 @@ def score_sides(scans: DataFrame, forest: Forest, features: list[str], sides: tu
     distinct = every.select(*(F.col("x.v")[k].alias(c) for k, c in enumerate(names)), *(f"x.{s}" for s in sides)).groupBy(*names).agg(*(F.max(s).alias(s) for s in sides))
     scored = staged(score_vectors(distinct, forest), "vector-scores")
     spread = [c for c in KEYS if c in scans.columns] or scans.columns
-    # a join sorts by its first key most of the time; a hash is sorted fastest, as a number that few rows share
-    on = ["__hash", *names]
     for s in sides:
         found = scored.where(s).select(F.xxhash64(*names).alias("__hash"), *names, F.col("score").alias(f"ISO_scores_{s}"))
-        own = [vectors[s][k] for k in range(len(names))]
+        own = {f"__own{c}": vectors[s][k] for k, c in enumerate(names)}
         # rows without a vector match nothing; another hash spreads them over the tasks
-        keys = [F.when(vectors[s].isNotNull(), F.xxhash64(*own)).otherwise(F.xxhash64(*spread)), *own]
-        scans = scans.withColumns({f"__own{c}": key for c, key in zip(on, keys, strict=True)})
-        scans = scans.join(found, reduce(lambda a, b: a & b, (F.col(f"__own{c}") == F.col(c) for c in on)), "left").drop(*on, *(f"__own{c}" for c in on))
+        scans = scans.withColumns({"__own": F.when(vectors[s].isNotNull(), F.xxhash64(*own.values())).otherwise(F.xxhash64(*spread))} | own)
+        # one whole number as the only key is what a join sorts fastest by; that values are equal is asked of the few rows that share it
+        same = [(F.col(f"__own{c}") <= F.col(c)) & (F.col(f"__own{c}") >= F.col(c)) for c in names]
+        scans = scans.join(found, reduce(lambda a, b: a & b, same, F.col("__own") == F.col("__hash")), "left").drop("__own", "__hash", *own, *names)
         score = F.col(f"ISO_scores_{s}")
         scans = scans.withColumn(f"ISO_labels_{s}", F.when(score.isNotNull(), (score > forest.cut).cast("double")))
     return scans

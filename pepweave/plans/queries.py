@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -483,10 +484,14 @@ def similarity_labels(spark, sf_dir):
 
 @query("forest_scores")
 def forest_scores(spark, sf_dir):
-    features = (f"{f}_{s}" for f in views.FEATURES for s in SIDES)
-    df = staged(scans(spark, sf_dir).select("RAW_FILE", "SCAN_NUMBER", "SpecId", "_merge", "Label_database", "percolator_score_database", *features), "scans")
+    """An id is made of its parts at the end, so that it is neither written nor shuffled on the way."""
+    features, parts = (f"{f}_{s}" for f in views.FEATURES for s in SIDES), ("MODIFIED_SEQUENCE", "PRECURSOR_CHARGE")
+    whole = reduce(lambda a, b: a & b, (F.col(f"{c}_database").isNotNull() for c in parts))
+    of_id = (F.when(whole, F.col(f"{c}_database")).otherwise(F.col(f"{c}_denovo")).alias(c) for c in parts)
+    df = staged(scans(spark, sf_dir).select("RAW_FILE", "SCAN_NUMBER", *of_id, "_merge", "Label_database", "percolator_score_database", *features), "scans")
     rows = forest.training_set(forest.training_candidates(df).select(*C.features_of(df, "database")))
     _, model = forest.fit(rows, views.FEATURES)
-    scored = forest.score_sides(df, model, views.FEATURES).select("RAW_FILE", "SCAN_NUMBER", "SpecId", *(f"ISO_{n}_{s}" for n in ("labels", "scores") for s in SIDES))
+    spec_id = C.spec_id(*map(F.col, ("RAW_FILE", "SCAN_NUMBER", *parts))).alias("SpecId")
+    scored = forest.score_sides(df, model, views.FEATURES).select("RAW_FILE", "SCAN_NUMBER", spec_id, *(f"ISO_{n}_{s}" for n in ("labels", "scores") for s in SIDES))
     out = forest.rescaled(staged(scored, "forest-scores"))
     return out.select("RAW_FILE", "SCAN_NUMBER", "SpecId", *(f"ISO_{n}_{s}" for n in ("labels", "scores") for s in SIDES))

@@ -54,3 +54,8 @@ def test_forest_query_grows_whole_ensembles(spark, monkeypatch):
     monkeypatch.setattr(forest, "fit", noted)
     QUERIES["forest_scores"](spark, SF)
     assert grown and set(grown) == {forest.TREES}
+
+
+def test_forest_rows_have_the_ids_of_their_scans(spark):
+    found, want = (sorted(map(tuple, QUERIES[q](spark, SF).select("RAW_FILE", "SCAN_NUMBER", "SpecId").collect())) for q in ("forest_scores", "branch_full_outer"))
+    assert found == want
