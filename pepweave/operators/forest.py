@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -311,6 +311,7 @@ def fit(train: DataFrame, features: list[str], seed: int = 0, trees: int = TREES
 
     jobs = len(sizes) * trees
     nodes = staged(spark.range(0, jobs, 1, min(jobs, 4 * spark.sparkContext.defaultParallelism)).mapInPandas(build, TREE), "trees")
+    shared.destroy()
     forest = load(nodes)
     scale(forest, distinct, n)
     return nodes, forest
@@ -338,6 +339,7 @@ def scale(forest: Forest, distinct: DataFrame, n: int) -> None:
             yield pa.RecordBatch.from_arrays([*map(pa.array, np.ascontiguousarray(raw.T)), batch["n"]], [*columns, "n"])
 
     rows = staged(in_order(distinct, names, forest).mapInArrow(run, ", ".join([*(f"{c} double" for c in columns), "n long"])), "training-scores")
+    shared.destroy()  # the driver holds a copy of all nodes for each broadcast
 
     def mean(of) -> np.ndarray:
         """Of values below 1 (1 counts as the next smaller one), in steps of 2^-60; both halves of their sums fit 2^33 rows."""
@@ -350,7 +352,7 @@ def scale(forest: Forest, distinct: DataFrame, n: int) -> None:
 
     forest.mean = mean(lambda v, d: v)
     forest.std = np.maximum(np.sqrt(mean(lambda v, d: (v - float(forest.mean[d])) ** 2)), 1e-12)
-    scaled = distinct.sparkSession.sparkContext.broadcast(forest)
+    scaled = replace(forest, **dict.fromkeys(NODE.names, np.zeros(0)), roots=[])
 
     # the quantile lies between the k-th and the next of the greatest; k is 2, and one more for each 10^9 rows
     at = (n - 1) * (1 - CONTAMINATION)
@@ -358,7 +360,7 @@ def scale(forest: Forest, distinct: DataFrame, n: int) -> None:
 
     def greatest(batches):
         for batch in batches:
-            s = scaled.value.combined(matrix(batch, columns))
+            s = scaled.combined(matrix(batch, columns))
             yield pa.RecordBatch.from_arrays([batch["n"], pa.array(s)], ["n", "s"]).take(pa.array(np.argsort(-s)[:k]))
 
     top = rows.mapInArrow(greatest, "n long, s double").orderBy(F.desc("s")).limit(k).collect()
